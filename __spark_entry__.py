@@ -18,15 +18,24 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
+from cohortlens.plans import quality  # noqa: E402
 from cohortlens.plans.build import Models  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
 
 ROUND_DIGITS = oracle_queries.ROUND_DIGITS
 
 
+_CACHE: dict[tuple[int, str], Models] = {}
+
+
 def _models(spark: SparkSession, sf_dir: str) -> Models:
+    """Model plans over the driver tables, built once per session and folder
+    (plans are immutable; reusing them only saves planning time)."""
     tune(spark)
-    return Models.from_driver_tables(spark, sf_dir)
+    key = (id(spark), sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = Models.from_driver_tables(spark, sf_dir)
+    return _CACHE[key]
 
 
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -61,6 +70,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_features",
     ):
         out[name] = _model_query(name)
+
+    # data quality: one report row per declared test / rule set
+    out["check_not_null"] = lambda s, d: quality.schema_test_report(_models(s, d), ("not_null",))
+    out["check_unique"] = lambda s, d: quality.schema_test_report(_models(s, d), ("unique",))
+    out["check_accepted"] = lambda s, d: quality.schema_test_report(_models(s, d), ("accepted_values",))
+    for qname, rule in (
+        ("campaign_rule_violations", "campaign_rules"),
+        ("activity_date_violations", "activity_date_consistency"),
+        ("activity_revenue_violations", "activity_revenue_rules"),
+        ("journey_violations", "journey_rules"),
+        ("feature_violations", "feature_rules"),
+    ):
+        out[qname] = (lambda r: lambda s, d: quality.rule_report(_models(s, d), {r}))(rule)
+    out["feature_guard"] = lambda s, d: quality.feature_guard(_models(s, d).user_features)
     return out
 
 
