@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from cohortlens.plans import quality  # noqa: E402
+from cohortlens.plans import campaign, quality, report  # noqa: E402
 from cohortlens.plans.build import Models  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
 
@@ -84,6 +84,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ):
         out[qname] = (lambda r: lambda s, d: quality.rule_report(_models(s, d), {r}))(rule)
     out["feature_guard"] = lambda s, d: quality.feature_guard(_models(s, d).user_features)
+
+    # reports on the campaign mart
+    reports = {
+        "portfolio": campaign.portfolio,
+        "rank_campaigns_roas": lambda m: report.rank_campaigns(m, "total_revenue_roas"),
+        "rank_campaigns_cost": lambda m: report.rank_campaigns(m, "cost_per_trial", "Social"),
+        "decisions": report.decisions,
+        "spend_vs_revenue": report.spend_vs_revenue,
+        "campaign_detail": report.campaign_detail,
+        "campaign_audit": report.campaign_audit,
+    }
+    for qname, fn in reports.items():
+        out[qname] = (
+            lambda n, f: lambda s, d: _rounded(
+                f(_models(s, d).mart_campaign_performance), oracle_queries.REPORT_ROUNDING.get(n, [])
+            )
+        )(qname, fn)
     return out
 
 
