@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from cohortlens.plans import campaign, quality, report  # noqa: E402
+from cohortlens.operators.windows import group_size, rank_events  # noqa: E402
+from cohortlens.plans import campaign, profile, quality, report  # noqa: E402
 from cohortlens.plans.build import Models  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
 
@@ -101,8 +102,71 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 f(_models(s, d).mart_campaign_performance), oracle_queries.REPORT_ROUNDING.get(n, [])
             )
         )(qname, fn)
+
+    out.update(_profile_queries())
     return out
 
 
+def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Profiles read the raw sources; those that filter by event type read
+    the raw activity with event_type tidied (lower/trim)."""
+
+    def raw(s, d):
+        return _models(s, d).raw
+
+    def tidy(s, d):
+        return profile.tidy_event_types(raw(s, d)["user_activity"])
+
+    def ranked_sales(s, d):
+        sales = tidy(s, d).where(F.col("event_type") == "sale").select("user_id", "event_date", "revenue_amount")
+        ranked = rank_events(
+            sales, "user_id", [F.col("event_date").asc_nulls_last(), F.col("revenue_amount").asc_nulls_last()],
+            "sale_number",
+        )
+        return group_size(ranked, "user_id", "sale_event_count")
+
+    r = {
+        "profile_rows": lambda s, d: profile.profile_rows(raw(s, d)),
+        "profile_nulls": lambda s, d: profile.profile_nulls(raw(s, d)),
+        "profile_exact_duplicates": lambda s, d: profile.union_all(
+            *[profile.profile_exact_duplicates(df, n) for n, df in raw(s, d).items()]
+        ),
+        "profile_key_duplicates": lambda s, d: profile.profile_key_duplicates(raw(s, d)["dim_user"]),
+        "profile_field_conflicts": lambda s, d: profile.profile_field_conflicts(raw(s, d)["dim_user"]),
+        "profile_categories": lambda s, d: profile.profile_categories(raw(s, d)),
+        "profile_orphan_codes": lambda s, d: profile.union_all(
+            profile.profile_orphan_codes(raw(s, d)["dim_user"], raw(s, d)["marketing_campaigns"], "dim_user"),
+            profile.profile_orphan_codes(
+                raw(s, d)["user_activity"], raw(s, d)["marketing_campaigns"], "user_activity"
+            ),
+        ),
+        "profile_orphan_keys": lambda s, d: profile.profile_orphan_keys(
+            raw(s, d)["user_activity"], raw(s, d)["dim_user"]
+        ),
+        "profile_revenue_population": lambda s, d: profile.profile_revenue_population(tidy(s, d)),
+        "profile_missing_onboarding": lambda s, d: profile.profile_missing_onboarding(tidy(s, d)),
+        "classify_conflicts": lambda s, d: profile.classify_conflicts(raw(s, d)["dim_user"]),
+        "profile_journeys": lambda s, d: profile.profile_journeys(tidy(s, d)),
+        "profile_repeat_sales": lambda s, d: profile.profile_repeat_sales(tidy(s, d)),
+        "profile_user_consistency": lambda s, d: profile.profile_user_consistency(tidy(s, d)),
+        "profile_code_overlap": lambda s, d: profile.profile_code_overlap(
+            raw(s, d)["dim_user"], raw(s, d)["user_activity"]
+        ),
+        "profile_date_ranges": lambda s, d: profile.profile_date_ranges(
+            raw(s, d)["marketing_spend"], raw(s, d)["user_activity"]
+        ),
+        "cohort_maturity": lambda s, d: profile.cohort_maturity(tidy(s, d)),
+        "profile_unmatched_days": lambda s, d: profile.profile_unmatched_days(
+            tidy(s, d), raw(s, d)["marketing_spend"]
+        ),
+        "profile_sale_counts": lambda s, d: profile.profile_sale_counts(tidy(s, d)),
+        "profile_revenue_distribution": lambda s, d: profile.profile_revenue_distribution(tidy(s, d)),
+        "profile_spend_distribution": lambda s, d: profile.profile_spend_distribution(raw(s, d)["marketing_spend"]),
+        "profile_date_matches": lambda s, d: profile.profile_date_matches(tidy(s, d)),
+        "ranked_sales": ranked_sales,
+    }
+    return r
+
+
 def oracle_sql() -> dict[str, str]:
     return oracle_queries.all_queries()

@@ -12,8 +12,12 @@ def rank_events(df: DataFrame, key: str, order: list[Column], name: str = "rn")
 
 
 def group_size(df: DataFrame, key: str, name: str = "group_size") -> DataFrame:
-    """``count(*) over (partition by key)``."""
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(key)))
+    """``count(*) over (partition by key)``, as a partial-aggregating count
+    joined back on ``key`` (rows with a null key get the null group's size,
+    as the window would). A hot key costs one partial row per map task,
+    and the join back is split by AQE's skew handling."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    return df.join(sizes, df[key].eqNullSafe(sizes[key])).drop(sizes[key])
 
 
 def top_k_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rn") -> DataFrame:
