@@ -19,9 +19,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
 from cohortlens.operators.windows import group_size, rank_events  # noqa: E402
-from cohortlens.plans import campaign, profile, quality, report  # noqa: E402
+from cohortlens.plans import campaign, model, profile, quality, report  # noqa: E402
+from cohortlens.sources.schemas import TARGETS  # noqa: E402
 from cohortlens.plans.build import Models  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
+from cohortlens.sources.sinks import reliable_checkpoint  # noqa: E402
 
 ROUND_DIGITS = oracle_queries.ROUND_DIGITS
 
@@ -104,9 +106,138 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         )(qname, fn)
 
     out.update(_profile_queries())
+    out.update(_model_eval_queries())
+    out.update(_fitted_queries())
     return out
 
 
+_EVAL: dict[tuple[int, str], tuple] = {}
+
+
+def _reference_eval(spark: SparkSession, sf_dir: str):
+    """Date split of the feature table and the reference scorer's scores
+    (long form: one row per user and target)."""
+    key = (id(spark), sf_dir)
+    if key not in _EVAL:
+        feats = model.prepare_predictors(_models(spark, sf_dir).user_features)
+        split = model.split_chronologically(feats)
+        scored = quality.union_all(*[model.category_rate_scores(split.frame, t) for t in TARGETS])
+        # every evaluation query reads the scores several times: cut lineage once
+        _EVAL[key] = (split, reliable_checkpoint(scored))
+    return _EVAL[key]
+
+
+def _per_target(scored: DataFrame, target: str, part: str) -> DataFrame:
+    return scored.where((F.col("target") == target) & (F.col("split") == part))
+
+
+def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    rnd = oracle_queries.MODEL_EVAL_ROUNDING
+
+    def chronological_split(s, d):
+        split, _ = _reference_eval(s, d)
+        return split.frame.select(
+            "user_id",
+            "attribution_date",
+            "split",
+            F.lit(split.validation_start).alias("validation_start_date"),
+            F.lit(split.test_start).alias("test_start_date"),
+        )
+
+    def sweep(s, d):
+        _, sc = _reference_eval(s, d)
+        return quality.union_all(
+            *[model.threshold_metrics(_per_target(sc, t, "validation"), target=t) for t in TARGETS]
+        )
+
+    def best(s, d):
+        return model.select_threshold(sweep(s, d))
+
+    def chosen(s, d, t):
+        return best(s, d).where(F.col("target") == t).select("threshold").scalar()
+
+    def confusion(s, d):
+        _, sc = _reference_eval(s, d)
+        return quality.union_all(
+            *[
+                model.confusion(_per_target(sc, t, "test"), chosen(s, d, t)).select(F.lit(t).alias("target"), "*")
+                for t in TARGETS
+            ]
+        )
+
+    def auc(s, d):
+        _, sc = _reference_eval(s, d)
+        return quality.union_all(
+            *[
+                s.range(1).select(
+                    F.lit(t).alias("target"),
+                    model.roc_auc(_per_target(sc, t, "validation")).alias("validation_roc_auc"),
+                    model.roc_auc(_per_target(sc, t, "test")).alias("roc_auc"),
+                )
+                for t in TARGETS
+            ]
+        )
+
+    def summary(s, d):
+        _, sc = _reference_eval(s, d)
+        return quality.union_all(
+            *[
+                model.score_summary(_per_target(sc, t, "test"), chosen(s, d, t)).select(
+                    F.lit(t).alias("target"), "*"
+                )
+                for t in TARGETS
+            ]
+        )
+
+    def references(s, d):
+        split, _ = _reference_eval(s, d)
+        enc = model.Encoder.fit(split.frame.where(F.col("split") == "training"))
+        return quality.union_all(*[model.reference_categories(s, enc, t) for t in TARGETS])
+
+    fns = {
+        "chronological_split": chronological_split,
+        "threshold_metrics": sweep,
+        "select_threshold": best,
+        "confusion": confusion,
+        "roc_auc": auc,
+        "score_summary": summary,
+        "reference_categories": references,
+    }
+    return {
+        n: (lambda n, f: lambda s, d: _rounded(f(s, d), rnd.get(n, [])))(n, f) for n, f in fns.items()
+    }
+
+
+_FITTED: dict[tuple[int, str], model.ModelOutputs] = {}
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> model.ModelOutputs:
+    key = (id(spark), sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = model.train_models(_models(spark, sf_dir).user_features)
+    return _FITTED[key]
+
+
+def _fitted_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Outputs of the fitted logistic models (solver results: rows-only check;
+    pytest compares the fit with a Newton solve of the same objective)."""
+
+    def factors(s, d):
+        o = _fitted(s, d)
+        return report.factor_table(o.feature_importance, o.reference_categories)
+
+    return {
+        "model_metrics": lambda s, d: _fitted(s, d).model_metrics,
+        "feature_importance": lambda s, d: _fitted(s, d).feature_importance,
+        "model_threshold_metrics": lambda s, d: _fitted(s, d).threshold_metrics,
+        "factor_table": factors,
+        "leading_predictor": lambda s, d: report.leading_predictor(factors(s, d)),
+        "confusion_long": lambda s, d: report.confusion_long(_fitted(s, d).model_metrics),
+        "comparison_groups": lambda s, d: report.comparison_groups(_fitted(s, d).reference_categories),
+        "model_summary": lambda s, d: report.model_summary(_fitted(s, d).model_metrics),
+    }
+
+
 def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Profiles read the raw sources; those that filter by event type read
     the raw activity with event_type tidied (lower/trim)."""

@@ -94,3 +94,30 @@ def exact_quantiles(
 
 def exact_median(df: DataFrame, col: str, name: str = "median") -> DataFrame:
     return exact_quantiles(df, col, [0.5], [name])
+
+
+def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """For a frame with one row per distinct ``order_col`` value, add
+    ``{w}_before``: the sum of ``w`` over all rows with a smaller value.
+
+    Rows are cut into ``buckets`` ordered ranges (approximate quantile cut
+    points); one row per range gives the range offsets, and each range is
+    then scanned in order in its own window partition. No task sees more
+    than one range."""
+    fractions = [i / buckets for i in range(1, buckets)]
+    bounds = df.select(F.percentile_approx(order_col, fractions, APPROX_ACCURACY)).scalar()
+    keep = df.columns
+    with_b = df.withColumn("__bounds", bounds).select(
+        *keep, F.size(F.filter("__bounds", lambda b: b < F.col(order_col))).alias("__bucket")
+    )
+    totals = with_b.groupBy("__bucket").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
+    by_bucket = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "__bucket", *[F.coalesce(F.sum(f"__t_{w}").over(by_bucket), F.lit(0)).alias(f"__o_{w}") for w in weights]
+    )
+    inside = Window.partitionBy("__bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    out = with_b.join(F.broadcast(offsets), "__bucket")
+    return out.select(
+        *keep,
+        *[(F.col(f"__o_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_before") for w in weights],
+    )

@@ -29,6 +29,14 @@ def checkpoint_base(spark: SparkSession) -> str:
     return local
 
 
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint dir and cut its lineage (a lost executor
+    re-reads the files instead of recomputing the upstream plan). For inputs
+    that several jobs or solver passes read."""
+    checkpoint_base(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def materialize(df: DataFrame, name: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` to ``{base}/{name}`` (default: under the checkpoint dir)
     and return a fresh scan of it, so downstream plans start from the table."""
