@@ -31,16 +31,25 @@ def value_weights(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("w"))
 
 
+def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
+    """Add the range number of ``col``: how many of the ``buckets - 1``
+    approximate quantile cut points of ``col`` lie strictly below it."""
+    if buckets <= 1:
+        return df.withColumn(name, F.lit(0))
+    fractions = [i / buckets for i in range(1, buckets)]
+    bounds = df.select(F.percentile_approx(col, fractions, APPROX_ACCURACY)).scalar()
+    # a subquery may not sit inside a higher-order function: the cut points
+    # are projected as a column first
+    keep = df.columns
+    return df.withColumn("__bounds", bounds).select(
+        *keep, F.size(F.filter("__bounds", lambda b: b < F.col(col))).alias(name)
+    )
+
+
 def ranked_ranges(vw: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``(bucket, v, w, offset, bucket_rows)``: ``bucket`` is monotone in
     ``v``; ``offset`` is the number of rows in lower buckets."""
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = vw.select(F.percentile_approx("v", fractions, APPROX_ACCURACY).alias("b")).scalar()
-    # the cut points enter as a column first: a subquery may not sit inside a
-    # higher-order function
-    with_b = vw.withColumn("__bounds", bounds).select(
-        "v", "w", F.size(F.filter("__bounds", lambda b: b < F.col("v"))).alias("bucket")
-    )
+    with_b = with_bucket(vw.select("v", "w"), "v", buckets, "bucket")
     totals = with_b.groupBy("bucket").agg(F.sum("w").alias("bucket_rows"))
     # at most `buckets` rows: the running sum over them is bounded work
     offsets = totals.select(
@@ -104,12 +113,8 @@ def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int
     points); one row per range gives the range offsets, and each range is
     then scanned in order in its own window partition. No task sees more
     than one range."""
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = df.select(F.percentile_approx(order_col, fractions, APPROX_ACCURACY)).scalar()
     keep = df.columns
-    with_b = df.withColumn("__bounds", bounds).select(
-        *keep, F.size(F.filter("__bounds", lambda b: b < F.col(order_col))).alias("__bucket")
-    )
+    with_b = with_bucket(df, order_col, buckets, "__bucket")
     totals = with_b.groupBy("__bucket").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
     by_bucket = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
