@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import reliable_checkpoint
+
 DEFAULT_BUCKETS = 256
 APPROX_ACCURACY = 10_000
 
@@ -87,7 +89,8 @@ def exact_quantiles(
     """One row: the exact interpolated quantile of ``col`` for each ``p``
     (null when ``col`` has no non-null value)."""
     names = names or [f"q{i}" for i in range(len(probs))]
-    vw = value_weights(df, col)
+    # the (value, weight) table feeds four small passes: write it once
+    vw = reliable_checkpoint(value_weights(df, col))
     n = vw.select(F.sum("w")).scalar()
     pos = [(n - F.lit(1)) * F.lit(float(p)) for p in probs]
     lo = [F.floor(h) for h in pos]

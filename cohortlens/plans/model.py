@@ -229,9 +229,11 @@ def roc_auc(scored: DataFrame, label: str = "label", score_col: str = "score") -
     """Exact ROC AUC with ties counted half (Mann-Whitney), as a scalar
     column: scores are collapsed per distinct value, negatives below each
     score come from a distributed prefix sum. Null when a class is absent."""
-    per_score = scored.groupBy(F.col(score_col).alias("s")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"),
-        F.sum((1 - F.col(label)).cast("long")).alias("neg"),
+    per_score = reliable_checkpoint(
+        scored.groupBy(F.col(score_col).alias("s")).agg(
+            F.sum(F.col(label).cast("long")).alias("pos"),
+            F.sum((1 - F.col(label)).cast("long")).alias("neg"),
+        )
     )
     ranked = prefix_sums(per_score, "s", ["neg"])
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
@@ -297,50 +299,75 @@ def _nan_to_none(x):
     return None if isinstance(x, float) and math.isnan(x) else x
 
 
+def split_summary(scored: DataFrame, threshold: float, label: str = "label", score_col: str = "score") -> DataFrame:
+    """Per split in one aggregation: rows, positive rate, the confusion cells
+    at ``threshold``, min/max score and the share predicted positive."""
+    y, hit = F.col(label), F.col(score_col) >= F.lit(float(threshold))
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(y.cast("double")).alias("rate"),
+        F.count_if((y == 0) & ~hit).alias("true_negative"),
+        F.count_if((y == 0) & hit).alias("false_positive"),
+        F.count_if((y == 1) & ~hit).alias("false_negative"),
+        F.count_if((y == 1) & hit).alias("true_positive"),
+        F.min(score_col).alias("minimum_probability"),
+        F.max(score_col).alias("maximum_probability"),
+        F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("predicted_positive_rate"),
+    )
+
+
+def _f1(r) -> tuple[float, float, float]:
+    tp, fp, fn = r.true_positive, r.false_positive, r.false_negative
+    precision = tp / (tp + fp) if tp + fp else 0.0
+    recall = tp / (tp + fn) if tp + fn else 0.0
+    f1 = 2 * tp / (2 * tp + fp + fn) if 2 * tp + fp + fn else 0.0
+    return float(precision), float(recall), float(f1)
+
+
 def evaluate(scored: DataFrame, target: str, split: Split, label: str = "label",
              score_col: str = "score") -> tuple[dict, DataFrame]:
     """Threshold sweep on validation, chosen threshold applied to test.
-    Returns the metrics record and the threshold table."""
+    Returns the metrics record and the threshold table. ``scored`` is read
+    by several passes; callers should persist it."""
     spark = scored.sparkSession
     val = scored.where(F.col("split") == "validation")
     test = scored.where(F.col("split") == "test")
-    sweep = threshold_metrics(val, label, score_col, target=target)
-    best = select_threshold(sweep).first()
-    t = float(best.threshold)
-    counts = scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(label).cast("double")).alias("rate"))
-    c = {r.split: r for r in counts.collect()}
-    val_f1 = class_metrics(confusion(val, t, label, score_col)).first().f1_score
-    cm = class_metrics(confusion(test, t, label, score_col)).first()
-    summary = spark.range(1).select(
+    sweep = _small(threshold_metrics(val, label, score_col, target=target))
+    t = float(select_threshold(sweep).first().threshold)
+    c = {r.split: r for r in split_summary(scored, t, label, score_col).collect()}
+    aucs = spark.range(1).select(
         roc_auc(val, label, score_col).alias("validation_roc_auc"), roc_auc(test, label, score_col).alias("roc_auc")
     ).first()
-    dist = score_summary(test, t, score_col).first()
+    median = exact_median(test, score_col).first()[0]
+    _, _, val_f1 = _f1(c["validation"])
+    precision, recall, f1 = _f1(c["test"])
+    tr, va, te = c["training"], c["validation"], c["test"]
     record = {
         "target": target,
         "model_name": MODEL_NAME,
         "prediction_threshold": t,
         "validation_start_date": split.validation_start,
         "test_start_date": split.test_start,
-        "train_rows": int(c["training"].n),
-        "validation_rows": int(c["validation"].n),
-        "test_rows": int(c["test"].n),
-        "train_positive_rate": float(c["training"].rate),
-        "validation_positive_rate": float(c["validation"].rate),
-        "test_positive_rate": float(c["test"].rate),
-        "validation_roc_auc": _nan_to_none(summary.validation_roc_auc),
-        "validation_f1": float(val_f1),
-        "roc_auc": _nan_to_none(summary.roc_auc),
-        "precision": float(cm.precision),
-        "recall": float(cm.recall),
-        "f1_score": float(cm.f1_score),
-        "predicted_positive_rate": float(dist.predicted_positive_rate),
-        "minimum_probability": float(dist.minimum_probability),
-        "median_probability": float(dist.median_probability),
-        "maximum_probability": float(dist.maximum_probability),
-        "true_negative": int(cm.true_negative),
-        "false_positive": int(cm.false_positive),
-        "false_negative": int(cm.false_negative),
-        "true_positive": int(cm.true_positive),
+        "train_rows": int(tr.n),
+        "validation_rows": int(va.n),
+        "test_rows": int(te.n),
+        "train_positive_rate": float(tr.rate),
+        "validation_positive_rate": float(va.rate),
+        "test_positive_rate": float(te.rate),
+        "validation_roc_auc": _nan_to_none(aucs.validation_roc_auc),
+        "validation_f1": val_f1,
+        "roc_auc": _nan_to_none(aucs.roc_auc),
+        "precision": precision,
+        "recall": recall,
+        "f1_score": f1,
+        "predicted_positive_rate": float(te.predicted_positive_rate),
+        "minimum_probability": float(te.minimum_probability),
+        "median_probability": float(median),
+        "maximum_probability": float(te.maximum_probability),
+        "true_negative": int(te.true_negative),
+        "false_positive": int(te.false_positive),
+        "false_negative": int(te.false_negative),
+        "true_positive": int(te.true_positive),
     }
     return record, sweep
 
@@ -389,10 +416,13 @@ def train_models(features: DataFrame, targets=TARGETS, predictors=PREDICTORS) ->
         records, coefs, refs, sweeps = [], [], [], []
         for target in targets:
             model = fit_target(train, target, n_train, predictors)
-            scored = score(model, encoded.withColumn("label", F.col(target).cast("int")))
-            record, sweep = evaluate(scored, target, split)
+            scored = score(model, encoded.withColumn("label", F.col(target).cast("int"))).persist()
+            try:
+                record, sweep = evaluate(scored, target, split)
+            finally:
+                scored.unpersist()
             records.append(record)
-            sweeps.append(_small(sweep))
+            sweeps.append(sweep)
             coefs.append(coefficient_table(spark, model, encoder, target))
             refs.append(reference_categories(spark, encoder, target))
     finally:

@@ -387,10 +387,12 @@ def profile_distribution(df: DataFrame, col: str, stem: str, rows_name: str) ->
     )
     qnames = [f"{stem}_p25", f"median_{stem}", f"{stem}_p75", f"{stem}_p95", f"{stem}_p99"]
     q = exact_quantiles(df, col, list(QUANTILE_PROBS), qnames)
-    q = q.select(*[F.round(F.col(n), 2).alias(n) for n in qnames])
+    # the one-row quantile frame enters as a single struct-valued subquery
+    qs = q.select(F.struct(*[F.round(F.col(n), 2).alias(n) for n in qnames])).scalar()
     order = [rows_name, f"non_positive_{stem}_rows", f"minimum_{stem}", *qnames, f"maximum_{stem}"]
-    # two one-row frames side by side
-    return basic.select(*basic.columns, *[q.select(n).scalar().alias(n) for n in qnames]).select(*order)
+    return basic.withColumn("__q", qs).select(*basic.columns, *[F.col(f"__q.{n}").alias(n) for n in qnames]).select(
+        *order
+    )
 
 
 def profile_revenue_distribution(activity: DataFrame) -> DataFrame:

@@ -193,12 +193,13 @@ def check_accepted(df: DataFrame, accepted: dict[str, tuple], model: str = "") -
     return _report(model, "accepted_values", full)
 
 
-def schema_test_report(models, kinds=("not_null", "unique", "accepted_values")) -> DataFrame:
-    """All declared column tests over ``models`` (anything with ``get(name)``)."""
+def schema_test_report(models, kinds=("not_null", "unique", "accepted_values"), names=None) -> DataFrame:
+    """All declared column tests over ``models`` (anything with ``get(name)``),
+    optionally only for the models in ``names``."""
     parts = []
     by_model: dict[str, list[ColumnTest]] = {}
     for t in SCHEMA_TESTS:
-        if t.test in kinds:
+        if t.test in kinds and (names is None or t.model in names):
             by_model.setdefault(t.model, []).append(t)
     for model, tests in by_model.items():
         df = models.get(model)
