@@ -8,6 +8,7 @@ for the same result over the driver views.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import sys
 from collections.abc import Callable
@@ -21,26 +22,54 @@ import oracle_queries  # noqa: E402
 from cohortlens.operators.windows import group_size, rank_events  # noqa: E402
 from cohortlens.plans import campaign, model, profile, quality, report  # noqa: E402
 from cohortlens.sources.schemas import TARGETS  # noqa: E402
-from cohortlens.plans.build import Models  # noqa: E402
+from cohortlens.plans.build import Models, build_all  # noqa: E402
+from cohortlens.sources import fixtures  # noqa: E402
+from cohortlens.sources.sinks import checkpoint_base, materialize  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
 from cohortlens.sources.sinks import reliable_checkpoint  # noqa: E402
 
 ROUND_DIGITS = oracle_queries.ROUND_DIGITS
 
 
+_RAW: dict[tuple[int, str], dict[str, DataFrame]] = {}
 _CACHE: dict[tuple[int, str], Models] = {}
+_BUILT: dict[tuple[int, str], Models] = {}
 
 
-def _models(spark: SparkSession, sf_dir: str) -> Models:
-    """Model plans over the driver tables, built once per session and folder
-    (plans are immutable; reusing them only saves planning time)."""
+def _folder(spark: SparkSession, sf_dir: str, what: str) -> str:
+    tag = hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    return os.path.join(checkpoint_base(spark), f"{what}-{tag}")
+
+
+def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four raw sources, projected from the driver tables and written
+    once per session (the reference's inputs are files too)."""
     tune(spark)
     key = (id(spark), sf_dir)
+    if key not in _RAW:
+        base = _folder(spark, sf_dir, "raw")
+        _RAW[key] = {n: materialize(df, n, base) for n, df in fixtures.raw_sources(spark, sf_dir).items()}
+    return _RAW[key]
+
+
+def _models(spark: SparkSession, sf_dir: str) -> Models:
+    """Model plans over the raw source tables (each model query runs its
+    whole plan from the raw data)."""
+    key = (id(spark), sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Models.from_driver_tables(spark, sf_dir)
+        _CACHE[key] = Models(raw_sources(spark, sf_dir))
     return _CACHE[key]
 
 
+def build(spark: SparkSession, sf_dir: str) -> Models:
+    """Every model written as a table in dependency order, once per session;
+    checks, reports, profiles of models and training read these tables."""
+    key = (id(spark), sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = build_all(raw_sources(spark, sf_dir), base=_folder(spark, sf_dir, "models"))
+    return _BUILT[key]
+
+
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
     if not cols:
         return df
@@ -75,9 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = _model_query(name)
 
     # data quality: one report row per declared test / rule set
-    out["check_not_null"] = lambda s, d: quality.schema_test_report(_models(s, d), ("not_null",))
-    out["check_unique"] = lambda s, d: quality.schema_test_report(_models(s, d), ("unique",))
-    out["check_accepted"] = lambda s, d: quality.schema_test_report(_models(s, d), ("accepted_values",))
+    out["check_not_null"] = lambda s, d: quality.schema_test_report(build(s, d), ("not_null",))
+    out["check_unique"] = lambda s, d: quality.schema_test_report(build(s, d), ("unique",))
+    out["check_accepted"] = lambda s, d: quality.schema_test_report(build(s, d), ("accepted_values",))
     for qname, rule in (
         ("campaign_rule_violations", "campaign_rules"),
         ("activity_date_violations", "activity_date_consistency"),
@@ -85,8 +114,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ("journey_violations", "journey_rules"),
         ("feature_violations", "feature_rules"),
     ):
-        out[qname] = (lambda r: lambda s, d: quality.rule_report(_models(s, d), {r}))(rule)
-    out["feature_guard"] = lambda s, d: quality.feature_guard(_models(s, d).user_features)
+        out[qname] = (lambda r: lambda s, d: quality.rule_report(build(s, d), {r}))(rule)
+    out["feature_guard"] = lambda s, d: quality.feature_guard(build(s, d).user_features)
 
     # reports on the campaign mart
     reports = {
@@ -101,7 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for qname, fn in reports.items():
         out[qname] = (
             lambda n, f: lambda s, d: _rounded(
-                f(_models(s, d).mart_campaign_performance), oracle_queries.REPORT_ROUNDING.get(n, [])
+                f(build(s, d).mart_campaign_performance), oracle_queries.REPORT_ROUNDING.get(n, [])
             )
         )(qname, fn)
 
@@ -119,7 +148,7 @@ def _reference_eval(spark: SparkSession, sf_dir: str):
     (long form: one row per user and target)."""
     key = (id(spark), sf_dir)
     if key not in _EVAL:
-        feats = model.prepare_predictors(_models(spark, sf_dir).user_features)
+        feats = model.prepare_predictors(build(spark, sf_dir).user_features)
         split = model.split_chronologically(feats)
         scored = quality.union_all(*[model.category_rate_scores(split.frame, t) for t in TARGETS])
         # every evaluation query reads the scores several times: cut lineage once
@@ -214,7 +243,7 @@ _FITTED: dict[tuple[int, str], model.ModelOutputs] = {}
 def _fitted(spark: SparkSession, sf_dir: str) -> model.ModelOutputs:
     key = (id(spark), sf_dir)
     if key not in _FITTED:
-        _FITTED[key] = model.train_models(_models(spark, sf_dir).user_features)
+        _FITTED[key] = model.train_models(build(spark, sf_dir).user_features)
     return _FITTED[key]
 
 
@@ -243,7 +272,7 @@ def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     the raw activity with event_type tidied (lower/trim)."""
 
     def raw(s, d):
-        return _models(s, d).raw
+        return raw_sources(s, d)
 
     def tidy(s, d):
         return profile.tidy_event_types(raw(s, d)["user_activity"])

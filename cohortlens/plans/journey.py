@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import coalesce0, flag
 from ..operators.aggregates import first_event_summary
+from ..operators.filters import where_event
 from ..sources.schemas import ONBOARDING, SALE, TRIAL
 
 JOURNEY_COLUMNS = (
@@ -50,7 +51,7 @@ def user_outcomes(activity: DataFrame) -> DataFrame:
 def onboarding_events(activity: DataFrame) -> DataFrame:
     """Onboarding rows, not aggregated: a user with two onboarding rows gets
     two journey rows (the ``unique`` check on the journey reports it)."""
-    return activity.where(F.col("event_type") == F.lit(ONBOARDING)).select(
+    return where_event(activity, ONBOARDING).select(
         "user_id",
         F.col("event_at").alias("onboarding_at"),
         "attribution_date",

@@ -69,6 +69,7 @@ def split_chronologically(
     if train_end <= 0 or validation_end <= train_end or validation_end >= n:
         raise ValueError("There are not enough dates to create training, validation, and test periods.")
     v_start, t_start = dates[train_end], dates[validation_end]
+    # half-open periods [.., v_start), [v_start, t_start), [t_start, ..)
     split = (
         F.when(d.isNull(), F.lit(None).cast("string"))
         .when(d < F.lit(v_start), F.lit("training"))

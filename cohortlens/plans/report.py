@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent
+from ..operators.filters import by_sign
 from ..operators.sets import union_all
 from ..sources.schemas import (
     FACTOR_LABELS,
@@ -155,7 +156,7 @@ def factor_table(coefficients: DataFrame, references: DataFrame, k: int = 5) ->
     """Per target the ``k`` largest positive and ``k`` largest negative
     coefficients by absolute size, labelled, with the comparison group
     (the predictor's reference category)."""
-    signed = coefficients.where(F.col("coefficient") != 0).withColumn(
+    signed = union_all(by_sign(coefficients, True), by_sign(coefficients, False)).withColumn(
         "sign", F.when(F.col("coefficient") > 0, F.lit("positive")).otherwise(F.lit("negative"))
     )
     w = Window.partitionBy("target", "sign").orderBy(F.col("absolute_importance").desc(), F.col("feature"))
