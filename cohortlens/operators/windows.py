@@ -7,8 +7,36 @@ from pyspark.sql import functions as F
 
 
 def rank_events(df: DataFrame, key: str, order: list[Column], name: str = "rn") -> DataFrame:
-    """``row_number() over (partition by key order by ..)``."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    """``row_number() over (partition by key order by ..)`` without holding a
+    key's rows in one task.
+
+    The rows are sorted globally by (key, order..., input position): the
+    range partitioning behind ``orderBy`` samples the whole composite key, so
+    a key with a third of all rows spans many partitions. The sorted rows are
+    written once (reliable checkpoint) so that every later pass sees the same
+    order. A row's global position is its partition's offset (from one count
+    row per partition) plus its index in the partition; its number is that
+    position minus the first position of its key (a partial-aggregating
+    ``min`` per key, joined back, with AQE splitting a hot key's side).
+    Ties in ``order`` are numbered in an arbitrary but fixed order, as SQL
+    leaves them."""
+    from ..sources.sinks import reliable_checkpoint
+
+    cols = df.columns
+    tagged = df.withColumn("__in", F.monotonically_increasing_id())
+    ordered = tagged.orderBy(F.col(key).asc_nulls_first(), *order, F.col("__in"))
+    pos = reliable_checkpoint(ordered.withColumn("__mid", F.monotonically_increasing_id()))
+    pid = F.shiftright(F.col("__mid"), 33)
+    idx = F.col("__mid") - F.shiftleft(pid, 33)
+    pos = pos.select(*cols, pid.alias("__pid"), idx.alias("__idx"))
+    counts = pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    # one row per partition: a running sum over them is bounded work
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    placed = pos.join(F.broadcast(offsets), "__pid").select(*cols, (F.col("__off") + F.col("__idx")).alias("__g"))
+    first = placed.groupBy(key).agg(F.min("__g").alias("__first"))
+    joined = placed.join(first, placed[key].eqNullSafe(first[key])).drop(first[key])
+    return joined.select(*cols, (F.col("__g") - F.col("__first") + 1).cast("int").alias(name))
 
 
 def group_size(df: DataFrame, key: str, name: str = "group_size") -> DataFrame:

@@ -173,6 +173,7 @@ def factor_table(coefficients: DataFrame, references: DataFrame, k: int = 5) ->
         "factor_rank",
         "predictor",
         "category",
+        "feature",
         label.alias("factor_label"),
         "comparison_group",
         "coefficient",

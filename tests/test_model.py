@@ -151,3 +151,32 @@ def test_logistic_regression_matches_reference_objective(spark):
     fitted = model.fit_target(enc.transform(df), "y", len(rows))
     assert fitted.intercept == pytest.approx(w[0], abs=1e-5)
     assert fitted.coefficients.toArray() == pytest.approx(w[1:], abs=1e-5)
+
+
+def test_rank_events_hot_key_matches_window(spark):
+    from pyspark.sql import Window
+
+    from cohortlens.operators.windows import group_size, rank_events
+
+    rnd = random.Random(2)
+    rows = [("hot" if i % 3 else f"u{i % 17}", rnd.randint(0, 50), float(rnd.randint(0, 3))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(7)
+    got = rank_events(df, "k", [F.col("t"), F.col("v")], "rn")
+    w = Window.partitionBy("k").orderBy("t", "v")
+    want = df.withColumn("rn", F.row_number().over(w))
+    # numbers are a permutation 1..n per key, and agree with the window up to ties
+    key = lambda r: (r.k, r.t, r.v)
+    g = sorted((key(r), r.rn) for r in got.collect())
+    h = sorted((key(r), r.rn) for r in want.collect())
+    assert [x for x, _ in g] == [x for x, _ in h]
+    by_key = {}
+    for (k, t, v), rn in g:
+        by_key.setdefault(k, []).append(rn)
+    assert all(sorted(v) == list(range(1, len(v) + 1)) for v in by_key.values())
+    # same multiset of (row, number-range) per tie group
+    import itertools
+
+    for (_, a), (_, b) in zip(itertools.groupby(g, key=lambda x: x[0]), itertools.groupby(h, key=lambda x: x[0])):
+        assert sorted(x[1] for x in a) == sorted(x[1] for x in b)
+    sizes = {r.k: r.n for r in group_size(df, "k", "n").select("k", "n").distinct().collect()}
+    assert sizes["hot"] == 2000
