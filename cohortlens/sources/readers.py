@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .schemas import RAW_COLUMNS, RAW_SCHEMAS
+from .schemas import RAW_COLUMNS, RAW_SCHEMAS, RAW_TYPED_SCHEMAS
 
 
 def missing_columns(df: DataFrame, required) -> list[str]:
@@ -42,3 +43,11 @@ def load(spark: SparkSession, name: str, base: str | None = None, fmt: str = "pa
     if base is None:
         return spark.table(name)
     return spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}")
+
+
+def typed_raw(df: DataFrame, name: str) -> DataFrame:
+    """A raw source with its declared column types (dates, timestamps,
+    doubles), as a typing CSV reader would give them; a malformed value
+    raises (ANSI cast). Staging does its own casts; profiles read this."""
+    fields = {f.name: f.dataType for f in RAW_TYPED_SCHEMAS[name].fields}
+    return df.select(*[F.col(c).cast(fields[c]).alias(c) if c in fields else F.col(c) for c in df.columns])
