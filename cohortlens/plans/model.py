@@ -137,7 +137,7 @@ def fit_target(train: DataFrame, target: str, n_train: int, predictors=PREDICTOR
         standardization=False,
         fitIntercept=True,
         maxIter=1000,
-        tol=1e-10,
+        tol=1e-8,
     )
     return lr.fit(train.withColumn("label", F.col(target).cast("double")))
 
