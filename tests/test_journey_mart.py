@@ -3,6 +3,8 @@ orphans, spend alignment, null rates, zero division."""
 
 import datetime as dt
 
+import pytest
+
 from cohortlens.plans.build import Models
 from cohortlens.plans.campaign import portfolio
 from cohortlens.plans.report import decisions
@@ -116,3 +118,30 @@ def test_decisions_skip_nulls_and_break_ties(spark):
     assert d["weakest_efficiency"].campaign_id == "C001"
     assert "lowest_cost_per_trial" not in d  # no campaign has trials: every cost is null
     assert all(r.metric_value is not None for r in d.values())
+
+
+def test_hot_user_results_are_whole(spark):
+    """One user holds most rows (duplicate profiles and thousands of sales);
+    nothing is dropped or capped and the aggregates are exact."""
+    import random
+
+    rnd = random.Random(4)
+    act = [onboarding("hot", 1), onboarding("b", 1)]
+    revs = []
+    for i in range(3000):
+        r = float(rnd.randint(1, 500))
+        day = 2 + (i % 20)
+        act.append(event("hot", "sale", dt.datetime(2024, 1, day, i % 24, i % 60), r, 1))
+        revs.append((dt.datetime(2024, 1, day, i % 24, i % 60), r))
+    act.append(event("b", "start_trial", T(2), None, 1))
+    profiles = [("hot", "female", "US", "C001")] * 2000 + [("hot", None, "US", "C001")] * 500 + users("b")
+    m = models(spark, act, profiles, [(D1, "C001", 10.0)])
+    j = {r.user_id: r for r in m.fct_user_journey.collect()}
+    first = min(t for t, _ in revs)
+    assert j["hot"].sale_event_count == 3000
+    assert j["hot"].total_sale_revenue == pytest.approx(sum(r for _, r in revs))
+    assert j["hot"].initial_sale_revenue == pytest.approx(sum(r for t, r in revs if t == first))
+    assert j["hot"].gender == "female" and not j["hot"].has_gender_conflict
+    assert j["b"].started_trial == 1 and j["b"].made_sale == 0
+    mart = {r.campaign_id: r for r in m.mart_campaign_performance.collect()}
+    assert mart["C001"].attributed_users == 2 and mart["C001"].sale_users == 1
