@@ -16,7 +16,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -89,35 +89,78 @@ def prepare_predictors(df: DataFrame, predictors=PREDICTORS) -> DataFrame:
 
 @dataclass
 class Encoder:
-    """One-hot over sorted training categories; the first (alphabetical)
-    category of each predictor is the reference and gets no column; a value
-    unseen in training encodes as all zeros, like the reference."""
+    """One-hot encoding with the reference's conventions, built from Spark ML
+    stages so the feature vectors stay sparse (one active slot per
+    predictor, whatever the number of categories):
+
+    - ``StringIndexer`` orders each predictor's training categories
+      alphabetically *descending* and sends unseen values (and nulls) to an
+      extra index ``n``;
+    - ``least(index, n - 1)`` moves unseen values onto the alphabetically
+      first category's slot;
+    - ``OneHotEncoder(dropLast=True)`` drops that slot, so the first category
+      is the reference (all zeros), and an unseen value encodes like it;
+    - ``VectorAssembler`` concatenates the predictors.
+
+    Only the category labels reach the driver (bounded by the predictors'
+    cardinality, checked against ``MAX_CATEGORIES``)."""
 
     predictors: tuple
-    categories: dict = field(default_factory=dict)
+    labels: dict = field(default_factory=dict)  # predictor -> labels, descending
+    indexer: object = None
+    onehot: object = None
 
     @classmethod
     def fit(cls, train: DataFrame, predictors=PREDICTORS) -> Encoder:
-        pairs = train.select(
-            F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.col(p).alias("v")) for p in predictors])).alias("x")
-        ).select("x.p", "x.v").distinct()
-        rows = pairs.limit(MAX_CATEGORIES * len(predictors) + 1).collect()
-        if len(rows) > MAX_CATEGORIES * len(predictors):
+        from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+        predictors = tuple(predictors)
+        indexer = StringIndexer(
+            inputCols=list(predictors),
+            outputCols=[f"__{p}_idx" for p in predictors],
+            stringOrderType="alphabetDesc",
+            handleInvalid="keep",
+        ).fit(train)
+        labels = {p: list(ls) for p, ls in zip(predictors, indexer.labelsArray)}
+        if any(len(v) > MAX_CATEGORIES for v in labels.values()):
             raise ValueError("predictor cardinality too high for one-hot encoding")
-        cats: dict[str, list[str]] = {p: [] for p in predictors}
-        for r in rows:
-            cats[r.p].append(r.v)
-        return cls(tuple(predictors), {p: sorted(v) for p, v in cats.items()})
+        enc = cls(predictors, labels, indexer)
+        clipped = enc._clipped(train)
+        enc.onehot = OneHotEncoder(
+            inputCols=[f"__{p}_ref" for p in predictors],
+            outputCols=[f"__{p}_vec" for p in predictors],
+            dropLast=True,
+        ).fit(clipped)
+        return enc
+
+    def _clipped(self, df: DataFrame) -> DataFrame:
+        idx = self.indexer.transform(df)
+        return idx.withColumns(
+            {
+                f"__{p}_ref": F.least(F.col(f"__{p}_idx"), F.lit(float(len(self.labels[p]) - 1)))
+                for p in self.predictors
+            }
+        )
+
+    @property
+    def categories(self) -> dict:
+        """Training categories per predictor, ascending."""
+        return {p: sorted(v) for p, v in self.labels.items()}
 
     def reference(self, p: str) -> str:
-        return self.categories[p][0]
+        return self.labels[p][-1]  # alphabetically first
 
     def feature_names(self) -> list[tuple[str, str]]:
-        return [(p, c) for p in self.predictors for c in self.categories[p][1:]]
+        """(predictor, category) of each vector slot, in slot order."""
+        return [(p, c) for p in self.predictors for c in self.labels[p][:-1]]
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        cells = [F.when(F.col(p) == F.lit(c), F.lit(1.0)).otherwise(F.lit(0.0)) for p, c in self.feature_names()]
-        return df.withColumn(out, array_to_vector(F.array(*cells)))
+        from pyspark.ml.feature import VectorAssembler
+
+        vecs = self.onehot.transform(self._clipped(df))
+        assembled = VectorAssembler(inputCols=[f"__{p}_vec" for p in self.predictors], outputCol=out).transform(vecs)
+        helper = [f"__{p}_{k}" for p in self.predictors for k in ("idx", "ref", "vec")]
+        return assembled.drop(*helper)
 
 
 # ------------------------------------------------------------------- L3/L4

@@ -111,10 +111,17 @@ def test_encoder_reference_and_unseen(spark):
     train = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "x")], "p1 string, p2 string")
     enc = model.Encoder.fit(train, ("p1", "p2"))
     assert enc.reference("p1") == "a" and enc.reference("p2") == "x"
-    assert enc.feature_names() == [("p1", "b"), ("p1", "c"), ("p2", "y")]
-    test = spark.createDataFrame([("zz", "y"), ("a", "x")], "p1 string, p2 string")
-    vecs = [r.features.toArray().tolist() for r in enc.transform(test).collect()]
-    assert vecs == [[0.0, 0.0, 1.0], [0.0, 0.0, 0.0]]  # unseen == reference: all zeros
+    assert sorted(enc.feature_names()) == [("p1", "b"), ("p1", "c"), ("p2", "y")]
+    test = spark.createDataFrame([("zz", "y"), ("a", "x"), ("b", "x")], "p1 string, p2 string")
+    got = []
+    for r in enc.transform(test).collect():
+        v = r.features.toArray()
+        assert v.size == 3
+        got.append({enc.feature_names()[i] for i in range(3) if v[i] == 1.0})
+    assert got == [{("p2", "y")}, set(), {("p1", "b")}]  # unseen == reference: all zeros
+    many = spark.createDataFrame([(f"c{i:02d}", "x") for i in range(50)], "p1 string, p2 string")
+    wide = model.Encoder.fit(many, ("p1", "p2")).transform(many).first().features
+    assert type(wide).__name__ == "SparseVector" and wide.size == 49
 
 
 def _newton_logreg(X, y, iters=50):
