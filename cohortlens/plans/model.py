@@ -13,6 +13,7 @@ scalar metrics.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression
@@ -457,18 +458,23 @@ def train_models(features: DataFrame, targets=TARGETS, predictors=PREDICTORS) ->
     try:
         train = encoded.where(F.col("split") == "training")
         n_train = train.count()
-        records, coefs, refs, sweeps = [], [], [], []
-        for target in targets:
+
+        def one(target: str):
             model = fit_target(train, target, n_train, predictors)
             scored = score(model, encoded.withColumn("label", F.col(target).cast("int"))).persist()
             try:
                 record, sweep = evaluate(scored, target, split)
             finally:
                 scored.unpersist()
-            records.append(record)
-            sweeps.append(sweep)
-            coefs.append(coefficient_table(spark, model, encoder, target))
-            refs.append(reference_categories(spark, encoder, target))
+            return record, sweep, coefficient_table(spark, model, encoder, target), reference_categories(
+                spark, encoder, target
+            )
+
+        # the targets are independent: their jobs run side by side
+        with ThreadPoolExecutor(max_workers=len(targets)) as pool:
+            results = list(pool.map(one, targets))
+        records = [r[0] for r in results]
+        sweeps, coefs, refs = ([r[i] for r in results] for i in (1, 2, 3))
     finally:
         encoded.unpersist()
     metrics = spark.createDataFrame([tuple(r[c] for c in METRIC_COLUMNS) for r in records], METRICS_SCHEMA)
