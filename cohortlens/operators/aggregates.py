@@ -95,3 +95,19 @@ def null_counts_long(df: DataFrame, table: str) -> DataFrame:
     return wide.selectExpr(
         f"'{table}' AS table_name", f"stack({len(df.columns)}, {stack}) AS (column_name, null_count)"
     )
+
+
+def one_row_counts(spark, **frames: DataFrame) -> DataFrame:
+    """One row with the row count of each frame, as scalar subqueries
+    (``select (select count(*) from a) as a, ...``): no join of frames."""
+    return spark.range(1).select(*[df.select(F.count(F.lit(1))).scalar().alias(n) for n, df in frames.items()])
+
+
+def pivot_rank(ranked: DataFrame, key: str, rank_col: str, n: int, cols: list[str]) -> DataFrame:
+    """``max(case when rank = i then c end)`` for i in 1..n: the first ``n``
+    ranked rows of each key side by side (``{c}_{i}``), in one
+    partial-aggregating ``groupBy(key)``."""
+    r = F.col(rank_col)
+    return ranked.groupBy(key).agg(
+        *[F.max(F.when(r == i, F.col(c))).alias(f"{c}_{i}") for i in range(1, n + 1) for c in cols]
+    )

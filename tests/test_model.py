@@ -187,3 +187,19 @@ def test_rank_events_hot_key_matches_window(spark):
         assert sorted(x[1] for x in a) == sorted(x[1] for x in b)
     sizes = {r.k: r.n for r in group_size(df, "k", "n").select("k", "n").distinct().collect()}
     assert sizes["hot"] == 2000
+
+
+def test_one_row_counts_and_pivot_rank(spark):
+    from cohortlens.operators.aggregates import one_row_counts, pivot_rank
+    from cohortlens.operators.windows import rank_events
+
+    a = spark.range(5)
+    b = spark.range(3)
+    r = one_row_counts(spark, a=a, b=b).first()
+    assert (r.a, r.b) == (5, 3)
+    rows = [("u", 2, 10.0), ("u", 1, 20.0), ("v", 1, 5.0)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    ranked = rank_events(df, "k", [F.col("t")], "rn")
+    out = {x.k: x for x in pivot_rank(ranked, "k", "rn", 2, ["t", "v"]).collect()}
+    assert (out["u"].t_1, out["u"].v_1, out["u"].t_2, out["u"].v_2) == (1, 20.0, 2, 10.0)
+    assert out["v"].t_2 is None
