@@ -33,19 +33,28 @@ def value_weights(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("w"))
 
 
+def _count_below(c: Column, cuts: list, base: int = 0) -> Column:
+    """Number of ``cuts`` (sorted, distinct) strictly below ``c``, as a
+    balanced CASE tree: log2(len(cuts)) code-generated comparisons per row."""
+    if not cuts:
+        return F.lit(base)
+    mid = len(cuts) // 2
+    return F.when(c > F.lit(cuts[mid]), _count_below(c, cuts[mid + 1 :], base + mid + 1)).otherwise(
+        _count_below(c, cuts[:mid], base)
+    )
+
+
 def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
-    """Add the range number of ``col``: how many of the ``buckets - 1``
-    approximate quantile cut points of ``col`` lie strictly below it."""
+    """Add the range number of ``col``: how many of the (at most
+    ``buckets - 1``) approximate quantile cut points of ``col`` lie strictly
+    below it. The cut points come from ``percentile_approx`` (a bounded
+    sketch) and reach the driver as at most ``buckets - 1`` values."""
     if buckets <= 1:
         return df.withColumn(name, F.lit(0))
     fractions = [i / buckets for i in range(1, buckets)]
-    bounds = df.select(F.percentile_approx(col, fractions, APPROX_ACCURACY)).scalar()
-    # a subquery may not sit inside a higher-order function: the cut points
-    # are projected as a column first
-    keep = df.columns
-    return df.withColumn("__bounds", bounds).select(
-        *keep, F.size(F.filter("__bounds", lambda b: b < F.col(col))).alias(name)
-    )
+    cuts = df.select(F.percentile_approx(col, fractions, APPROX_ACCURACY).alias("b")).first().b or []
+    cuts = sorted(set(cuts))
+    return df.withColumn(name, _count_below(F.col(col), cuts))
 
 
 def ranked_ranges(vw: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
