@@ -33,14 +33,16 @@ def value_weights(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("w"))
 
 
-def _count_below(c: Column, cuts: list, base: int = 0) -> Column:
-    """Number of ``cuts`` (sorted, distinct) strictly below ``c``, as a
-    balanced CASE tree: log2(len(cuts)) code-generated comparisons per row."""
+def count_below(c: Column, cuts: list, strict: bool = True, base: int = 0) -> Column:
+    """Number of ``cuts`` (sorted, distinct) below ``c`` (``cut < c``, or
+    ``cut <= c`` when not ``strict``), as a balanced CASE tree:
+    log2(len(cuts)) code-generated comparisons per row. A null ``c`` gives 0."""
     if not cuts:
         return F.lit(base)
     mid = len(cuts) // 2
-    return F.when(c > F.lit(cuts[mid]), _count_below(c, cuts[mid + 1 :], base + mid + 1)).otherwise(
-        _count_below(c, cuts[:mid], base)
+    above = c > F.lit(cuts[mid]) if strict else c >= F.lit(cuts[mid])
+    return F.when(above, count_below(c, cuts[mid + 1 :], strict, base + mid + 1)).otherwise(
+        count_below(c, cuts[:mid], strict, base)
     )
 
 
@@ -54,7 +56,7 @@ def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
     fractions = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.percentile_approx(col, fractions, APPROX_ACCURACY).alias("b")).first().b or []
     cuts = sorted(set(cuts))
-    return df.withColumn(name, _count_below(F.col(col), cuts))
+    return df.withColumn(name, count_below(F.col(col), cuts))
 
 
 def ranked_ranges(vw: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import sized_broadcast
-from ..operators.quantiles import exact_median, prefix_sums
+from ..operators.quantiles import count_below, exact_median, prefix_sums
 from ..operators.sets import union_all
 from ..sources.sinks import reliable_checkpoint
 from ..sources.schemas import (
@@ -206,9 +206,8 @@ def threshold_metrics(scored: DataFrame, label: str = "label", score_col: str =
     threshold's counts by suffix sums over the buckets."""
     thresholds = sorted(thresholds or threshold_grid())
     m = len(thresholds)
-    grid = F.array(*[F.lit(float(t)) for t in thresholds])
     bucketed = scored.select(
-        F.size(F.filter(grid, lambda t: t <= F.col(score_col))).alias("bucket"), F.col(label).cast("long").alias("y")
+        count_below(F.col(score_col), thresholds, strict=False).alias("bucket"), F.col(label).cast("long").alias("y")
     )
     counts = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     spark = scored.sparkSession
