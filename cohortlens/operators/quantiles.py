@@ -33,17 +33,46 @@ def value_weights(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("w"))
 
 
-def count_below(c: Column, cuts: list, strict: bool = True, base: int = 0) -> Column:
+def _sql_literal(x) -> str | None:
+    if isinstance(x, bool):
+        return None
+    if isinstance(x, int):
+        return str(x)
+    if isinstance(x, float) and x == x and abs(x) != float("inf"):
+        return f"{x!r}D"  # shortest repr round-trips exactly
+    return None
+
+
+def _case_tree(ref: str, lits: list[str], op: str, base: int) -> str:
+    if not lits:
+        return str(base)
+    mid = len(lits) // 2
+    right = _case_tree(ref, lits[mid + 1 :], op, base + mid + 1)
+    left = _case_tree(ref, lits[:mid], op, base)
+    return f"CASE WHEN {ref} {op} {lits[mid]} THEN {right} ELSE {left} END"
+
+
+def count_below(c: str | Column, cuts: list, strict: bool = True) -> Column:
     """Number of ``cuts`` (sorted, distinct) below ``c`` (``cut < c``, or
     ``cut <= c`` when not ``strict``), as a balanced CASE tree:
-    log2(len(cuts)) code-generated comparisons per row. A null ``c`` gives 0."""
-    if not cuts:
-        return F.lit(base)
-    mid = len(cuts) // 2
-    above = c > F.lit(cuts[mid]) if strict else c >= F.lit(cuts[mid])
-    return F.when(above, count_below(c, cuts[mid + 1 :], strict, base + mid + 1)).otherwise(
-        count_below(c, cuts[:mid], strict, base)
-    )
+    log2(len(cuts)) code-generated comparisons per row. A null ``c`` gives 0.
+    For a column name and numeric cuts the tree is one SQL expression (one
+    parse instead of a call per node)."""
+    op = ">" if strict else ">="
+    lits = [_sql_literal(x) for x in cuts]
+    if isinstance(c, str) and all(v is not None for v in lits):
+        return F.expr(_case_tree(f"`{c}`", lits, op, 0))
+
+    col = F.col(c) if isinstance(c, str) else c
+
+    def tree(cs: list, base: int) -> Column:
+        if not cs:
+            return F.lit(base)
+        mid = len(cs) // 2
+        above = col > F.lit(cs[mid]) if strict else col >= F.lit(cs[mid])
+        return F.when(above, tree(cs[mid + 1 :], base + mid + 1)).otherwise(tree(cs[:mid], base))
+
+    return tree(list(cuts), 0)
 
 
 def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
@@ -56,7 +85,7 @@ def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
     fractions = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.percentile_approx(col, fractions, APPROX_ACCURACY).alias("b")).first().b or []
     cuts = sorted(set(cuts))
-    return df.withColumn(name, count_below(F.col(col), cuts))
+    return df.withColumn(name, count_below(col, cuts))
 
 
 def ranked_ranges(vw: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:

@@ -207,7 +207,7 @@ def threshold_metrics(scored: DataFrame, label: str = "label", score_col: str =
     thresholds = sorted(thresholds or threshold_grid())
     m = len(thresholds)
     bucketed = scored.select(
-        count_below(F.col(score_col), thresholds, strict=False).alias("bucket"), F.col(label).cast("long").alias("y")
+        count_below(score_col, thresholds, strict=False).alias("bucket"), F.col(label).cast("long").alias("y")
     )
     counts = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     spark = scored.sparkSession
