@@ -6,9 +6,11 @@ the order statistics at 0-based positions ``(n - 1) * p``) over all rows:
 1. values are collapsed to ``(v, w)`` (value, multiplicity) by a
    partial-aggregating ``groupBy``: a value held by a third of the rows
    becomes one row;
-2. the distinct values are cut into ``buckets`` ranges at approximate
-   quantiles of the distinct values (``percentile_approx``, a bounded
-   sketch), so every range holds about the same number of distinct values;
+2. the distinct values are cut into ranges at approximate quantiles of the
+   distinct values (``percentile_approx``, a bounded sketch), so every range
+   holds about the same number of distinct values; the number of ranges is
+   sized from the distinct count (about a million per range, one range for
+   small inputs);
 3. per-range row counts (one row per range) give each range's rank offset;
 4. only the ranges that contain a wanted rank are sorted, each in its own
    window partition, to read the exact values at those ranks.
@@ -26,6 +28,17 @@ from ..sources.sinks import reliable_checkpoint
 
 DEFAULT_BUCKETS = 256
 APPROX_ACCURACY = 10_000
+# distinct values per range when the number of ranges is sized from the data
+ROWS_PER_RANGE = 1_000_000
+# cap on ranges: keeps the cut points (driver) and the CASE tree small
+MAX_BUCKETS = 1024
+
+
+def buckets_for(distinct_rows: int) -> int:
+    """Ranges needed so that each holds about ``ROWS_PER_RANGE`` rows: one
+    range (a single window partition, bounded by the check) for small
+    inputs, proportionally more for large ones, at most ``MAX_BUCKETS``."""
+    return min(MAX_BUCKETS, max(1, -(-int(distinct_rows) // ROWS_PER_RANGE)))
 
 
 def value_weights(df: DataFrame, col: str) -> DataFrame:
@@ -124,13 +137,15 @@ def values_at_ranks(vw: DataFrame, ranks: Column, buckets: int = DEFAULT_BUCKETS
 
 
 def exact_quantiles(
-    df: DataFrame, col: str, probs: list[float], names: list[str] | None = None, buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, col: str, probs: list[float], names: list[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
     """One row: the exact interpolated quantile of ``col`` for each ``p``
-    (null when ``col`` has no non-null value)."""
+    (null when ``col`` has no non-null value). ``buckets`` defaults to a
+    number sized from the distinct values (``buckets_for``)."""
     names = names or [f"q{i}" for i in range(len(probs))]
-    # the (value, weight) table feeds four small passes: write it once
+    # the (value, weight) table feeds several small passes: write it once
     vw = reliable_checkpoint(value_weights(df, col))
+    buckets = buckets or buckets_for(vw.count())
     n = vw.select(F.sum("w")).scalar()
     pos = [(n - F.lit(1)) * F.lit(float(p)) for p in probs]
     lo = [F.floor(h) for h in pos]
@@ -148,15 +163,17 @@ def exact_median(df: DataFrame, col: str, name: str = "median") -> DataFrame:
     return exact_quantiles(df, col, [0.5], [name])
 
 
-def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int | None = None) -> DataFrame:
     """For a frame with one row per distinct ``order_col`` value, add
     ``{w}_before``: the sum of ``w`` over all rows with a smaller value.
 
     Rows are cut into ``buckets`` ordered ranges (approximate quantile cut
     points); one row per range gives the range offsets, and each range is
     then scanned in order in its own window partition. No task sees more
-    than one range."""
+    than one range. ``buckets`` defaults to a number sized from the row
+    count (``buckets_for``); pass a checkpointed frame."""
     keep = df.columns
+    buckets = buckets or buckets_for(df.count())
     with_b = with_bucket(df, order_col, buckets, "__bucket")
     totals = with_b.groupBy("__bucket").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
     by_bucket = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
