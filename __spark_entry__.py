@@ -31,9 +31,15 @@ from cohortlens.sources.sinks import reliable_checkpoint  # noqa: E402
 ROUND_DIGITS = oracle_queries.ROUND_DIGITS
 
 
-_RAW: dict[tuple[int, str], dict[str, DataFrame]] = {}
-_CACHE: dict[tuple[int, str], Models] = {}
-_BUILT: dict[tuple[int, str], Models] = {}
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Cache key: the running application (a new SparkContext never reuses
+    frames of a stopped one) and the data folder."""
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+
+
+_RAW: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_CACHE: dict[tuple[str, str], Models] = {}
+_BUILT: dict[tuple[str, str], Models] = {}
 
 
 def _folder(spark: SparkSession, sf_dir: str, what: str) -> str:
@@ -45,7 +51,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw sources, projected from the driver tables and written
     once per session (the reference's inputs are files too)."""
     tune(spark)
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _RAW:
         base = _folder(spark, sf_dir, "raw")
         _RAW[key] = {n: materialize(df, n, base) for n, df in fixtures.raw_sources(spark, sf_dir).items()}
@@ -55,7 +61,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def _models(spark: SparkSession, sf_dir: str) -> Models:
     """Model plans over the raw source tables (each model query runs its
     whole plan from the raw data)."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = Models(raw_sources(spark, sf_dir))
     return _CACHE[key]
@@ -64,7 +70,7 @@ def _models(spark: SparkSession, sf_dir: str) -> Models:
 def build(spark: SparkSession, sf_dir: str) -> Models:
     """Every model written as a table in dependency order, once per session;
     checks, reports, profiles of models and training read these tables."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _BUILT:
         _BUILT[key] = build_all(raw_sources(spark, sf_dir), base=_folder(spark, sf_dir, "models"))
     return _BUILT[key]
@@ -140,13 +146,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return out
 
 
-_EVAL: dict[tuple[int, str], tuple] = {}
+_EVAL: dict[tuple[str, str], tuple] = {}
 
 
 def _reference_eval(spark: SparkSession, sf_dir: str):
     """Date split of the feature table and the reference scorer's scores
     (long form: one row per user and target)."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _EVAL:
         feats = model.prepare_predictors(build(spark, sf_dir).user_features)
         split = model.split_chronologically(feats)
@@ -237,11 +243,11 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
     }
 
 
-_FITTED: dict[tuple[int, str], model.ModelOutputs] = {}
+_FITTED: dict[tuple[str, str], model.ModelOutputs] = {}
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> model.ModelOutputs:
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _FITTED:
         _FITTED[key] = model.train_models(build(spark, sf_dir).user_features)
     return _FITTED[key]

@@ -61,7 +61,8 @@ def split_chronologically(
     up to ``int(n * (train_share + validation_share))`` validate, the rest
     test. Only the distinct dates (calendar days) reach the driver."""
     d = F.to_date(F.col(date_col))
-    dates = [r[0] for r in df.select(d.alias("d")).where(F.col("d").isNotNull()).distinct().orderBy("d").limit(MAX_DATES + 1).collect()]
+    distinct_dates = df.select(d.alias("d")).where(F.col("d").isNotNull()).distinct().orderBy("d")
+    dates = [r[0] for r in distinct_dates.limit(MAX_DATES + 1).collect()]
     if len(dates) > MAX_DATES:
         raise ValueError("too many distinct dates for a date split")
     n = len(dates)
