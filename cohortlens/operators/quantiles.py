@@ -49,6 +49,8 @@ def value_weights(df: DataFrame, col: str) -> DataFrame:
 def _sql_literal(x) -> str | None:
     if isinstance(x, bool):
         return None
+    if isinstance(x, str):
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(x, int):
         return str(x)
     if isinstance(x, float) and x == x and abs(x) != float("inf"):

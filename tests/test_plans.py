@@ -44,8 +44,8 @@ def test_core_model_plans(static, scratch):
     dim = _plan(Models(raw).stg_dim_user)
     assert "Expand" not in dim  # no count(distinct) rewrite
     assert _count(dim, "Exchange") == 1  # one groupBy(user_id), combined map-side
-    # partial + final (string min/max buffers are variable-length: sort-based)
-    assert _count(dim, "SortAggregate") + _count(dim, "HashAggregate") == 2
+    # rank-encoded attributes: hash aggregation, partial + final
+    assert _count(dim, "HashAggregate") == 2 and _count(dim, "SortAggregate") == 0
 
     staged = {n: built.get(n) for n in ("stg_user_activity", "stg_dim_user")}
     journey = _plan(Models(raw, staged).fct_user_journey)

@@ -86,3 +86,23 @@ def test_activity_normalisation_and_key_excludes_dt(spark):
     text = "-".join(["7", "start_trial", "2024-01-01 10:00:00.5", "_dbt_utils_surrogate_key_null_", "2024-01-01",
                      "unknown", "_dbt_utils_surrogate_key_null_"])
     assert trial.activity_id == hashlib.md5(text.encode()).hexdigest()
+
+
+def test_rank_encoded_resolver_equals_string_path(spark):
+    import random
+
+    from cohortlens.operators.resolve import Resolution, resolve
+
+    rnd = random.Random(9)
+    domain = ["a", "b", "O'Brien", "back\\slash", "é", "", "unknown", "Z", "zz", None]
+    rows = [(f"u{rnd.randint(0, 60)}", rnd.choice(domain), rnd.choice(domain)) for _ in range(600)]
+    df = spark.createDataFrame(rows, "k string, x string, y string")
+    rules = [
+        Resolution("x", ignore="unknown", on_conflict="unknown", conflict_flag="x_conflict"),
+        Resolution("y", ignore=None, on_conflict=None, conflict_flag="y_conflict"),
+    ]
+    fast = sorted(tuple(r) for r in resolve(df, "k", rules).collect())
+    slow = sorted(tuple(r) for r in resolve(df, "k", rules, dictionary_limit=0).collect())
+    assert fast == slow
+    # over the limit: falls back to the string path, same result
+    assert sorted(tuple(r) for r in resolve(df, "k", rules, dictionary_limit=3).collect()) == slow
