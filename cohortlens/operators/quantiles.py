@@ -21,6 +21,8 @@ value into the one task that finishes a global aggregate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,39 +105,19 @@ def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
     return df.withColumn(name, count_below(col, cuts))
 
 
-def ranked_ranges(vw: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``(bucket, v, w, offset, bucket_rows)``: ``bucket`` is monotone in
-    ``v``; ``offset`` is the number of rows in lower buckets."""
-    with_b = with_bucket(vw.select("v", "w"), "v", buckets, "bucket")
-    totals = with_b.groupBy("bucket").agg(F.sum("w").alias("bucket_rows"))
-    # at most `buckets` rows: the running sum over them is bounded work
-    offsets = totals.select(
-        "bucket",
-        (F.sum("bucket_rows").over(Window.orderBy("bucket")) - F.col("bucket_rows")).alias("offset"),
-        "bucket_rows",
-    )
-    return with_b.join(F.broadcast(offsets), "bucket")
-
-
-def values_at_ranks(vw: DataFrame, ranks: Column, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``(k, v)``: the value at each 0-based rank in the array ``ranks``."""
-    ranged = ranked_ranges(vw, buckets)
-    spans = ranged.select("bucket", "offset", "bucket_rows").distinct().withColumn("__ranks", ranks)
-    hit = spans.select(
-        "bucket",
-        F.explode(
-            F.filter("__ranks", lambda k: (k >= F.col("offset")) & (k < F.col("offset") + F.col("bucket_rows")))
-        ).alias("k"),
-    ).distinct()
-    local = ranged.join(F.broadcast(hit.select("bucket").distinct()), "bucket")
-    w_in = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = local.withColumn("end", F.col("offset") + F.sum("w").over(w_in))  # exclusive
-    local = local.withColumn("start", F.col("end") - F.col("w"))
-    return (
-        local.join(F.broadcast(hit), "bucket")
-        .where((F.col("k") >= F.col("start")) & (F.col("k") < F.col("end")))
-        .select("k", "v")
-    )
+def range_rows(with_b: DataFrame, bucket: str, weights: list[str]) -> dict[int, tuple]:
+    """Per range, the summed weights: one row per range (at most
+    ``MAX_BUCKETS``) reaches the driver."""
+    rows = with_b.groupBy(bucket).agg(*[F.sum(w).alias(w) for w in weights]).collect()
+    return {r[bucket]: tuple(r[w] or 0 for w in weights) for r in rows}
+
+
+def offsets_column(bucket: Column, offsets: dict[int, int]) -> Column:
+    """The offset of each row's range, from a literal array indexed by range
+    number (no join)."""
+    top = max(offsets) if offsets else 0
+    arr = F.array(*[F.lit(int(offsets.get(b, 0))) for b in range(top + 1)])
+    return F.element_at(arr, (bucket + 1).cast("int"))
 
 
 def exact_quantiles(
@@ -144,21 +126,38 @@ def exact_quantiles(
     """One row: the exact interpolated quantile of ``col`` for each ``p``
     (null when ``col`` has no non-null value). ``buckets`` defaults to a
     number sized from the distinct values (``buckets_for``)."""
+    spark = df.sparkSession
     names = names or [f"q{i}" for i in range(len(probs))]
+    schema = ", ".join(f"`{n}` double" for n in names)
     # the (value, weight) table feeds several small passes: write it once
     vw = reliable_checkpoint(value_weights(df, col))
     buckets = buckets or buckets_for(vw.count())
-    n = vw.select(F.sum("w")).scalar()
-    pos = [(n - F.lit(1)) * F.lit(float(p)) for p in probs]
-    lo = [F.floor(h) for h in pos]
-    hi = [F.ceil(h) for h in pos]
-    at = values_at_ranks(vw, F.array(*lo, *hi), buckets)
-    aggs = []
-    for i, name in enumerate(names):
-        v_lo = F.max(F.when(F.col("k") == lo[i], F.col("v")))
-        v_hi = F.max(F.when(F.col("k") == hi[i], F.col("v")))
-        aggs.append((v_lo + (pos[i] - lo[i]) * (v_hi - v_lo)).cast("double").alias(name))
-    return at.agg(*aggs)
+    with_b = with_bucket(vw, "v", buckets, "bucket")
+    rows = {b: t[0] for b, t in range_rows(with_b, "bucket", ["w"]).items()}
+    n = sum(rows.values())
+    if n == 0:
+        return spark.createDataFrame([tuple(None for _ in names)], schema)
+    offsets, run = {}, 0
+    for b in sorted(rows):
+        offsets[b], run = run, run + rows[b]
+    pos = [(n - 1) * float(p) for p in probs]
+    ranks = sorted({math.floor(h) for h in pos} | {math.ceil(h) for h in pos})
+    hit = sorted({b for k in ranks for b in rows if offsets[b] <= k < offsets[b] + rows[b]})
+    # sort only the ranges holding a wanted rank, each in its own partition
+    local = with_b.where(F.col("bucket").isin(hit))
+    w_in = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = offsets_column(F.col("bucket"), offsets) + F.sum("w").over(w_in)  # exclusive
+    local = local.select("v", "w", end.alias("end")).withColumn("start", F.col("end") - F.col("w"))
+    wanted = F.array(*[F.lit(int(k)) for k in ranks])
+    at = local.select(
+        "v", F.explode(F.filter(wanted, lambda k: (k >= F.col("start")) & (k < F.col("end")))).alias("k")
+    )
+    value = {r.k: r.v for r in at.collect()}  # at most 2 rows per probability
+    out = []
+    for h in pos:
+        lo, hi = math.floor(h), math.ceil(h)
+        out.append(float(value[lo] + (h - lo) * (value[hi] - value[lo])))
+    return spark.createDataFrame([tuple(out)], schema)
 
 
 def exact_median(df: DataFrame, col: str, name: str = "median") -> DataFrame:
@@ -169,22 +168,29 @@ def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int
     """For a frame with one row per distinct ``order_col`` value, add
     ``{w}_before``: the sum of ``w`` over all rows with a smaller value.
 
-    Rows are cut into ``buckets`` ordered ranges (approximate quantile cut
-    points); one row per range gives the range offsets, and each range is
-    then scanned in order in its own window partition. No task sees more
-    than one range. ``buckets`` defaults to a number sized from the row
-    count (``buckets_for``); pass a checkpointed frame."""
+    Rows are cut into ordered ranges (approximate quantile cut points); one
+    row per range gives the range offsets (to the driver, then a literal
+    array lookup), and each range is scanned in order in its own window
+    partition. No task sees more than one range. ``buckets`` defaults to a
+    number sized from the row count (``buckets_for``); pass a checkpointed
+    frame."""
     keep = df.columns
     buckets = buckets or buckets_for(df.count())
     with_b = with_bucket(df, order_col, buckets, "__bucket")
-    totals = with_b.groupBy("__bucket").agg(*[F.sum(w).alias(f"__t_{w}") for w in weights])
-    by_bucket = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "__bucket", *[F.coalesce(F.sum(f"__t_{w}").over(by_bucket), F.lit(0)).alias(f"__o_{w}") for w in weights]
-    )
+    totals = range_rows(with_b, "__bucket", weights)
+    offs = []
+    for i in range(len(weights)):
+        run, o = 0, {}
+        for b in sorted(totals):
+            o[b], run = run, run + totals[b][i]
+        offs.append(o)
     inside = Window.partitionBy("__bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = with_b.join(F.broadcast(offsets), "__bucket")
-    return out.select(
+    return with_b.select(
         *keep,
-        *[(F.col(f"__o_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_before") for w in weights],
+        *[
+            (offsets_column(F.col("__bucket"), offs[i]) + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(
+                f"{w}_before"
+            )
+            for i, w in enumerate(weights)
+        ],
     )

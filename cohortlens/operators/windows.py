@@ -17,10 +17,13 @@ def rank_events(df: DataFrame, key: str, order: list[Column], name: str = "rn")
     order. A row's global position is its partition's offset (from one count
     row per partition) plus its index in the partition; its number is that
     position minus the first position of its key (a partial-aggregating
-    ``min`` per key, joined back, with AQE splitting a hot key's side).
+    ``min`` per key, joined back, with AQE splitting a hot key's side). The
+    partition offsets come from one count row per partition, looked up from
+    a literal array.
     Ties in ``order`` are numbered in an arbitrary but fixed order, as SQL
     leaves them."""
     from ..sources.sinks import reliable_checkpoint
+    from .quantiles import offsets_column, range_rows
 
     cols = df.columns
     tagged = df.withColumn("__in", F.monotonically_increasing_id())
@@ -29,11 +32,12 @@ def rank_events(df: DataFrame, key: str, order: list[Column], name: str = "rn")
     pid = F.shiftright(F.col("__mid"), 33)
     idx = F.col("__mid") - F.shiftleft(pid, 33)
     pos = pos.select(*cols, pid.alias("__pid"), idx.alias("__idx"))
-    counts = pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: a running sum over them is bounded work
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    placed = pos.join(F.broadcast(offsets), "__pid").select(*cols, (F.col("__off") + F.col("__idx")).alias("__g"))
+    # one count row per partition reaches the driver; offsets enter as a literal array
+    counts = {pid: t[0] for pid, t in range_rows(pos.withColumn("__one", F.lit(1)), "__pid", ["__one"]).items()}
+    offsets, run = {}, 0
+    for pid in sorted(counts):
+        offsets[pid], run = run, run + counts[pid]
+    placed = pos.select(*cols, (offsets_column(F.col("__pid"), offsets) + F.col("__idx")).alias("__g"))
     first = placed.groupBy(key).agg(F.min("__g").alias("__first"))
     joined = placed.join(first, placed[key].eqNullSafe(first[key])).drop(first[key])
     return joined.select(*cols, (F.col("__g") - F.col("__first") + 1).cast("int").alias(name))
