@@ -1 +1 @@
-"""cohortlens package."""
+"""Column expressions built from Spark built-ins."""

@@ -1 +1 @@
-"""cohortlens package."""
+"""Reusable DataFrame operators: conflict resolution, aggregations, joins, filters, windows, order statistics."""

@@ -1 +1 @@
-"""cohortlens package."""
+"""The data products and their checks, profiles, model training and report frames."""

@@ -1 +1 @@
-"""cohortlens package."""
+"""Raw source contracts, readers, sinks and the fixture projection from the driver tables."""
