@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import sized_broadcast
+from ..operators.resolve import distinct_values
 from ..operators.quantiles import count_below, exact_median, prefix_sums
 from ..operators.sets import union_all
 from ..sources.sinks import reliable_checkpoint
@@ -117,6 +118,9 @@ class Encoder:
         from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
         predictors = tuple(predictors)
+        # the indexer brings every label to the driver: check the cardinality first
+        if distinct_values(train, list(predictors), MAX_CATEGORIES) is None:
+            raise ValueError("predictor cardinality too high for one-hot encoding")
         indexer = StringIndexer(
             inputCols=list(predictors),
             outputCols=[f"__{p}_idx" for p in predictors],
@@ -124,8 +128,6 @@ class Encoder:
             handleInvalid="keep",
         ).fit(train)
         labels = {p: list(ls) for p, ls in zip(predictors, indexer.labelsArray)}
-        if any(len(v) > MAX_CATEGORIES for v in labels.values()):
-            raise ValueError("predictor cardinality too high for one-hot encoding")
         enc = cls(predictors, labels, indexer)
         clipped = enc._clipped(train)
         enc.onehot = OneHotEncoder(
