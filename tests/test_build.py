@@ -57,3 +57,14 @@ def test_csv_sources_round_trip(spark, scratch):
     b = Models(raw).mart_campaign_performance.select("campaign_id", "attributed_users", "sale_users")
     assert sorted(a.collect()) == sorted(b.collect())
     assert Models(from_csv).fct_user_journey.where(F.col("onboarding_at").isNull()).count() == 0
+
+
+def test_write_outputs_to_catalog(spark):
+    from cohortlens.sources.sinks import register_views, write_outputs
+
+    a = spark.createDataFrame([("started_trial", 0.5)], "target string, roc_auc double")
+    write_outputs({"model_metrics": a}, database="model_output_t")
+    write_outputs({"model_metrics": a.union(a)}, database="model_output_t")  # replaced, not appended
+    assert spark.table("model_output_t.model_metrics").count() == 2
+    register_views({"mm": spark.table("model_output_t.model_metrics")})
+    assert spark.sql("SELECT count(*) AS n FROM mm").first().n == 2
