@@ -4,6 +4,14 @@
 ``queries()`` maps every implemented operator to a callable
 ``(spark, sf_dir) -> DataFrame``; ``oracle_sql()`` gives the DuckDB SQL
 for the same result over the driver views.
+
+As in the reference, raw sources are files and models are tables: the four
+raw sources are projected from the driver tables and written once per
+application and folder (``raw_sources``). Model queries run their whole plan
+from those raw tables. Checks, reports, model training and evaluation read
+the models written once by ``build`` (the reference's built tables).
+Profiles read the raw tables. Every query's work grows with the driver
+tables.
 """
 
 from __future__ import annotations
@@ -21,12 +29,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from cohortlens.operators.windows import group_size, rank_events  # noqa: E402
 from cohortlens.plans import campaign, model, profile, quality, report  # noqa: E402
-from cohortlens.sources.schemas import TARGETS  # noqa: E402
 from cohortlens.plans.build import Models, build_all  # noqa: E402
-from cohortlens.sources import fixtures  # noqa: E402
-from cohortlens.sources.sinks import checkpoint_base, materialize  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
-from cohortlens.sources.sinks import reliable_checkpoint  # noqa: E402
+from cohortlens.sources import fixtures  # noqa: E402
+from cohortlens.sources.schemas import TARGETS  # noqa: E402
+from cohortlens.sources.sinks import checkpoint_base, materialize, reliable_checkpoint  # noqa: E402
 
 ROUND_DIGITS = oracle_queries.ROUND_DIGITS
 
