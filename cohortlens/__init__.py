@@ -1,4 +1,4 @@
-"""cohortlens: subscription-marketing analytics as Spark DataFrame jobs.
+"""cohortlens: marketing-funnel analytics as Spark DataFrame jobs.
 
 Subpackages: ``sources`` (contracts, readers, sinks, fixture projection),
 ``functions`` (column expressions), ``operators`` (reusable aggregations,
