@@ -77,7 +77,7 @@ def build(spark, args) -> None:
         if any(t.model == name for t in quality.SCHEMA_TESTS):
             quality.gate(quality.schema_test_report(models, names={name}))
 
-    build_all(raw, base=os.path.join(args.out, "models"), checks=check)
+    build_all(raw, base=os.path.join(args.out, "models"), checks=check, user_buckets=args.user_buckets)
 
 
 def test(spark, args) -> int:
@@ -129,6 +129,8 @@ def main(argv=None) -> int:
     ap.add_argument("--raw", help="folder with the raw sources")
     ap.add_argument("--fmt", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--user-buckets", type=int, default=None,
+                    help="build: bucket the user-keyed staging tables by user_id (co-partitioned journey)")
     args = ap.parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"cohortlens-{args.step}").getOrCreate())
     step = {"explore": explore, "build": build, "test": test, "train": train, "report": app}[args.step]

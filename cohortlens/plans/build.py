@@ -90,14 +90,25 @@ class Models:
         return getattr(self, name)
 
 
-def build_all(raw: dict[str, DataFrame], base: str | None = None, checks=None) -> Models:
+# user-keyed models: bucketed alike, the journey reads them co-partitioned
+USER_KEYED = ("stg_user_activity", "stg_dim_user")
+
+
+def build_all(raw: dict[str, DataFrame], base: str | None = None, checks=None,
+              user_buckets: int | None = None) -> Models:
     """Materialise every model in dependency order; each model is planned
     over the already-written tables. ``checks(models, name)`` may raise to
-    stop publication of anything downstream of a failing model."""
+    stop publication of anything downstream of a failing model.
+
+    With ``user_buckets``, the user-keyed staging tables are written bucketed
+    by ``user_id`` into that many buckets, so the journey's aggregations and
+    joins read them co-partitioned, with no exchange (size the count so a
+    bucket is a few hundred MB)."""
     written: dict[str, DataFrame] = {}
     for name in MODEL_ORDER:
         plan = Models(raw, written).get(name)
-        written[name] = materialize(plan, name, base)
+        bucket_by = ("user_id", user_buckets) if user_buckets and name in USER_KEYED else None
+        written[name] = materialize(plan, name, base, bucket_by=bucket_by)
         if checks is not None:
             checks(Models(raw, written), name)
     return Models(raw, written)

@@ -6,6 +6,7 @@ survives the loss of any executor, unlike cached blocks.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 
@@ -37,14 +38,37 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, name: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
+def materialize(
+    df: DataFrame,
+    name: str,
+    base: str | None = None,
+    fmt: str = "parquet",
+    bucket_by: tuple[str, int] | None = None,
+) -> DataFrame:
     """Write ``df`` to ``{base}/{name}`` (default: under the checkpoint dir)
-    and return a fresh scan of it, so downstream plans start from the table."""
+    and return a fresh scan of it, so downstream plans start from the table.
+
+    ``bucket_by=(column, n)`` writes an external table bucketed by ``column``
+    into ``n`` buckets (one file per bucket after one shuffle on the key).
+    Tables bucketed alike on the same key are then read co-partitioned:
+    aggregations and joins on that key need no exchange."""
     spark = df.sparkSession
     base = (base or os.path.join(checkpoint_base(spark), "tables")).rstrip("/")
     path = f"{base}/{name}"
-    df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    if bucket_by is None:
+        df.write.mode("overwrite").format(fmt).save(path)
+        return spark.read.format(fmt).load(path)
+    col, n = bucket_by
+    table = f"{name}_{hashlib.md5(path.encode()).hexdigest()[:10]}"
+    (
+        df.repartition(n, col)
+        .write.mode("overwrite")
+        .format(fmt)
+        .bucketBy(n, col)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
 
 
 def write_table(df: DataFrame, name: str, database: str | None = None) -> None:

@@ -62,3 +62,14 @@ def test_core_model_plans(static, scratch):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", mart)
     journey_scan = [s for s in schemas if "started_trial" in s][0]
     assert "user_id" not in journey_scan and "gender" not in journey_scan  # column pruning
+
+
+def test_journey_over_bucketed_tables_has_no_exchange(static, scratch):
+    raw = {n: materialize(df, n, os.path.join(scratch, "raw")) for n, df in fixtures.raw_sources(static, SF).items()}
+    built = build_all(raw, base=os.path.join(scratch, "bucketed"), user_buckets=4)
+    staged = {n: built.get(n) for n in ("stg_user_activity", "stg_dim_user")}
+    journey = Models(raw, staged).fct_user_journey
+    plan = _plan(journey)
+    assert _count(plan, "Exchange") == 0  # aggregations and joins read co-partitioned buckets
+    assert _count(plan, "SortMergeJoin") == 2
+    assert journey.count() == 200
