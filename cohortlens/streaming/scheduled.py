@@ -40,7 +40,7 @@ def ingest_new_files(spark: SparkSession, landing: str, name: str, raw_tables: s
     return target
 
 
-def scheduled_refresh(spark: SparkSession, landing: str, warehouse: str) -> Models:
+def scheduled_refresh(spark: SparkSession, landing: str, warehouse: str, user_buckets: int | None = None) -> Models:
     """One scheduled run: ingest new files of all four sources, rebuild all
     models as tables under ``{warehouse}/models``, and raise if any check
     fails (nothing downstream of a failing model is published)."""
@@ -55,4 +55,4 @@ def scheduled_refresh(spark: SparkSession, landing: str, warehouse: str) -> Mode
         if any(t.model == name for t in quality.SCHEMA_TESTS):
             quality.gate(quality.schema_test_report(models, names={name}))
 
-    return build_all(raw, base=os.path.join(warehouse, "models"), checks=check)
+    return build_all(raw, base=os.path.join(warehouse, "models"), checks=check, user_buckets=user_buckets)

@@ -17,7 +17,7 @@ def test_cli_steps(spark, scratch):
         df.coalesce(1).write.option("header", True).csv(os.path.join(raw_dir, f"{name}.csv"))
     out = os.path.join(scratch, "out")
     assert main(["explore", "--raw", raw_dir, "--out", out]) == 0
-    assert main(["build", "--raw", raw_dir, "--out", out]) == 0
+    assert main(["build", "--raw", raw_dir, "--out", out, "--user-buckets", "4"]) == 0
     assert main(["test", "--raw", raw_dir, "--out", out]) == 0
     assert main(["train", "--out", out]) == 0
     assert main(["report", "--out", out]) == 0
