@@ -24,7 +24,7 @@ from .plans.build import MODEL_ORDER, Models, build_all
 from .plans.campaign import portfolio
 from .session import tune
 from .sources.readers import load, read_raw_sources, typed_raw
-from .sources.sinks import write_outputs
+from .sources.sinks import materialize, write_outputs
 
 
 def _write(df, out: str, group: str, name: str) -> None:
@@ -37,7 +37,11 @@ def _built(spark, out: str) -> Models:
 
 
 def explore(spark, args) -> None:
-    raw = {n: typed_raw(df, n) for n, df in read_raw_sources(spark, args.raw, args.fmt).items()}
+    # about twenty profiles read the sources: parse (CSV) once, profile columnar copies
+    raw = {
+        n: materialize(typed_raw(df, n), n, os.path.join(args.out, "raw_typed"))
+        for n, df in read_raw_sources(spark, args.raw, args.fmt).items()
+    }
     act = profile.tidy_event_types(raw["user_activity"])
     frames = {
         "rows": profile.profile_rows(raw),
