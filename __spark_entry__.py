@@ -50,7 +50,9 @@ _BUILT: dict[tuple[str, str], Models] = {}
 
 
 def _folder(spark: SparkSession, sf_dir: str, what: str) -> str:
-    tag = hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    """Per application and data folder: concurrent applications never write
+    over each other's tables."""
+    tag = hashlib.md5("|".join(_key(spark, sf_dir)).encode()).hexdigest()[:12]
     return os.path.join(checkpoint_base(spark), f"{what}-{tag}")
 
 
