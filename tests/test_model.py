@@ -203,3 +203,26 @@ def test_one_row_counts_and_pivot_rank(spark):
     out = {x.k: x for x in pivot_rank(ranked, "k", "rn", 2, ["t", "v"]).collect()}
     assert (out["u"].t_1, out["u"].v_1, out["u"].t_2, out["u"].v_2) == (1, 20.0, 2, 10.0)
     assert out["v"].t_2 is None
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "string"])
+def test_count_below_brute_force(spark, kind):
+    from cohortlens.operators.quantiles import count_below
+
+    rnd = random.Random(kind)
+    if kind == "double":
+        cuts = sorted({round(rnd.uniform(-5, 5), 3) for _ in range(40)})
+        vals = [round(rnd.uniform(-6, 6), 3) for _ in range(300)] + cuts[:5] + [None]
+    elif kind == "bigint":
+        cuts = sorted({rnd.randint(-100, 100) for _ in range(33)})
+        vals = [rnd.randint(-120, 120) for _ in range(300)] + [None]
+    else:
+        pool = ["a", "b", "O'Brien", "back\\\\slash", "é", "", "zz", "Z", "m n", "x'y\\\\z"]
+        cuts = sorted(set(pool[:7]))
+        vals = pool + [None]
+    df = spark.createDataFrame([(v,) for v in vals], f"x {kind}")
+    for strict in (True, False):
+        got = [r.n for r in df.select(count_below("x", cuts, strict).alias("n"), "x").orderBy("x").collect()]
+        rows = sorted(vals, key=lambda v: (v is not None, v))
+        want = [0 if v is None else sum(1 for c in cuts if (c < v if strict else c <= v)) for v in rows]
+        assert got == want
