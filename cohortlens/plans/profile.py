@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, flag, sum_flag
-from ..operators.aggregates import null_counts_long
+from ..operators.aggregates import null_counts_long, one_row_counts
 from ..operators.joins import orphans
 from ..operators.quantiles import exact_quantiles
 from ..operators.sets import union_all
@@ -291,10 +291,8 @@ def profile_code_overlap(dim_user: DataFrame, activity: DataFrame, code: str = "
     a = dim_user.where(F.col(col) == F.lit(code)).select(key).distinct()
     b = activity.where(F.col(col) == F.lit(code)).select(key).distinct()
     shared = a.join(b, key, "inner")
-    return dim_user.sparkSession.range(1).select(
-        a.select(F.count(F.lit(1))).scalar().alias("dim_user_c999_users"),
-        b.select(F.count(F.lit(1))).scalar().alias("activity_c999_users"),
-        shared.select(F.count(F.lit(1))).scalar().alias("shared_c999_users"),
+    return one_row_counts(
+        dim_user.sparkSession, dim_user_c999_users=a, activity_c999_users=b, shared_c999_users=shared
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag
+from ..operators.aggregates import one_row_counts
 from ..operators.sets import union_all
 from ..sources.readers import missing_columns
 from ..sources.schemas import (
@@ -307,10 +308,7 @@ def feature_violations(features: DataFrame, journey: DataFrame) -> DataFrame:
         .where((F.col("f_trial") != F.col("j_trial")) | (F.col("f_sale") != F.col("j_sale")))
         .select(F.lit("target_mismatch").alias("issue_type"), "user_id")
     )
-    counts = features.sparkSession.range(1).select(
-        features.select(F.count(F.lit(1))).scalar().alias("feature_row_count"),
-        journey.select(F.count(F.lit(1))).scalar().alias("journey_row_count"),
-    )
+    counts = one_row_counts(features.sparkSession, feature_row_count=features, journey_row_count=journey)
     count_issue = counts.where(F.col("feature_row_count") != F.col("journey_row_count")).select(
         F.lit("row_count_mismatch").alias("issue_type"), F.lit(None).cast("string").alias("user_id")
     )
