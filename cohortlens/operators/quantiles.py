@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import reliable_checkpoint
 
-DEFAULT_BUCKETS = 256
 APPROX_ACCURACY = 10_000
 # distinct values per range when the number of ranges is sized from the data
 ROWS_PER_RANGE = 1_000_000

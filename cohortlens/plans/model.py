@@ -37,7 +37,6 @@ from ..sources.schemas import (
 from .quality import validate_features, validate_splits
 
 MODEL_NAME = "logistic_regression"
-SPLITS = ("training", "validation", "test")
 MAX_CATEGORIES = 10_000
 MAX_DATES = 1_000_000
 
