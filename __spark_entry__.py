@@ -320,6 +320,13 @@ def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "profile_revenue_population": lambda s, d: profile.profile_revenue_population(tidy(s, d)),
         "profile_missing_onboarding": lambda s, d: profile.profile_missing_onboarding(tidy(s, d)),
+        # the same two profiles on the untouched raw event types, as the reference reads them
+        "profile_revenue_population_raw": lambda s, d: profile.profile_revenue_population(
+            raw(s, d)["user_activity"]
+        ),
+        "profile_missing_onboarding_raw": lambda s, d: profile.profile_missing_onboarding(
+            raw(s, d)["user_activity"]
+        ),
         "classify_conflicts": lambda s, d: profile.classify_conflicts(raw(s, d)["dim_user"]),
         "profile_journeys": lambda s, d: profile.profile_journeys(tidy(s, d)),
         "profile_repeat_sales": lambda s, d: profile.profile_repeat_sales(tidy(s, d)),
