@@ -68,3 +68,16 @@ def test_write_outputs_to_catalog(spark):
     assert spark.table("model_output_t.model_metrics").count() == 2
     register_views({"mm": spark.table("model_output_t.model_metrics")})
     assert spark.sql("SELECT count(*) AS n FROM mm").first().n == 2
+
+
+def test_schema_profile_and_typed_raw(spark):
+    from cohortlens.plans.profile import profile_schema
+    from cohortlens.sources.readers import typed_raw
+
+    raw = spark.createDataFrame(
+        [("2024-01-02", "C001", "12.5")], "date string, campaign_id string, spend string"
+    )
+    typed = typed_raw(raw, "marketing_spend")
+    assert [f.dataType.simpleString() for f in typed.schema.fields] == ["date", "string", "double"]
+    rows = {r.column_name: r.data_type for r in profile_schema(typed, "marketing_spend").collect()}
+    assert rows == {"date": "date", "campaign_id": "string", "spend": "double"}
