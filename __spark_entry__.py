@@ -35,6 +35,13 @@ from cohortlens.sources import fixtures  # noqa: E402
 from cohortlens.sources.schemas import TARGETS  # noqa: E402
 from cohortlens.sources.sinks import checkpoint_base, materialize, reliable_checkpoint  # noqa: E402
 
+try:  # the pipeline operators are an optional part
+    import corpus_pipeline
+    from cohortlens.llm import oracle as llm_oracle
+    from cohortlens.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_oracle = llm_queries = None
+
 ROUND_DIGITS = oracle_queries.ROUND_DIGITS
 
 
@@ -152,6 +159,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update(_profile_queries())
     out.update(_model_eval_queries())
     out.update(_fitted_queries())
+    if llm_queries is not None:
+        out.update(llm_queries.queries())
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -351,4 +361,7 @@ def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_queries()
+    out = oracle_queries.all_queries()
+    if llm_oracle is not None:
+        out.update(llm_oracle.oracle_sql())
+    return out
