@@ -8,10 +8,11 @@
    go no further.
 3. Candidates by band. Every class is compared with the smallest id of each
    of its buckets. Then, where a bucket still holds several components, its
-   members outside the largest component are compared with all members of
-   other components. Two classes that share a bucket thus end in one
-   component or are compared, and a bucket of copies costs one comparison a
-   member.
+   members outside the largest one are compared with all members of other
+   components, in cells of at most ``CELL`` by ``CELL`` members; a pair is
+   taken in the first band that it shares, and only its link leaves the cell.
+   Two classes that share a bucket thus end in one component or are compared,
+   and a bucket of copies costs one comparison a member.
 4. A comparison estimates the similarity by counting equal 2-bit fields of the
    signatures (xor and bit counts), corrected for chance agreement of 1/4;
    pairs under ``MARGIN`` go, the others are confirmed on their full sets.
@@ -55,6 +56,8 @@ _WORD_MIX = _rng.randint(0, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np
 _BAND_MIX = _rng.randint(0, 2**63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_ADD = _rng.randint(0, 2**63, BANDS, dtype=np.uint64)
 _BLOCK = 2048
+#: Members on either side of a cell of a bucket.
+CELL = 1024
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -149,10 +152,16 @@ def _agreement(a: Column, b: Column) -> Column:
     return ((1 - unlike / FIELDS) - 0.25) / 0.75
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = written(docs.join(wanted, "doc", "left_semi"), "candidate-texts")
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Two sorted sets: 100 * intersection >= percent * union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * same >= percent * (len(x) + len(y) - same)
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked by their full sets."""
     both = (
         pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
@@ -168,14 +177,98 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 raw = text_a.as_buffer().to_pybytes()
                 if raw != last:
                     last, last_set = raw, shingle_set(raw, hashes)
-                other = shingle_set(text_b.as_buffer().to_pybytes(), hashes)
-                same = len(np.intersect1d(last_set, other, assume_unique=True))
-                linked.append(100 * same >= percent * (len(last_set) + len(other) - same))
+                linked.append(_linked(last_set, shingle_set(text_b.as_buffer().to_pybytes(), hashes), percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return both.mapInArrow(check, "a long, b long").distinct()
 
 
+def _cell_links(cell: list[tuple], key: int, least: float, percent: int, hashes: dict) -> list[tuple[int, int]]:
+    """Links between the cell's rows and columns (is_row, stray, node, label,
+    text, signature, bands) that join different labels. A pair is taken in the
+    first band it shares; two strays meet with the smaller one as row."""
+    rows, columns = [x for x in cell if x[0]], [x for x in cell if not x[0]]
+    if not rows or not columns:
+        return []
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+
+    def set_of(x: tuple) -> np.ndarray:
+        if x[2] not in sets:
+            sets[x[2]] = shingle_set(x[4].encode("utf-8"), hashes)
+        return sets[x[2]]
+
+    signatures = np.array([x[5] for x in columns], np.int64).view(np.uint64)
+    bands = np.array([x[6] for x in columns], np.int64)
+    own = [np.array(x[5], np.int64).view(np.uint64) for x in rows]
+    mask = np.uint64(0x5555555555555555)
+    out = []
+    for x, mine in zip(rows, own, strict=True):
+        d = signatures ^ mine
+        unlike = np.bitwise_count((d | (d >> np.uint64(1))) & mask).sum(axis=1)
+        alike = np.flatnonzero(((1 - unlike / FIELDS) - 0.25) / 0.75 >= least)
+        here = np.array(x[6], np.int64)
+        for i in alike[(here[(bands[alike] == here).argmax(axis=1)] == key)].tolist():
+            y = columns[i]
+            if (y[1] and y[2] <= x[2]) or find(x[3]) == find(y[3]):
+                continue
+            if _linked(set_of(x), set_of(y), percent):
+                root[find(x[3])] = find(y[3])
+                out.append((x[2], y[2]))
+    return out
+
+
+def _across(active: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, least: float, percent: int) -> DataFrame:
+    """Links (a, b) between members (key, node) of a bucket that are in
+    different components so far."""
+    labelled = written(active.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label")), "labelled")
+    counted = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
+    mixed = counted.groupBy("key").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main"), F.count("*").alias("parts")
+    )
+    mixed = written(
+        mixed.where("parts > 1").select(
+            "key", "main", F.expr(f"cast(ceil(n / {CELL}) as int)").alias("columns"), F.expr(f"cast(ceil((n - n_main) / {CELL}) as int)").alias("rows")
+        ),
+        "mixed-buckets",
+    )
+    rest = labelled.join(mixed, "key").withColumn("stray", F.col("label") != F.col("main"))
+    place = F.xxhash64("node")
+    columns = rest.withColumn("c", F.pmod(place, F.col("columns")).cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
+    rows = rest.where("stray").withColumn("r", F.pmod(place, F.col("rows")).cast("int"))
+    rows = rows.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)))
+    names = ["key", "r", "c", "stray", "node", "label"]
+    cells = columns.select(F.lit(False).alias("is_row"), *names).union(rows.select(F.lit(True).alias("is_row"), *names))
+    known = written(texts.join(classes, F.col("doc") == F.col("node")).select("node", "text", "signature", "bands"), "cell-members")
+    cells = cells.join(known, "node").select("key", "r", "c", "is_row", "stray", "node", "label", "text", "signature", "bands")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        at, cell = None, []
+
+        def links() -> pa.RecordBatch:
+            found = _cell_links(cell, at[0], least, percent, hashes)
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for key, r, c, *member in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if (key, r, c) != at:
+                    if cell:
+                        yield links()
+                    at, cell = (key, r, c), []
+                cell.append(tuple(member))
+        if cell:
+            yield links()
+
+    return cells.repartition("key", "r", "c").sortWithinPartitions("key", "r", "c").mapInArrow(check, "a long, b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); component is the
     smallest node reachable. Alternates large-star and small-star until the
@@ -221,48 +314,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     signatures = classes.select("node", "signature")
 
-    # each member of a bucket against the bucket's smallest id
+    # members of buckets that hold several classes
     members = classes.select(F.explode("bands").alias("key"), "node")
     first = members.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     first = written(first.where("first < last").select("key", "first"), "bucket-first")
-    members = written(members.join(first, "key"), "bucket-members")
+    members = written(members.join(first, "key").join(signatures, "node"), "bucket-members")
     least = percent / 100 - MARGIN
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        s = signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-        t = signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-        return pairs.join(t, "b").join(s, "a").where(_agreement(F.col("sa"), F.col("sb")) >= least).select("a", "b")
-
-    stars = written(alike(members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()), "stars")
-    links = written(_confirm(stars, texts, percent), "links")
+    # of these, members that look like another one of the bucket; only their texts are read again
+    other = members.select(F.col("key").alias("k"), F.col("node").alias("o"), F.col("signature").alias("s"))
+    alike = _agreement(F.col("signature"), F.col("s")) >= least
+    active = members.join(other, (F.col("key") == F.col("k")) & (F.col("node") != F.col("o")) & alike, "left_semi")
+    active = written(active.select("key", "node").distinct(), "active-members")
+    wanted = active.select(F.col("node").alias("doc")).distinct().hint("shuffle_hash")
+    texts = written(texts.join(wanted, "doc", "left_semi"), "candidate-texts")
+
+    # each against the bucket's smallest id
+    heads = written(first.join(signatures.select(F.col("node").alias("first"), F.col("signature").alias("s")), "first"), "bucket-heads")
+    stars = members.select("key", "node", "signature").join(heads, "key").where((F.col("node") != F.col("first")) & alike)
+    links = written(_confirm(stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), texts, percent), "links")
     labels = written(components(links), "labels")
 
     # buckets that still hold several components
-    labelled = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-    counted = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = counted.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-    mixed = written(mixed.where("parts > 1").select("key", "main"), "mixed-buckets")
-    rest = written(labelled.join(mixed, "key").join(signatures, "node").distinct(), "mixed-members")
-    a = rest.where("label <> main").select("key", "node", "label", "signature").alias("a")
-    b = rest.alias("b")
-    others = (
-        a.join(
-            b,
-            (F.col("a.key") == F.col("b.key"))
-            & (F.col("a.label") != F.col("b.label"))
-            & ((F.col("b.label") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
-            & (_agreement(F.col("a.signature"), F.col("b.signature")) >= least),
-        )
-        .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
-        .distinct()
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    )
-    others = written(others, "other-pairs")
-    if not others.isEmpty():
-        more = written(_confirm(others, texts, percent), "links")
-        if not more.isEmpty():
-            stars_now = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            labels = written(components(stars_now.union(more)), "labels")
+    more = written(_across(active, labels, classes, texts, least, percent), "links")
+    if not more.isEmpty():
+        stars_now = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = written(components(stars_now.union(more)), "labels")
 
     named = classes.select("class", "node").join(labels, "node", "left").select("class", F.coalesce("component", "node").alias("component"))
     named = written(named, "class-components")
