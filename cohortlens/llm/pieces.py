@@ -38,11 +38,17 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of text that share a forward pass.
-SLAB = 2_000_000
+SLAB = 3_000_000
+#: Pieces up to this length get a column each; segments that a longer piece
+#: fits into are done apart, with columns for all lengths.
+NARROW = 8
+#: Ids that are decoded at a time.
+DECODED = 1 << 18
 _SPACE = "▁"
 #: Stands for a U+2581 of the text itself: no text holds a lone surrogate.
 _OWN = "\ud800"
-_UNIT = 2.0**-53
+_UNIT = np.float32(2.0**-24)
+_SLOTS = 1 << 19
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,70 +77,142 @@ class Pieces:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 usable[piece] = i
                 self.bytes[i] = piece.replace(_SPACE, " ").encode()
+        self.size = np.array([len(b) for b in self.bytes], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.all_bytes = np.frombuffer(b"".join(self.bytes), np.uint8)
         order = sorted(usable, key=lambda p: -model.get_score(usable[p]))
         weight = {p: -alpha * np.log(rank + 10) for rank, p in enumerate(order)}
         self.unknown = -alpha * np.log(10.0 * (n + 10))
         self.longest = max(map(len, usable))
-        # trie: a state per prefix, steps as sorted (state, character) keys
+        # trie: a state per prefix; steps in a table by a hash of (state, character)
         states = {p: s for s, p in enumerate(sorted({p[:k] for p in usable for k in range(1, len(p) + 1)}), 1)}
         self.piece = np.full(len(states) + 1, -1, np.int32)
-        self.weight = np.full(len(states) + 1, -np.inf)
+        self.weight = np.full(len(states) + 1, -np.inf, np.float32)
         for p, i in usable.items():
             self.piece[states[p]], self.weight[states[p]] = i, weight[p]
         self.first = np.zeros(0x110000, np.int32)
-        steps = []
+        self.step_key, self.step_to = np.full(_SLOTS, -1, np.int64), np.zeros(_SLOTS, np.int32)
         for p, s in states.items():
             if len(p) == 1:
                 self.first[ord(p)] = s
-            else:
-                steps.append(((states[p[:-1]] << 21) | ord(p[-1]), s))
-        steps.sort()
-        self.step_key = np.array([k for k, _ in steps], np.int64)
-        self.step_to = np.array([s for _, s in steps], np.int32)
-
-    def lattice(self, chars: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of all pieces that end at each character, by length: the weights
-        (-inf: none) and ids. ``room``: characters up to the segment's end. An
-        id under 0 is a character that is written in bytes: -1 - character."""
-        n = len(chars)
-        weights = np.full((n, self.longest), -np.inf)
-        ids = np.zeros((n, self.longest), np.int32)
-        at, state = np.arange(n), self.first[chars]
-        alone = self.piece[state] < 0
-        weights[:, 0] = np.where(alone, self.unknown, self.weight[state])
-        ids[:, 0] = np.where(alone, -1 - chars, self.piece[state])
-        for length in range(2, self.longest + 1):
-            going = (state > 0) & (room[at] >= length)
-            at, state = at[going], state[going]
-            if not len(at):
-                break
-            key = (state.astype(np.int64) << 21) | chars[at + length - 1]
-            found = np.minimum(np.searchsorted(self.step_key, key), len(self.step_key) - 1)
-            state = np.where(self.step_key[found] == key, self.step_to[found], 0)
-            end = at + length - 1
-            weights[end, length - 1] = self.weight[state]
-            ids[end, length - 1] = self.piece[state]
-        return weights, ids
-
-    def shares(self, weights: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Forward filtering of all segments. Per character the cumulative
-        shares of the lengths of the piece that ends there; it takes the place
-        of ``weights``."""
-        reach = np.arange(1, self.longest + 1)
-        alpha = np.zeros(self.longest + len(weights) + len(starts))
+                continue
+            key = (states[p[:-1]] << 21) | ord(p[-1])
+            slot = int(self._slot(np.array([key]))[0])
+            while self.step_key[slot] >= 0:
+                slot = (slot + 1) % _SLOTS
+            self.step_key[slot], self.step_to[slot] = key, s
+
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 19)).astype(np.int64)
+
+    def step(self, state: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The states after one more character; 0: no piece goes on so."""
+        key = (state.astype(np.int64) << 21) | chars
+        slot = self._slot(key)
+        there = self.step_key[slot]
+        out = np.where(there == key, self.step_to[slot], 0)
+        at = np.flatnonzero((there != key) & (there >= 0))
+        while len(at):
+            slot[at] = (slot[at] + 1) % _SLOTS
+            there = self.step_key[slot[at]]
+            hit = there == key[at]
+            out[at[hit]] = self.step_to[slot[at[hit]]]
+            at = at[~hit & (there >= 0)]
+        return out
+
+
+class Lattices:
+    """The lattices of some segments, side by side: characters lie by position,
+    at each position by segment, the longer ones first, so that all segments
+    take a step of the forward pass as one slice."""
+
+    def __init__(self, segments: list[str], model: Pieces, width: int):
+        lengths = np.fromiter((len(s) + 1 for s in segments), np.int64, len(segments))
         order = np.argsort(-lengths, kind="stable")
-        base = (self.longest + starts + np.arange(len(starts)))[order]
-        begin, lengths = starts[order], lengths[order]
-        active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
-        for p, n in enumerate(active, 1):
-            here = base[:n] + p
-            x = weights[begin[:n] + p - 1] + alpha[here[:, None] - reach]
+        self.rank = np.empty(len(order), np.int64)
+        self.rank[order] = np.arange(len(order))
+        self.lengths = lengths
+        flat = "".join([_SPACE + s.replace(" ", _SPACE) for s in segments]).encode("utf-32-le", "surrogatepass")
+        flat = np.frombuffer(flat, np.uint32)
+        #: segments that have each position, and where its slice begins
+        self.here = np.searchsorted(-lengths[order], -np.arange(1, lengths[order[0]] + 1), side="right")
+        self.begin = np.concatenate([[0], np.cumsum(self.here)])
+        begins = np.cumsum(lengths) - lengths
+        position = np.arange(len(flat)) - np.repeat(begins, lengths)
+        place = self.begin[position] + np.repeat(self.rank, lengths)
+        self.chars = np.empty(len(flat), np.int64)
+        self.chars[place] = flat
+        self._pieces(model, width)
+
+    def _pieces(self, model: Pieces, width: int) -> None:
+        """Of all pieces that end at each character, by length: weights and
+        ids. An id under 0 is a character written in bytes: -1 - character.
+        ``wide``: ranks of segments that a piece longer than ``width`` fits."""
+        n = len(self.chars)
+        self.weights = np.full((n, width), -np.inf, np.float32)
+        self.ids = np.zeros((n, width), np.int32)
+        state = model.first[self.chars]
+        alone = model.piece[state] < 0
+        self.weights[:, 0] = np.where(alone, model.unknown, model.weight[state])
+        self.ids[:, 0] = np.where(alone, -1 - self.chars, model.piece[state])
+        position = np.repeat(np.arange(len(self.here)), self.here)
+        rank = np.arange(n) - self.begin[position]
+        here = np.concatenate([self.here, np.zeros(model.longest + 1, np.int64)])
+        wide = []
+        for length in range(2, model.longest + 1):
+            end = position + length - 1
+            going = (state > 0) & (rank < here[end])
+            position, rank, state, end = position[going], rank[going], state[going], end[going]
+            if not len(rank):
+                break
+            at = self.begin[end] + rank
+            state = model.step(state, self.chars[at])
+            known = model.piece[state] >= 0
+            if length > width:
+                wide.append(rank[known])
+            else:
+                at, known = at[known], state[known]
+                self.weights[at, length - 1] = model.weight[known]
+                self.ids[at, length - 1] = model.piece[known]
+        self.wide = np.unique(np.concatenate(wide)) if wide else np.empty(0, np.int64)
+
+    def forward(self) -> None:
+        """Forward filtering: per character the cumulative shares of the
+        lengths of the piece that ends there, in place of the weights."""
+        width = self.weights.shape[1]
+        sums = [np.zeros(self.here[0])]
+        for p, n in enumerate(self.here):
+            x = np.full((n, width), -np.inf)
+            part = self.weights[self.begin[p] : self.begin[p + 1]]
+            for back in range(min(width, p + 1)):
+                np.add(sums[-1 - back][:n], part[:, back], out=x[:, back])
             top = x.max(axis=1)
-            np.exp(x - top[:, None], out=x)
-            np.cumsum(x, axis=1, out=x)
-            alpha[here] = top + np.log(x[:, -1])
-            weights[begin[:n] + p - 1] = x / x[:, -1:]
-        return weights
+            x -= top[:, None]
+            share = np.exp(x.astype(np.float32))
+            share = np.cumsum(share, axis=1, out=share)
+            sums.append(top + np.log(share[:, -1].astype(np.float64)))
+            part[:] = share / share[:, -1:]
+            if len(sums) > width:
+                sums.pop(0)
+
+    def backward(self, kind: np.ndarray, keys: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Backward sampling of occurrences of the segments ``kind``, a piece a
+        round: how many pieces each has, and per round (occurrences, ids). The
+        draw at a character is a hash of the text's key and its place."""
+        rank, left = self.rank[kind], self.lengths[kind]
+        who, rounds, count = np.arange(len(kind)), [], np.zeros(len(kind), np.int64)
+        while len(who):
+            end = self.begin[left - 1] + rank
+            draw = _mix(keys + (offset + left).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            u = (draw >> np.uint64(40)).astype(np.float32) * _UNIT
+            length = (self.weights[end] <= u[:, None]).sum(axis=1)
+            rounds.append((who, self.ids[end, length]))
+            count[who] += 1
+            left = left - length - 1
+            going = left > 0
+            who, left, rank, keys, offset = who[going], left[going], rank[going], keys[going], offset[going]
+        return count, rounds
 
 
 @lru_cache(maxsize=4)
@@ -153,7 +231,8 @@ def segments(text: str) -> list[str]:
 def sample(texts: list[str], keys: np.ndarray, model: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, and how many each text has."""
     kinds: dict[str, int] = {}
-    flat, counts = [], np.zeros(len(texts), np.int64)
+    flat: list[int] = []
+    counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         if text:
             own = segments(text.replace(_SPACE, _OWN))
@@ -161,36 +240,30 @@ def sample(texts: list[str], keys: np.ndarray, model: Pieces) -> tuple[np.ndarra
             flat += [kinds.setdefault(s, len(kinds)) for s in own]
     if not flat:
         return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-    chars = np.frombuffer("".join(_SPACE + s.replace(" ", _SPACE) for s in kinds).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    lengths = np.fromiter((len(s) + 1 for s in kinds), np.int64, len(kinds))
-    starts = np.cumsum(lengths) - lengths
-    room = np.repeat(starts + lengths, lengths) - np.arange(len(chars))
-    weights, ids = model.lattice(chars, room)
-    shares = model.shares(weights, starts, lengths)
-
-    # backward sampling of every occurrence, a piece a round
-    kind = np.array(flat, np.int64)
-    size = lengths[kind]
+    kind, names = np.array(flat, np.int64), list(kinds)
+    del flat, kinds
+    narrow = Lattices(names, model, min(NARROW, model.longest))
+    is_wide = np.isin(narrow.rank, narrow.wide)
+    size = narrow.lengths[kind]
     text_of = np.repeat(np.arange(len(texts)), counts)
     before = np.cumsum(size) - size
     first = np.cumsum(counts) - counts
     offset = before - before[np.minimum(first, len(before) - 1)][text_of]
-    who, left = np.arange(len(kind)), size.copy()
-    rounds = []
-    n_pieces = np.zeros(len(kind), np.int64)
-    while len(who):
-        end = starts[kind[who]] + left - 1
-        draw = _mix(keys[text_of[who]] + (offset[who] + left).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        u = (draw >> np.uint64(11)) * _UNIT
-        length = (shares[end] <= u[:, None]).sum(axis=1)
-        rounds.append((who, ids[end, length]))
-        n_pieces[who] += 1
-        left = left - length - 1
-        going = left > 0
-        who, left = who[going], left[going]
+
+    n_pieces, rounds = np.zeros(len(kind), np.int64), []
+    wide = np.flatnonzero(is_wide)
+    number = np.cumsum(is_wide) - 1
+    for lattices, chosen in ((narrow, ~is_wide), (Lattices([names[i] for i in wide], model, model.longest) if len(wide) else None, is_wide)):
+        if lattices is None:
+            continue
+        lattices.forward()
+        who = np.flatnonzero(chosen[kind])
+        mine = kind[who] if lattices is narrow else number[kind[who]]
+        n_pieces[who], found = lattices.backward(mine, keys[text_of[who]], offset[who])
+        rounds += [(who[x], ids, k) for k, (x, ids) in enumerate(found)]
     last = np.cumsum(n_pieces) - 1
     out = np.empty(int(last[-1]) + 1, np.int32)
-    for k, (who, piece) in enumerate(rounds):
+    for who, piece, k in rounds:
         out[last[who] - k] = piece
     per_text = np.bincount(text_of, n_pieces, len(texts)).astype(np.int64)
     return _with_bytes(out, per_text, model)
@@ -216,15 +289,23 @@ def _with_bytes(ids: np.ndarray, per_text: np.ndarray, model: Pieces) -> tuple[n
     return out, per_text + np.bincount(text_of[where], extra, len(per_text)).astype(np.int64)
 
 
-def _slabs(texts: list[str]) -> Iterator[slice]:
+def _offsets(column: pa.Array) -> np.ndarray:
+    """Where the column's strings or lists begin and end in its values."""
+    wide = pa.types.is_large_string(column.type)
+    raw = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)
+    return raw[column.offset : column.offset + len(column) + 1].astype(np.int64)
+
+
+def _slabs(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of texts with about ``SLAB`` bytes."""
     begin = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, n in enumerate(sizes.tolist()):
+        size += n
         if size >= SLAB:
             yield slice(begin, i + 1)
             begin, size = i + 1, 0
-    if begin < len(texts):
-        yield slice(begin, len(texts))
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, seed: int = 7,
@@ -240,10 +321,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model, alpha)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            column = batch.column("text")
             keys = np.array([xxhash.xxh3_64_intdigest(f"{seed}:{k}") for k in batch.column("key").to_pylist()], np.uint64)
-            for part in _slabs(texts):
-                ids, counts = sample(texts[part], keys[part], pieces)
+            for part in _slabs(np.diff(_offsets(column))):
+                ids, counts = sample(column[part].to_pylist(), keys[part], pieces)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(part.start, len(counts)), lists], names=["row", "ids"])
@@ -251,8 +332,22 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carr
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
 
 
-def decoded(ids: list[int], model: Pieces) -> str:
-    return b"".join([model.bytes[i] for i in ids])[1:].decode("utf-8", "replace")
+def decoded(ids: np.ndarray, counts: np.ndarray, model: Pieces) -> pa.Array:
+    """The texts of lists of ids that lie one after another: the pieces' bytes,
+    without each text's first space."""
+    start, size = model.start[ids], model.size[ids]
+    first = (np.cumsum(counts) - counts)[counts > 0]
+    start[first] += 1
+    size[first] -= 1
+    ends = np.cumsum(size)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for a in range(0, len(ids), DECODED):
+        part = size[a : a + DECODED]
+        to = int(ends[a] - size[a])
+        n = int(part.sum())
+        data[to : to + n] = model.all_bytes[np.repeat(start[a : a + DECODED] - (ends[a : a + DECODED] - part - to), part) + np.arange(n)]
+    offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+    return pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets), pa.py_buffer(data))
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -261,8 +356,9 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
-            texts = [decoded(i or [], pieces) for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("ids"), pa.array(texts, pa.string())], names=["row", "ids", "text"])
+            lists = batch.column("ids").fill_null([])
+            texts = decoded(lists.flatten().to_numpy(), np.diff(_offsets(lists)), pieces)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), lists, texts], names=["row", "ids", "text"])
 
     encoded = encoded.select("row", "ids")
     return encoded.mapInArrow(run, f"row {encoded.schema['row'].dataType.simpleString()}, ids array<int>, text string")

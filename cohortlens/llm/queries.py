@@ -13,10 +13,10 @@ from cohortlens.llm.common import table
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled ids of every document, and whether they decode to its text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = pieces.decode(pieces.encode(docs, carry=["doc_id", "text"]))
-    text = F.coalesce("row.text", F.lit(""))
-    return back.select("row.doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("text") == text).alias("lossless"))
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(text, 256).alias("sha"))
+    back = pieces.decode(pieces.encode(docs, carry=["doc_id", "sha"]))
+    return back.select("row.doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.sha2("text", 256) == F.col("row.sha")).alias("lossless"))
 
 
 def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
