@@ -67,7 +67,8 @@ _ENDS = {
 }
 _SCOPES = frozenset("ul ol dl table article section div body html main aside blockquote td th".split())
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.S)
+# possessive throughout: broken markup must not make the search go back and forth
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[a-z0-9]+")
 
@@ -91,8 +92,8 @@ def parse(page: str) -> Element:
     """The page's element tree. Text is kept as it stands, references
     undecoded."""
     root = node = Element("#page", "", None)
-    at, find = 0, _MARKUP.search
-    while m := find(page, at):
+    at, find, last = 0, _MARKUP.search, max(page.rfind(">"), page.rfind("<!--"))
+    while at <= last and (m := find(page, at)):
         if m.start() > at:
             node.children.append(page[at : m.start()])
         at = m.end()

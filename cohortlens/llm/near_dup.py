@@ -344,7 +344,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.select("class", "node").join(labels, "node", "left").select("class", F.coalesce("component", "node").alias("component"))
     named = written(named, "class-components")
     out = features.select("doc", "n_shingles", "class").join(named, "class", "left")
-    component = F.coalesce("component", "doc")
+    component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     return out.select("doc", "n_shingles", component.alias("component"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
 
