@@ -76,12 +76,7 @@ def explore(spark, args) -> None:
 
 def build(spark, args) -> None:
     raw = read_raw_sources(spark, args.raw, args.fmt)
-
-    def check(models, name):
-        if any(t.model == name for t in quality.SCHEMA_TESTS):
-            quality.gate(quality.schema_test_report(models, names={name}))
-
-    build_all(raw, base=os.path.join(args.out, "models"), checks=check, user_buckets=args.user_buckets)
+    build_all(raw, base=os.path.join(args.out, "models"), checks=quality.gate_model, user_buckets=args.user_buckets)
 
 
 def test(spark, args) -> int:
@@ -98,6 +93,12 @@ def train(spark, args) -> None:
     write_outputs(outputs.as_dict(), base=args.out)
 
 
+def _exists(spark, path: str) -> bool:
+    """Whether a folder exists, on whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def app(spark, args) -> None:
     mart = _built(spark, args.out).mart_campaign_performance
     frames = {
@@ -111,7 +112,7 @@ def app(spark, args) -> None:
                    "trial_rate", "sale_rate"):
         frames[f"ranking_{metric}"] = report.rank_campaigns(mart, metric)
     outputs = os.path.join(args.out, "model_output")
-    if os.path.isdir(outputs):
+    if _exists(spark, outputs):
         coefs = spark.read.parquet(os.path.join(outputs, "feature_importance"))
         refs = spark.read.parquet(os.path.join(outputs, "reference_categories"))
         metrics = spark.read.parquet(os.path.join(outputs, "model_metrics"))

@@ -1,23 +1,11 @@
-"""Join helpers: size-checked broadcast, orphans (anti-join), key overlap."""
+"""Join helpers: orphans (anti-join), key overlap."""
+
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows; above it
-# the join stays a shuffle join (and AQE may still pick broadcast from the
-# measured size at run time).
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` is proven to hold at most ``max_rows``
-    rows (``limit(max_rows + 1).count()`` reads no further than that);
-    otherwise ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key has no parent row. A null child key is an orphan,

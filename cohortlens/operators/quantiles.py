@@ -8,9 +8,8 @@ the order statistics at 0-based positions ``(n - 1) * p``) over all rows:
    becomes one row;
 2. the distinct values are cut into ranges at approximate quantiles of the
    distinct values (``percentile_approx``, a bounded sketch), so every range
-   holds about the same number of distinct values; the number of ranges is
-   sized from the distinct count (about a million per range, one range for
-   small inputs);
+   holds about the same number of distinct values; there are as many ranges
+   as shuffle partitions;
 3. per-range row counts (one row per range) give each range's rank offset;
 4. only the ranges that contain a wanted rank are sorted, each in its own
    window partition, to read the exact values at those ranks.
@@ -29,17 +28,11 @@ from pyspark.sql import functions as F
 from ..sources.sinks import reliable_checkpoint
 
 APPROX_ACCURACY = 10_000
-# distinct values per range when the number of ranges is sized from the data
-ROWS_PER_RANGE = 1_000_000
-# cap on ranges: keeps the cut points (driver) and the CASE tree small
-MAX_BUCKETS = 1024
 
 
-def buckets_for(distinct_rows: int) -> int:
-    """Ranges needed so that each holds about ``ROWS_PER_RANGE`` rows: one
-    range (a single window partition, bounded by the check) for small
-    inputs, proportionally more for large ones, at most ``MAX_BUCKETS``."""
-    return min(MAX_BUCKETS, max(1, -(-int(distinct_rows) // ROWS_PER_RANGE)))
+def ranges_of(df: DataFrame) -> int:
+    """Ranges to cut a frame into: the session's shuffle partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def value_weights(df: DataFrame, col: str) -> DataFrame:
@@ -105,8 +98,7 @@ def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
 
 
 def range_rows(with_b: DataFrame, bucket: str, weights: list[str]) -> dict[int, tuple]:
-    """Per range, the summed weights: one row per range (at most
-    ``MAX_BUCKETS``) reaches the driver."""
+    """Per range, the summed weights: one row per range reaches the driver."""
     rows = with_b.groupBy(bucket).agg(*[F.sum(w).alias(w) for w in weights]).collect()
     return {r[bucket]: tuple(r[w] or 0 for w in weights) for r in rows}
 
@@ -123,14 +115,14 @@ def exact_quantiles(
     df: DataFrame, col: str, probs: list[float], names: list[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
     """One row: the exact interpolated quantile of ``col`` for each ``p``
-    (null when ``col`` has no non-null value). ``buckets`` defaults to a
-    number sized from the distinct values (``buckets_for``)."""
+    (null when ``col`` has no non-null value). ``buckets`` defaults to the
+    shuffle partitions."""
     spark = df.sparkSession
     names = names or [f"q{i}" for i in range(len(probs))]
     schema = ", ".join(f"`{n}` double" for n in names)
     # the (value, weight) table feeds several small passes: write it once
     vw = reliable_checkpoint(value_weights(df, col))
-    buckets = buckets or buckets_for(vw.count())
+    buckets = buckets or ranges_of(vw)
     with_b = with_bucket(vw, "v", buckets, "bucket")
     rows = {b: t[0] for b, t in range_rows(with_b, "bucket", ["w"]).items()}
     n = sum(rows.values())
@@ -170,11 +162,10 @@ def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int
     Rows are cut into ordered ranges (approximate quantile cut points); one
     row per range gives the range offsets (to the driver, then a literal
     array lookup), and each range is scanned in order in its own window
-    partition. No task sees more than one range. ``buckets`` defaults to a
-    number sized from the row count (``buckets_for``); pass a checkpointed
-    frame."""
+    partition. No task sees more than one range. ``buckets`` defaults to
+    the shuffle partitions; pass a checkpointed frame."""
     keep = df.columns
-    buckets = buckets or buckets_for(df.count())
+    buckets = buckets or ranges_of(df)
     with_b = with_bucket(df, order_col, buckets, "__bucket")
     totals = range_rows(with_b, "__bucket", weights)
     offs = []

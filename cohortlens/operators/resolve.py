@@ -9,12 +9,8 @@ duplicate rows (so no ``distinct`` pass is needed first), and aggregates
 partially on the map side, so a key holding a third of all rows still
 arrives at the reducer as one partial row per map task.
 
-String ``min``/``max`` have variable-length buffers, which Spark can only
-aggregate sort-based. When every resolved column has a bounded number of
-distinct values (checked), the values are first replaced by their rank in
-sorted order. The ranks are integers, so the aggregation is hash-based, and
-they preserve the order, so ``min``/``max`` of ranks decode to
-``min``/``max`` of the strings.
+String ``min``/``max`` aggregate sort-based, in one exchange and without any
+look at the data beforehand.
 """
 
 from __future__ import annotations
@@ -25,10 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_col
-from .quantiles import count_below
-
-# at most this many distinct values per column are rank-encoded
-DICTIONARY_LIMIT = 10_000
 
 
 @dataclass(frozen=True)
@@ -63,63 +55,8 @@ def has_conflict(c, ignore: str | None = None) -> Column:
     return F.coalesce(F.min(x) != F.max(x), F.lit(False))
 
 
-def _resolve_strings(df: DataFrame, key: str, rules: list[Resolution]) -> DataFrame:
+def resolve(df: DataFrame, key: str, rules: list[Resolution]) -> DataFrame:
+    """One row per ``key``: resolved attributes, then the conflict flags."""
     values = [resolve_value(r.column, r.ignore, r.on_conflict).alias(r.column) for r in rules]
     flags = [has_conflict(r.column, r.ignore).alias(r.conflict_flag) for r in rules if r.conflict_flag]
     return df.groupBy(key).agg(*values, *flags)
-
-
-def distinct_values(df: DataFrame, cols: list[str], limit: int) -> dict[str, list[str]] | None:
-    """Sorted distinct non-null values per column, or None when a column has
-    more than ``limit`` (at most ``limit * len(cols) + 1`` values are read)."""
-    pairs = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols])).alias("p")
-    ).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
-    rows = pairs.limit(limit * len(cols) + 1).collect()
-    out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
-        out[r.c].append(r.v)
-    if any(len(v) > limit for v in out.values()):
-        return None
-    return {c: sorted(v) for c, v in out.items()}
-
-
-def _resolve_ranked(df: DataFrame, key: str, rules: list[Resolution], dictionary: dict[str, list[str]]) -> DataFrame:
-    codes = {}
-    for r in rules:
-        vals = dictionary[r.column]
-        rank = count_below(r.column, vals) if vals else F.lit(0)
-        codes[f"__{r.column}_code"] = F.when(F.col(r.column).isNotNull(), rank)
-    coded = df.withColumns(codes)
-    aggs = []
-    for r in rules:
-        code = F.col(f"__{r.column}_code")
-        informative = F.when(F.col(r.column) != F.lit(r.ignore), code) if r.ignore is not None else code
-        aggs += [F.min(informative).alias(f"__{r.column}_lo"), F.max(informative).alias(f"__{r.column}_hi")]
-    ranked = coded.groupBy(key).agg(*aggs)
-    out = [F.col(key)]
-    for r in rules:
-        lo, hi = F.col(f"__{r.column}_lo"), F.col(f"__{r.column}_hi")
-        lookup = F.array(*[F.lit(v) for v in dictionary[r.column]]) if dictionary[r.column] else None
-        fallback = F.lit(r.on_conflict) if r.on_conflict is not None else F.lit(None).cast("string")
-        value = (
-            F.when(lo == hi, F.element_at(lookup, (lo + 1).cast("int"))).otherwise(fallback)
-            if lookup is not None
-            else fallback
-        )
-        out.append(value.alias(r.column))
-    for r in rules:
-        if r.conflict_flag:
-            lo, hi = F.col(f"__{r.column}_lo"), F.col(f"__{r.column}_hi")
-            out.append(F.coalesce(lo != hi, F.lit(False)).alias(r.conflict_flag))
-    return ranked.select(*out)
-
-
-def resolve(df: DataFrame, key: str, rules: list[Resolution], dictionary_limit: int = DICTIONARY_LIMIT) -> DataFrame:
-    """One row per ``key``: resolved attributes, then the conflict flags.
-    Rank-encoded (hash aggregation) when every column's distinct values fit
-    ``dictionary_limit``; otherwise aggregated on the strings."""
-    dictionary = distinct_values(df, [r.column for r in rules], dictionary_limit) if dictionary_limit else None
-    if dictionary is None:
-        return _resolve_strings(df, key, rules)
-    return _resolve_ranked(df, key, rules, dictionary)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import coalesce0, safe_ratio
-from ..operators.joins import sized_broadcast
 
 MART_COLUMNS = (
     "campaign_id",
@@ -33,23 +32,20 @@ MART_COLUMNS = (
 
 def outcomes_by_date(journey: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Users of mapped campaigns (unmapped codes drop out of the inner join)
-    counted per campaign x attribution date. The campaign list is broadcast
-    behind a row-count check; the count/sum aggregate combines map-side, so
-    a campaign-day holding a third of the users costs one partial row per
-    task."""
-    mapped = sized_broadcast(campaigns.select("campaign_id"))
-    return (
-        journey.join(mapped, "campaign_id", "inner")
-        .groupBy("campaign_id", "attribution_date")
-        .agg(
-            F.count(F.lit(1)).alias("attributed_users"),
-            F.sum("started_trial").alias("trial_users"),
-            F.sum("made_sale").alias("sale_users"),
-            F.sum("sale_without_trial").alias("sale_without_trial_users"),
-            F.sum(coalesce0("initial_sale_revenue", 0.0)).alias("initial_sale_revenue"),
-            F.sum("total_sale_revenue").alias("total_sale_revenue"),
-        )
+    counted per campaign x attribution date. Users are aggregated before the
+    join, which then meets one row per code and day; a second sum counts a
+    campaign that is listed twice twice, as joining the users would."""
+    daily = journey.groupBy("campaign_id", "attribution_date").agg(
+        F.count(F.lit(1)).alias("attributed_users"),
+        F.sum("started_trial").alias("trial_users"),
+        F.sum("made_sale").alias("sale_users"),
+        F.sum("sale_without_trial").alias("sale_without_trial_users"),
+        F.sum(coalesce0("initial_sale_revenue", 0.0)).alias("initial_sale_revenue"),
+        F.sum("total_sale_revenue").alias("total_sale_revenue"),
     )
+    counts = [c for c in daily.columns if c not in ("campaign_id", "attribution_date")]
+    joined = daily.join(campaigns.select("campaign_id"), "campaign_id", "inner")
+    return joined.groupBy("campaign_id", "attribution_date").agg(*[F.sum(c).alias(c) for c in counts])
 
 
 def spend_by_date(spend: DataFrame) -> DataFrame:

@@ -6,11 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.columns import campaign_label, month_num, weekday_name
-from ..operators.joins import sized_broadcast
 
 
 def user_features(journey: DataFrame, campaigns: DataFrame) -> DataFrame:
-    names = sized_broadcast(campaigns.select("campaign_id", "campaign_name"))
+    names = campaigns.select("campaign_id", "campaign_name")
     j = journey.join(names, "campaign_id", "left")
     return j.select(
         "user_id",

@@ -21,8 +21,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import sized_broadcast
-from ..operators.resolve import distinct_values
 from ..operators.quantiles import count_below, exact_median, prefix_sums
 from ..operators.sets import union_all
 from ..sources.sinks import reliable_checkpoint
@@ -37,8 +35,6 @@ from ..sources.schemas import (
 from .quality import validate_features, validate_splits
 
 MODEL_NAME = "logistic_regression"
-MAX_CATEGORIES = 10_000
-MAX_DATES = 1_000_000
 
 
 # ------------------------------------------------------------------- L1
@@ -59,18 +55,19 @@ def split_chronologically(
 ) -> Split:
     """Split by distinct dates: the first ``int(n * train_share)`` dates train,
     up to ``int(n * (train_share + validation_share))`` validate, the rest
-    test. Only the distinct dates (calendar days) reach the driver."""
+    test. The distinct dates are numbered in Spark; the two that begin a part
+    reach the driver. Rows without a date belong to no part and don't count."""
     d = F.to_date(F.col(date_col))
-    distinct_dates = df.select(d.alias("d")).where(F.col("d").isNotNull()).distinct().orderBy("d")
-    dates = [r[0] for r in distinct_dates.limit(MAX_DATES + 1).collect()]
-    if len(dates) > MAX_DATES:
-        raise ValueError("too many distinct dates for a date split")
-    n = len(dates)
+    # one row per calendar day
+    days = df.select(d.alias("d")).where(F.col("d").isNotNull()).distinct()
+    numbered = days.withColumn("i", F.row_number().over(Window.orderBy("d")) - 1)
+    n = days.count()
     train_end = int(n * train_share)
     validation_end = int(n * (train_share + validation_share))
     if train_end <= 0 or validation_end <= train_end or validation_end >= n:
-        raise ValueError("There are not enough dates to create training, validation, and test periods.")
-    v_start, t_start = dates[train_end], dates[validation_end]
+        raise ValueError(f"{n} distinct dates can't be cut into three parts that each hold one")
+    begins = {r.i: r.d for r in numbered.where(F.col("i").isin(train_end, validation_end)).collect()}
+    v_start, t_start = begins[train_end], begins[validation_end]
     # half-open periods [.., v_start), [v_start, t_start), [t_start, ..)
     split = (
         F.when(d.isNull(), F.lit(None).cast("string"))
@@ -104,8 +101,8 @@ class Encoder:
       is the reference (all zeros), and an unseen value encodes like it;
     - ``VectorAssembler`` concatenates the predictors.
 
-    Only the category labels reach the driver (bounded by the predictors'
-    cardinality, checked against ``MAX_CATEGORIES``)."""
+    Only the category labels reach the driver, as Spark ML's indexer keeps
+    them in its model."""
 
     predictors: tuple
     labels: dict = field(default_factory=dict)  # predictor -> labels, descending
@@ -117,9 +114,6 @@ class Encoder:
         from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
         predictors = tuple(predictors)
-        # the indexer brings every label to the driver: check the cardinality first
-        if distinct_values(train, list(predictors), MAX_CATEGORIES) is None:
-            raise ValueError("predictor cardinality too high for one-hot encoding")
         indexer = StringIndexer(
             inputCols=list(predictors),
             outputCols=[f"__{p}_idx" for p in predictors],
@@ -499,7 +493,7 @@ def category_rate_scores(split_df: DataFrame, target: str, by: str = "onboarding
     to check the evaluation operators against plain SQL."""
     train = split_df.where(F.col("split") == "training")
     rate = F.sum(F.col(target)).cast("double") / F.count(F.lit(1))
-    rates = sized_broadcast(train.groupBy(by).agg(rate.alias("__rate")))
+    rates = train.groupBy(by).agg(rate.alias("__rate"))
     overall = train.select(rate).scalar()
     return split_df.join(rates, by, "left").select(
         "user_id",

@@ -371,6 +371,17 @@ def gate(report: DataFrame) -> DataFrame:
     return report
 
 
+def gate_model(models, name: str) -> None:
+    """Raise if the model ``name`` breaks a column test or a rule set of its
+    own. Run as each model is built, so nothing that depends on a failing model
+    is published."""
+    if any(t.model == name for t in SCHEMA_TESTS):
+        gate(schema_test_report(models, names={name}))
+    rules = {rule for rule, (model, _) in RULE_SETS.items() if model == name}
+    if rules:
+        gate(rule_report(models, rules))
+
+
 # ------------------------------------------------------- training guards
 
 
@@ -394,17 +405,17 @@ def validate_features(features: DataFrame, targets=TARGETS, predictors=PREDICTOR
     """Raise unless the feature table can be trained on."""
     missing = missing_columns(features, ["user_id", "attribution_date", *predictors, *targets])
     if missing:
-        raise ValueError(f"The feature table is missing these columns: {', '.join(missing)}")
+        raise ValueError(f"features lack {', '.join(missing)}")
     s = feature_guard(features, targets, predictors).first()
     if s.row_count == 0:
-        raise ValueError("The feature table contains no rows.")
+        raise ValueError("features are empty: nothing to train on")
     if s.duplicate_users:
-        raise ValueError("The feature table contains duplicate users.")
+        raise ValueError("features hold more than one row for some user_id")
     for t in targets:
         if s[f"{t}_nulls"]:
-            raise ValueError(f"{t} contains null values.")
+            raise ValueError(f"target {t} is null in some rows")
         if s[f"{t}_invalid"]:
-            raise ValueError(f"{t} contains invalid values.")
+            raise ValueError(f"target {t} is neither 0 nor 1 in some rows")
     return features
 
 
@@ -422,7 +433,7 @@ def validate_splits(split_df: DataFrame, targets=TARGETS, split_col: str = "spli
     for s in splits:
         r = rows.get(s)
         if r is None or r.row_count == 0:
-            raise ValueError(f"The {s} dataset is empty.")
+            raise ValueError(f"no rows fall into the {s} part")
         for t in targets:
             if r[f"{t}_min"] == r[f"{t}_max"]:
-                raise ValueError(f"The {s} dataset for {t} contains only one class.")
+                raise ValueError(f"target {t} has a single value in the {s} part")

@@ -81,7 +81,6 @@ VALIDATION_DATE_SHARE = 0.20
 THRESHOLD_START, THRESHOLD_STOP, THRESHOLD_STEP = 0.05, 0.51, 0.01
 
 # Report labels.
-TARGET_LABELS = {"started_trial": "Trial start", "made_sale": "Sale"}
 PREDICTOR_LABELS = {
     "gender": "Gender",
     "country": "Country",

@@ -51,8 +51,4 @@ def scheduled_refresh(spark: SparkSession, landing: str, warehouse: str, user_bu
         path = ingest_new_files(spark, landing, name, raw_tables, checkpoints)
         raw[name] = require_columns(spark.read.schema(RAW_SCHEMAS[name]).parquet(path), RAW_COLUMNS[name], name)
 
-    def check(models: Models, name: str) -> None:
-        if any(t.model == name for t in quality.SCHEMA_TESTS):
-            quality.gate(quality.schema_test_report(models, names={name}))
-
-    return build_all(raw, base=os.path.join(warehouse, "models"), checks=check, user_buckets=user_buckets)
+    return build_all(raw, base=os.path.join(warehouse, "models"), checks=quality.gate_model, user_buckets=user_buckets)

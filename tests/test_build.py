@@ -44,6 +44,23 @@ def test_gate_stops_on_violation(spark):
         quality.gate(quality.violation_count(v, "mart_campaign_performance", "campaign_rules"))
 
 
+def test_a_broken_journey_stops_what_depends_on_it(spark, scratch, monkeypatch):
+    """A journey that breaks its rules is not followed by mart or features."""
+    from cohortlens.plans import build as build_module
+
+    whole = build_module.journey.fct_user_journey
+
+    def broken(*args, **kw):
+        return whole(*args, **kw).withColumn("made_sale", F.lit(7))
+
+    monkeypatch.setattr(build_module.journey, "fct_user_journey", broken)
+    base = os.path.join(scratch, "tables")
+    with pytest.raises(quality.CheckFailed):
+        build_all(fixtures.raw_sources(spark, SF), base=base, checks=quality.gate_model)
+    left = set(os.listdir(base))
+    assert "fct_user_journey" in left and not left & {"mart_campaign_performance", "user_features"}
+
+
 def test_csv_sources_round_trip(spark, scratch):
     """Raw CSV read with a declared all-string schema, then the same models."""
     raw = fixtures.raw_sources(spark, SF)

@@ -45,8 +45,7 @@ def test_core_model_plans(static, scratch):
     dim = _plan(Models(raw).stg_dim_user)
     assert "Expand" not in dim  # no count(distinct) rewrite
     assert _count(dim, "Exchange") == 1  # one groupBy(user_id), combined map-side
-    # rank-encoded attributes: hash aggregation, partial + final
-    assert _count(dim, "HashAggregate") == 2 and _count(dim, "SortAggregate") == 0
+    assert _count(dim, "SortAggregate") == 2  # partial + final, on the strings
 
     staged = {n: built.get(n) for n in ("stg_user_activity", "stg_dim_user")}
     journey = _plan(Models(raw, staged).fct_user_journey)
@@ -58,8 +57,9 @@ def test_core_model_plans(static, scratch):
 
     upstream = {n: built.get(n) for n in ("fct_user_journey", "stg_marketing_campaigns", "stg_marketing_spend")}
     mart = _plan(Models(raw, upstream).mart_campaign_performance)
-    assert _count(mart, "BroadcastExchange") == 1  # row-checked campaign ids
-    assert _count(mart, "Exchange") == 4  # cohort-day agg, spend-day agg, rollup, campaigns
+    assert _count(mart, "BroadcastExchange") == 0  # no forced broadcast
+    # cohort-day and spend-day aggregates, their join and campaigns, rollup
+    assert _count(mart, "Exchange") <= 7
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", mart)
     journey_scan = [s for s in schemas if "started_trial" in s][0]
     assert "user_id" not in journey_scan and "gender" not in journey_scan  # column pruning
