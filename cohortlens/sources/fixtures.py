@@ -28,7 +28,9 @@ COUNTRY_BY_NATION_MOD = ("us", "DE", "FR ", "GB", "ES", "IT", "AU", "BR", "CA",
 # n_nationkey % 5 -> campaign type
 CAMPAIGN_TYPE_BY_MOD = ("Social", "Influencer", "Search", "Display", "Video")
 EVENTS_PER_USER = 5
-MAPPED_CAMPAIGNS = 8
+# one campaign per nation; codes beyond them belong to no campaign
+MAPPED_CAMPAIGNS = 25
+CODES = 27
 UNMAPPED_CODE = "C999"
 
 
@@ -40,9 +42,9 @@ def _mapping(c, mapping: dict) -> F.Column:
 
 
 def _campaign_code(uid, lower_mapped: bool = False) -> F.Column:
-    r = (uid * 7) % 9
+    r = (uid * 7) % CODES
     prefix = "c00" if lower_mapped else "C00"
-    return F.when(r == 8, F.lit(UNMAPPED_CODE)).otherwise(F.concat(F.lit(prefix), (r + 1).cast("string")))
+    return F.when(r >= MAPPED_CAMPAIGNS, F.lit(UNMAPPED_CODE)).otherwise(F.concat(F.lit(prefix), (r + 1).cast("string")))
 
 
 def _keyed(events: DataFrame) -> DataFrame:
@@ -154,7 +156,7 @@ def marketing_spend(events: DataFrame) -> DataFrame:
 def marketing_campaigns(nation: DataFrame) -> DataFrame:
     kind = F.col("n_nationkey") % 5
     ctype = _mapping(kind, dict(enumerate(CAMPAIGN_TYPE_BY_MOD)))
-    return nation.where(F.col("n_nationkey") < MAPPED_CAMPAIGNS).select(
+    return nation.select(
         F.concat(F.lit("C00"), (F.col("n_nationkey") + 1).cast("string")).alias("campaign_id"),
         F.col("n_name").alias("campaign_name"),
         ctype.alias("campaign_type"),
