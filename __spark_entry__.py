@@ -6,8 +6,8 @@
 for the same result over the driver views.
 
 As in the reference, raw sources are files and models are tables: the four
-raw sources are projected from the driver tables and written once per
-application and folder (``raw_sources``). Model queries run their whole plan
+raw sources are projected from the driver tables, rows that break the data
+rules included, and written once per application and folder (``raw_sources``). Model queries run their whole plan
 from those raw tables. Checks, reports, model training and evaluation read
 the models written once by ``build`` (the reference's built tables).
 Profiles read the raw tables. Every query's work grows with the driver
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from cohortlens.operators.windows import group_size, rank_events  # noqa: E402
+from cohortlens.operators.windows import rank_events  # noqa: E402
 from cohortlens.plans import campaign, model, profile, quality, report  # noqa: E402
 from cohortlens.plans.build import Models, build_all  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
@@ -70,7 +70,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = _key(spark, sf_dir)
     if key not in _RAW:
         base = _folder(spark, sf_dir, "raw")
-        _RAW[key] = {n: materialize(df, n, base) for n, df in fixtures.raw_sources(spark, sf_dir).items()}
+        _RAW[key] = {n: materialize(df, n, base) for n, df in fixtures.raw_sources(spark, sf_dir, faults=True).items()}
     return _RAW[key]
 
 
@@ -144,6 +144,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "portfolio": campaign.portfolio,
         "rank_campaigns_roas": lambda m: report.rank_campaigns(m, "total_revenue_roas"),
         "rank_campaigns_cost": lambda m: report.rank_campaigns(m, "cost_per_trial", "Social"),
+        "rank_campaigns_initial_roas": lambda m: report.rank_campaigns(m, "initial_revenue_roas"),
+        "rank_campaigns_cost_per_sale": lambda m: report.rank_campaigns(m, "cost_per_sale"),
+        "rank_campaigns_trial_rate": lambda m: report.rank_campaigns(m, "trial_rate"),
+        "rank_campaigns_sale_rate": lambda m: report.rank_campaigns(m, "sale_rate"),
         "decisions": report.decisions,
         "spend_vs_revenue": report.spend_vs_revenue,
         "campaign_detail": report.campaign_detail,
@@ -304,11 +308,11 @@ def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def ranked_sales(s, d):
         sales = tidy(s, d).where(F.col("event_type") == "sale").select("user_id", "event_date", "revenue_amount")
-        ranked = rank_events(
+        return rank_events(
             sales, "user_id", [F.col("event_date").asc_nulls_last(), F.col("revenue_amount").asc_nulls_last()],
             "sale_number",
+            size="sale_event_count",
         )
-        return group_size(ranked, "user_id", "sale_event_count")
 
     r = {
         "profile_rows": lambda s, d: profile.profile_rows(raw(s, d)),

@@ -91,6 +91,26 @@ def month_num(d: ColumnLike) -> Column:
     return F.month(as_col(d)).cast("int")
 
 
+def plain_double(c: ColumnLike) -> Column:
+    """A double as text in the surrogate key's form: shortest digits, positional
+    from 1e-4 up to 1e16, else ``1.5e+20``; Spark's own cast turns to exponents
+    at 1e7 and 1e-3."""
+    x = as_col(c)
+    text = x.cast("string")
+    exact = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+    positional = F.when(F.endswith(exact, F.lit(".")), F.concat(exact, F.lit("0"))).otherwise(exact)
+    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
+    power = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
+    power_text = F.concat(F.when(power < 0, F.lit("-")).otherwise(F.lit("+")), F.format_string("%02d", F.abs(power)))
+    return (
+        F.when(F.isnan(x), F.lit("nan"))
+        .when(F.abs(x) == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(~F.contains(text, F.lit("E")), text)
+        .when((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16), positional)
+        .otherwise(F.concat(mantissa, F.lit("e"), power_text))
+    )
+
+
 # Fixed value: the text the surrogate-key convention puts in place of a null
 # field, and the separator between fields.
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"

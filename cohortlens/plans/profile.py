@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, flag, sum_flag
 from ..operators.aggregates import null_counts_long, one_row_counts
-from ..operators.joins import orphans
+from ..operators.joins import orphan_counts
 from ..operators.quantiles import exact_quantiles
 from ..operators.sets import union_all
 from ..sources.schemas import GENDER_SENTINELS, ONBOARDING, SALE, TRIAL, UNKNOWN
@@ -133,19 +133,14 @@ def profile_field_conflicts(dim_user: DataFrame, key: str = "user_id",
 def profile_orphan_codes(child: DataFrame, parent: DataFrame, source: str, key: str = "campaign_id",
                          user: str = "user_id") -> DataFrame:
     """Child codes missing from the parent: rows and distinct users per code."""
-    return (
-        orphans(child, parent, key)
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(user).alias("user_count"))
-        .select(F.lit(source).alias("source"), key, "row_count", "user_count")
-    )
+    return orphan_counts(child, parent, key, user).select(F.lit(source).alias("source"), key, "row_count", "user_count")
 
 
 # R9
 def profile_orphan_keys(child: DataFrame, parent: DataFrame, key: str = "user_id") -> DataFrame:
-    return orphans(child, parent, key).agg(
-        F.count(F.lit(1)).alias("orphan_activity_rows"), F.count_distinct(key).alias("orphan_user_ids")
-    )
+    return orphan_counts(child, parent, key, key).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_activity_rows"), F.sum("user_count").alias("orphan_user_ids")
+    ).select("orphan_activity_rows", F.coalesce("orphan_user_ids", F.lit(0)).alias("orphan_user_ids"))
 
 
 # R10

@@ -11,6 +11,7 @@ from ..functions.columns import (
     norm_category,
     norm_code,
     norm_text,
+    plain_double,
     surrogate_key,
 )
 from ..operators.resolve import Resolution, resolve
@@ -89,7 +90,7 @@ def stg_user_activity(raw: DataFrame) -> DataFrame:
         "user_id",
         "event_type",
         "event_at",
-        "revenue_amount",
+        plain_double("revenue_amount"),
         "attribution_date",
         "onboarding_name",
         "campaign_id",

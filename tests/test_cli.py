@@ -13,7 +13,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 def test_cli_steps(spark, scratch):
     raw_dir = os.path.join(scratch, "raw")
-    for name, df in fixtures.raw_sources(spark, SF).items():
+    raw = fixtures.raw_sources(spark, SF)
+    for name, df in raw.items():
         df.coalesce(1).write.option("header", True).csv(os.path.join(raw_dir, f"{name}.csv"))
     out = os.path.join(scratch, "out")
     assert main(["explore", "--raw", raw_dir, "--out", out]) == 0
@@ -23,4 +24,5 @@ def test_cli_steps(spark, scratch):
     assert main(["report", "--out", out]) == 0
     assert spark.read.parquet(os.path.join(out, "model_output", "model_metrics")).count() == 2
     assert spark.read.parquet(os.path.join(out, "reports", "factor_table")).count() > 0
-    assert spark.read.parquet(os.path.join(out, "profiles", "journeys")).first().users == 200
+    assert spark.read.parquet(os.path.join(out, "profiles", "journeys")).first().users == raw["user_activity"].select("user_id").distinct().count()
+    assert spark.read.parquet(os.path.join(out, "models", "fct_user_journey")).count() == 200
