@@ -185,8 +185,7 @@ def _reference_eval(spark: SparkSession, sf_dir: str):
     return _EVAL[key]
 
 
-def _per_target(scored: DataFrame, target: str, part: str) -> DataFrame:
-    return scored.where((F.col("target") == target) & (F.col("split") == part))
+_EVALUATED: dict[tuple[str, str], model.Evaluation] = {}
 
 
 def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -202,63 +201,44 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
             F.lit(split.test_start).alias("test_start_date"),
         )
 
-    def sweep(s, d):
-        _, sc = _reference_eval(s, d)
-        return quality.union_all(
-            *[model.threshold_metrics(_per_target(sc, t, "validation"), target=t) for t in TARGETS]
-        )
-
-    def best(s, d):
-        return model.select_threshold(sweep(s, d))
-
-    def chosen(s, d, t):
-        return best(s, d).where(F.col("target") == t).select("threshold").scalar()
-
-    def confusion(s, d):
-        _, sc = _reference_eval(s, d)
-        return quality.union_all(
-            *[
-                model.confusion(_per_target(sc, t, "test"), chosen(s, d, t)).select(F.lit(t).alias("target"), "*")
-                for t in TARGETS
-            ]
-        )
+    def evaluated(s, d):
+        key = _key(s, d)
+        if key not in _EVALUATED:
+            split, scored = _reference_eval(s, d)
+            _EVALUATED[key] = model.evaluate(scored, split, "category_rate")
+        return _EVALUATED[key]
 
-    def auc(s, d):
-        _, sc = _reference_eval(s, d)
-        return quality.union_all(
-            *[
-                s.range(1).select(
-                    F.lit(t).alias("target"),
-                    model.roc_auc(_per_target(sc, t, "validation")).alias("validation_roc_auc"),
-                    model.roc_auc(_per_target(sc, t, "test")).alias("roc_auc"),
-                )
-                for t in TARGETS
-            ]
-        )
-
-    def summary(s, d):
-        _, sc = _reference_eval(s, d)
-        return quality.union_all(
-            *[
-                model.score_summary(_per_target(sc, t, "test"), chosen(s, d, t)).select(
-                    F.lit(t).alias("target"), "*"
-                )
-                for t in TARGETS
-            ]
-        )
+    def metrics(s, d):
+        return evaluated(s, d).metrics
 
     def references(s, d):
         split, _ = _reference_eval(s, d)
         enc = model.Encoder.fit(split.frame.where(F.col("split") == "training"))
         return quality.union_all(*[model.reference_categories(s, enc, t) for t in TARGETS])
 
+    def factors(s, d):
+        split, _ = _reference_eval(s, d)
+        refs = references(s, d)
+        coefs = quality.union_all(*[model.category_rate_coefficients(split.frame, t, refs) for t in TARGETS])
+        # rounded, so that equal rates are ties in both engines
+        coefs = coefs.withColumns({c: F.round(F.col(c), 6) for c in ("coefficient", "absolute_importance")})
+        return report.factor_table(coefs, refs)
+
+    cells = ("true_negative", "false_positive", "false_negative", "true_positive")
+    summary = ("minimum_probability", "median_probability", "maximum_probability", "predicted_positive_rate")
     fns = {
         "chronological_split": chronological_split,
-        "threshold_metrics": sweep,
-        "select_threshold": best,
-        "confusion": confusion,
-        "roc_auc": auc,
-        "score_summary": summary,
+        "split_guard": lambda s, d: quality.split_guard(_reference_eval(s, d)[0].frame),
+        "threshold_metrics": lambda s, d: evaluated(s, d).sweep,
+        "select_threshold": lambda s, d: evaluated(s, d).chosen,
+        "confusion": lambda s, d: metrics(s, d).select("target", *cells),
+        "roc_auc": lambda s, d: metrics(s, d).select("target", "validation_roc_auc", "roc_auc"),
+        "score_summary": lambda s, d: metrics(s, d).select("target", *summary),
+        "scorer_metrics": metrics,
+        "scorer_confusion_long": lambda s, d: report.confusion_long(metrics(s, d)),
+        "scorer_summary": lambda s, d: report.model_summary(metrics(s, d)),
+        "scorer_factors": factors,
+        "scorer_leading_predictor": lambda s, d: report.leading_predictor(factors(s, d)),
         "reference_categories": references,
     }
     return {

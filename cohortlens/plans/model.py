@@ -2,7 +2,7 @@
 regression (Spark ML), threshold choice and evaluation, coefficient tables.
 
 The evaluation operators (``threshold_metrics``, ``select_threshold``,
-``confusion``, ``roc_auc``, ``score_summary``) take any frame with a 0/1
+``roc_auc``, ``evaluate``) take any frame with a 0/1
 label and a score column, so they serve the fitted model and any other
 scorer alike. They aggregate on the executors; only bounded results reach
 the driver: the distinct attribution dates, category lists of the
@@ -12,7 +12,6 @@ scalar metrics.
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -21,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import count_below, exact_median, prefix_sums
+from ..operators.quantiles import count_below, ranges_of, with_bucket
 from ..operators.sets import union_all
 from ..sources.sinks import reliable_checkpoint
 from ..sources.schemas import (
@@ -192,46 +191,59 @@ def score(model, df: DataFrame, out: str = "score") -> DataFrame:
 # ------------------------------------------------------------------- L5-L10
 
 
-def threshold_metrics(scored: DataFrame, label: str = "label", score_col: str = "score",
-                      thresholds: list[float] | None = None, target: str | None = None) -> DataFrame:
-    """Precision, recall, F1 and predicted-positive rate at each threshold
-    (predict 1 when ``score >= t``; zero division gives 0).
+def score_cells(scored: DataFrame, by: tuple = (), n: str | Column = "label", score_col: str = "score", thresholds=None) -> DataFrame:
+    """(by..., bucket, n, pos): rows and positives per bucket, a bucket being
+    how many thresholds a score reaches. At most ``len(thresholds) + 1`` rows
+    per group leave the aggregation. ``n`` names the label column, or a frame
+    of distinct scores has ``n`` and ``pos`` already."""
+    bucket = count_below(score_col, sorted(thresholds or threshold_grid()), strict=False).alias("bucket")
+    if n == "n":
+        rows = scored.select(*by, bucket, "n", "pos")
+    else:
+        rows = scored.select(*by, bucket, F.lit(1).alias("n"), F.col(n).cast("long").alias("pos"))
+    return rows.groupBy(*by, "bucket").agg(F.sum("n").cast("long").alias("n"), F.sum("pos").cast("long").alias("pos"))
+
+
+def _reached(part: str, at: str, what: str) -> str:
+    """SQL: the sum of ``what`` over a part's cells that reach threshold ``at``."""
+    return f"aggregate(filter(cells, c -> c.part = '{part}' and c.bucket >= {at}), 0L, (a, c) -> a + c.{what})"
 
-    Each row is bucketed by how many thresholds its score reaches; one
-    ``groupBy(bucket)`` (at most ``len(thresholds) + 1`` rows) then gives every
-    threshold's counts by suffix sums over the buckets."""
+
+def _share(above: str, below: str) -> str:
+    return f"if({below} > 0, cast({above} as double) / {below}, 0.0D)"
+
+
+def with_sweep(cells: DataFrame, by: tuple = (), part: Column | None = None, swept: str = "validation", thresholds=None) -> DataFrame:
+    """One row per group: ``cells``, an array of its cells with their ``part``,
+    and ``sweep``, per threshold precision, recall, F1 and predicted-positive
+    rate over the part ``swept`` (zero division gives 0)."""
     thresholds = sorted(thresholds or threshold_grid())
-    m = len(thresholds)
-    bucketed = scored.select(
-        count_below(score_col, thresholds, strict=False).alias("bucket"), F.col(label).cast("long").alias("y")
-    )
-    counts = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
-    spark = scored.sparkSession
-    all_b = spark.range(m + 1).select(F.col("id").cast("int").alias("bucket"))
-    suffix = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    full = all_b.join(counts, "bucket", "left").select(
-        "bucket",
-        F.sum(F.coalesce("n", F.lit(0))).over(suffix).alias("pp"),
-        F.sum(F.coalesce("pos", F.lit(0))).over(suffix).alias("tp"),
-        F.sum(F.coalesce("n", F.lit(0))).over(Window.rowsBetween(Window.unboundedPreceding,
-                                                                 Window.unboundedFollowing)).alias("N"),
-        F.sum(F.coalesce("pos", F.lit(0))).over(Window.rowsBetween(Window.unboundedPreceding,
-                                                                   Window.unboundedFollowing)).alias("P"),
+    part = F.lit(swept) if part is None else part
+    rows = cells.groupBy(*by).agg(F.collect_list(F.struct(part.alias("part"), "bucket", "n", "pos")).alias("cells"))
+    grid = "array(" + ", ".join(f"{t!r}D" for t in thresholds) + ")"
+    counts = (
+        f"transform(sequence(1, {len(thresholds)}), i -> named_struct('i', i, 'threshold', element_at({grid}, i), "
+        f"'tp', {_reached(swept, 'i', 'pos')}, 'pp', {_reached(swept, 'i', 'n')}, "
+        f"'p', {_reached(swept, '0', 'pos')}, 'n', {_reached(swept, '0', 'n')}))"
     )
-    grid_df = spark.createDataFrame([(i + 1, float(t)) for i, t in enumerate(thresholds)], "bucket int, threshold double")
-    j = grid_df.join(full, "bucket")
-    tp, pp = F.col("tp").cast("double"), F.col("pp").cast("double")
-    N = F.col("N").cast("double")
-    P = F.col("P").cast("double")
-    out = j.select(
-        (F.lit(target) if target is not None else F.lit(None).cast("string")).alias("target"),
-        "threshold",
-        F.when(pp > 0, tp / pp).otherwise(F.lit(0.0)).alias("precision"),
-        F.when(P > 0, tp / P).otherwise(F.lit(0.0)).alias("recall"),
-        F.when(P + pp > 0, F.lit(2.0) * tp / (P + pp)).otherwise(F.lit(0.0)).alias("f1_score"),
-        F.when(N > 0, pp / N).otherwise(F.lit(0.0)).alias("predicted_positive_rate"),
+    metrics = (
+        f"transform(counts, x -> named_struct('f1_score', {_share('2 * x.tp', '(x.p + x.pp)')}, 'precision', {_share('x.tp', 'x.pp')}, "
+        f"'recall', {_share('x.tp', 'x.p')}, 'threshold', x.threshold, 'predicted_positive_rate', {_share('x.pp', 'x.n')}, 'i', x.i))"
     )
-    return out
+    return rows.withColumn("counts", F.expr(counts)).withColumn("sweep", F.expr(metrics)).drop("counts")
+
+
+_SWEEP_COLUMNS = ("threshold", "precision", "recall", "f1_score", "predicted_positive_rate")
+
+
+def threshold_metrics(scored: DataFrame, label: str = "label", score_col: str = "score",
+                      thresholds: list[float] | None = None, target: str | None = None) -> DataFrame:
+    """Precision, recall, F1 and predicted-positive rate at each threshold
+    (predict 1 when ``score >= t``; zero division gives 0), from one
+    aggregation by bucket."""
+    swept = with_sweep(score_cells(scored, (), label, score_col, thresholds), thresholds=thresholds)
+    name = F.lit(target) if target is not None else F.lit(None).cast("string")
+    return swept.select(F.explode("sweep").alias("x")).select(name.alias("target"), *[f"x.{c}" for c in _SWEEP_COLUMNS])
 
 
 def select_threshold(metrics: DataFrame) -> DataFrame:
@@ -243,58 +255,136 @@ def select_threshold(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).drop("__r")
 
 
-def confusion(scored: DataFrame, threshold: Column | float, label: str = "label", score_col: str = "score") -> DataFrame:
-    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    y, hit = F.col(label), F.col(score_col) >= t
-    return scored.agg(
-        F.count_if((y == 0) & ~hit).alias("true_negative"),
-        F.count_if((y == 0) & hit).alias("false_positive"),
-        F.count_if((y == 1) & ~hit).alias("false_negative"),
-        F.count_if((y == 1) & hit).alias("true_positive"),
+def ordered_scores(scored: DataFrame, by: tuple = (), label: str = "label", score_col: str = "score") -> DataFrame:
+    """(by..., s, pos, n, pos_before, n_before, n_all): a row per distinct score
+    of a group, with the positives and rows below it. The scores are cut into
+    as many ranges as there are shuffle partitions; a range is summed in order
+    in its own window partition, and starts from the totals of the ranges
+    before it."""
+    per_score = reliable_checkpoint(
+        scored.groupBy(*by, F.col(score_col).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
     )
-
-
-def class_metrics(cm: DataFrame) -> DataFrame:
-    """Precision, recall, F1 from a confusion row (zero division gives 0)."""
-    tp, fp, fn = (F.col(c).cast("double") for c in ("true_positive", "false_positive", "false_negative"))
-    return cm.select(
-        "*",
-        F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
-        F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"),
-        F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1_score"),
+    placed = with_bucket(per_score, "s", ranges_of(per_score), "range")
+    totals = placed.groupBy(*by, "range").agg(F.sum("pos").alias("range_pos"), F.sum("n").alias("range_n"))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        *[F.col(c).alias(f"of_{c}") for c in by],
+        F.col("range").alias("of_range"),
+        F.coalesce(F.sum("range_pos").over(before), F.lit(0)).alias("pos_from"),
+        F.coalesce(F.sum("range_n").over(before), F.lit(0)).alias("n_from"),
+        F.sum("range_n").over(group).alias("n_all"),
     )
+    inside = Window.partitionBy(*by, "range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("range") == F.col("of_range")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    # a row per group and range: at most groups x spark.sql.shuffle.partitions
+    return placed.join(F.broadcast(totals), same).select(
+        *by, "s", "pos", "n", "n_all",
+        (F.col("pos_from") + F.coalesce(F.sum("pos").over(inside), F.lit(0))).alias("pos_before"),
+        (F.col("n_from") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("n_before"),
+    )
+
+
+def _auc() -> Column:
+    """Exact ROC AUC of ordered scores, ties counted half (Mann-Whitney); null
+    when a class is absent."""
+    positives, negatives = F.sum("pos").cast("double"), F.sum(F.col("n") - F.col("pos")).cast("double")
+    below = F.col("n_before") - F.col("pos_before") + F.lit(0.5) * (F.col("n") - F.col("pos"))
+    return F.sum(F.col("pos") * below) / F.nullif(positives * negatives, F.lit(0.0))
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score_col: str = "score") -> Column:
-    """Exact ROC AUC with ties counted half (Mann-Whitney), as a scalar
-    column: scores are collapsed per distinct value, negatives below each
-    score come from a distributed prefix sum. Null when a class is absent."""
-    per_score = reliable_checkpoint(
-        scored.groupBy(F.col(score_col).alias("s")).agg(
-            F.sum(F.col(label).cast("long")).alias("pos"),
-            F.sum((1 - F.col(label)).cast("long")).alias("neg"),
-        )
-    )
-    ranked = prefix_sums(per_score, "s", ["neg"])
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    auc = ranked.agg(
-        (F.sum(F.col("pos") * (F.col("neg_before") + F.lit(0.5) * F.col("neg"))) / F.nullif(pairs, F.lit(0.0))).alias(
-            "auc"
-        )
-    )
-    return auc.select("auc").scalar()
+    """Exact ROC AUC as a scalar column."""
+    return ordered_scores(scored, (), label, score_col).agg(_auc().alias("auc")).scalar()
+
+
+def _rank_value(rank: Column) -> Column:
+    """The score at a rank (from 0) of a group's rows."""
+    return F.max(F.when((F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n")), F.col("s")))
+
+
+# ------------------------------------------------------------------- L11
+
+
+# The columns of the metrics record.
+METRIC_COLUMNS = (
+    "target", "model_name", "prediction_threshold", "validation_start_date", "test_start_date", "train_rows",
+    "validation_rows", "test_rows", "train_positive_rate", "validation_positive_rate", "test_positive_rate",
+    "validation_roc_auc", "validation_f1", "roc_auc", "precision", "recall", "f1_score",
+    "predicted_positive_rate", "minimum_probability", "median_probability", "maximum_probability",
+    "true_negative", "false_positive", "false_negative", "true_positive",
+)
 
 
-def score_summary(scored: DataFrame, threshold: Column | float, score_col: str = "score") -> DataFrame:
-    """min / exact median / max of the scores and the share predicted positive."""
-    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    med = exact_median(scored, score_col, "median_probability").select("median_probability").scalar()
-    return scored.agg(
-        F.min(score_col).alias("minimum_probability"),
-        F.max(score_col).alias("maximum_probability"),
-        F.avg(F.when(F.col(score_col) >= t, 1.0).otherwise(0.0)).alias("predicted_positive_rate"),
-    ).select("minimum_probability", med.alias("median_probability"), "maximum_probability",
-             "predicted_positive_rate")
+@dataclass
+class Evaluation:
+    sweep: DataFrame  # per target and threshold
+    chosen: DataFrame  # the best threshold's row per target
+    metrics: DataFrame  # the metrics record per target
+
+
+def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> Evaluation:
+    """Threshold sweep on validation, the chosen threshold applied to test, of
+    every target in ``scored`` (target, split, label, score) at once. The rows
+    are read once, into one row per distinct (target, split, score); all that
+    follows reads that table, and joins are between rows per target."""
+    by = ("target", "split")
+    ordered = ordered_scores(scored.where(F.col("split").isNotNull()), by)
+    part = ordered.groupBy(*by).agg(
+        F.sum("n").alias("rows"),
+        (F.sum("pos").cast("double") / F.sum("n")).alias("rate"),
+        _auc().alias("auc"),
+        F.min("s").alias("lowest"),
+        F.max("s").alias("highest"),
+        _rank_value(F.floor((F.col("n_all") - 1) / 2)).alias("below"),
+        _rank_value(F.ceil((F.col("n_all") - 1) / 2)).alias("above"),
+    )
+    facts = [c for c in part.columns if c not in by]
+    parts = part.groupBy("target").agg(
+        *[F.max(F.when(F.col("split") == p, F.struct(*facts))).alias(p) for p in ("training", "validation", "test")]
+    )
+    best = F.array_max("sweep")  # by F1, precision, recall, then the higher threshold
+    swept = with_sweep(score_cells(ordered, by, "n", "s"), ("target",), F.col("split")).withColumn("best", best)
+    cells = {
+        "true_positive": _reached("test", "best.i", "pos"),
+        "predicted": _reached("test", "best.i", "n"),
+        "positive": _reached("test", "0", "pos"),
+        "total": _reached("test", "0", "n"),
+    }
+    at = swept.select("target", "best", *[F.expr(sql).alias(name) for name, sql in cells.items()]).join(parts, "target")
+    tp, predicted, positive, total = (F.col(c) for c in cells)
+    metrics = at.select(
+        "target",
+        F.lit(model_name).alias("model_name"),
+        F.col("best.threshold").alias("prediction_threshold"),
+        F.lit(split.validation_start).cast("date").alias("validation_start_date"),
+        F.lit(split.test_start).cast("date").alias("test_start_date"),
+        F.col("training.rows").alias("train_rows"),
+        F.col("validation.rows").alias("validation_rows"),
+        F.col("test.rows").alias("test_rows"),
+        F.col("training.rate").alias("train_positive_rate"),
+        F.col("validation.rate").alias("validation_positive_rate"),
+        F.col("test.rate").alias("test_positive_rate"),
+        F.col("validation.auc").alias("validation_roc_auc"),
+        F.col("best.f1_score").alias("validation_f1"),
+        F.col("test.auc").alias("roc_auc"),
+        F.expr(_share("true_positive", "predicted")).alias("precision"),
+        F.expr(_share("true_positive", "positive")).alias("recall"),
+        F.expr(_share("2 * true_positive", "(predicted + positive)")).alias("f1_score"),
+        F.expr(_share("predicted", "total")).alias("predicted_positive_rate"),
+        F.col("test.lowest").alias("minimum_probability"),
+        (F.col("test.below") + (F.col("test.above") - F.col("test.below")) * 0.5).alias("median_probability"),
+        F.col("test.highest").alias("maximum_probability"),
+        (total - predicted - positive + tp).alias("true_negative"),
+        (predicted - tp).alias("false_positive"),
+        (positive - tp).alias("false_negative"),
+        tp.alias("true_positive"),
+    )
+    sweep = swept.select("target", F.explode("sweep").alias("x")).select("target", *[f"x.{c}" for c in _SWEEP_COLUMNS])
+    chosen = swept.select("target", *[f"best.{c}" for c in _SWEEP_COLUMNS])
+    return Evaluation(sweep, chosen, metrics)
 
 
 # ------------------------------------------------------------------- L12/L13
@@ -315,7 +405,7 @@ def coefficient_table(spark: SparkSession, model, encoder: Encoder, target: str)
             "direction"
         ),
         F.exp("coefficient").alias("odds_ratio"),
-    ).orderBy(F.col("absolute_importance").desc())
+    )
 
 
 def reference_categories(spark: SparkSession, encoder: Encoder, target: str) -> DataFrame:
@@ -323,105 +413,6 @@ def reference_categories(spark: SparkSession, encoder: Encoder, target: str) ->
     return spark.createDataFrame(rows, "target string, predictor string, reference_category string")
 
 
-# ------------------------------------------------------------------- L11
-
-
-METRIC_COLUMNS = (
-    "target", "model_name", "prediction_threshold", "validation_start_date", "test_start_date", "train_rows",
-    "validation_rows", "test_rows", "train_positive_rate", "validation_positive_rate", "test_positive_rate",
-    "validation_roc_auc", "validation_f1", "roc_auc", "precision", "recall", "f1_score",
-    "predicted_positive_rate", "minimum_probability", "median_probability", "maximum_probability",
-    "true_negative", "false_positive", "false_negative", "true_positive",
-)
-
-
-def _nan_to_none(x):
-    return None if isinstance(x, float) and math.isnan(x) else x
-
-
-def split_summary(scored: DataFrame, threshold: float, label: str = "label", score_col: str = "score") -> DataFrame:
-    """Per split in one aggregation: rows, positive rate, the confusion cells
-    at ``threshold``, min/max score and the share predicted positive."""
-    y, hit = F.col(label), F.col(score_col) >= F.lit(float(threshold))
-    return scored.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(y.cast("double")).alias("rate"),
-        F.count_if((y == 0) & ~hit).alias("true_negative"),
-        F.count_if((y == 0) & hit).alias("false_positive"),
-        F.count_if((y == 1) & ~hit).alias("false_negative"),
-        F.count_if((y == 1) & hit).alias("true_positive"),
-        F.min(score_col).alias("minimum_probability"),
-        F.max(score_col).alias("maximum_probability"),
-        F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("predicted_positive_rate"),
-    )
-
-
-def _f1(r) -> tuple[float, float, float]:
-    tp, fp, fn = r.true_positive, r.false_positive, r.false_negative
-    precision = tp / (tp + fp) if tp + fp else 0.0
-    recall = tp / (tp + fn) if tp + fn else 0.0
-    f1 = 2 * tp / (2 * tp + fp + fn) if 2 * tp + fp + fn else 0.0
-    return float(precision), float(recall), float(f1)
-
-
-def evaluate(scored: DataFrame, target: str, split: Split, label: str = "label",
-             score_col: str = "score") -> tuple[dict, DataFrame]:
-    """Threshold sweep on validation, chosen threshold applied to test.
-    Returns the metrics record and the threshold table. ``scored`` is read
-    by several passes; callers should persist it."""
-    spark = scored.sparkSession
-    val = scored.where(F.col("split") == "validation")
-    test = scored.where(F.col("split") == "test")
-    sweep = _small(threshold_metrics(val, label, score_col, target=target))
-    t = float(select_threshold(sweep).first().threshold)
-    c = {r.split: r for r in split_summary(scored, t, label, score_col).collect()}
-    aucs = spark.range(1).select(
-        roc_auc(val, label, score_col).alias("validation_roc_auc"), roc_auc(test, label, score_col).alias("roc_auc")
-    ).first()
-    median = exact_median(test, score_col).first()[0]
-    _, _, val_f1 = _f1(c["validation"])
-    precision, recall, f1 = _f1(c["test"])
-    tr, va, te = c["training"], c["validation"], c["test"]
-    record = {
-        "target": target,
-        "model_name": MODEL_NAME,
-        "prediction_threshold": t,
-        "validation_start_date": split.validation_start,
-        "test_start_date": split.test_start,
-        "train_rows": int(tr.n),
-        "validation_rows": int(va.n),
-        "test_rows": int(te.n),
-        "train_positive_rate": float(tr.rate),
-        "validation_positive_rate": float(va.rate),
-        "test_positive_rate": float(te.rate),
-        "validation_roc_auc": _nan_to_none(aucs.validation_roc_auc),
-        "validation_f1": val_f1,
-        "roc_auc": _nan_to_none(aucs.roc_auc),
-        "precision": precision,
-        "recall": recall,
-        "f1_score": f1,
-        "predicted_positive_rate": float(te.predicted_positive_rate),
-        "minimum_probability": float(te.minimum_probability),
-        "median_probability": float(median),
-        "maximum_probability": float(te.maximum_probability),
-        "true_negative": int(te.true_negative),
-        "false_positive": int(te.false_positive),
-        "false_negative": int(te.false_negative),
-        "true_positive": int(te.true_positive),
-    }
-    return record, sweep
-
-
-METRICS_SCHEMA = (
-    "target string, model_name string, prediction_threshold double, validation_start_date date, "
-    "test_start_date date, train_rows long, validation_rows long, test_rows long, train_positive_rate double, "
-    "validation_positive_rate double, test_positive_rate double, validation_roc_auc double, validation_f1 double, "
-    "roc_auc double, precision double, recall double, f1_score double, predicted_positive_rate double, "
-    "minimum_probability double, median_probability double, maximum_probability double, true_negative long, "
-    "false_positive long, false_negative long, true_positive long"
-)
-
-
 @dataclass
 class ModelOutputs:
     model_metrics: DataFrame
@@ -439,11 +430,10 @@ class ModelOutputs:
 
 
 def train_models(features: DataFrame, targets=TARGETS, predictors=PREDICTORS) -> ModelOutputs:
-    """Validate, split by date, encode once, fit and evaluate one model per
-    target. The encoded frame is cached for the solver's passes."""
+    """Validate, split by date, encode once, fit one model per target, and
+    evaluate all targets in one pass. The encoded frame is cached for the
+    solver's passes."""
     spark = features.sparkSession
-    # several guards, the date list, the encoder and the solver all read it
-    features = reliable_checkpoint(features)
     validate_features(features, targets, predictors)
     split = split_chronologically(prepare_predictors(features, predictors))
     validate_splits(split.frame, targets)
@@ -453,31 +443,26 @@ def train_models(features: DataFrame, targets=TARGETS, predictors=PREDICTORS) ->
     try:
         train = encoded.where(F.col("split") == "training")
         n_train = train.count()
-
-        def one(target: str):
-            model = fit_target(train, target, n_train, predictors)
-            scored = score(model, encoded.withColumn("label", F.col(target).cast("int"))).persist()
-            try:
-                record, sweep = evaluate(scored, target, split)
-            finally:
-                scored.unpersist()
-            return record, sweep, coefficient_table(spark, model, encoder, target), reference_categories(
-                spark, encoder, target
-            )
-
         # the targets are independent: their jobs run side by side
         with ThreadPoolExecutor(max_workers=len(targets)) as pool:
-            results = list(pool.map(one, targets))
-        records = [r[0] for r in results]
-        sweeps, coefs, refs = ([r[i] for r in results] for i in (1, 2, 3))
+            fitted = dict(zip(targets, pool.map(lambda t: fit_target(train, t, n_train, predictors), targets)))
+        scored = union_all(
+            *[
+                score(fitted[t], encoded.withColumn("label", F.col(t).cast("int"))).select(F.lit(t).alias("target"), "split", "label", "score")
+                for t in targets
+            ]
+        )
+        found = evaluate(scored, split)
+        metrics, sweep = _small(found.metrics.select(*METRIC_COLUMNS)), _small(found.sweep)
     finally:
         encoded.unpersist()
-    metrics = spark.createDataFrame([tuple(r[c] for c in METRIC_COLUMNS) for r in records], METRICS_SCHEMA)
-    return ModelOutputs(metrics, union_all(*coefs), union_all(*refs), union_all(*sweeps))
+    coefs = union_all(*[coefficient_table(spark, fitted[t], encoder, t) for t in targets])
+    refs = union_all(*[reference_categories(spark, encoder, t) for t in targets])
+    return ModelOutputs(metrics, coefs.orderBy("target", F.col("absolute_importance").desc(), "feature"), refs, sweep)
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A bounded result (46 threshold rows) re-created from its rows, so it no
+    """A bounded result (46 threshold rows or one row a target) re-created from its rows, so it no
     longer depends on the scored data's lineage."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
@@ -502,3 +487,24 @@ def category_rate_scores(split_df: DataFrame, target: str, by: str = "onboarding
         F.col(target).cast("int").alias("label"),
         F.coalesce(F.col("__rate"), overall).alias(score_col),
     )
+
+
+def category_rate_coefficients(split_df: DataFrame, target: str, references: DataFrame, predictors=PREDICTORS) -> DataFrame:
+    """A solver-free coefficient table: how far each category's training-period
+    positive rate lies from the overall one; reference categories are left out.
+    For checks of the report tables against plain SQL."""
+    train = split_df.where(F.col("split") == "training")
+    pairs = train.select(F.col(target).cast("long").alias("y"), F.explode(F.array(
+        *[F.struct(F.lit(p).alias("predictor"), F.col(p).alias("category")) for p in predictors]
+    )).alias("p")).select("p.*", "y")
+    overall = train.select(F.sum(target).cast("double") / F.count(F.lit(1))).scalar()
+    rates = pairs.groupBy("predictor", "category").agg((F.sum("y").cast("double") / F.count(F.lit(1)) - overall).alias("coefficient"))
+    refs = references.where(F.col("target") == target).select("predictor", F.col("reference_category").alias("category"))
+    left = rates.join(refs, ["predictor", "category"], "left_anti")
+    c = F.col("coefficient")
+    return left.select(
+        F.lit(target).alias("target"), "predictor", "category", F.concat_ws("=", "predictor", "category").alias("feature"), c.alias("coefficient"),
+        F.abs(c).alias("absolute_importance"),
+        F.when(c > 0, "positive").when(c < 0, "negative").otherwise("neutral").alias("direction"),
+        F.exp(c).alias("odds_ratio"),
+    )
