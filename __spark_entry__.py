@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
+from cohortlens.operators.aggregates import pivot_rank  # noqa: E402
 from cohortlens.operators.windows import rank_events  # noqa: E402
 from cohortlens.plans import campaign, model, profile, quality, report  # noqa: E402
 from cohortlens.plans.build import Models, build_all  # noqa: E402
@@ -148,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rank_campaigns_cost_per_sale": lambda m: report.rank_campaigns(m, "cost_per_sale"),
         "rank_campaigns_trial_rate": lambda m: report.rank_campaigns(m, "trial_rate"),
         "rank_campaigns_sale_rate": lambda m: report.rank_campaigns(m, "sale_rate"),
+        "filter_values": report.filter_values,
         "decisions": report.decisions,
         "spend_vs_revenue": report.spend_vs_revenue,
         "campaign_detail": report.campaign_detail,
@@ -224,14 +226,13 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         coefs = coefs.withColumns({c: F.round(F.col(c), 6) for c in ("coefficient", "absolute_importance")})
         return report.factor_table(coefs, refs)
 
-    cells = ("true_negative", "false_positive", "false_negative", "true_positive")
     summary = ("minimum_probability", "median_probability", "maximum_probability", "predicted_positive_rate")
     fns = {
         "chronological_split": chronological_split,
         "split_guard": lambda s, d: quality.split_guard(_reference_eval(s, d)[0].frame),
         "threshold_metrics": lambda s, d: evaluated(s, d).sweep,
         "select_threshold": lambda s, d: evaluated(s, d).chosen,
-        "confusion": lambda s, d: metrics(s, d).select("target", *cells),
+        "confusion": lambda s, d: evaluated(s, d).confusion,
         "roc_auc": lambda s, d: metrics(s, d).select("target", "validation_roc_auc", "roc_auc"),
         "score_summary": lambda s, d: metrics(s, d).select("target", *summary),
         "scorer_metrics": metrics,
@@ -340,6 +341,9 @@ def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_spend_distribution": lambda s, d: profile.profile_spend_distribution(raw(s, d)["marketing_spend"]),
         "profile_date_matches": lambda s, d: profile.profile_date_matches(tidy(s, d)),
         "ranked_sales": ranked_sales,
+        "first_two_sales": lambda s, d: pivot_rank(
+            ranked_sales(s, d), "user_id", "sale_number", 2, ["event_date", "revenue_amount"]
+        ),
     }
     return r
 

@@ -128,20 +128,11 @@ def surrogate_key(*cols: ColumnLike) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def count_where(cond: Column) -> Column:
-    """Conditional count; 0 (never null) over an empty input."""
-    return F.count_if(cond)
-
-
 def sum_flag(cond: Column) -> Column:
     """``sum(case when cond then 1 else 0 end)``; null over an empty input,
     as in SQL."""
     return F.sum(flag(cond))
 
 
-def min_where(cond: Column, c: ColumnLike) -> Column:
-    return F.min(F.when(cond, as_col(c)))
-
-
 def percent(c: ColumnLike) -> Column:
     return as_col(c) * F.lit(100)

@@ -1,69 +1,16 @@
-"""Row filters and orderings used across models, checks and reports.
-
-All are plain ``where`` / ``orderBy`` expressions: Catalyst pushes the
-comparisons on stored columns into the parquet scan.
-"""
+"""Row filters shared by models and reports: plain comparisons, which Catalyst
+pushes into the parquet scan."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_col
-
 
 def where_event(df: DataFrame, event_type: str, col: str = "event_type") -> DataFrame:
     return df.where(F.col(col) == F.lit(event_type))
 
 
-def in_domain(c, values: Iterable) -> Column:
-    return as_col(c).isin(list(values))
-
-
-def not_in_domain(c, values: Iterable) -> Column:
-    """``NOT IN``: null stays null (a null never violates)."""
-    return ~as_col(c).isin(list(values))
-
-
-def is_missing(c) -> Column:
-    return as_col(c).isNull()
-
-
-def is_present(c) -> Column:
-    return as_col(c).isNotNull()
-
-
-def columns_differ(a, b) -> Column:
-    """``a <> b`` with SQL null semantics (null when either is null)."""
-    return as_col(a) != as_col(b)
-
-
-def between_dates(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
-    """Half-open ``lo <= col < hi``; an omitted bound is open."""
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col(col) >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (F.col(col) < F.lit(hi))
-    return df.where(cond)
-
-
-def for_target(df: DataFrame, target: str) -> DataFrame:
-    return df.where(F.col("target") == F.lit(target))
-
-
 def by_sign(coefficients: DataFrame, positive: bool = True) -> DataFrame:
     c = F.col("coefficient")
     return coefficients.where(c > 0 if positive else c < 0)
-
-
-def order_desc(df: DataFrame, col: str) -> DataFrame:
-    """Descending, nulls last (the SQL engines' default for DESC)."""
-    return df.orderBy(F.col(col).desc_nulls_last())
-
-
-def order_by(df: DataFrame, *keys: tuple[str, bool]) -> DataFrame:
-    """Mixed directions, ``(column, descending)`` pairs, nulls last both ways."""
-    return df.orderBy(*[F.col(k).desc_nulls_last() if d else F.col(k).asc_nulls_last() for k, d in keys])

@@ -151,10 +151,6 @@ def exact_quantiles(
     return spark.createDataFrame([tuple(out)], schema)
 
 
-def exact_median(df: DataFrame, col: str, name: str = "median") -> DataFrame:
-    return exact_quantiles(df, col, [0.5], [name])
-
-
 def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int | None = None) -> DataFrame:
     """For a frame with one row per distinct ``order_col`` value, add
     ``{w}_before``: the sum of ``w`` over all rows with a smaller value.

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quantiles import count_below, ranges_of, with_bucket
 from ..operators.sets import union_all
+from ..operators.windows import top_k_per_group
 from ..sources.sinks import reliable_checkpoint
 from ..sources.schemas import (
     PREDICTORS,
@@ -249,21 +250,24 @@ def threshold_metrics(scored: DataFrame, label: str = "label", score_col: str =
 def select_threshold(metrics: DataFrame) -> DataFrame:
     """Per target the row with the best F1; ties by precision, recall, then the
     higher threshold."""
-    w = Window.partitionBy("target").orderBy(
-        F.col("f1_score").desc(), F.col("precision").desc(), F.col("recall").desc(), F.col("threshold").desc()
+    order = [F.col(c).desc() for c in ("f1_score", "precision", "recall", "threshold")]
+    return top_k_per_group(metrics, ["target"], order, 1, "__r").drop("__r")
+
+
+def distinct_scores(scored: DataFrame, by: tuple = (), label: str = "label", score_col: str = "score") -> DataFrame:
+    """(by..., s, pos, n): positives and rows per distinct score of a group,
+    written once."""
+    return reliable_checkpoint(
+        scored.groupBy(*by, F.col(score_col).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
     )
-    return metrics.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).drop("__r")
 
 
-def ordered_scores(scored: DataFrame, by: tuple = (), label: str = "label", score_col: str = "score") -> DataFrame:
-    """(by..., s, pos, n, pos_before, n_before, n_all): a row per distinct score
-    of a group, with the positives and rows below it. The scores are cut into
+def ordered_scores(per_score: DataFrame, by: tuple = ()) -> DataFrame:
+    """Distinct scores with ``pos_before`` and ``n_before``, the positives and
+    rows below each, and ``n_all``, the group's rows. The scores are cut into
     as many ranges as there are shuffle partitions; a range is summed in order
     in its own window partition, and starts from the totals of the ranges
     before it."""
-    per_score = reliable_checkpoint(
-        scored.groupBy(*by, F.col(score_col).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
-    )
     placed = with_bucket(per_score, "s", ranges_of(per_score), "range")
     totals = placed.groupBy(*by, "range").agg(F.sum("pos").alias("range_pos"), F.sum("n").alias("range_n"))
     group = Window.partitionBy(*by)
@@ -297,7 +301,7 @@ def _auc() -> Column:
 
 def roc_auc(scored: DataFrame, label: str = "label", score_col: str = "score") -> Column:
     """Exact ROC AUC as a scalar column."""
-    return ordered_scores(scored, (), label, score_col).agg(_auc().alias("auc")).scalar()
+    return ordered_scores(distinct_scores(scored, (), label, score_col)).agg(_auc().alias("auc")).scalar()
 
 
 def _rank_value(rank: Column) -> Column:
@@ -322,6 +326,7 @@ METRIC_COLUMNS = (
 class Evaluation:
     sweep: DataFrame  # per target and threshold
     chosen: DataFrame  # the best threshold's row per target
+    confusion: DataFrame  # the test part's four cells per target
     metrics: DataFrame  # the metrics record per target
 
 
@@ -331,8 +336,8 @@ def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> E
     are read once, into one row per distinct (target, split, score); all that
     follows reads that table, and joins are between rows per target."""
     by = ("target", "split")
-    ordered = ordered_scores(scored.where(F.col("split").isNotNull()), by)
-    part = ordered.groupBy(*by).agg(
+    per_score = distinct_scores(scored.where(F.col("split").isNotNull()), by)
+    part = ordered_scores(per_score, by).groupBy(*by).agg(
         F.sum("n").alias("rows"),
         (F.sum("pos").cast("double") / F.sum("n")).alias("rate"),
         _auc().alias("auc"),
@@ -346,16 +351,22 @@ def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> E
         *[F.max(F.when(F.col("split") == p, F.struct(*facts))).alias(p) for p in ("training", "validation", "test")]
     )
     best = F.array_max("sweep")  # by F1, precision, recall, then the higher threshold
-    swept = with_sweep(score_cells(ordered, by, "n", "s"), ("target",), F.col("split")).withColumn("best", best)
+    swept = with_sweep(score_cells(per_score, by, "n", "s"), ("target",), F.col("split")).withColumn("best", best)
     cells = {
         "true_positive": _reached("test", "best.i", "pos"),
         "predicted": _reached("test", "best.i", "n"),
         "positive": _reached("test", "0", "pos"),
         "total": _reached("test", "0", "n"),
     }
-    at = swept.select("target", "best", *[F.expr(sql).alias(name) for name, sql in cells.items()]).join(parts, "target")
+    at = swept.select("target", "best", *[F.expr(sql).alias(name) for name, sql in cells.items()])
     tp, predicted, positive, total = (F.col(c) for c in cells)
-    metrics = at.select(
+    confusion = {
+        "true_negative": total - predicted - positive + tp,
+        "false_positive": predicted - tp,
+        "false_negative": positive - tp,
+        "true_positive": tp,
+    }
+    metrics = at.join(parts, "target").select(
         "target",
         F.lit(model_name).alias("model_name"),
         F.col("best.threshold").alias("prediction_threshold"),
@@ -377,14 +388,11 @@ def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> E
         F.col("test.lowest").alias("minimum_probability"),
         (F.col("test.below") + (F.col("test.above") - F.col("test.below")) * 0.5).alias("median_probability"),
         F.col("test.highest").alias("maximum_probability"),
-        (total - predicted - positive + tp).alias("true_negative"),
-        (predicted - tp).alias("false_positive"),
-        (positive - tp).alias("false_negative"),
-        tp.alias("true_positive"),
+        *[c.alias(name) for name, c in confusion.items()],
     )
     sweep = swept.select("target", F.explode("sweep").alias("x")).select("target", *[f"x.{c}" for c in _SWEEP_COLUMNS])
     chosen = swept.select("target", *[f"best.{c}" for c in _SWEEP_COLUMNS])
-    return Evaluation(sweep, chosen, metrics)
+    return Evaluation(sweep, chosen, at.select("target", *[c.alias(name) for name, c in confusion.items()]), metrics)
 
 
 # ------------------------------------------------------------------- L12/L13

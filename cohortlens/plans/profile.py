@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, flag, sum_flag
 from ..operators.aggregates import null_counts_long, one_row_counts
-from ..operators.joins import orphan_counts
+from ..operators.joins import key_overlap, orphan_counts
 from ..operators.quantiles import exact_quantiles
 from ..operators.sets import union_all
 from ..sources.schemas import GENDER_SENTINELS, ONBOARDING, SALE, TRIAL, UNKNOWN
@@ -285,9 +285,8 @@ def profile_code_overlap(dim_user: DataFrame, activity: DataFrame, code: str = "
                          key: str = "user_id", col: str = "campaign_id") -> DataFrame:
     a = dim_user.where(F.col(col) == F.lit(code)).select(key).distinct()
     b = activity.where(F.col(col) == F.lit(code)).select(key).distinct()
-    shared = a.join(b, key, "inner")
     return one_row_counts(
-        dim_user.sparkSession, dim_user_c999_users=a, activity_c999_users=b, shared_c999_users=shared
+        dim_user.sparkSession, dim_user_c999_users=a, activity_c999_users=b, shared_c999_users=key_overlap(a, b, key)
     )
 
 

@@ -355,12 +355,6 @@ class CheckFailed(RuntimeError):
     pass
 
 
-def run_checks(models) -> DataFrame:
-    """Every check over ``models``; raises ``CheckFailed`` when any check has
-    violations (a failing check stops downstream publication)."""
-    return gate(check_report(models))
-
-
 def gate(report: DataFrame) -> DataFrame:
     """Raise when any check has violations; otherwise return the report.
     Only failing rows (a bounded list of checks) reach the driver."""

@@ -7,12 +7,14 @@ driver. Whole-portfolio benchmarks enter as scalar subqueries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent
+from ..operators.aggregates import distinct_sorted
 from ..operators.filters import by_sign
 from ..operators.sets import union_all
+from ..operators.windows import top_k_per_group
 from ..sources.schemas import (
     FACTOR_LABELS,
     PREDICTOR_LABELS,
@@ -37,6 +39,11 @@ def filter_type(mart: DataFrame, campaign_type: str | None = None) -> DataFrame:
     return mart if campaign_type is None else mart.where(F.col("campaign_type") == F.lit(campaign_type))
 
 
+def filter_values(mart: DataFrame) -> DataFrame:
+    """What the campaign-type filter offers."""
+    return distinct_sorted(mart, "campaign_type")
+
+
 def rank_campaigns(mart: DataFrame, metric: str, campaign_type: str | None = None) -> DataFrame:
     """Campaigns ordered by ``metric`` (polarity-aware) with the portfolio
     benchmark and a better-than-portfolio flag (``<=`` for costs, ``>=``
@@ -159,8 +166,7 @@ def factor_table(coefficients: DataFrame, references: DataFrame, k: int = 5) ->
     signed = union_all(by_sign(coefficients, True), by_sign(coefficients, False)).withColumn(
         "sign", F.when(F.col("coefficient") > 0, F.lit("positive")).otherwise(F.lit("negative"))
     )
-    w = Window.partitionBy("target", "sign").orderBy(F.col("absolute_importance").desc(), F.col("feature"))
-    top = signed.withColumn("factor_rank", F.row_number().over(w)).where(F.col("factor_rank") <= k)
+    top = top_k_per_group(signed, ["target", "sign"], [F.col("absolute_importance").desc(), F.col("feature")], k, "factor_rank")
     refs = references.select("target", "predictor", F.col("reference_category").alias("comparison_group"))
     label = F.concat(
         F.coalesce(F.element_at(_label_map(FACTOR_LABELS), F.col("predictor")), F.col("predictor")),
@@ -186,10 +192,7 @@ def factor_table(coefficients: DataFrame, references: DataFrame, k: int = 5) ->
 def leading_predictor(factors: DataFrame) -> DataFrame:
     """First factor per target: the largest positive one, or the largest
     negative one when no positive factor exists."""
-    w = Window.partitionBy("target").orderBy(
-        F.when(F.col("sign") == "positive", 0).otherwise(1), F.col("factor_rank")
-    )
-    first = factors.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1)
+    first = top_k_per_group(factors, ["target"], [F.when(F.col("sign") == "positive", 0).otherwise(1), F.col("factor_rank")], 1)
     return first.select(
         "target",
         "predictor",
