@@ -55,8 +55,11 @@ def explore(spark, args) -> None:
             profile.profile_orphan_codes(raw["user_activity"], raw["marketing_campaigns"], "user_activity"),
         ),
         "orphan_keys": profile.profile_orphan_keys(raw["user_activity"], raw["dim_user"]),
-        "revenue_population": profile.profile_revenue_population(act),
-        "missing_onboarding": profile.profile_missing_onboarding(act),
+        # by the event types as they stand, untidy spellings included, and by the tidied ones
+        "revenue_population": profile.profile_revenue_population(raw["user_activity"]),
+        "missing_onboarding": profile.profile_missing_onboarding(raw["user_activity"]),
+        "revenue_population_tidy": profile.profile_revenue_population(act),
+        "missing_onboarding_tidy": profile.profile_missing_onboarding(act),
         "gender_conflicts": profile.classify_conflicts(raw["dim_user"]),
         "journeys": profile.profile_journeys(act),
         "user_consistency": profile.profile_user_consistency(act),
@@ -103,6 +106,7 @@ def app(spark, args) -> None:
     mart = _built(spark, args.out).mart_campaign_performance
     frames = {
         "portfolio": portfolio(mart),
+        "filter_values": report.filter_values(mart),
         "decisions": report.decisions(mart),
         "spend_vs_revenue": report.spend_vs_revenue(mart),
         "campaign_detail": report.campaign_detail(mart),

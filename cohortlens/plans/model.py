@@ -56,17 +56,20 @@ def split_chronologically(
     """Split by distinct dates: the first ``int(n * train_share)`` dates train,
     up to ``int(n * (train_share + validation_share))`` validate, the rest
     test. The distinct dates are numbered in Spark; the two that begin a part
-    reach the driver. Rows without a date belong to no part and don't count."""
+    reach the driver. Rows without a date belong to no part; all together they
+    count as one more date, after the others."""
     d = F.to_date(F.col(date_col))
     # one row per calendar day
     days = df.select(d.alias("d")).where(F.col("d").isNotNull()).distinct()
     numbered = days.withColumn("i", F.row_number().over(Window.orderBy("d")) - 1)
-    n = days.count()
+    n = days.count() + df.where(d.isNull()).limit(1).count()
     train_end = int(n * train_share)
     validation_end = int(n * (train_share + validation_share))
     if train_end <= 0 or validation_end <= train_end or validation_end >= n:
         raise ValueError(f"{n} distinct dates can't be cut into three parts that each hold one")
     begins = {r.i: r.d for r in numbered.where(F.col("i").isin(train_end, validation_end)).collect()}
+    if len(begins) < 2:
+        raise ValueError("the test part would begin with the rows that have no date")
     v_start, t_start = begins[train_end], begins[validation_end]
     # half-open periods [.., v_start), [v_start, t_start), [t_start, ..)
     split = (

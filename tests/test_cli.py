@@ -15,7 +15,7 @@ def test_cli_steps(spark, scratch):
     raw_dir = os.path.join(scratch, "raw")
     raw = fixtures.raw_sources(spark, SF)
     for name, df in raw.items():
-        df.coalesce(1).write.option("header", True).csv(os.path.join(raw_dir, f"{name}.csv"))
+        df.coalesce(1).write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(os.path.join(raw_dir, f"{name}.csv"))
     out = os.path.join(scratch, "out")
     assert main(["explore", "--raw", raw_dir, "--out", out]) == 0
     assert main(["build", "--raw", raw_dir, "--out", out, "--user-buckets", "4"]) == 0
@@ -25,4 +25,6 @@ def test_cli_steps(spark, scratch):
     assert spark.read.parquet(os.path.join(out, "model_output", "model_metrics")).count() == 2
     assert spark.read.parquet(os.path.join(out, "reports", "factor_table")).count() > 0
     assert spark.read.parquet(os.path.join(out, "profiles", "journeys")).first().users == raw["user_activity"].select("user_id").distinct().count()
+    spelled = {r.event_type for r in spark.read.parquet(os.path.join(out, "profiles", "revenue_population")).collect()}
+    assert {"SALE", "Start_Onboarding "} <= spelled
     assert spark.read.parquet(os.path.join(out, "models", "fct_user_journey")).count() == 200

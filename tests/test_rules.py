@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import plain_double
 from cohortlens.operators.joins import orphan_counts
 from cohortlens.operators.windows import rank_events
-from cohortlens.plans import quality
+from cohortlens.plans import model, quality
 
 DAY = dt.date(2024, 1, 2)
 AT = dt.datetime(2024, 1, 2, 12)
@@ -88,6 +88,7 @@ FEATURES = "user_id string, attribution_date date, gender string, country string
     [
         [],
         [("a", 0, 1), ("a", 0, 1)],
+        [(None, 0, 1), (None, 1, 1)],
         [("a", None, 1)],
         [("a", 0, 3)],
     ],
@@ -109,6 +110,18 @@ def test_split_guard_raises(spark):
             quality.validate_splits(spark.createDataFrame(rows, schema))
 
 
+def test_rows_without_a_date_count_as_one_date(spark):
+    days = [DAY + dt.timedelta(i) for i in range(9)]
+    rows = [(d,) for d in days for _ in range(2)] + [(None,), (None,)]
+    split = model.split_chronologically(spark.createDataFrame(rows, "attribution_date date"))
+    assert (split.validation_start, split.test_start) == (days[6], days[8])  # of ten
+    assert {(r.split, r["count"]) for r in split.frame.groupBy("split").count().collect()} == {
+        ("training", 12), ("validation", 4), ("test", 2), (None, 2),
+    }
+    with pytest.raises(ValueError):
+        model.split_chronologically(spark.createDataFrame([(d,) for d in [*days[:4], None]], "attribution_date date"))
+
+
 def test_surrogate_key_text_of_doubles(spark):
     import duckdb
 
