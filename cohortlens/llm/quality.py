@@ -6,6 +6,11 @@ limits that depend on its length, and the ratios of its fixed chunks, which
 find a bad stretch inside a document whose whole looks normal. Nothing moves
 between rows, so the operator is one pass without a shuffle.
 
+Noise over few letters (hex, random letters) compresses like short prose. So a
+text must also repeat its pairs of neighbouring characters more often than the
+same characters in random order would (``pair_repeats``): about once in noise
+of any alphabet, 1.4 times and more in prose.
+
 Nulls and odd rows: a null or empty text has no words, fails the base rule and
 isn't kept. A row without id is judged like any other. Equal rows get equal
 results. Long texts are read whole: compression runs over all bytes, chunk by
@@ -27,17 +32,27 @@ from cohortlens.llm.common import WHITE, unpacked
 LEVEL = 3
 #: (bytes at least, least ratio, greatest ratio) of a whole document, the
 #: longest class first. Short texts compress badly whatever they say, hence
-#: wider limits.
-WHOLE_BANDS = ((16384, 0.20, 0.70), (4096, 0.22, 0.72), (1024, 0.25, 0.78), (256, 0.28, 0.95), (0, 0.0, 4.0))
+#: wider limits. The limits lie a little outside the least and greatest ratios of
+#: the documents that pass the base rule (README).
+WHOLE_BANDS = (
+    (16384, 0.25, 0.50), (4096, 0.27, 0.53), (2048, 0.29, 0.58), (1024, 0.31, 0.64), (512, 0.34, 0.71), (256, 0.38, 0.76), (0, 0.0, 0.90),
+)
+#: Wider upper limits where characters have several bytes, per byte above one;
+#: lower limits are divided by the bytes per character.
+WIDER = 0.2
+#: Least pair repeats of prose, judged from so many expected repeats.
+PAIR_REPEATS, EXPECTED_REPEATS = 1.3, 20
 CHUNK = 4096
-CHUNK_BAND = (0.22, 0.72)
+CHUNK_BAND = (0.25, 0.58)
 #: A document goes if more than this share of its full chunks is out of the band.
 BAD_CHUNKS = 0.5
 MIN_WORDS = 50
 
 _SPACE = WHITE.encode()
+#: Bytes that continue a UTF-8 character.
+_CONTINUE = bytes(range(0x80, 0xC0))
 #: White space and the bytes that continue a UTF-8 character.
-_NOT_COUNTED = _SPACE + bytes(range(0x80, 0xC0))
+_NOT_COUNTED = _SPACE + _CONTINUE
 _SYMBOLS = b"#*$%&|<>"
 
 
@@ -71,28 +86,67 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     )
 
 
+def pair_repeats(text: bytes) -> tuple[float, float]:
+    """Equal pairs of neighbouring characters over those expected if characters
+    followed each other by chance, and the number expected. Characters count by
+    the low byte of their code point: that leaves chance at 1."""
+    low = np.frombuffer(text.decode("utf-8", "ignore").encode("utf-32-le"), np.uint8)[::4]
+    n = len(low)
+    if n < 3:
+        return 1.0, 0.0
+    single = np.bincount(low).astype(np.float64)
+    pair = np.bincount(low[:-1].astype(np.int64) * 256 + low[1:])
+    pair = pair[pair > 1].astype(np.float64)
+    chance = (single @ (single - 1) / (n * (n - 1.0))) ** 2
+    expected = chance * (n - 1) * (n - 2) / 2
+    return (float(pair @ (pair - 1)) / 2 / expected, expected) if expected else (1.0, 0.0)
+
+
+def by_chance(text: bytes) -> bool:
+    """The text's characters follow each other as in noise."""
+    repeats, expected = pair_repeats(text)
+    return bool(expected >= EXPECTED_REPEATS and repeats < PAIR_REPEATS)
+
+
+def bytes_per_char(text: bytes) -> float:
+    return max(1.0, len(text) / (len(text.translate(None, _CONTINUE)) or 1))
+
+
+def in_band(ratio: float, low: float, high: float, width: float = 1.0) -> bool:
+    """``width``: bytes per character."""
+    return low / width <= ratio <= high * (1 + WIDER * (width - 1))
+
+
+def bad_piece(piece: bytes, band: tuple[float, float], compressor: zstandard.ZstdCompressor) -> bool:
+    ratio = len(compressor.compress(piece)) / len(piece)
+    return not in_band(ratio, *band, bytes_per_char(piece)) or by_chance(piece)
+
+
 def ratios(text: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, float]:
     """Compressed share of the whole text, and the share of its full chunks
-    that are out of ``CHUNK_BAND``."""
+    that are out of ``CHUNK_BAND`` or noise by their pairs."""
     if not text:
         return 0.0, 0.0
     whole = len(compressor.compress(text)) / len(text)
     n = len(text) // CHUNK
-    low, high = CHUNK_BAND
-    bad = sum(not low <= len(compressor.compress(text[i * CHUNK : (i + 1) * CHUNK])) / CHUNK <= high for i in range(n))
+    bad = sum(bad_piece(text[i * CHUNK : (i + 1) * CHUNK], CHUNK_BAND, compressor) for i in range(n))
     return whole, bad / n if n else 0.0
 
 
-def in_bands(size: int, whole: float, bad_chunks: float) -> bool:
-    low, high = next((low, high) for least, low, high in WHOLE_BANDS if size >= least)
-    return low <= whole <= high and bad_chunks <= BAD_CHUNKS
+def band_of(size: int) -> tuple[float, float]:
+    return next((low, high) for least, low, high in WHOLE_BANDS if size >= least)
+
+
+def in_bands(size: int, whole: float, bad_chunks: float, width: float = 1.0) -> bool:
+    return in_band(whole, *band_of(size), width) and bad_chunks <= BAD_CHUNKS
 
 
 def judged(text: bytes, compressor: zstandard.ZstdCompressor) -> tuple:
     counts = base_counts(text)
     whole, bad = ratios(text, compressor)
     failed = counts[0] < MIN_WORDS or 100 * counts[4] > 50 * counts[0]
-    return (*counts, whole, bad, failed, not failed and in_bands(len(text), whole, bad))
+    kept = not failed and in_bands(len(text), whole, bad, bytes_per_char(text)) and not by_chance(text)
+    return (*counts, whole, bad, failed, kept)
 
 
 _FIELDS = (

@@ -137,6 +137,44 @@ def test_verdict_is_the_stated_rule():
         assert got[7:] == (failed, not failed and quality.in_bands(len(text), compress(text), bad))
 
 
+NOISE = {
+    "hex": "0123456789abcdef",
+    "letters": "abcdefghijklmnopqrstuvwxyz",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "printable": "".join(map(chr, range(33, 127))),
+    "cyrillic": "".join(map(chr, range(0x430, 0x450))),
+    "han": "".join(map(chr, range(0x4E00, 0x5600))),
+}
+
+
+def noise_words(kind, n_bytes, seed):
+    rng = np.random.RandomState(seed)
+    words = ["".join(NOISE[kind][i] for i in rng.randint(0, len(NOISE[kind]), rng.randint(4, 9))) for _ in range(n_bytes // 5 + 60)]
+    cut, size = 0, 0
+    while size < n_bytes or cut < 55:
+        size += len(words[cut].encode()) + 1
+        cut += 1
+    return " ".join(words[:cut])
+
+
+@pytest.mark.parametrize("kind", NOISE)
+def test_noise_of_every_class_goes(kind):
+    compressor = zstandard.ZstdCompressor(level=quality.LEVEL)
+    for n_bytes in (400, 800, 1500, 3500, 8000, 20000):
+        for seed in range(3):
+            got = quality.judged(noise_words(kind, n_bytes, seed).encode(), compressor)
+            assert not got[7] and not got[8], (n_bytes, seed)
+
+
+def test_clean_texts_of_every_class_stay():
+    compressor = zstandard.ZstdCompressor(level=quality.LEVEL)
+    for n_words in (55, 100, 200, 400, 1500, 4000):
+        for seed in range(3):
+            text = prose(n_words, seed)
+            other = text.translate({i: 0x430 + i - 97 for i in range(97, 123)})
+            assert quality.judged(text.encode(), compressor)[8] and quality.judged(other.encode(), compressor)[8]
+
+
 def test_passing_keeps_columns(spark):
     docs = frame(spark, [(1, prose(100, 1), "en", "s", 3), (2, "few", None, None, None)], DOCS).withColumn("kept", F.lit("mine"))
     out = quality.passing(docs)
