@@ -3,8 +3,10 @@
 A text's compressed size over its size tells repetition (low) and noise
 (high). Two measures are taken: the ratio of the whole document, held to
 limits that depend on its length, and the ratios of its fixed chunks, which
-find a bad stretch inside a document whose whole looks normal. Nothing moves
-between rows, so the operator is one pass without a shuffle.
+find a bad stretch inside a document whose whole looks normal. What is left
+after the full chunks, and a text under one chunk, is judged in smaller pieces
+with limits for their length. Nothing moves between rows, so the operator is
+one pass without a shuffle.
 
 Noise over few letters (hex, random letters) compresses like short prose. So a
 text must also repeat its pairs of neighbouring characters more often than the
@@ -45,7 +47,11 @@ PAIR_REPEATS, EXPECTED_REPEATS = 1.3, 20
 CHUNK = 4096
 CHUNK_BAND = (0.25, 0.58)
 #: A document goes if more than this share of its full chunks is out of the band.
-BAD_CHUNKS = 0.5
+BAD_CHUNKS = 0.1
+#: It goes too if more than this share of its bytes lies in bad pieces (full
+#: chunks, and the rest in pieces of ``PIECE``), or so many bytes on end.
+BAD_BYTES, BAD_RUN = 0.1, 8192
+PIECE, LEAST_PIECE = 1024, 512
 MIN_WORDS = 50
 
 _SPACE = WHITE.encode()
@@ -122,30 +128,50 @@ def bad_piece(piece: bytes, band: tuple[float, float], compressor: zstandard.Zst
     return not in_band(ratio, *band, bytes_per_char(piece)) or by_chance(piece)
 
 
-def ratios(text: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, float]:
-    """Compressed share of the whole text, and the share of its full chunks
-    that are out of ``CHUNK_BAND`` or noise by their pairs."""
+def rest_pieces(text: bytes) -> list[tuple[int, bytes]]:
+    """What follows the full chunks, or a text under one chunk, in pieces: how
+    many bytes are new in each, and the piece. The last one reaches back to
+    have ``LEAST_PIECE`` bytes, where the text has as many."""
+    out = []
+    for at in range(len(text) // CHUNK * CHUNK, len(text), PIECE):
+        end = min(at + PIECE, len(text))
+        out.append((end - at, text[max(0, min(at, end - LEAST_PIECE)) : end]))
+    return out
+
+
+def measures(text: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, float, float, int]:
+    """Compressed share of the whole text, the share of its full chunks that
+    are out of ``CHUNK_BAND`` or noise by their pairs, the share of its bytes
+    in bad pieces, and the most such bytes on end."""
     if not text:
-        return 0.0, 0.0
+        return 0.0, 0.0, 0.0, 0
     whole = len(compressor.compress(text)) / len(text)
     n = len(text) // CHUNK
-    bad = sum(bad_piece(text[i * CHUNK : (i + 1) * CHUNK], CHUNK_BAND, compressor) for i in range(n))
-    return whole, bad / n if n else 0.0
+    bad = [(CHUNK, bad_piece(text[i * CHUNK : (i + 1) * CHUNK], CHUNK_BAND, compressor)) for i in range(n)]
+    chunks = sum(b for _, b in bad) / n if n else 0.0
+    bad += [(size, bad_piece(piece, band_of(len(piece)), compressor)) for size, piece in rest_pieces(text)]
+    run = longest = total = 0
+    for size, is_bad in bad:
+        run = run + size if is_bad else 0
+        total += size * is_bad
+        longest = max(longest, run)
+    return whole, chunks, total / len(text), longest
 
 
 def band_of(size: int) -> tuple[float, float]:
     return next((low, high) for least, low, high in WHOLE_BANDS if size >= least)
 
 
-def in_bands(size: int, whole: float, bad_chunks: float, width: float = 1.0) -> bool:
-    return in_band(whole, *band_of(size), width) and bad_chunks <= BAD_CHUNKS
+def in_bands(size: int, whole: float, bad_chunks: float, width: float = 1.0, bad_bytes: float = 0.0, bad_run: int = 0) -> bool:
+    good = bad_chunks <= BAD_CHUNKS and bad_bytes <= BAD_BYTES and bad_run <= BAD_RUN
+    return good and in_band(whole, *band_of(size), width)
 
 
 def judged(text: bytes, compressor: zstandard.ZstdCompressor) -> tuple:
     counts = base_counts(text)
-    whole, bad = ratios(text, compressor)
+    whole, bad, bad_bytes, bad_run = measures(text, compressor)
     failed = counts[0] < MIN_WORDS or 100 * counts[4] > 50 * counts[0]
-    kept = not failed and in_bands(len(text), whole, bad, bytes_per_char(text)) and not by_chance(text)
+    kept = not failed and in_bands(len(text), whole, bad, bytes_per_char(text), bad_bytes, bad_run) and not by_chance(text)
     return (*counts, whole, bad, failed, kept)
 
 

@@ -175,6 +175,31 @@ def test_clean_texts_of_every_class_stay():
             assert quality.judged(text.encode(), compressor)[8] and quality.judged(other.encode(), compressor)[8]
 
 
+def mixed(size, share, bad, at):
+    """Prose of ``size`` bytes, a ``share`` of it from ``at`` on replaced."""
+    n, begin = int(size * share), int(size * at)
+    clean = prose(size // 5, 6)[:size]
+    return (clean[:begin] + " " + bad[: n - 2] + "\n" + clean[begin + n :]).encode()
+
+
+@pytest.mark.parametrize("kind", ["base64", "hex", "line"])
+@pytest.mark.parametrize("size, share, at", [(60000, 0.49, 0.2), (60000, 0.3, 0.5), (150000, 0.08, 0.3), (7500, 0.4, 0.6), (3500, 0.4, 0.6), (1800, 0.45, 0.55)])
+def test_bad_stretches_are_found(size, share, at, kind):
+    bad = "one line that is said again\n" * (size // 20) if kind == "line" else noise_words(kind, size, 2)
+    compressor = zstandard.ZstdCompressor(level=quality.LEVEL)
+    *_, failed, kept = quality.judged(mixed(size, share, bad, at), compressor)
+    assert failed and kind == "line" or not failed and not kept
+    assert quality.judged(mixed(size, 0.0, " ", at), compressor)[8]
+
+
+def test_pieces_cover_the_rest():
+    for size in (0, 1, 300, 511, 1025, 1500, 4095, 4096, 4097, 9000):
+        text = bytes(i % 251 for i in range(size))
+        pieces = quality.rest_pieces(text)
+        assert b"".join(p[len(p) - n :] for n, p in pieces) == text[size // quality.CHUNK * quality.CHUNK :]
+        assert all(len(p) >= min(size, quality.LEAST_PIECE) for _, p in pieces)
+
+
 def test_passing_keeps_columns(spark):
     docs = frame(spark, [(1, prose(100, 1), "en", "s", 3), (2, "few", None, None, None)], DOCS).withColumn("kept", F.lit("mine"))
     out = quality.passing(docs)
