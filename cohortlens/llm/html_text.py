@@ -8,7 +8,9 @@
    and ``MIN_SHARE`` of the host's pages or more are its template.
 3. A page's text is read without its host's template subtrees and without what
    the markup itself names as no part of the article: scripts, menus, headers,
-   footers, sidebars, forms, adverts, notices, comments. Inside an ``article``
+   footers, sidebars, forms, adverts, notices, comments. A class or id names
+   only if all its words do, and not what holds most of the text or of the
+   articles' text (comment sections apart). Inside an ``article``
    or ``main`` element a template subtree goes only if most of its text is
    links, so that a passage which several articles share stays.
 
@@ -53,12 +55,22 @@ _NO_TEXT = frozenset(
 )
 _NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Words of class or id attributes; the second list counts outside articles only.
+#: A class or id counts if it holds one and else only words of ``_PLAIN_WORDS``
+#: or numbers: "site-footer" does, "has-sidebar" and "share-price" don't.
 _NO_TEXT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal "
     "overlay sidebar nav navbar navigation menu breadcrumb breadcrumbs footer comment comments disqus reply replies respond share sharing social "
     "newsletter subscribe signup login widget masthead pagination pager skip".split()
 )
 _OUTER_WORDS = frozenset("header topbar bottom top related recommended copyright toolbar search form alert message rail".split())
+_COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+_PLAIN_WORDS = frozenset(
+    "site main page global primary secondary left right center middle inner outer container wrapper wrap box block list links link section area "
+    "bar slot unit item items button buttons icon icons title text body group row col column media bookmarks trail thread posts post stories "
+    "this widgets desktop mobile sticky fixed js".split()
+)
+_OUTSIDE_WORDS = _NO_TEXT_WORDS | _OUTER_WORDS
+_KNOWN_WORDS = _OUTSIDE_WORDS | _PLAIN_WORDS
 #: An open element of these ends where one of the listed begins.
 _ENDS = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "tbody", "tfoot"]),
@@ -73,16 +85,23 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def _telling(words: tuple[str, ...], named: frozenset[str]) -> bool:
+    """The words of one class or id say one of ``named``, and nothing else."""
+    return not named.isdisjoint(words) and all(w in _KNOWN_WORDS or w[0].isdigit() for w in words)
+
+
 class Element:
-    __slots__ = ("tag", "words", "role", "hidden", "parent", "children", "key")
+    __slots__ = ("tag", "words", "names", "role", "hidden", "parent", "children", "key", "size")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.parent = tag, parent
         self.children: list[Element | str] = []
-        self.words, self.role, self.hidden, self.key = (), "", False, 0
+        self.words, self.names, self.role, self.hidden, self.key, self.size = (), (), "", False, 0, 0
         if attributes and not attributes.isspace():
             found = {name.lower(): html.unescape(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(attributes)}
-            self.words = tuple(_WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
+            classes = f"{found.get('class', '')} {found.get('id', '')}".lower()
+            self.words = tuple(_WORD.findall(classes))
+            self.names = tuple(tuple(_WORD.findall(c)) for c in classes.split()) if self.words else ()
             self.role = found.get("role", "").strip().lower()
             style = found.get("style", "").replace(" ", "").lower()
             self.hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
@@ -152,30 +171,62 @@ def hash_subtrees(root: Element, host: str) -> list[Element]:
     return order
 
 
-def _named_out(node: Element, inside: bool) -> bool:
-    """The markup says that this isn't part of an article."""
-    if node.tag in _NO_TEXT or node.hidden or node.role in _NO_TEXT_ROLES:
-        return True
-    if node.tag == "header" and not inside:
+def _tag_out(node: Element, inside: bool) -> bool:
+    """The element's tag, role or style says that this is no part of an article."""
+    return node.tag in _NO_TEXT or node.hidden or node.role in _NO_TEXT_ROLES or node.tag == "header" and not inside
+
+
+def _comment(node: Element) -> bool:
+    return node.tag not in ("html", "body", "main") and any(
+        _telling(n, _COMMENT_WORDS if node.tag != "article" else frozenset(["comment"])) for n in node.names
+    )
+
+
+def _word_out(node: Element, inside: bool) -> bool:
+    """The element's class or id says that this is no part of an article."""
+    if not node.names or node.tag in ("html", "body", "main", "article"):
+        return bool(node.names) and _comment(node)
+    named = _NO_TEXT_WORDS if inside else _OUTSIDE_WORDS
+    return any(_telling(n, named) for n in node.names)
+
+
+def _named_out(node: Element, inside: bool, whole: int) -> bool:
+    """The markup says that this isn't part of an article. A class or id alone
+    doesn't say so of what holds most of the text: ``whole`` characters."""
+    if _tag_out(node, inside):
         return True
-    words = set(node.words)
-    if node.tag in ("html", "body", "main", "article") and "comment" not in words:
-        return False
-    return not words.isdisjoint(_NO_TEXT_WORDS) or not inside and not words.isdisjoint(_OUTER_WORDS)
+    return _word_out(node, inside) and (2 * node.size <= whole or _comment(node))
 
 
-def _containers(root: Element) -> list[Element]:
-    """The outermost article or main elements that aren't named out; the whole
-    page if there is none."""
+def _measure(root: Element) -> None:
+    """Sets the elements' sizes: characters of text, without what tags or
+    comment classes take out."""
+    for node in reversed(_in_order(root)):
+        if node.tag not in _NO_TEXT and not _tag_out(node, True) and not _comment(node):
+            node.size = sum(len(c.strip()) if isinstance(c, str) else c.size for c in node.children)
+
+
+def _articles(root: Element, by_words: bool) -> list[Element]:
     found, todo = [], [root]
     while todo:
         node = todo.pop()
         if node.tag in ("article", "main") or node.role == "main":
-            if not _named_out(node, True):
+            if not _tag_out(node, True) and not _comment(node) and (not by_words or not _word_out(node, True)):
                 found.append(node)
             continue
-        if not (node.parent is not None and _named_out(node, False)):
+        if node.parent is None or not (_tag_out(node, False) or _comment(node) or by_words and _word_out(node, False)):
             todo += [c for c in reversed(node.children) if not isinstance(c, str)]
+    return found
+
+
+def _containers(root: Element) -> list[Element]:
+    """The outermost article or main elements that aren't named out; those that
+    lie in an element with a telling class too if they hold most of the
+    articles' text; the whole page if there is none."""
+    found = _articles(root, True)
+    every = _articles(root, False)
+    if 2 * sum(n.size for n in found) < sum(n.size for n in every):
+        found = every
     return found or [root]
 
 
@@ -209,6 +260,7 @@ def read_text(root: Element, template: frozenset[int]) -> tuple[str, list[int]]:
                 blocks.append(text)
             run.clear()
 
+    _measure(root)
     for container in _containers(root):
         inside = container.parent is not None
         todo: list[Element | str | None] = [None, *reversed(container.children)]
@@ -222,7 +274,7 @@ def read_text(root: Element, template: frozenset[int]) -> tuple[str, list[int]]:
                 run.append(" " if node.tag != "wbr" else "")
                 if node.tag == "hr":
                     flush()
-            elif not _named_out(node, inside):
+            elif not _named_out(node, inside, container.size):
                 block = node.tag in _BLOCK
                 if block and (not inside or _linked_share(node) >= LINKED) and node.tag not in ("html", "body"):
                     keys.append(node.key)

@@ -333,6 +333,25 @@ def test_site_template_is_removed_and_shared_passages_stay(spark):
     assert texts_of(spark, []) == {}
 
 
+def read(page):
+    return html_text.read_text(html_text.parse(page), frozenset())[0]
+
+
+def test_wrappers_and_ordinary_words_stay():
+    body = "<article><p>The story.</p><p class=share-price>Price 12.</p><div class='promo-code-guide'>Guide.</div><div class=promo>Buy</div></article>"
+    for name in ("wrapper has-sidebar", "no-comments", "ad-free", "sidebar", "widget", "site-overlay", "notice"):
+        assert read(f"<body><div class='{name}'>{body}</div></body>") == "The story.\nPrice 12.\nGuide.", name
+        assert read(f"<body><div id='{name}'><p>Long enough to be the page.</p></div><p>Short.</p></body>") == "Long enough to be the page.\nShort.", name
+
+
+def test_telling_classes_still_go():
+    text = "<p>" + "The story goes on. " * 20 + "</p>"
+    for name in ("site-footer", "comments-area", "cookie-banner", "ad ad-300x250", "x sidebar-left", "social_share", "related-posts", "comment-list"):
+        assert read(f"<body>{text}<div class='{name}'><p>Not this.</p></div></body>") == ("The story goes on. " * 20).strip(), name
+    teaser = "<div class=related><article>Other story</article></div><div id=comments><article>" + "I say. " * 200 + "</article></div>"
+    assert read(f"<body><article>{text}</article>{teaser}</body>") == ("The story goes on. " * 20).strip()
+
+
 @needs_tables
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").withColumn("row", F.lit(1)).withColumn("text", F.lit("mine"))
