@@ -5,7 +5,9 @@
    Spark: host, hash, and a digest of the whole page.
 2. Spark counts, per host, the distinct pages that hold a subtree (equal pages
    count once) and the host's distinct pages. Subtrees on ``MIN_PAGES`` pages
-   and ``MIN_SHARE`` of the host's pages or more are its template.
+   and ``MIN_SHARE`` of the host's pages or more are its template; so are, on a
+   host of any size, those on ``MANY_PAGES`` pages that are mostly links, or
+   boxes with less than half of their page's text and no passages.
 3. A page's text is read without its host's template subtrees and without what
    the markup itself names as no part of the article: scripts, menus, headers,
    footers, sidebars, forms, adverts, notices, comments. A class or id names
@@ -39,6 +41,8 @@ from cohortlens.llm.common import written
 
 MIN_PAGES = 3
 MIN_SHARE = 0.3
+#: Pages that make a box or a list of links a template whatever the host's size.
+MANY_PAGES = 50
 #: Least share of linked text for a template subtree inside an article.
 LINKED = 0.5
 
@@ -77,6 +81,8 @@ _ENDS = {
     "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "option": frozenset(["option", "optgroup"]),
     "p": _BLOCK - {"caption", "dd", "dt", "legend", "li", "tbody", "td", "tfoot", "th", "thead", "tr", "html", "body", "figcaption", "summary"} | {"li", "dd", "dt"},
 }
+#: Blocks of running text, which pages may share without a template.
+_PASSAGES = frozenset("p li blockquote pre h1 h2 h3 h4 h5 h6 dd dt td th tr caption figcaption details summary address center".split())
 _SCOPES = frozenset("ul ol dl table article section div body html main aside blockquote td th".split())
 
 # possessive throughout: broken markup must not make the search go back and forth
@@ -91,12 +97,13 @@ def _telling(words: tuple[str, ...], named: frozenset[str]) -> bool:
 
 
 class Element:
-    __slots__ = ("tag", "words", "names", "role", "hidden", "parent", "children", "key", "size")
+    __slots__ = ("tag", "words", "names", "role", "hidden", "parent", "children", "key", "size", "total", "linked")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.parent = tag, parent
         self.children: list[Element | str] = []
-        self.words, self.names, self.role, self.hidden, self.key, self.size = (), (), "", False, 0, 0
+        self.words, self.names, self.role, self.hidden, self.key = (), (), "", False, 0
+        self.size = self.total = self.linked = 0
         if attributes and not attributes.isspace():
             found = {name.lower(): html.unescape(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(attributes)}
             classes = f"{found.get('class', '')} {found.get('id', '')}".lower()
@@ -200,8 +207,16 @@ def _named_out(node: Element, inside: bool, whole: int) -> bool:
 
 def _measure(root: Element) -> None:
     """Sets the elements' sizes: characters of text, without what tags or
-    comment classes take out."""
+    comment classes take out; all of them; those in links."""
     for node in reversed(_in_order(root)):
+        for c in node.children:
+            if isinstance(c, str):
+                node.total += len(c.strip())
+            else:
+                node.total += c.total
+                node.linked += c.linked
+        if node.tag == "a":
+            node.linked = node.total
         if node.tag not in _NO_TEXT and not _tag_out(node, True) and not _comment(node):
             node.size = sum(len(c.strip()) if isinstance(c, str) else c.size for c in node.children)
 
@@ -231,27 +246,29 @@ def _containers(root: Element) -> list[Element]:
 
 
 def _linked_share(node: Element) -> float:
-    linked = total = 0
-    todo = [(node, node.tag == "a")]
-    while todo:
-        at, link = todo.pop()
-        for c in at.children:
-            if isinstance(c, str):
-                n = len(c.strip())
-                total += n
-                linked += n * link
-            else:
-                todo.append((c, link or c.tag == "a"))
-    return linked / total if total else 1.0
+    return node.linked / node.total if node.total else 1.0
+
+
+#: Levels of a template: on many pages, on a large share of the host's pages.
+MANY, LARGE = 1, 2
+
+
+def _need(node: Element, inside: bool, whole: int) -> int:
+    """The least level of a template that may take the block out; 0: none."""
+    if _linked_share(node) >= LINKED:
+        return MANY
+    if inside:
+        return 0
+    return MANY if node.tag not in _PASSAGES and 2 * node.size < whole else LARGE
 
 
-def read_text(root: Element, template: frozenset[int]) -> tuple[str, list[int]]:
+def read_text(root: Element, template: frozenset[int]) -> tuple[str, dict[int, int]]:
     """The main text, its blocks joined by line ends, without subtrees whose
     key is in ``template``; and the keys of all subtrees that a template could
-    take out of it."""
+    take out of it, with the least level that the template needs."""
     blocks: list[str] = []
     run: list[str] = []
-    keys: list[int] = []
+    keys: dict[int, int] = {}
 
     def flush() -> None:
         if run:
@@ -276,8 +293,9 @@ def read_text(root: Element, template: frozenset[int]) -> tuple[str, list[int]]:
                     flush()
             elif not _named_out(node, inside, container.size):
                 block = node.tag in _BLOCK
-                if block and (not inside or _linked_share(node) >= LINKED) and node.tag not in ("html", "body"):
-                    keys.append(node.key)
+                need = _need(node, inside, container.size) if block and node.tag not in ("html", "body") else 0
+                if need:
+                    keys[node.key] = min(need, keys.get(node.key, need))
                     if node.key in template:
                         flush()
                         continue
@@ -295,23 +313,22 @@ def _strings(column: pa.Array) -> Iterator[str]:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page, host, key, digest, open): block subtrees of each page. ``open``
-    is set if only a template can take the subtree out. A row with key null
-    stands for the page itself."""
+    """(page, host, key, digest, need): block subtrees of each page. ``need``
+    is the level of template that can take the subtree out, 0 if none can or
+    the markup does already. A row with key null stands for the page itself."""
     for batch in batches:
         rows: list[tuple] = []
         for page, host, text in zip(batch.column(0).to_pylist(), _strings(batch.column(1)), _strings(batch.column(2)), strict=True):
             root = parse(text)
             order = hash_subtrees(root, host)
-            _, keys = read_text(root, frozenset())
-            open_ = set(keys)
+            _, needs = read_text(root, frozenset())
             host_key = xxhash.xxh3_64_intdigest(host.encode("utf-8", "replace")) - 2**63
-            rows.append((page, host_key, None, root.key, False))
-            seen = {n.key for n in order if n.tag in _BLOCK and n.tag not in ("html", "body", "article", "main", "p", "li")} | open_
-            rows += [(page, host_key, key, root.key, key in open_) for key in seen]
+            rows.append((page, host_key, None, root.key, 0))
+            seen = {n.key for n in order if n.tag in _BLOCK and n.tag not in ("html", "body", "article", "main", "p", "li")} | set(needs)
+            rows += [(page, host_key, key, root.key, needs.get(key, 0)) for key in seen]
         columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["page", "host", "key", "digest", "open"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["page", "host", "key", "digest", "need"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,14 +351,16 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", ca
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), page.alias("page"), host.alias("host"), F.col(html_col).alias("html"))
 
     subtrees = written(
-        rows.select("page", "host", "html").mapInArrow(_subtrees, "page long, host long, key long, digest long, open boolean"), "subtrees"
+        rows.select("page", "host", "html").mapInArrow(_subtrees, "page long, host long, key long, digest long, need int"), "subtrees"
     )
     held = subtrees.groupBy("host", "key", "digest").agg(F.lit(1).alias("one")).groupBy("host", "key").agg(F.count("one").alias("pages"))
     held = written(held.where(f"key is null or pages >= {MIN_PAGES}"), "subtree-counts")
     of_host = held.where("key is null").select("host", F.col("pages").alias("of_host"))
-    template = held.where("key is not null").join(of_host, "host").where(F.col("pages") >= MIN_SHARE * F.col("of_host")).select("key")
-    template = written(template.distinct(), "templates")
-    hits = subtrees.where("open and key is not null").join(template, "key").groupBy("page").agg(F.collect_set("key").alias("hits"))
+    level = F.when(F.col("pages") >= MIN_SHARE * F.col("of_host"), LARGE).when(F.col("pages") >= MANY_PAGES, MANY)
+    template = held.where("key is not null").join(of_host, "host").select("key", level.alias("level")).where("level is not null")
+    template = written(template.groupBy("key").agg(F.max("level").alias("level")), "templates")
+    hits = subtrees.where("need > 0 and key is not null").join(template, "key").where("level >= need")
+    hits = hits.groupBy("page").agg(F.collect_set("key").alias("hits"))
     hits = written(hits, "template-hits")
     joined = rows.join(hits, "page", "left").select("row", "host", "html", "hits")
     return joined.mapInArrow(_texts, f"row {rows.schema['row'].dataType.simpleString()}, text string")

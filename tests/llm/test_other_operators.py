@@ -333,6 +333,26 @@ def test_site_template_is_removed_and_shared_passages_stay(spark):
     assert texts_of(spark, []) == {}
 
 
+def test_templates_of_a_part_of_a_large_host(spark):
+    box = "<div><p>Subscribe for more of this section.</p></div>"
+    passage = "<p>A paragraph that many pages quote.</p>"
+    links = "<div><a href=/1>One</a> <a href=/2>Two</a></div>"
+    report = "<div><p>" + "A report that is reprinted. " * 20 + "</p></div>"
+
+    def page(i):
+        own = f"<div><p>{f'Own words {i}. ' * 20}</p></div>"
+        if i % 5 == 0:
+            return f"<body>{box}{own}{passage}{links}</body>"
+        return f"<body>{report}<p>Place {i}.</p></body>" if i % 5 == 1 else f"<body>{own}</body>"
+
+    got = texts_of(spark, [(f"http://large.example/{i}", page(i)) for i in range(300)])
+    for i in range(300):
+        own = (f"Own words {i}. " * 20).strip()
+        report_text = ("A report that is reprinted. " * 20).strip()
+        want = {0: f"{own}\nA paragraph that many pages quote.", 1: f"{report_text}\nPlace {i}."}.get(i % 5, own)
+        assert got[f"http://large.example/{i}"] == want
+
+
 def read(page):
     return html_text.read_text(html_text.parse(page), frozenset())[0]
 
