@@ -44,6 +44,8 @@ from cohortlens.llm.common import packed, unpacked, written
 SHINGLE = 5
 BANDS, ROWS = 32, 6
 FIELDS = BANDS * ROWS
+#: Least threshold: a pair at it shares no band with probability 6e-5.
+LEAST_PERCENT = 80
 #: 2-bit fields in a signature word.
 FIELDS_PER_WORD = 32
 #: Least estimate that is confirmed on full sets, as a distance from the threshold.
@@ -301,7 +303,9 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """Per row: ``doc``, ``n_shingles``, ``component`` and ``kept``. Documents
     are linked from ``percent`` hundredths of similarity; a component's
-    smallest id stays."""
+    smallest id stays. Under ``LEAST_PERCENT`` the bands would miss pairs."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent is {percent}: the bands find pairs from {LEAST_PERCENT} to 100 only")
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     features = written(

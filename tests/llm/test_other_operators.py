@@ -97,6 +97,12 @@ def test_estimate_matches_similarity():
         assert abs(((1 - unlike / near_dup.FIELDS) - 0.25) / 0.75 - share) < 0.16
 
 
+@pytest.mark.parametrize("percent", [0, 60, 79, 101])
+def test_thresholds_that_the_bands_would_miss_are_refused(percent):
+    with pytest.raises(ValueError, match="percent"):
+        near_dup.near_duplicates(None, percent=percent)
+
+
 def test_deduplicate_keeps_columns_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = frame(spark, [(2, text, "a", 1), (1, text, "b", 2), (3, "other", "c", 3), (None, text, "d", 4)], "doc_id long, text string, class string, node int")
