@@ -63,7 +63,7 @@ def keep_bitmaps(
     in ``min_docs`` documents or more stays in the largest id holding it.
     ``version`` is the text's xxhash64."""
     keys = written(line_keys(docs, id_col, text_col, min_chars), "line-keys")
-    hot = F.broadcast(_hot_keys(keys))
+    hot = F.broadcast(written(_hot_keys(keys), "hot-keys"))
 
     # the usual keys: one range shuffle, then a streamed run per key
     run = Window.partitionBy("h1", "h2").orderBy(F.desc("doc"), "pos")

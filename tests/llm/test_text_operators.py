@@ -75,6 +75,11 @@ def test_line_dedup_empty_and_extra_columns(spark):
     assert out.where("n_dropped = 1 and row.bitmap = 'x'").count() == 3
 
 
+def test_line_dedup_names_hot_keys_once(spark):
+    plan = line_dedup.keep_bitmaps(frame(spark, [(d, COMMON) for d in range(4)]))._jdf.queryExecution().toString()
+    assert "approx_top_k" not in plan and "hot-keys" in plan
+
+
 def test_line_dedup_stays_in_the_jvm(spark):
     docs = frame(spark, [(1, "a")])
     plan = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))._jdf.queryExecution().toString()
