@@ -145,12 +145,124 @@ taken as (select *, epochs + if(rest > 0 and upto <= rest, 1, 0) as times from o
 select doc_id, domain, lang, source, n_tokens, unnest(range(0, cast(times as bigint))) as epoch from taken
 """
 
+# Backward over each conversation's turns: per state (0 start, 1 system, 2 user, 3 assistant) the least (cost, audit,
+# repaired lines) of what follows.
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _step(cost: str, initial: str, line: str, then: str) -> str:
+    return f"{{'c': {cost} + {then}.c, 'a': '{initial}' || {then}.a, 't': {line} || {then}.t}}"
+
+
+def _before_turn(state: int) -> str:
+    insert = "user" if state != 2 else "assistant"
+    to = {0: 2, 1: 2, 2: 3, 3: 2}[state]
+    none = "{'c': 1000000, 'a': '', 't': cast([] as varchar[])}"
+    keeps = {0: (("s", 1), ("u", 2)), 1: (("u", 2),), 2: (("a", 3),), 3: (("u", 2),)}[state]
+    kept = " ".join(f"when initial = '{role}' then {_step('late', 'K', '[line]', f's{k}')}" for role, k in keeps)
+    return _least(
+        _step("3", "D", "cast([] as varchar[])", f"s{state}"),
+        f"case when gone then {none} {kept} else {none} end",
+        f"case when gone then {none} else {_step('2 + late', 'R', f"['{insert}:' || text]", f's{to}')} end",
+    )
+
+
+_EMPTY = "cast([] as varchar[])"
+_OP11 = f"""
+with recursive hashed as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+           xor(list_reduce(
+               list_prepend(cast(4294967295 as bigint),
+                            list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda c: cast(ascii(c) as bigint))),
+               lambda crc, b: xor(crc >> 8, list_reduce(cast([xor(crc, b) & 255, 0, 0, 0, 0, 0, 0, 0, 0] as bigint[]),
+                                                        lambda x, k: if((x & 1) = 1, xor(x >> 1, cast(3988292384 as bigint)), x >> 1)))),
+               cast(4294967295 as bigint)) % 20 as kind
+    from conversations),
+damaged as (
+    select conv_id, turn, if(kind = 4, 'user', role) as role,
+           case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+           unnest(range(0, if(kind = 3, 2, 1))) as copy
+    from hashed where kind <> 0),
+placed as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as place,
+           count(*) over (partition by conv_id) as n from damaged),
+judged as (
+    select *, substr(role, 1, 1) as initial, role || ':' || text as line,
+           not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+           row_number() over (partition by conv_id, role, text order by place) > 1 as again,
+           not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') as open_end,
+           lag(substr(role, 1, 1)) over (partition by conv_id order by place) as initial_before
+    from placed),
+turns as (
+    select *, blank or again as gone, cast(open_end and not blank and not again as integer) as late from judged),
+least_cost as (
+    select conv_id, n as place, {{'c': 0, 'a': '', 't': {_EMPTY}}} as s0, {{'c': 4, 'a': 'II', 't': ['user:', 'assistant:']}} as s1,
+           {{'c': 2, 'a': 'I', 't': ['assistant:']}} as s2, {{'c': 0, 'a': '', 't': {_EMPTY}}} as s3
+    from (select distinct conv_id, n from placed)
+    union all
+    select conv_id, place, {_least('b0', _step('2', 'I', "['user:']", 'u'))}, {_least('b1', _step('2', 'I', "['user:']", 'u'))}, u, a
+    from (
+        select *, {_least('b2', _step('2', 'I', "['assistant:']", 'b3'))} as u, {_least('b3', _step('2', 'I', "['user:']", 'b2'))} as a
+        from (
+            select l.conv_id, l.place - 1 as place, {', '.join(f'{_before_turn(s)} as b{s}' for s in range(4))}
+            from least_cost l join turns t on l.conv_id is not distinct from t.conv_id and l.place = t.place))),
+repaired as (select conv_id, s0 from least_cost where place = 0),
+counted as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+           count(*) filter (again and not blank) as duplicate, sum(late) as truncated,
+           count(*) filter (place > 1 and initial_before || initial not in ('su', 'ua', 'au')) as illegal
+    from turns group by conv_id)
+select o.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       cast(coalesce(truncated, 0) as bigint) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(s0.c, 0) as bigint) as cost,
+       coalesce(s0.a, '') as audit, sha256(coalesce(array_to_string(s0.t, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join repaired r on o.conv_id is not distinct from r.conv_id left join counted c on o.conv_id is not distinct from c.conv_id
+"""
+
+_OP12 = """
+with pieces as (
+    select row_number() over () as id, lang, piece
+    from (
+        select coalesce(lang, 'und') as lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents)),
+words as (
+    select id, lang, unnest(list) as w, generate_subscripts(list, 1) as i
+    from (select id, lang, regexp_extract_all(piece, '[^\x20\x09]+') as list from pieces)),
+runs as (
+    select lang, w as w1, lead(w) over p as w2, lead(w, 2) over p as w3 from words window p as (partition by id order by i)),
+f1 as (select lang, w1 as phrase, cast(count(*) as hugeint) as f from runs group by all),
+f2 as (select lang, w1, w2, cast(count(*) as hugeint) as f from runs where w2 is not null group by all),
+f3 as (select lang, w1, w2, w3, cast(count(*) as hugeint) as f from runs where w3 is not null group by all having count(*) >= 10),
+phrases as (select lang, phrase, f from f1 union all select lang, w1 || ' ' || w2, f from f2),
+candidates as (
+    select lang, w1 || ' ' || w2 as phrase, f as a, unnest([1]) as k, w1 as head, w2 as rest from f2 where f >= 10
+    union all select lang, w1 || ' ' || w2 || ' ' || w3, f, 1, w1, w2 || ' ' || w3 from f3
+    union all select lang, w1 || ' ' || w2 || ' ' || w3, f, 2, w1 || ' ' || w2, w3 from f3),
+scored as (
+    select c.lang, c.phrase, a, k, h.f as l, r.f as r, (a * a * 1000000) // (h.f * r.f) as score
+    from candidates c join phrases h on h.lang = c.lang and h.phrase = head join phrases r on r.lang = c.lang and r.phrase = rest),
+cut as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+    select lang, phrase, max(f) as longer
+    from (select lang, w1 || ' ' || w2 as phrase, f from f3 union all select lang, w2 || ' ' || w3, f from f3) group by all),
+kept as (
+    select c.* from cut c left join inside i on i.lang = c.lang and i.phrase = c.phrase where longer is null or 100 * longer < 50 * a),
+totals as (select lang, count(*) as n from words group by lang)
+select k.lang, row_number() over (partition by k.lang order by score desc, a desc, phrase) as rank, phrase,
+       cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score
+from kept k join totals t on t.lang = k.lang qualify rank <= 2000
+"""
+
 ORACLE_SQL = {
     "op3_mixture": _OP3,
     "op4_secrets": _OP4,
     "op7_chat": _OP7,
     "op8_line_dedup": _OP8,
     "op9_exact_top_k": _OP9,
+    "op11_conversation_repair": _OP11,
+    "op12_collocations": _OP12,
 }
 
 

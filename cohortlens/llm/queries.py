@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import chat, html_text, line_dedup, mixing, near_dup, packing, pieces, quality, secrets, topk
+from cohortlens.llm import chat, collocation, html_text, line_dedup, lm, mixing, near_dup, packing, pieces, quality, repair, secrets, topk
 from cohortlens.llm.common import table
 
 
@@ -105,11 +105,55 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns (conv_id, turn, role, text) with faults planted by a hash of
+    conversation and turn; nulls in role, text or the hashed key are one space."""
+    key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(":") for c in ("conv_id", ":", "turn")])
+    kind, text = F.crc32(key) % 20, F.coalesce("text", F.lit(" "))
+    return (
+        turns.withColumn("kind", kind)
+        .where(F.col("kind") != 0)
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))))
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("kind") == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+            F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        )
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = repair.marked_turns(damaged(turns))
+    told = repair.digests(repair.repair(repair.blocks(marked))).join(repair.turn_gaps(marked), "conv")
+    original = turns.select(F.struct(F.col("conv_id").alias("id")).alias("conv")).distinct()
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return original.join(told, "conv", "left").select(
+        F.col("conv.id").alias("conv_id"),
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
+    out = lm.score(table(spark, sf_dir, "documents"), held_out, ["doc_id"])
+    return out.select(
+        "row.doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_sentencepiece, op2_minhash_near_dup, op3_mixture, op4_secrets, op5_quality, op6_packed_tokens, op7_chat, op8_line_dedup,
-            op9_exact_top_k, op10_main_text,
+            op9_exact_top_k, op10_main_text, op11_conversation_repair, op12_collocations, op13_lm_score,
         )
     }
