@@ -7,8 +7,8 @@
     spark-submit -m cohortlens report  --out OUT_DIR                 # report tables
 
 Raw sources are ``RAW_DIR/{name}.csv`` (or ``--fmt parquet``). Everything is
-written under ``OUT_DIR`` as parquet; nothing is collected but bounded
-summaries.
+written under ``OUT_DIR`` as parquet and published there (``sources/tables.py``:
+readers see the last complete set); nothing is collected but bounded summaries.
 """
 
 from __future__ import annotations
@@ -25,10 +25,14 @@ from .plans.campaign import portfolio
 from .session import tune
 from .sources.readers import load, read_raw_sources, typed_raw
 from .sources.sinks import materialize, write_outputs
+from .sources.tables import Store
 
 
-def _write(df, out: str, group: str, name: str) -> None:
-    df.write.mode("overwrite").parquet(os.path.join(out, group, name))
+def _publish(spark, out: str, group: str, frames: dict) -> Store:
+    """A group of result tables under ``{out}/{group}``, all replaced in one step."""
+    store = Store(spark, os.path.join(out, group))
+    store.publish({name: store.stage(df, name) for name, df in frames.items()})
+    return store
 
 
 def _built(spark, out: str) -> Models:
@@ -73,8 +77,7 @@ def explore(spark, args) -> None:
         "repeat_sales": profile.profile_repeat_sales(act),
         "date_matches": profile.profile_date_matches(act),
     }
-    for name, df in frames.items():
-        _write(df, args.out, "profiles", name)
+    _publish(spark, args.out, "profiles", frames)
 
 
 def build(spark, args) -> None:
@@ -83,9 +86,8 @@ def build(spark, args) -> None:
 
 
 def test(spark, args) -> int:
-    rep = quality.check_report(_built(spark, args.out))
-    _write(rep, args.out, "checks", "check_report")
-    failing = spark.read.parquet(os.path.join(args.out, "checks", "check_report")).where("violations > 0")
+    store = _publish(spark, args.out, "checks", {"check_report": quality.check_report(_built(spark, args.out))})
+    failing = store.read("check_report").where("violations > 0")
     return 1 if failing.limit(1).count() else 0
 
 
@@ -96,12 +98,6 @@ def train(spark, args) -> None:
     write_outputs(outputs.as_dict(), base=args.out)
 
 
-def _exists(spark, path: str) -> bool:
-    """Whether a folder exists, on whatever file system its path names."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def app(spark, args) -> None:
     mart = _built(spark, args.out).mart_campaign_performance
     frames = {
@@ -115,11 +111,9 @@ def app(spark, args) -> None:
     for metric in ("total_revenue_roas", "initial_revenue_roas", "cost_per_trial", "cost_per_sale",
                    "trial_rate", "sale_rate"):
         frames[f"ranking_{metric}"] = report.rank_campaigns(mart, metric)
-    outputs = os.path.join(args.out, "model_output")
-    if _exists(spark, outputs):
-        coefs = spark.read.parquet(os.path.join(outputs, "feature_importance"))
-        refs = spark.read.parquet(os.path.join(outputs, "reference_categories"))
-        metrics = spark.read.parquet(os.path.join(outputs, "model_metrics"))
+    outputs = Store(spark, os.path.join(args.out, "model_output"))
+    if outputs.published():
+        coefs, refs, metrics = (outputs.read(n) for n in ("feature_importance", "reference_categories", "model_metrics"))
         factors = report.factor_table(coefs, refs)
         frames.update(
             factor_table=factors,
@@ -128,8 +122,7 @@ def app(spark, args) -> None:
             confusion=report.confusion_long(metrics),
             comparison_groups=report.comparison_groups(refs),
         )
-    for name, df in frames.items():
-        _write(df, args.out, "reports", name)
+    _publish(spark, args.out, "reports", frames)
 
 
 def main(argv=None) -> int:

@@ -1,10 +1,10 @@
 """Model graph: raw sources -> staging -> journey -> mart / features.
 
 ``Models`` builds each model's plan lazily, once. ``build_all`` runs the
-graph as a batch job: models are written as tables (in dependency order) and
-every downstream model reads its inputs back from the written tables, so
-no plan's lineage reaches further back than the previous table and a lost
-executor only recomputes one stage of one model.
+graph as a batch job: models are written as tables (in dependency order),
+every downstream model reads its inputs back from the written tables (so no
+plan's lineage reaches further back than the previous table and a lost executor
+only recomputes one stage of one model), and all are published together.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import fixtures
 from ..sources.readers import read_raw_sources
-from ..sources.sinks import materialize
+from ..sources.sinks import bucketed, checkpoint_base
+from ..sources.tables import Store
 from . import campaign, features, journey, staging
 
 MODEL_ORDER = (
@@ -96,19 +97,27 @@ USER_KEYED = ("stg_user_activity", "stg_dim_user")
 
 def build_all(raw: dict[str, DataFrame], base: str | None = None, checks=None,
               user_buckets: int | None = None) -> Models:
-    """Materialise every model in dependency order; each model is planned
-    over the already-written tables. ``checks(models, name)`` may raise to
-    stop publication of anything downstream of a failing model.
+    """Write every model in dependency order, each planned over the tables just
+    written, then publish them all in one step (``tables.Store`` under
+    ``base``, by default a folder of its own in the checkpoint dir).
+    ``checks(models, name)`` sees a model before anyone else does and may
+    raise: nothing that depends on it is built then, and readers keep the
+    models of the last build that passed.
 
     With ``user_buckets``, the user-keyed staging tables are written bucketed
     by ``user_id`` into that many buckets, so the journey's aggregations and
     joins read them co-partitioned, with no exchange (size the count so a
     bucket is a few hundred MB)."""
+    spark = next(iter(raw.values())).sparkSession
+    store = Store(spark, base or f"{checkpoint_base(spark)}/models")
+    entries: dict[str, dict] = {}
     written: dict[str, DataFrame] = {}
     for name in MODEL_ORDER:
         plan = Models(raw, written).get(name)
-        bucket_by = ("user_id", user_buckets) if user_buckets and name in USER_KEYED else None
-        written[name] = materialize(plan, name, base, bucket_by=bucket_by)
+        write = bucketed(name, "user_id", user_buckets) if user_buckets and name in USER_KEYED else None
+        entries[name] = store.stage(plan, name, write)
+        written[name] = store.read_version(name, entries[name])
         if checks is not None:
             checks(Models(raw, written), name)
+    store.publish(entries)
     return Models(raw, written)

@@ -12,6 +12,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .tables import Store
+
 
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. Only when the
@@ -38,56 +40,57 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(
-    df: DataFrame,
-    name: str,
-    base: str | None = None,
-    fmt: str = "parquet",
-    bucket_by: tuple[str, int] | None = None,
-) -> DataFrame:
+def materialize(df: DataFrame, name: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` to ``{base}/{name}`` (default: under the checkpoint dir)
     and return a fresh scan of it, so downstream plans start from the table.
-
-    ``bucket_by=(column, n)`` writes an external table bucketed by ``column``
-    into ``n`` buckets (one file per bucket after one shuffle on the key).
-    Tables bucketed alike on the same key are then read co-partitioned:
-    aggregations and joins on that key need no exchange."""
+    For copies of one application's own; tables that others read are published
+    (``tables.Store``)."""
     spark = df.sparkSession
     base = (base or os.path.join(checkpoint_base(spark), "tables")).rstrip("/")
     path = f"{base}/{name}"
-    if bucket_by is None:
-        df.write.mode("overwrite").format(fmt).save(path)
-        return spark.read.format(fmt).load(path)
-    col, n = bucket_by
-    table = f"{name}_{hashlib.md5(path.encode()).hexdigest()[:10]}"
-    (
-        df.repartition(n, col)
-        .write.mode("overwrite")
-        .format(fmt)
-        .bucketBy(n, col)
-        .option("path", path)
-        .saveAsTable(table)
-    )
-    return spark.table(table)
-
-
-def write_table(df: DataFrame, name: str, database: str | None = None) -> None:
-    """Create-or-replace a catalog table, creating its database if absent."""
-    spark = df.sparkSession
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        name = f"`{database}`.`{name}`"
-    df.write.mode("overwrite").saveAsTable(name)
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
+
+
+def bucketed(name: str, col: str, n: int):
+    """A writer for ``Store.stage``: a table bucketed by ``col`` into ``n``
+    buckets (one file each after one shuffle on the key). Tables bucketed alike
+    on the same key are read co-partitioned: aggregations and joins on that key
+    need no exchange."""
+
+    def write(df: DataFrame, path: str) -> str:
+        table = f"{name}_{hashlib.md5(path.encode()).hexdigest()[:10]}"
+        df.repartition(n, col).write.format("parquet").bucketBy(n, col).option("path", path).saveAsTable(table)
+        return table
+
+    return write
+
+
+def write_tables(spark: SparkSession, frames: dict[str, DataFrame], database: str) -> None:
+    """Create or replace tables of a catalog's database, which is created if
+    absent. Each is a new folder of files and a view on it: the view is replaced
+    when all folders are complete, so readers never meet a half-written table,
+    and a failed write leaves the former ones."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    store = Store(spark, spark.catalog.getDatabase(database).locationUri)
+    staged = {name: store.stage(df, name) for name, df in frames.items()}
+    for name, entry in staged.items():
+        if spark.catalog.tableExists(f"`{database}`.`{name}`") and spark.catalog.getTable(f"`{database}`.`{name}`").tableType != "VIEW":
+            spark.sql(f"DROP TABLE `{database}`.`{name}`")  # a table of earlier releases, replaced for good
+        files = store.paths(name, entry)[0].replace("`", "``")
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{files}`")
 
 
 def write_outputs(outputs: dict[str, DataFrame], database: str = "model_output", base: str | None = None) -> None:
     """Publish the model-output tables (metrics, coefficients, reference
-    categories, thresholds): to the catalog, or as files under ``base``."""
-    for name, df in outputs.items():
-        if base is None:
-            write_table(df, name, database)
-        else:
-            df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{database}/{name}")
+    categories, thresholds): to the catalog, or under ``{base}/{database}``,
+    where all of them change in one step."""
+    spark = next(iter(outputs.values())).sparkSession
+    if base is None:
+        write_tables(spark, outputs, database)
+        return
+    store = Store(spark, f"{base.rstrip('/')}/{database}")
+    store.publish({name: store.stage(df, name) for name, df in outputs.items()})
 
 
 def register_views(frames: dict[str, DataFrame]) -> None:

@@ -6,6 +6,7 @@ import pytest
 
 from cohortlens.__main__ import main
 from cohortlens.sources import fixtures
+from cohortlens.sources.tables import Store
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -22,9 +23,13 @@ def test_cli_steps(spark, scratch):
     assert main(["test", "--raw", raw_dir, "--out", out]) == 0
     assert main(["train", "--out", out]) == 0
     assert main(["report", "--out", out]) == 0
-    assert spark.read.parquet(os.path.join(out, "model_output", "model_metrics")).count() == 2
-    assert spark.read.parquet(os.path.join(out, "reports", "factor_table")).count() > 0
-    assert spark.read.parquet(os.path.join(out, "profiles", "journeys")).first().users == raw["user_activity"].select("user_id").distinct().count()
-    spelled = {r.event_type for r in spark.read.parquet(os.path.join(out, "profiles", "revenue_population")).collect()}
+
+    def read(group, name):
+        return Store(spark, os.path.join(out, group)).read(name)
+
+    assert read("model_output", "model_metrics").count() == 2
+    assert read("reports", "factor_table").count() > 0
+    assert read("profiles", "journeys").first().users == raw["user_activity"].select("user_id").distinct().count()
+    spelled = {r.event_type for r in read("profiles", "revenue_population").collect()}
     assert {"SALE", "Start_Onboarding "} <= spelled
-    assert spark.read.parquet(os.path.join(out, "models", "fct_user_journey")).count() == 200
+    assert read("models", "fct_user_journey").count() == 200
