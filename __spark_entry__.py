@@ -215,8 +215,7 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
 
     def references(s, d):
         split, _ = _reference_eval(s, d)
-        enc = model.Encoder.fit(split.frame.where(F.col("split") == "training"))
-        return quality.union_all(*[model.reference_categories(s, enc, t) for t in TARGETS])
+        return model.reference_categories(model.Encoder.fit(split.frame.where(F.col("split") == "training")))
 
     def factors(s, d):
         split, _ = _reference_eval(s, d)
@@ -226,6 +225,10 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         coefs = coefs.withColumns({c: F.round(F.col(c), 6) for c in ("coefficient", "absolute_importance")})
         return report.factor_table(coefs, refs)
 
+    def fit_flag(s, d):
+        found = model.fit_flag(_reference_eval(s, d)[0].frame, F.col("onboarding_name") == "sleep")
+        return found.withColumns({c: F.round(c, oracle_queries.COEFFICIENT_DIGITS) for c in ("intercept", "coefficient")})
+
     summary = ("minimum_probability", "median_probability", "maximum_probability", "predicted_positive_rate")
     fns = {
         "chronological_split": chronological_split,
@@ -241,6 +244,7 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "scorer_factors": factors,
         "scorer_leading_predictor": lambda s, d: report.leading_predictor(factors(s, d)),
         "reference_categories": references,
+        "fit_flag": fit_flag,
     }
     return {
         n: (lambda n, f: lambda s, d: _rounded(f(s, d), rnd.get(n, [])))(n, f) for n, f in fns.items()
@@ -258,15 +262,23 @@ def _fitted(spark: SparkSession, sf_dir: str) -> model.ModelOutputs:
 
 
 def _fitted_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Outputs of the fitted logistic models (solver results: rows-only check;
-    pytest compares the fit with a Newton solve of the same objective)."""
+    """Outputs of the fitted logistic models. Their numbers are a solver's
+    (rows-only check); ``fit_certificate`` checks against SQL that they are the
+    optimum, ``fit_flag`` a small model's coefficients themselves."""
 
     def factors(s, d):
         o = _fitted(s, d)
         return report.factor_table(o.feature_importance, o.reference_categories)
 
+    def certificate(s, d):
+        o = _fitted(s, d)
+        found = model.certificate(o.training, o.scores, o.feature_importance)
+        # + 0.0: no negative zero
+        return found.withColumn("gradient", F.round("gradient", oracle_queries.CERTIFICATE_DIGITS) + F.lit(0.0))
+
     return {
         "model_metrics": lambda s, d: _fitted(s, d).model_metrics,
+        "fit_certificate": certificate,
         "feature_importance": lambda s, d: _fitted(s, d).feature_importance,
         "model_threshold_metrics": lambda s, d: _fitted(s, d).threshold_metrics,
         "factor_table": factors,

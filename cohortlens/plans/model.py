@@ -5,8 +5,8 @@ The evaluation operators (``threshold_metrics``, ``select_threshold``,
 ``roc_auc``, ``evaluate``) take any frame with a 0/1
 label and a score column, so they serve the fitted model and any other
 scorer alike. They aggregate on the executors; only bounded results reach
-the driver: the distinct attribution dates, category lists of the
-predictors, the model coefficients, at most 47 threshold-bucket rows and
+the driver: the two dates that begin a part, how many categories each
+predictor has, the model coefficients, at most 47 threshold-bucket rows and
 scalar metrics.
 """
 
@@ -15,14 +15,16 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import count_below, ranges_of, with_bucket
 from ..operators.sets import union_all
-from ..operators.windows import top_k_per_group
+from ..operators.windows import rank_events, top_k_per_group
 from ..sources.sinks import reliable_checkpoint
 from ..sources.schemas import (
     PREDICTORS,
@@ -35,6 +37,9 @@ from ..sources.schemas import (
 from .quality import validate_features, validate_splits
 
 MODEL_NAME = "logistic_regression"
+#: Relative change of the mean loss at which the solver stops. It passes over
+#: cells, so the passes that full convergence takes are cheap.
+SOLVER_TOLERANCE = 1e-14
 
 
 # ------------------------------------------------------------------- L1
@@ -89,100 +94,135 @@ def prepare_predictors(df: DataFrame, predictors=PREDICTORS) -> DataFrame:
     return df.withColumns({p: F.coalesce(F.col(p).cast("string"), F.lit(UNKNOWN)) for p in predictors})
 
 
+def category_table(train: DataFrame, predictors=PREDICTORS) -> DataFrame:
+    """(predictor, category, place, size): every predictor's training
+    categories in alphabetical order, place 1 first, and how many there are.
+    The distinct pairs are ranked by a range-partitioned sort
+    (``rank_events``): a predictor's categories never meet in one task."""
+    pairs = train.select(F.explode(_long(predictors)).alias("p")).select("p.*").distinct()
+    return reliable_checkpoint(rank_events(pairs, "predictor", [F.col("category")], "place", size="size"))
+
+
+def _long(predictors) -> Column:
+    """The predictors of a row as an array of (predictor, category)."""
+    return F.array(*[F.struct(F.lit(p).alias("predictor"), F.col(p).alias("category")) for p in predictors])
+
+
 @dataclass
 class Encoder:
-    """One-hot encoding with the reference's conventions, built from Spark ML
-    stages so the feature vectors stay sparse (one active slot per
-    predictor, whatever the number of categories):
-
-    - ``StringIndexer`` orders each predictor's training categories
-      alphabetically *descending* and sends unseen values (and nulls) to an
-      extra index ``n``;
-    - ``least(index, n - 1)`` moves unseen values onto the alphabetically
-      first category's slot;
-    - ``OneHotEncoder(dropLast=True)`` drops that slot, so the first category
-      is the reference (all zeros), and an unseen value encodes like it;
-    - ``VectorAssembler`` concatenates the predictors.
-
-    Only the category labels reach the driver, as Spark ML's indexer keeps
-    them in its model."""
+    """One-hot encoding with the first category of each predictor as the
+    reference (all zeros), like any value unseen in training.
+
+    The dictionary is a table (``category_table``), joined to what is encoded:
+    no category reaches the driver, only how many each predictor has. What is
+    encoded are distinct combinations of the predictors, not rows. Within a
+    predictor, slots run from the last category to the second; vectors are
+    sparse (one active slot per predictor, whatever the number of categories),
+    built by Spark ML's ``OneHotEncoder`` and ``VectorAssembler``."""
 
     predictors: tuple
-    labels: dict = field(default_factory=dict)  # predictor -> labels, descending
-    indexer: object = None
+    categories: DataFrame  # predictor, category, place, size
+    sizes: dict = field(default_factory=dict)  # predictor -> number of categories
     onehot: object = None
 
     @classmethod
     def fit(cls, train: DataFrame, predictors=PREDICTORS) -> Encoder:
-        from pyspark.ml.feature import OneHotEncoder, StringIndexer
+        from pyspark.ml.feature import OneHotEncoder
 
         predictors = tuple(predictors)
-        indexer = StringIndexer(
-            inputCols=list(predictors),
-            outputCols=[f"__{p}_idx" for p in predictors],
-            stringOrderType="alphabetDesc",
-            handleInvalid="keep",
-        ).fit(train)
-        labels = {p: list(ls) for p, ls in zip(predictors, indexer.labelsArray)}
-        enc = cls(predictors, labels, indexer)
-        clipped = enc._clipped(train)
+        table = category_table(train, predictors)
+        sizes = {r.predictor: r.n for r in table.groupBy("predictor").agg(F.max("size").alias("n")).collect()}
+        enc = cls(predictors, table, sizes)
+        # the encoder learns from one row with the greatest index of each predictor
+        greatest = train.sparkSession.range(1).select(*[F.lit(float(sizes[p] - 1)).alias(f"__{p}_idx") for p in predictors])
         enc.onehot = OneHotEncoder(
-            inputCols=[f"__{p}_ref" for p in predictors],
-            outputCols=[f"__{p}_vec" for p in predictors],
-            dropLast=True,
-        ).fit(clipped)
+            inputCols=[f"__{p}_idx" for p in predictors], outputCols=[f"__{p}_vec" for p in predictors], dropLast=True
+        ).fit(greatest)
         return enc
 
-    def _clipped(self, df: DataFrame) -> DataFrame:
-        idx = self.indexer.transform(df)
-        return idx.withColumns(
-            {
-                f"__{p}_ref": F.least(F.col(f"__{p}_idx"), F.lit(float(len(self.labels[p]) - 1)))
-                for p in self.predictors
-            }
+    def feature_table(self) -> DataFrame:
+        """(slot, predictor, category) of every vector slot."""
+        before, starts = 0, {}
+        for p in self.predictors:
+            starts[p], before = before, before + self.sizes[p] - 1
+        start = F.create_map(*[F.lit(x) for p in self.predictors for x in (p, starts[p])])
+        return self.categories.where("place > 1").select(
+            (start[F.col("predictor")] + F.col("size") - F.col("place")).cast("long").alias("slot"), "predictor", "category"
         )
 
-    @property
-    def categories(self) -> dict:
-        """Training categories per predictor, ascending."""
-        return {p: sorted(v) for p, v in self.labels.items()}
+    def reference_table(self) -> DataFrame:
+        """(predictor, reference_category)."""
+        return self.categories.where("place = 1").select("predictor", F.col("category").alias("reference_category"))
 
-    def reference(self, p: str) -> str:
-        return self.labels[p][-1]  # alphabetically first
+    def encode(self, combos: DataFrame, key: str, out: str = "features") -> DataFrame:
+        """``combos`` (checkpointed; ``key`` numbers its rows) with vectors:
+        its (predictor, category) pairs meet the dictionary in one join."""
+        from pyspark.ml.feature import VectorAssembler
 
-    def feature_names(self) -> list[tuple[str, str]]:
-        """(predictor, category) of each vector slot, in slot order."""
-        return [(p, c) for p in self.predictors for c in self.labels[p][:-1]]
+        pairs = combos.select(key, F.explode(_long(self.predictors)).alias("p")).select(key, "p.*")
+        known = pairs.join(self.categories, ["predictor", "category"]).select(key, "predictor", (F.col("size") - F.col("place")).alias("i"))
+        wide = known.groupBy(key).agg(*[F.max(F.when(F.col("predictor") == p, F.col("i"))).alias(f"__{p}_idx") for p in self.predictors])
+        # unseen, like the reference: the last index, which the encoder drops
+        index = {f"__{p}_idx": F.coalesce(F.col(f"__{p}_idx"), F.lit(self.sizes[p] - 1)).cast("double") for p in self.predictors}
+        vectors = self.onehot.transform(combos.join(wide, key, "left").withColumns(index))
+        assembled = VectorAssembler(inputCols=[f"__{p}_vec" for p in self.predictors], outputCol=out).transform(vectors)
+        return assembled.drop(*[f"__{p}_{k}" for p in self.predictors for k in ("idx", "vec")])
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
+        """Rows with vectors: each distinct combination is encoded once and
+        joined back."""
+        encoded = self.encode(combinations(df, self.predictors), "combo", out)
+        return df.join(encoded.drop("combo"), list(self.predictors))
+
 
-        vecs = self.onehot.transform(self._clipped(df))
-        assembled = VectorAssembler(inputCols=[f"__{p}_vec" for p in self.predictors], outputCol=out).transform(vecs)
-        helper = [f"__{p}_{k}" for p in self.predictors for k in ("idx", "ref", "vec")]
-        return assembled.drop(*helper)
+def combinations(df: DataFrame, predictors=PREDICTORS) -> DataFrame:
+    """The distinct combinations of the predictors, numbered (``combo``)."""
+    return reliable_checkpoint(df.select(*predictors).distinct().withColumn("combo", F.monotonically_increasing_id()))
 
 
 # ------------------------------------------------------------------- L3/L4
 
 
-def fit_target(train: DataFrame, target: str, n_train: int, predictors=PREDICTORS):
+def cells(frame: DataFrame, targets=TARGETS, predictors=PREDICTORS, by=("split",)) -> DataFrame:
+    """Sufficient statistics of rows whose predictors are all categories: per
+    combination (and ``by``) the rows ``n`` and the positives of each target,
+    written once. Whatever reads the rows' labels and scores reads these."""
+    sums = [F.sum(F.col(t).cast("long")).alias(t) for t in targets]
+    return reliable_checkpoint(frame.groupBy(*by, *predictors).agg(F.count(F.lit(1)).alias("n"), *sums))
+
+
+def fit_target(train: DataFrame, target: str, n_train: int, predictors=PREDICTORS, n: str | None = None):
     """L2-penalised logistic regression with the penalty ``0.5 * |w|^2`` on
     the summed log-loss (Spark averages the loss, hence ``regParam = 1/n``);
-    intercept unpenalised; no standardisation."""
-    if tuple(predictors) != tuple(PREDICTORS):
-        raise ValueError("both targets use the same onboarding-time predictors only")
+    intercept unpenalised; no standardisation. ``train`` has a row per example,
+    or, with ``n`` naming a count of rows, is ``cells`` with the target's
+    positives: each is two weighted examples then."""
+    if n is not None:
+        weights = F.array(*[F.struct(F.lit(y).alias("label"), w.alias("weight")) for y, w in ((1.0, F.col(target)), (0.0, F.col(n) - F.col(target)))])
+        train = train.select("features", F.explode(weights).alias("w")).select("features", "w.label", F.col("w.weight").cast("double").alias("weight"))
+        train = train.where("weight > 0")
+    else:
+        train = train.select("features", F.col(target).cast("double").alias("label"), F.lit(1.0).alias("weight"))
     lr = LogisticRegression(
         featuresCol="features",
         labelCol="label",
+        weightCol="weight",
         regParam=1.0 / n_train,
         elasticNetParam=0.0,
         standardization=False,
         fitIntercept=True,
         maxIter=1000,
-        tol=1e-8,
+        tol=SOLVER_TOLERANCE,
     )
-    return lr.fit(train.withColumn("label", F.col(target).cast("double")))
+    return lr.fit(train)
+
+
+def checked_predictors(predictors) -> tuple:
+    """The leakage rule: conversion models use the onboarding-time predictors
+    and no others."""
+    if tuple(predictors) != tuple(PREDICTORS):
+        raise ValueError("both targets use the same onboarding-time predictors only")
+    return tuple(predictors)
 
 
 def score(model, df: DataFrame, out: str = "score") -> DataFrame:
@@ -192,6 +232,12 @@ def score(model, df: DataFrame, out: str = "score") -> DataFrame:
     )
 
 
+def score_rows(frame: DataFrame, scores: DataFrame, predictors=PREDICTORS) -> DataFrame:
+    """Rows of ``frame`` with the scores of their combination, one per target
+    (``target``, ``score``)."""
+    return frame.join(scores, list(predictors))
+
+
 # ------------------------------------------------------------------- L5-L10
 
 
@@ -259,10 +305,11 @@ def select_threshold(metrics: DataFrame) -> DataFrame:
 
 def distinct_scores(scored: DataFrame, by: tuple = (), label: str = "label", score_col: str = "score") -> DataFrame:
     """(by..., s, pos, n): positives and rows per distinct score of a group,
-    written once."""
-    return reliable_checkpoint(
-        scored.groupBy(*by, F.col(score_col).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
-    )
+    written once. ``scored`` has a row per example with its label, or per cell
+    with ``pos`` and ``n``."""
+    cell = {"pos", "n"} <= set(scored.columns)
+    pos, n = (F.sum("pos"), F.sum("n")) if cell else (F.sum(F.col(label).cast("long")), F.count(F.lit(1)))
+    return reliable_checkpoint(scored.groupBy(*by, F.col(score_col).alias("s")).agg(pos.alias("pos"), n.alias("n")))
 
 
 def ordered_scores(per_score: DataFrame, by: tuple = ()) -> DataFrame:
@@ -335,8 +382,8 @@ class Evaluation:
 
 def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> Evaluation:
     """Threshold sweep on validation, the chosen threshold applied to test, of
-    every target in ``scored`` (target, split, label, score) at once. The rows
-    are read once, into one row per distinct (target, split, score); all that
+    every target in ``scored`` (target, split, score and label, or pos and n of
+    cells) at once. They are read once, into one row per distinct (target, split, score); all that
     follows reads that table, and joins are between rows per target."""
     by = ("target", "split")
     per_score = distinct_scores(scored.where(F.col("split").isNotNull()), by)
@@ -401,27 +448,66 @@ def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> E
 # ------------------------------------------------------------------- L12/L13
 
 
-def coefficient_table(spark: SparkSession, model, encoder: Encoder, target: str) -> DataFrame:
-    """One row per non-reference category (driver-small: one value per
-    model feature)."""
-    coefs = model.coefficients.toArray().tolist()
-    rows = []
-    for (p, c), w in zip(encoder.feature_names(), coefs):
-        rows.append((target, p, c, f"{p}={c}", float(w)))
-    df = spark.createDataFrame(rows, "target string, predictor string, category string, feature string, coefficient double")
-    return df.select(
-        "*",
-        F.abs("coefficient").alias("absolute_importance"),
-        F.when(F.col("coefficient") > 0, "positive").when(F.col("coefficient") < 0, "negative").otherwise("neutral").alias(
-            "direction"
-        ),
-        F.exp("coefficient").alias("odds_ratio"),
+def coefficient_table(model, encoder: Encoder, target: str) -> DataFrame:
+    """One row per non-reference category. The coefficients come from the
+    driver, where the solver keeps them; their names from the dictionary, by
+    slot."""
+    w = model.coefficients.toArray()
+    slots = encoder.categories.sparkSession.createDataFrame(
+        pd.DataFrame({"slot": np.arange(len(w), dtype=np.int64), "coefficient": w.astype(float)}), "slot long, coefficient double"
+    )
+    c = F.col("coefficient")
+    return encoder.feature_table().join(slots, "slot").select(
+        F.lit(target).alias("target"),
+        "predictor",
+        "category",
+        F.concat_ws("=", "predictor", "category").alias("feature"),
+        c.alias("coefficient"),
+        F.abs(c).alias("absolute_importance"),
+        F.when(c > 0, "positive").when(c < 0, "negative").otherwise("neutral").alias("direction"),
+        F.exp(c).alias("odds_ratio"),
     )
 
 
-def reference_categories(spark: SparkSession, encoder: Encoder, target: str) -> DataFrame:
-    rows = [(target, p, encoder.reference(p)) for p in encoder.predictors]
-    return spark.createDataFrame(rows, "target string, predictor string, reference_category string")
+def reference_categories(encoder: Encoder, targets=TARGETS) -> DataFrame:
+    """(target, predictor, reference_category), read off the dictionary."""
+    each = F.explode(F.array(*[F.lit(t) for t in targets])).alias("target")
+    return encoder.reference_table().select(each, "predictor", "reference_category")
+
+
+def certificate(train: DataFrame, scores: DataFrame, coefficients: DataFrame, targets=TARGETS, predictors=PREDICTORS) -> DataFrame:
+    """The optimality conditions of the fit, from the training rows themselves:
+    per target and feature its rows, its positives, and ``gradient``, the sum of
+    x (p - y) plus the penalty's share w. At the optimum every gradient is 0
+    (the intercept's, without penalty, is the row ``(intercept)``)."""
+    rows = score_rows(train, scores, predictors)
+    y = F.when(F.col("target") == targets[0], F.col(targets[0]))
+    for t in targets[1:]:
+        y = y.when(F.col("target") == t, F.col(t))
+    intercept = F.struct(F.lit("").alias("predictor"), F.lit("(intercept)").alias("category"))
+    long = rows.select("target", "score", y.cast("long").alias("y"), F.explode(F.array_append(_long(predictors), intercept)).alias("p"))
+    long = long.select("target", "score", "y", F.when(F.col("p.predictor") == "", F.col("p.category")).otherwise(F.concat_ws("=", "p.predictor", "p.category")).alias("feature"))
+    sums = long.groupBy("target", "feature").agg(
+        F.count(F.lit(1)).alias("training_rows"), F.sum("y").alias("positives"), F.sum(F.col("score") - F.col("y")).alias("excess")
+    )
+    fitted = sums.join(coefficients.select("target", "feature", "coefficient"), ["target", "feature"], "left")
+    kept = fitted.where((F.col("feature") == "(intercept)") | F.col("coefficient").isNotNull())
+    return kept.select("target", "feature", "training_rows", "positives", (F.col("excess") + F.coalesce("coefficient", F.lit(0.0))).alias("gradient"))
+
+
+def fit_flag(frame: DataFrame, flag: Column, targets=TARGETS) -> DataFrame:
+    """(target, intercept, coefficient) of models with one binary predictor:
+    small enough to be solved by hand, by the same path as the full ones."""
+    flagged = frame.where(F.col("split") == "training").withColumn("flag", F.when(flag, "yes").otherwise("no"))
+    encoder = Encoder.fit(flagged, ("flag",))
+    counted = cells(flagged, targets, ("flag",), ())
+    encoded = counted.join(encoder.encode(combinations(counted, ("flag",)), "combo").drop("combo"), "flag")
+    n_train = counted.agg(F.sum("n")).first()[0]
+    rows = []
+    for t in targets:
+        model = fit_target(encoded, t, n_train, ("flag",), n="n")
+        rows.append((t, float(model.intercept), float(model.coefficients[0])))
+    return frame.sparkSession.createDataFrame(rows, "target string, intercept double, coefficient double")
 
 
 @dataclass
@@ -430,6 +516,8 @@ class ModelOutputs:
     feature_importance: DataFrame
     reference_categories: DataFrame
     threshold_metrics: DataFrame
+    scores: DataFrame = None  # per target and combination of the predictors
+    training: DataFrame = None  # the training rows, with the split's other columns
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
@@ -441,35 +529,38 @@ class ModelOutputs:
 
 
 def train_models(features: DataFrame, targets=TARGETS, predictors=PREDICTORS) -> ModelOutputs:
-    """Validate, split by date, encode once, fit one model per target, and
-    evaluate all targets in one pass. The encoded frame is cached for the
-    solver's passes."""
-    spark = features.sparkSession
+    """Validate, split by date, count the rows into cells, fit one model per
+    target on the training cells, and evaluate all targets in one pass. All
+    predictors are categories, so rows with the same ones get the same score:
+    the rows are read once, to count them; the solver, the scorer and the
+    evaluation read cells."""
+    predictors = checked_predictors(predictors)
     validate_features(features, targets, predictors)
     split = split_chronologically(prepare_predictors(features, predictors))
     validate_splits(split.frame, targets)
-    frame = split.frame.where(F.col("split").isNotNull())
-    encoder = Encoder.fit(frame.where(F.col("split") == "training"), predictors)
-    encoded = encoder.transform(frame).select("user_id", "split", *targets, "features").persist()
-    try:
-        train = encoded.where(F.col("split") == "training")
-        n_train = train.count()
-        # the targets are independent: their jobs run side by side
-        with ThreadPoolExecutor(max_workers=len(targets)) as pool:
-            fitted = dict(zip(targets, pool.map(lambda t: fit_target(train, t, n_train, predictors), targets)))
-        scored = union_all(
-            *[
-                score(fitted[t], encoded.withColumn("label", F.col(t).cast("int"))).select(F.lit(t).alias("target"), "split", "label", "score")
-                for t in targets
-            ]
-        )
-        found = evaluate(scored, split)
-        metrics, sweep = _small(found.metrics.select(*METRIC_COLUMNS)), _small(found.sweep)
-    finally:
-        encoded.unpersist()
-    coefs = union_all(*[coefficient_table(spark, fitted[t], encoder, t) for t in targets])
-    refs = union_all(*[reference_categories(spark, encoder, t) for t in targets])
-    return ModelOutputs(metrics, coefs.orderBy("target", F.col("absolute_importance").desc(), "feature"), refs, sweep)
+    counted = cells(split.frame.where(F.col("split").isNotNull()), targets, predictors)
+    encoder = Encoder.fit(counted.where(F.col("split") == "training"), predictors)
+    encoded = reliable_checkpoint(encoder.encode(combinations(counted, predictors), "combo"))
+    train = reliable_checkpoint(
+        counted.where(F.col("split") == "training").join(encoded, list(predictors)).select("features", "n", *targets)
+    )
+    n_train = train.agg(F.sum("n")).first()[0]
+    # the targets are independent: their jobs run side by side
+    with ThreadPoolExecutor(max_workers=len(targets)) as pool:
+        fitted = dict(zip(targets, pool.map(lambda t: fit_target(train, t, n_train, predictors, n="n"), targets)))
+    scores = reliable_checkpoint(
+        union_all(*[score(fitted[t], encoded).select(*predictors, F.lit(t).alias("target"), "score") for t in targets])
+    )
+    pos = F.when(F.col("target") == targets[0], F.col(targets[0]))
+    for t in targets[1:]:
+        pos = pos.when(F.col("target") == t, F.col(t))
+    scored = score_rows(counted, scores, predictors).select("target", "split", "score", pos.alias("pos"), "n")
+    found = evaluate(scored, split)
+    metrics, sweep = _small(found.metrics.select(*METRIC_COLUMNS)), _small(found.sweep)
+    coefs = reliable_checkpoint(union_all(*[coefficient_table(fitted[t], encoder, t) for t in targets]))
+    refs = reference_categories(encoder, targets)
+    training = split.frame.where(F.col("split") == "training")
+    return ModelOutputs(metrics, coefs.orderBy("target", F.col("absolute_importance").desc(), "feature"), refs, sweep, scores, training)
 
 
 def _small(df: DataFrame) -> DataFrame:

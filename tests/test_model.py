@@ -107,23 +107,47 @@ def test_split_by_distinct_dates(spark):
         model.split_chronologically(df.where(F.col("attribution_date") <= days[1]))
 
 
+def _names(enc):
+    return {r.slot: (r.predictor, r.category) for r in enc.feature_table().collect()}
+
+
 def test_encoder_reference_and_unseen(spark):
     train = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "x")], "p1 string, p2 string")
     enc = model.Encoder.fit(train, ("p1", "p2"))
-    assert enc.reference("p1") == "a" and enc.reference("p2") == "x"
-    assert sorted(enc.feature_names()) == [("p1", "b"), ("p1", "c"), ("p2", "y")]
-    test = spark.createDataFrame([("zz", "y"), ("a", "x"), ("b", "x")], "p1 string, p2 string")
+    assert dict(map(tuple, enc.reference_table().collect())) == {"p1": "a", "p2": "x"}
+    names = _names(enc)
+    assert sorted(names) == [0, 1, 2] and sorted(names.values()) == [("p1", "b"), ("p1", "c"), ("p2", "y")]
+    test = spark.createDataFrame([("zz", "y"), ("a", "x"), ("b", "x"), ("b", "x")], "p1 string, p2 string")
     got = []
     for r in enc.transform(test).collect():
         v = r.features.toArray()
         assert v.size == 3
-        got.append({enc.feature_names()[i] for i in range(3) if v[i] == 1.0})
-    assert got == [{("p2", "y")}, set(), {("p1", "b")}]  # unseen == reference: all zeros
+        got.append((r.p1, {names[i] for i in range(3) if v[i] == 1.0}))
+    # unseen == reference: all zeros
+    assert sorted(got, key=str) == [("a", set()), ("b", {("p1", "b")}), ("b", {("p1", "b")}), ("zz", {("p2", "y")})]
     many = spark.createDataFrame([(f"c{i:02d}", "x") for i in range(50)], "p1 string, p2 string")
     wide = model.Encoder.fit(many, ("p1", "p2")).transform(many).first().features
     assert type(wide).__name__ == "SparseVector" and wide.size == 49
 
 
+def test_a_million_categories_stay_on_the_executors(spark, monkeypatch):
+    """The dictionary of a predictor with a million categories is a table: what
+    is collected is one row per predictor."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    collected = []
+    real = Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda df: collected.append(rows := real(df)) or rows)
+    train = spark.range(1_000_000, numPartitions=8).select(F.concat(F.lit("c"), F.lpad("id", 7, "0")).alias("p1"), F.lit("x").alias("p2"))
+    enc = model.Encoder.fit(train, ("p1", "p2"))
+    seen = enc.transform(train.where("p1 in ('c0000000', 'c0000001', 'c0999999')")).select("p1", "features")
+    slots = {r.p1: (r.features.size, list(r.features.indices)) for r in real(seen)}
+    assert slots == {"c0000000": (999_999, []), "c0000001": (999_999, [999_998]), "c0999999": (999_999, [0])}
+    assert sum(map(len, collected)) <= 10
+    refs = model.reference_categories(enc, ("t",))
+    assert sorted(map(tuple, real(refs))) == [("t", "p1", "c0000000"), ("t", "p2", "x")]
+
+
 def _newton_logreg(X, y, iters=50):
     """argmin 0.5 |w|^2 + sum logloss, intercept unpenalised."""
     n, k = X.shape
@@ -152,12 +176,41 @@ def test_logistic_regression_matches_reference_objective(spark):
         rows.append(r)
     df = spark.createDataFrame(rows)
     enc = model.Encoder.fit(df)
-    X = np.array([[1.0 if r[p] == c else 0.0 for p, c in enc.feature_names()] for r in rows])
+    names = _names(enc)
+    X = np.array([[1.0 if r[p] == c else 0.0 for p, c in (names[i] for i in range(len(names)))] for r in rows])
     y = np.array([r["y"] for r in rows], dtype=float)
     w = _newton_logreg(X, y)
     fitted = model.fit_target(enc.transform(df), "y", len(rows))
     assert fitted.intercept == pytest.approx(w[0], abs=1e-5)
     assert fitted.coefficients.toArray() == pytest.approx(w[1:], abs=1e-5)
+    # counted into cells, the same examples give the same fit
+    counted = model.cells(df, ("y",), by=())
+    assert counted.count() < len(rows)
+    encoded = counted.join(enc.encode(model.combinations(counted), "combo").drop("combo"), list(cats))
+    by_cells = model.fit_target(encoded, "y", len(rows), n="n")
+    assert by_cells.intercept == pytest.approx(w[0], abs=1e-6)
+    assert by_cells.coefficients.toArray() == pytest.approx(w[1:], abs=1e-6)
+    assert by_cells.coefficients.toArray() == pytest.approx(fitted.coefficients.toArray(), abs=1e-6)
+    # the certificate: no gradient at the optimum; a coefficient moved by 1e-4 shows in the fourth place
+    spoilt = model.score(by_cells, encoded).select(*cats, F.lit("y").alias("target"), "score")
+    coefs = model.coefficient_table(by_cells, enc, "y")
+    found = model.certificate(df, spoilt, coefs, ("y",))
+    assert found.count() == len(names) + 1 and max(abs(r.gradient) for r in found.collect()) < 2e-5
+    for p, c in list(names.values())[:3]:
+        moved = F.when((F.col("predictor") == p) & (F.col("category") == c), F.col("coefficient") + 1e-4).otherwise(F.col("coefficient"))
+        logit = F.log(F.col("score") / (1 - F.col("score"))) + F.when(F.col(p) == c, 1e-4).otherwise(0.0)
+        off = model.certificate(df, spoilt.withColumn("score", 1 / (1 + F.exp(-logit))), coefs.withColumn("coefficient", moved), ("y",))
+        assert max(abs(r.gradient) for r in off.collect()) > 1e-3
+
+
+def test_scores_join_back_by_combination(spark):
+    rows = [(f"u{i}", "ab"[i % 2], "xyz"[i % 3]) for i in range(12)]
+    frame = spark.createDataFrame(rows, "user_id string, p1 string, p2 string")
+    scores = frame.select("p1", "p2").distinct().withColumn("target", F.lit("t")).withColumn("score", F.ascii("p1") + F.ascii("p2") * 0.001)
+    got = {r.user_id: r.score for r in model.score_rows(frame, scores, ("p1", "p2")).collect()}
+    assert got == {u: pytest.approx(ord(a) + ord(b) * 0.001) for u, a, b in rows}
+    with pytest.raises(ValueError):
+        model.checked_predictors(("gender",))
 
 
 def test_rank_events_hot_key_matches_window(spark):
