@@ -6,34 +6,26 @@ the order statistics at 0-based positions ``(n - 1) * p``) over all rows:
 1. values are collapsed to ``(v, w)`` (value, multiplicity) by a
    partial-aggregating ``groupBy``: a value held by a third of the rows
    becomes one row;
-2. the distinct values are cut into ranges at approximate quantiles of the
-   distinct values (``percentile_approx``, a bounded sketch), so every range
-   holds about the same number of distinct values; there are as many ranges
-   as shuffle partitions;
-3. per-range row counts (one row per range) give each range's rank offset;
-4. only the ranges that contain a wanted rank are sorted, each in its own
-   window partition, to read the exact values at those ranks.
-
-Spark's exact ``percentile`` would instead merge a map of every distinct
-value into the one task that finishes a global aggregate.
+2. the distinct values are sorted by a range-partitioned sort and written; a
+   row's partition is its range, and the ranges and where they start (the
+   weights of all ranges before) are a table, one row per range;
+3. the wanted ranks are looked up in that table, and joined to it are only the
+   ranges that hold one: each is summed up in order in its own window
+   partition.
+
+Nothing of this is in the plan's text: its size depends neither on the number
+of ranges nor on the values, and no value passes through the driver. Spark's
+exact ``percentile`` would instead merge a map of every distinct value into the
+one task that finishes a global aggregate.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.sinks import reliable_checkpoint
 
-APPROX_ACCURACY = 10_000
-
-
-def ranges_of(df: DataFrame) -> int:
-    """Ranges to cut a frame into: the session's shuffle partitions."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
 
 def value_weights(df: DataFrame, col: str) -> DataFrame:
     """Distinct non-null values with their multiplicity: ``(v, w)``."""
@@ -84,99 +76,63 @@ def count_below(c: str | Column, cuts: list, strict: bool = True) -> Column:
     return tree(list(cuts), 0)
 
 
-def with_bucket(df: DataFrame, col: str, buckets: int, name: str) -> DataFrame:
-    """Add the range number of ``col``: how many of the (at most
-    ``buckets - 1``) approximate quantile cut points of ``col`` lie strictly
-    below it. The cut points come from ``percentile_approx`` (a bounded
-    sketch) and reach the driver as at most ``buckets - 1`` values."""
-    if buckets <= 1:
-        return df.withColumn(name, F.lit(0))
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(col, fractions, APPROX_ACCURACY).alias("b")).first().b or []
-    cuts = sorted(set(cuts))
-    return df.withColumn(name, count_below(col, cuts))
+def sorted_ranges(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """``df`` sorted by ``order`` and written, with ``__at`` (a number that
+    rises along the whole order) and ``__range`` (the partition of the sort,
+    which rises too). As many ranges as the session sorts into, or ``ranges``."""
+    ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order) if ranges else df.orderBy(*order)
+    written = reliable_checkpoint(ordered.withColumn("__at", F.monotonically_increasing_id()))
+    return written.withColumn("__range", F.shiftright("__at", 33))
+
+
+def range_starts(placed: DataFrame, weights: list[str]) -> DataFrame:
+    """Per range the sums of ``weights``, as ``{w}_start`` those of all ranges
+    before it and as ``{w}_all`` those of all: a row per partition of the sort."""
+    order = Window.orderBy("__range")
+    before, every = (order.rowsBetween(Window.unboundedPreceding, end) for end in (-1, Window.unboundedFollowing))
+    totals = placed.groupBy("__range").agg(*[F.sum(w).alias(w) for w in weights])
+    starts = [F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"{w}_start") for w in weights]
+    return totals.select("__range", *weights, *starts, *[F.sum(w).over(every).alias(f"{w}_all") for w in weights])
 
 
-def range_rows(with_b: DataFrame, bucket: str, weights: list[str]) -> dict[int, tuple]:
-    """Per range, the summed weights: one row per range reaches the driver."""
-    rows = with_b.groupBy(bucket).agg(*[F.sum(w).alias(w) for w in weights]).collect()
-    return {r[bucket]: tuple(r[w] or 0 for w in weights) for r in rows}
+def _with_sums(placed: DataFrame, starts: DataFrame, weights: list[str]) -> DataFrame:
+    """Rows with ``{w}_before``, the sum of ``w`` over all rows before them in
+    the order; each range is summed in its own window partition."""
+    inside = Window.partitionBy("__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    rows = placed.join(starts.select("__range", *[f"{w}_start" for w in weights]), "__range")
+    sums = {f"{w}_before": F.col(f"{w}_start") + F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights}
+    return rows.withColumns(sums).drop(*[f"{w}_start" for w in weights])
 
 
-def offsets_column(bucket: Column, offsets: dict[int, int]) -> Column:
-    """The offset of each row's range, from a literal array indexed by range
-    number (no join)."""
-    top = max(offsets) if offsets else 0
-    arr = F.array(*[F.lit(int(offsets.get(b, 0))) for b in range(top + 1)])
-    return F.element_at(arr, (bucket + 1).cast("int"))
+def prefix_sums(df: DataFrame, order: str | list[str], weights: list[str], buckets: int | None = None) -> DataFrame:
+    """For a frame with one row per value of ``order`` (one column or several),
+    add ``{w}_before``: the sum of ``w`` over all rows before it. No task sees
+    more than one range of the sort."""
+    placed = sorted_ranges(df, [order] if isinstance(order, str) else order, buckets)
+    return _with_sums(placed, range_starts(placed, weights), weights).drop("__at", "__range")
 
 
 def exact_quantiles(
     df: DataFrame, col: str, probs: list[float], names: list[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
     """One row: the exact interpolated quantile of ``col`` for each ``p``
-    (null when ``col`` has no non-null value). ``buckets`` defaults to the
-    shuffle partitions."""
-    spark = df.sparkSession
+    (null when ``col`` has no non-null value). ``buckets``: ranges to sort
+    into, by default as the session does."""
     names = names or [f"q{i}" for i in range(len(probs))]
-    schema = ", ".join(f"`{n}` double" for n in names)
-    # the (value, weight) table feeds several small passes: write it once
-    vw = reliable_checkpoint(value_weights(df, col))
-    buckets = buckets or ranges_of(vw)
-    with_b = with_bucket(vw, "v", buckets, "bucket")
-    rows = {b: t[0] for b, t in range_rows(with_b, "bucket", ["w"]).items()}
-    n = sum(rows.values())
-    if n == 0:
-        return spark.createDataFrame([tuple(None for _ in names)], schema)
-    offsets, run = {}, 0
-    for b in sorted(rows):
-        offsets[b], run = run, run + rows[b]
-    pos = [(n - 1) * float(p) for p in probs]
-    ranks = sorted({math.floor(h) for h in pos} | {math.ceil(h) for h in pos})
-    hit = sorted({b for k in ranks for b in rows if offsets[b] <= k < offsets[b] + rows[b]})
-    # sort only the ranges holding a wanted rank, each in its own partition
-    local = with_b.where(F.col("bucket").isin(hit))
-    w_in = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = offsets_column(F.col("bucket"), offsets) + F.sum("w").over(w_in)  # exclusive
-    local = local.select("v", "w", end.alias("end")).withColumn("start", F.col("end") - F.col("w"))
-    wanted = F.array(*[F.lit(int(k)) for k in ranks])
-    at = local.select(
-        "v", F.explode(F.filter(wanted, lambda k: (k >= F.col("start")) & (k < F.col("end")))).alias("k")
-    )
-    value = {r.k: r.v for r in at.collect()}  # at most 2 rows per probability
+    placed = sorted_ranges(value_weights(df, col), ["v"], buckets)
+    starts = range_starts(placed, ["w"])
+    at = [(F.col("w_all") - 1).cast("double") * F.lit(float(p)) for p in probs]
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h).cast("long"), F.ceil(h).cast("long")) for h in at])))
+    held = F.filter(ranks, lambda k: (k >= F.col("w_start")) & (k < F.col("w_start") + F.col("w")))
+    # at most two ranks per probability, whatever the data
+    wanted = starts.select("__range", "w_start", "w_all", held.alias("ranks")).where(F.size("ranks") > 0)
+    local = placed.join(wanted.select("__range", "w_all", "ranks"), "__range")
+    rows = _with_sums(local, wanted, ["w"])
+    hit = rows.select(F.col("v").cast("double").alias("v"), F.explode("ranks").alias("k"), "w_before", "w", "w_all")
+    hit = hit.where((F.col("k") >= F.col("w_before")) & (F.col("k") < F.col("w_before") + F.col("w")))
     out = []
-    for h in pos:
-        lo, hi = math.floor(h), math.ceil(h)
-        out.append(float(value[lo] + (h - lo) * (value[hi] - value[lo])))
-    return spark.createDataFrame([tuple(out)], schema)
-
-
-def prefix_sums(df: DataFrame, order_col: str, weights: list[str], buckets: int | None = None) -> DataFrame:
-    """For a frame with one row per distinct ``order_col`` value, add
-    ``{w}_before``: the sum of ``w`` over all rows with a smaller value.
-
-    Rows are cut into ordered ranges (approximate quantile cut points); one
-    row per range gives the range offsets (to the driver, then a literal
-    array lookup), and each range is scanned in order in its own window
-    partition. No task sees more than one range. ``buckets`` defaults to
-    the shuffle partitions; pass a checkpointed frame."""
-    keep = df.columns
-    buckets = buckets or ranges_of(df)
-    with_b = with_bucket(df, order_col, buckets, "__bucket")
-    totals = range_rows(with_b, "__bucket", weights)
-    offs = []
-    for i in range(len(weights)):
-        run, o = 0, {}
-        for b in sorted(totals):
-            o[b], run = run, run + totals[b][i]
-        offs.append(o)
-    inside = Window.partitionBy("__bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    return with_b.select(
-        *keep,
-        *[
-            (offsets_column(F.col("__bucket"), offs[i]) + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(
-                f"{w}_before"
-            )
-            for i, w in enumerate(weights)
-        ],
-    )
+    for name, h in zip(names, at, strict=True):
+        low, high = (F.max(F.when(F.col("k") == f(h).cast("long"), F.col("v"))) for f in (F.floor, F.ceil))
+        place = F.max(h)  # the same in every row
+        out.append((low + (place - F.floor(place)) * (high - low)).alias(name))
+    return hit.agg(*out)

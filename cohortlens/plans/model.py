@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import count_below, ranges_of, with_bucket
+from ..operators.quantiles import count_below, prefix_sums
 from ..operators.sets import union_all
 from ..operators.windows import rank_events, top_k_per_group
 from ..sources.sinks import reliable_checkpoint
@@ -314,31 +314,19 @@ def distinct_scores(scored: DataFrame, by: tuple = (), label: str = "label", sco
 
 def ordered_scores(per_score: DataFrame, by: tuple = ()) -> DataFrame:
     """Distinct scores with ``pos_before`` and ``n_before``, the positives and
-    rows below each, and ``n_all``, the group's rows. The scores are cut into
-    as many ranges as there are shuffle partitions; a range is summed in order
-    in its own window partition, and starts from the totals of the ranges
-    before it."""
-    placed = with_bucket(per_score, "s", ranges_of(per_score), "range")
-    totals = placed.groupBy(*by, "range").agg(F.sum("pos").alias("range_pos"), F.sum("n").alias("range_n"))
-    group = Window.partitionBy(*by)
-    before = group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        *[F.col(c).alias(f"of_{c}") for c in by],
-        F.col("range").alias("of_range"),
-        F.coalesce(F.sum("range_pos").over(before), F.lit(0)).alias("pos_from"),
-        F.coalesce(F.sum("range_n").over(before), F.lit(0)).alias("n_from"),
-        F.sum("range_n").over(group).alias("n_all"),
+    rows of their group below each, and ``n_all``, the group's rows. All groups
+    are one order, summed up by ranges (``prefix_sums``); a group's sums count
+    from where it begins, a row per group."""
+    rows = prefix_sums(per_score, [*by, "s"], ["pos", "n"])
+    groups = rows.groupBy(*[F.col(c).alias(f"of_{c}") for c in by]).agg(
+        F.min("pos_before").alias("pos_from"), F.min("n_before").alias("n_from"), F.sum("n").alias("n_all")
     )
-    inside = Window.partitionBy(*by, "range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    same = F.col("range") == F.col("of_range")
+    same = F.lit(True)
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
-    # a row per group and range: at most groups x spark.sql.shuffle.partitions
-    return placed.join(F.broadcast(totals), same).select(
-        *by, "s", "pos", "n", "n_all",
-        (F.col("pos_from") + F.coalesce(F.sum("pos").over(inside), F.lit(0))).alias("pos_before"),
-        (F.col("n_from") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("n_before"),
-    )
+    return rows.join(groups, same).select(
+        *by, "s", "pos", "n", "n_all", (F.col("pos_before") - F.col("pos_from")).alias("pos_before"), (F.col("n_before") - F.col("n_from")).alias("n_before")
+    )
 
 
 def _auc() -> Column:

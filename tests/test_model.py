@@ -85,6 +85,21 @@ def test_exact_quantiles_match_numpy(spark, buckets):
     assert list(got) == pytest.approx(list(want), abs=1e-9)
 
 
+def test_plans_do_not_grow_with_the_ranges(spark):
+    """The same result and a plan of the same length at 8 and 2000 ranges; an
+    empty column gives nulls."""
+    df = spark.range(5000).select((F.col("id") * 37 % 1009 + 0.5).alias("x"))
+    probs = [0.1, 0.5, 0.999]
+    plans, values = [], []
+    for ranges in (8, 2000):
+        q = exact_quantiles(df, "x", probs, buckets=ranges)
+        plans.append(len(q._jdf.queryExecution().analyzed().toString().splitlines()))
+        values.append(tuple(q.first()))
+    assert plans[0] == plans[1] and values[0] == values[1]
+    assert values[0] == pytest.approx(tuple(np.quantile([i * 37 % 1009 + 0.5 for i in range(5000)], probs)))
+    assert tuple(exact_quantiles(df.where("x < 0"), "x", probs).first()) == (None, None, None)
+
+
 def test_prefix_sums(spark):
     rows = [(float(i), i % 3) for i in range(100)]
     df = spark.createDataFrame(rows, "s double, w long")
