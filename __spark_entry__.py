@@ -93,6 +93,33 @@ def build(spark: SparkSession, sf_dir: str) -> Models:
     return _BUILT[key]
 
 
+_CHECKED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _column_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of all declared column tests, written once: every model is
+    read once for all its tests."""
+    key = _key(spark, sf_dir)
+    if key not in _CHECKED:
+        report = quality.schema_test_report(build(spark, sf_dir))
+        _CHECKED[key] = materialize(report, "column_checks", _folder(spark, sf_dir, "checks"))
+    return _CHECKED[key]
+
+
+def broken_features(spark: SparkSession, sf_dir: str) -> Models:
+    """The built models with a feature table that lost users (ids that end in
+    7), doubled some (in 41), flipped a target (in 13) and spoilt others
+    (nulls in 25, a 2 in 35), as a faulty job after the build would leave it."""
+    built = build(spark, sf_dir)
+    ends = lambda *ids: F.coalesce(F.col("user_id").rlike(f"({'|'.join(ids)})$"), F.lit(False))
+    f = built.user_features.where(~ends("7"))
+    f = f.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.when(ends("41"), 2).otherwise(1)))).drop("copy")
+    sale, trial = F.col("made_sale"), F.col("started_trial")
+    f = f.withColumn("made_sale", F.when(ends("13"), 1 - sale).when(ends("25"), F.lit(None)).otherwise(sale).cast("int"))
+    f = f.withColumn("started_trial", F.when(ends("35"), 2).otherwise(trial).cast("int"))
+    return Models({}, {"user_features": f, "fct_user_journey": built.fct_user_journey})
+
+
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
     if not cols:
         return df
@@ -127,9 +154,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = _model_query(name)
 
     # data quality: one report row per declared test / rule set
-    out["check_not_null"] = lambda s, d: quality.schema_test_report(build(s, d), ("not_null",))
-    out["check_unique"] = lambda s, d: quality.schema_test_report(build(s, d), ("unique",))
-    out["check_accepted"] = lambda s, d: quality.schema_test_report(build(s, d), ("accepted_values",))
+    for qname, kind in (("check_not_null", "not_null"), ("check_unique", "unique"), ("check_accepted", "accepted_values")):
+        out[qname] = (lambda k: lambda s, d: _column_checks(s, d).where(F.col("test") == k))(kind)
     for qname, rule in (
         ("campaign_rule_violations", "campaign_rules"),
         ("activity_date_violations", "activity_date_consistency"),
@@ -139,6 +165,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ):
         out[qname] = (lambda r: lambda s, d: quality.rule_report(build(s, d), {r}))(rule)
     out["feature_guard"] = lambda s, d: quality.feature_guard(build(s, d).user_features)
+    # the same on features that went wrong after the build
+    out["broken_feature_violations"] = lambda s, d: quality.rule_report(broken_features(s, d), {"feature_rules"})
+    out["broken_feature_issues"] = lambda s, d: quality.feature_violations(broken_features(s, d).user_features, build(s, d).fct_user_journey)
+    out["broken_feature_guard"] = lambda s, d: quality.feature_guard(broken_features(s, d).user_features)
+    out["broken_feature_checks"] = lambda s, d: quality.schema_test_report(broken_features(s, d), names={"user_features"})
 
     # reports on the campaign mart
     reports = {

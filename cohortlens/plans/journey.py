@@ -64,13 +64,30 @@ def fct_user_journey(activity: DataFrame, profiles: DataFrame) -> DataFrame:
     """Profiles left-joined to onboarding and outcomes on ``user_id``.
     Activity of users missing from the profiles is dropped; attribution
     (campaign, date, onboarding) comes from the onboarding event, not the
-    profile. All inputs are keyed by ``user_id``, so the joins are
-    co-partitioned with the aggregations that feed them."""
-    outcomes = user_outcomes(activity)
+    profile.
+
+    All inputs of the main path are reduced to one row per user before they
+    meet, so its joins are co-partitioned with the aggregations that feed them
+    and no user's rows can weigh on a task. Users with several onboarding rows
+    (which the data rules don't allow) are joined to those rows in a path of
+    their own: an inner join of two shuffled sides, of which adaptive execution
+    splits the heavy one, whatever its keys (over bucketed tables the rows stay
+    in their bucket)."""
+    outcomes, began = user_outcomes(activity), onboarding_events(activity)
+    facts = [c for c in began.columns if c != "user_id"]
+    # with one onboarding row, the least is that row
+    per_user = began.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*facts)).alias("only"))
     profile = profiles.select(
         "user_id", "gender", "country", "has_gender_conflict", "has_country_conflict", "has_campaign_conflict"
     )
-    j = profile.join(onboarding_events(activity), "user_id", "left").join(outcomes, "user_id", "left")
+    users = profile.join(per_user, "user_id", "left").join(outcomes, "user_id", "left")
+    once = users.where("n is null or n = 1").select("*", "only.*").drop("n", "only")
+    # dealt evenly first, so that the join shuffles both sides: adaptive execution splits no other joins
+    several = users.where("n > 1").drop("n", "only").hint("rebalance").join(began, "user_id")
+    return _journey_columns(once.unionByName(several))
+
+
+def _journey_columns(j: DataFrame) -> DataFrame:
     trial_at, sale_at = F.col("trial_at"), F.col("sale_at")
     sale_count = coalesce0("sale_count")
     return j.select(

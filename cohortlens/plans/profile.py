@@ -97,15 +97,15 @@ def profile_key_duplicates(dim_user: DataFrame, key: str = "user_id",
 
 
 # R6
-def profile_values(df: DataFrame, col: str, table: str) -> DataFrame:
-    """Value counts with visible brackets (``[ x]`` shows stray spaces) and
-    ``[NULL]``."""
-    v = F.coalesce(F.concat(F.lit("["), F.col(col).cast("string"), F.lit("]")), F.lit("[NULL]"))
-    return (
-        df.groupBy(v.alias("value"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"), "value", "row_count")
-    )
+def profile_values(df: DataFrame, cols, table: str) -> DataFrame:
+    """Value counts of several columns, with visible brackets (``[ x]`` shows
+    stray spaces) and ``[NULL]``: each row's (column, value) pairs meet in one
+    partial aggregation, so the table is read once."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    shown = [F.coalesce(F.concat(F.lit("["), F.col(c).cast("string"), F.lit("]")), F.lit("[NULL]")) for c in cols]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), v.alias("value")) for c, v in zip(cols, shown, strict=True)])
+    counts = df.select(F.explode(pairs).alias("p")).groupBy("p.column_name", "p.value").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.select(F.lit(table).alias("table_name"), "column_name", "value", "row_count")
 
 
 CATEGORY_COLUMNS = {
@@ -117,7 +117,7 @@ CATEGORY_COLUMNS = {
 
 
 def profile_categories(tables: dict[str, DataFrame], columns=CATEGORY_COLUMNS) -> DataFrame:
-    parts = [profile_values(tables[t], c, t) for t, cols in columns.items() for c in cols]
+    parts = [profile_values(tables[t], cols, t) for t, cols in columns.items()]
     return union_all(*parts).orderBy("table_name", "column_name", F.col("row_count").desc(), "value")
 
 

@@ -1,8 +1,7 @@
 """Data-quality checks.
 
 Generic column tests (not null, unique, accepted values) are declared per
-model in ``SCHEMA_TESTS`` and run with one aggregation pass per model and
-test kind. Rule sets return the violating rows, as a singular SQL test
+model in ``SCHEMA_TESTS`` and run with one aggregation pass per model. Rule sets return the violating rows, as a singular SQL test
 would. ``check_report`` turns everything into one frame
 ``(model, test, column_name, violations)``; ``gate`` raises on any
 violation so that nothing downstream is published.
@@ -139,81 +138,43 @@ SCHEMA_TESTS: list[ColumnTest] = (
 )
 
 
-def _report(model: str, test: str, frame: DataFrame) -> DataFrame:
-    """``frame`` has (column_name, violations); add model and test."""
-    return frame.select(
-        F.lit(model).alias("model"),
-        F.lit(test).alias("test"),
-        "column_name",
-        F.col("violations").cast("long").alias("violations"),
+def column_checks(df: DataFrame, tests: list[ColumnTest], model: str = "") -> DataFrame:
+    """(model, test, column_name, violations) of a model's column tests, from
+    one scan and one aggregation for all of them: null rows, values outside
+    their domain (distinct ones), keys that occur more than once (nulls are no
+    keys). Each row gives what it has to say as (test, column, value): a null, a
+    bad value, a key; they are counted by value, then by test. A test without
+    anything to count is reported as 0."""
+    said = []
+    for i, t in enumerate(tests):
+        c = F.col(t.column)
+        value = c.cast("string")
+        if t.test == "not_null":
+            condition, value = c.isNull(), F.lit(None).cast("string")
+        elif t.test == "unique":
+            condition = c.isNotNull()
+        else:
+            condition = c.isNotNull() & ~c.isin(list(t.values))
+        said.append(F.when(condition, F.struct(F.lit(i).alias("i"), value.alias("value"))))
+    rows = df.select(F.explode(F.filter(F.array(*said), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    by_value = rows.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
+    by_test = by_value.groupBy("i").agg(
+        F.sum("n").alias("not_null"), F.count(F.lit(1)).alias("accepted_values"), F.count_if(F.col("n") > 1).alias("unique")
     )
-
-
-def check_not_null(df: DataFrame, cols, model: str = "") -> DataFrame:
-    """Null rows per column, all columns in one aggregation pass."""
-    cols = list(cols)
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', c{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, violations)")
-    return _report(model, "not_null", long)
-
-
-def duplicated_keys(df: DataFrame, col: str) -> DataFrame:
-    """Non-null values of ``col`` that occur more than once, with counts."""
-    return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_records")).where(
-        F.col("n_records") > 1
-    )
-
-
-def check_unique(df: DataFrame, col: str, model: str = "") -> DataFrame:
-    """Number of duplicated non-null values (nulls are ignored)."""
-    n = duplicated_keys(df, col).agg(F.count(F.lit(1)).alias("violations"))
-    return _report(model, "unique", n.select(F.lit(col).alias("column_name"), "violations"))
-
-
-def check_accepted(df: DataFrame, accepted: dict[str, tuple], model: str = "") -> DataFrame:
-    """Number of distinct non-null values outside the accepted list, per
-    column. Only offending (column, value) pairs are shuffled, so a clean
-    table costs one scan."""
-    items = list(accepted.items())
-    bad = F.array(
-        *[
-            F.when(
-                F.col(c).isNotNull() & ~F.col(c).isin(list(vals)),
-                F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")),
-            )
-            for c, vals in items
-        ]
-    )
-    pairs = df.select(F.explode(F.filter(bad, lambda x: x.isNotNull())).alias("p")).select("p.*")
-    counts = pairs.groupBy("column_name").agg(F.count_distinct("value").alias("violations"))
-    names = df.sparkSession.createDataFrame([(c,) for c, _ in items], "column_name string")
-    full = names.join(counts, "column_name", "left").select(
-        "column_name", F.coalesce("violations", F.lit(0)).alias("violations")
-    )
-    return _report(model, "accepted_values", full)
+    declared = df.sparkSession.createDataFrame([(i, t.test, t.column) for i, t in enumerate(tests)], "i int, test string, column_name string")
+    counted = F.coalesce(*[F.when(F.col("test") == k, F.col(k)) for k in ("not_null", "accepted_values", "unique")], F.lit(0))
+    return declared.join(by_test, "i", "left").select(F.lit(model).alias("model"), "test", "column_name", counted.cast("long").alias("violations"))
 
 
 def schema_test_report(models, kinds=("not_null", "unique", "accepted_values"), names=None) -> DataFrame:
     """All declared column tests over ``models`` (anything with ``get(name)``),
-    optionally only for the models in ``names``."""
-    parts = []
+    optionally only some kinds, or only the models in ``names``: each model is
+    read once."""
     by_model: dict[str, list[ColumnTest]] = {}
     for t in SCHEMA_TESTS:
         if t.test in kinds and (names is None or t.model in names):
             by_model.setdefault(t.model, []).append(t)
-    for model, tests in by_model.items():
-        df = models.get(model)
-        nn = [t.column for t in tests if t.test == "not_null"]
-        if nn:
-            parts.append(check_not_null(df, nn, model))
-        for t in tests:
-            if t.test == "unique":
-                parts.append(check_unique(df, t.column, model))
-        acc = {t.column: t.values for t in tests if t.test == "accepted_values"}
-        if acc:
-            parts.append(check_accepted(df, acc, model))
-    return union_all(*parts)
+    return union_all(*[column_checks(models.get(model), tests, model) for model, tests in by_model.items()])
 
 
 # ---------------------------------------------------------------- rule sets
