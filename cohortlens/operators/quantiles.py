@@ -107,8 +107,9 @@ def _with_sums(placed: DataFrame, starts: DataFrame, weights: list[str]) -> Data
 def prefix_sums(df: DataFrame, order: str | list[str], weights: list[str], buckets: int | None = None) -> DataFrame:
     """For a frame with one row per value of ``order`` (one column or several),
     add ``{w}_before``: the sum of ``w`` over all rows before it. No task sees
-    more than one range of the sort."""
-    placed = sorted_ranges(df, [order] if isinstance(order, str) else order, buckets)
+    more than one range of the sort. What ``sorted_ranges`` gave is not sorted
+    again."""
+    placed = df if "__range" in df.columns else sorted_ranges(df, [order] if isinstance(order, str) else order, buckets)
     return _with_sums(placed, range_starts(placed, weights), weights).drop("__at", "__range")
 
 

@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import count_below, prefix_sums
+from ..operators.quantiles import count_below, prefix_sums, sorted_ranges
 from ..operators.sets import union_all
 from ..operators.windows import rank_events, top_k_per_group
 from ..sources.sinks import reliable_checkpoint
@@ -39,7 +39,7 @@ from .quality import validate_features, validate_splits
 MODEL_NAME = "logistic_regression"
 #: Relative change of the mean loss at which the solver stops. It passes over
 #: cells, so the passes that full convergence takes are cheap.
-SOLVER_TOLERANCE = 1e-14
+SOLVER_TOLERANCE = 1e-13
 
 
 # ------------------------------------------------------------------- L1
@@ -95,12 +95,12 @@ def prepare_predictors(df: DataFrame, predictors=PREDICTORS) -> DataFrame:
 
 
 def category_table(train: DataFrame, predictors=PREDICTORS) -> DataFrame:
-    """(predictor, category, place, size): every predictor's training
-    categories in alphabetical order, place 1 first, and how many there are.
-    The distinct pairs are ranked by a range-partitioned sort
-    (``rank_events``): a predictor's categories never meet in one task."""
+    """(predictor, category, at): every predictor's training categories in
+    alphabetical order, numbered through from 0 over all predictors by a
+    range-partitioned sort (``prefix_sums``): a predictor's categories never
+    meet in one task."""
     pairs = train.select(F.explode(_long(predictors)).alias("p")).select("p.*").distinct()
-    return reliable_checkpoint(rank_events(pairs, "predictor", [F.col("category")], "place", size="size"))
+    return prefix_sums(pairs.withColumn("one", F.lit(1)), ["predictor", "category"], ["one"]).select("predictor", "category", F.col("one_before").alias("at"))
 
 
 def _long(predictors) -> Column:
@@ -121,8 +121,9 @@ class Encoder:
     built by Spark ML's ``OneHotEncoder`` and ``VectorAssembler``."""
 
     predictors: tuple
-    categories: DataFrame  # predictor, category, place, size
+    categories: DataFrame  # predictor, category, at
     sizes: dict = field(default_factory=dict)  # predictor -> number of categories
+    starts: dict = field(default_factory=dict)  # predictor -> number of its first category
     onehot: object = None
 
     @classmethod
@@ -130,9 +131,10 @@ class Encoder:
         from pyspark.ml.feature import OneHotEncoder
 
         predictors = tuple(predictors)
-        table = category_table(train, predictors)
-        sizes = {r.predictor: r.n for r in table.groupBy("predictor").agg(F.max("size").alias("n")).collect()}
-        enc = cls(predictors, table, sizes)
+        table = reliable_checkpoint(category_table(train, predictors))
+        found = table.groupBy("predictor").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).collect()
+        enc = cls(predictors, table, {r.predictor: r.n for r in found}, {r.predictor: r.first for r in found})
+        sizes = enc.sizes
         # the encoder learns from one row with the greatest index of each predictor
         greatest = train.sparkSession.range(1).select(*[F.lit(float(sizes[p] - 1)).alias(f"__{p}_idx") for p in predictors])
         enc.onehot = OneHotEncoder(
@@ -140,44 +142,46 @@ class Encoder:
         ).fit(greatest)
         return enc
 
+    def _place(self) -> Column:
+        """A category's place in its predictor, from 0."""
+        return F.col("at") - F.create_map(*[F.lit(x) for p in self.predictors for x in (p, self.starts[p])])[F.col("predictor")]
+
+    def _index(self) -> Column:
+        """A category's index in its predictor's vector; the first category has
+        the last one, which the encoder drops."""
+        return F.create_map(*[F.lit(x) for p in self.predictors for x in (p, self.sizes[p] - 1)])[F.col("predictor")] - self._place()
+
     def feature_table(self) -> DataFrame:
         """(slot, predictor, category) of every vector slot."""
-        before, starts = 0, {}
+        before, begins = 0, {}
         for p in self.predictors:
-            starts[p], before = before, before + self.sizes[p] - 1
-        start = F.create_map(*[F.lit(x) for p in self.predictors for x in (p, starts[p])])
-        return self.categories.where("place > 1").select(
-            (start[F.col("predictor")] + F.col("size") - F.col("place")).cast("long").alias("slot"), "predictor", "category"
-        )
+            begins[p], before = before, before + self.sizes[p] - 1
+        begin = F.create_map(*[F.lit(x) for p in self.predictors for x in (p, begins[p])])
+        return self.categories.where(self._place() > 0).select((begin[F.col("predictor")] + self._index()).cast("long").alias("slot"), "predictor", "category")
 
     def reference_table(self) -> DataFrame:
         """(predictor, reference_category)."""
-        return self.categories.where("place = 1").select("predictor", F.col("category").alias("reference_category"))
+        return self.categories.where(self._place() == 0).select("predictor", F.col("category").alias("reference_category"))
 
-    def encode(self, combos: DataFrame, key: str, out: str = "features") -> DataFrame:
-        """``combos`` (checkpointed; ``key`` numbers its rows) with vectors:
-        its (predictor, category) pairs meet the dictionary in one join."""
+    def encode(self, df: DataFrame, out: str = "features") -> DataFrame:
+        """``df`` with vectors, by a join with the dictionary per predictor: a
+        small dictionary is broadcast by its measured size, a large one meets
+        the rows by a shuffle on the predictor."""
         from pyspark.ml.feature import VectorAssembler
 
-        pairs = combos.select(key, F.explode(_long(self.predictors)).alias("p")).select(key, "p.*")
-        known = pairs.join(self.categories, ["predictor", "category"]).select(key, "predictor", (F.col("size") - F.col("place")).alias("i"))
-        wide = known.groupBy(key).agg(*[F.max(F.when(F.col("predictor") == p, F.col("i"))).alias(f"__{p}_idx") for p in self.predictors])
+        for p in self.predictors:
+            own = self.categories.where(F.col("predictor") == p).select(F.col("category").alias(p), self._index().cast("double").alias(f"__{p}_idx"))
+            df = df.join(own, p, "left")
         # unseen, like the reference: the last index, which the encoder drops
-        index = {f"__{p}_idx": F.coalesce(F.col(f"__{p}_idx"), F.lit(self.sizes[p] - 1)).cast("double") for p in self.predictors}
-        vectors = self.onehot.transform(combos.join(wide, key, "left").withColumns(index))
+        last = {f"__{p}_idx": F.coalesce(F.col(f"__{p}_idx"), F.lit(float(self.sizes[p] - 1))) for p in self.predictors}
+        vectors = self.onehot.transform(df.withColumns(last))
         assembled = VectorAssembler(inputCols=[f"__{p}_vec" for p in self.predictors], outputCol=out).transform(vectors)
         return assembled.drop(*[f"__{p}_{k}" for p in self.predictors for k in ("idx", "vec")])
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
         """Rows with vectors: each distinct combination is encoded once and
         joined back."""
-        encoded = self.encode(combinations(df, self.predictors), "combo", out)
-        return df.join(encoded.drop("combo"), list(self.predictors))
-
-
-def combinations(df: DataFrame, predictors=PREDICTORS) -> DataFrame:
-    """The distinct combinations of the predictors, numbered (``combo``)."""
-    return reliable_checkpoint(df.select(*predictors).distinct().withColumn("combo", F.monotonically_increasing_id()))
+        return df.join(self.encode(df.select(*self.predictors).distinct(), out), list(self.predictors))
 
 
 # ------------------------------------------------------------------- L3/L4
@@ -186,7 +190,8 @@ def combinations(df: DataFrame, predictors=PREDICTORS) -> DataFrame:
 def cells(frame: DataFrame, targets=TARGETS, predictors=PREDICTORS, by=("split",)) -> DataFrame:
     """Sufficient statistics of rows whose predictors are all categories: per
     combination (and ``by``) the rows ``n`` and the positives of each target,
-    written once. Whatever reads the rows' labels and scores reads these."""
+    written once. Whatever reads the rows' labels and
+    scores reads these."""
     sums = [F.sum(F.col(t).cast("long")).alias(t) for t in targets]
     return reliable_checkpoint(frame.groupBy(*by, *predictors).agg(F.count(F.lit(1)).alias("n"), *sums))
 
@@ -304,19 +309,20 @@ def select_threshold(metrics: DataFrame) -> DataFrame:
 
 
 def distinct_scores(scored: DataFrame, by: tuple = (), label: str = "label", score_col: str = "score") -> DataFrame:
-    """(by..., s, pos, n): positives and rows per distinct score of a group,
-    written once. ``scored`` has a row per example with its label, or per cell
+    """(by..., s, pos, n): positives and rows per distinct score of a group.
+    ``scored`` has a row per example with its label, or per cell
     with ``pos`` and ``n``."""
     cell = {"pos", "n"} <= set(scored.columns)
     pos, n = (F.sum("pos"), F.sum("n")) if cell else (F.sum(F.col(label).cast("long")), F.count(F.lit(1)))
-    return reliable_checkpoint(scored.groupBy(*by, F.col(score_col).alias("s")).agg(pos.alias("pos"), n.alias("n")))
+    return scored.groupBy(*by, F.col(score_col).alias("s")).agg(pos.alias("pos"), n.alias("n"))
 
 
 def ordered_scores(per_score: DataFrame, by: tuple = ()) -> DataFrame:
     """Distinct scores with ``pos_before`` and ``n_before``, the positives and
     rows of their group below each, and ``n_all``, the group's rows. All groups
-    are one order, summed up by ranges (``prefix_sums``); a group's sums count
-    from where it begins, a row per group."""
+    are one order, written in that order and summed up by ranges
+    (``prefix_sums``); a group's sums count from where it begins, a row per group.
+    ``per_score`` may be in that order already (``sorted_ranges``)."""
     rows = prefix_sums(per_score, [*by, "s"], ["pos", "n"])
     groups = rows.groupBy(*[F.col(c).alias(f"of_{c}") for c in by]).agg(
         F.min("pos_before").alias("pos_from"), F.min("n_before").alias("n_from"), F.sum("n").alias("n_all")
@@ -374,7 +380,7 @@ def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> E
     cells) at once. They are read once, into one row per distinct (target, split, score); all that
     follows reads that table, and joins are between rows per target."""
     by = ("target", "split")
-    per_score = distinct_scores(scored.where(F.col("split").isNotNull()), by)
+    per_score = sorted_ranges(distinct_scores(scored.where(F.col("split").isNotNull()), by), [*by, "s"])
     part = ordered_scores(per_score, by).groupBy(*by).agg(
         F.sum("n").alias("rows"),
         (F.sum("pos").cast("double") / F.sum("n")).alias("rate"),
@@ -436,17 +442,16 @@ def evaluate(scored: DataFrame, split: Split, model_name: str = MODEL_NAME) -> E
 # ------------------------------------------------------------------- L12/L13
 
 
-def coefficient_table(model, encoder: Encoder, target: str) -> DataFrame:
-    """One row per non-reference category. The coefficients come from the
-    driver, where the solver keeps them; their names from the dictionary, by
-    slot."""
-    w = model.coefficients.toArray()
-    slots = encoder.categories.sparkSession.createDataFrame(
-        pd.DataFrame({"slot": np.arange(len(w), dtype=np.int64), "coefficient": w.astype(float)}), "slot long, coefficient double"
-    )
+def coefficient_table(models: dict, encoder: Encoder) -> DataFrame:
+    """One row per target and non-reference category, for ``models`` by target.
+    The coefficients come from the driver, where the solver keeps them; their
+    names from the dictionary, by slot."""
+    w = {t: m.coefficients.toArray().astype(float) for t, m in models.items()}
+    slots = pd.concat([pd.DataFrame({"target": t, "slot": np.arange(len(v), dtype=np.int64), "coefficient": v}) for t, v in w.items()])
+    slots = encoder.categories.sparkSession.createDataFrame(slots, "target string, slot long, coefficient double")
     c = F.col("coefficient")
     return encoder.feature_table().join(slots, "slot").select(
-        F.lit(target).alias("target"),
+        "target",
         "predictor",
         "category",
         F.concat_ws("=", "predictor", "category").alias("feature"),
@@ -489,7 +494,7 @@ def fit_flag(frame: DataFrame, flag: Column, targets=TARGETS) -> DataFrame:
     flagged = frame.where(F.col("split") == "training").withColumn("flag", F.when(flag, "yes").otherwise("no"))
     encoder = Encoder.fit(flagged, ("flag",))
     counted = cells(flagged, targets, ("flag",), ())
-    encoded = counted.join(encoder.encode(combinations(counted, ("flag",)), "combo").drop("combo"), "flag")
+    encoded = encoder.encode(counted)
     n_train = counted.agg(F.sum("n")).first()[0]
     rows = []
     for t in targets:
@@ -528,27 +533,22 @@ def train_models(features: DataFrame, targets=TARGETS, predictors=PREDICTORS) ->
     validate_splits(split.frame, targets)
     counted = cells(split.frame.where(F.col("split").isNotNull()), targets, predictors)
     encoder = Encoder.fit(counted.where(F.col("split") == "training"), predictors)
-    encoded = reliable_checkpoint(encoder.encode(combinations(counted, predictors), "combo"))
-    train = reliable_checkpoint(
-        counted.where(F.col("split") == "training").join(encoded, list(predictors)).select("features", "n", *targets)
-    )
+    encoded = reliable_checkpoint(encoder.encode(counted))
+    train = encoded.where(F.col("split") == "training")
     n_train = train.agg(F.sum("n")).first()[0]
     # the targets are independent: their jobs run side by side
     with ThreadPoolExecutor(max_workers=len(targets)) as pool:
         fitted = dict(zip(targets, pool.map(lambda t: fit_target(train, t, n_train, predictors, n="n"), targets)))
-    scores = reliable_checkpoint(
-        union_all(*[score(fitted[t], encoded).select(*predictors, F.lit(t).alias("target"), "score") for t in targets])
+    scored = union_all(
+        *[score(fitted[t], encoded).select(*predictors, "split", F.lit(t).alias("target"), "score", F.col(t).alias("pos"), "n") for t in targets]
     )
-    pos = F.when(F.col("target") == targets[0], F.col(targets[0]))
-    for t in targets[1:]:
-        pos = pos.when(F.col("target") == t, F.col(t))
-    scored = score_rows(counted, scores, predictors).select("target", "split", "score", pos.alias("pos"), "n")
     found = evaluate(scored, split)
     metrics, sweep = _small(found.metrics.select(*METRIC_COLUMNS)), _small(found.sweep)
-    coefs = reliable_checkpoint(union_all(*[coefficient_table(fitted[t], encoder, t) for t in targets]))
-    refs = reference_categories(encoder, targets)
+    # a combination has one score, whatever the splits it is in
+    scores = scored.groupBy(*predictors, "target").agg(F.min("score").alias("score"))
+    coefs = coefficient_table(fitted, encoder).orderBy("target", F.col("absolute_importance").desc(), "feature")
     training = split.frame.where(F.col("split") == "training")
-    return ModelOutputs(metrics, coefs.orderBy("target", F.col("absolute_importance").desc(), "feature"), refs, sweep, scores, training)
+    return ModelOutputs(metrics, coefs, reference_categories(encoder, targets), sweep, scores, training)
 
 
 def _small(df: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Data-quality checks.
 
 Generic column tests (not null, unique, accepted values) are declared per
-model in ``SCHEMA_TESTS`` and run with one aggregation pass per model. Rule sets return the violating rows, as a singular SQL test
+model in ``SCHEMA_TESTS`` and run in one aggregation, with one scan per model. Rule sets return the violating rows, as a singular SQL test
 would. ``check_report`` turns everything into one frame
 ``(model, test, column_name, violations)``; ``gate`` raises on any
 violation so that nothing downstream is published.
@@ -138,43 +138,44 @@ SCHEMA_TESTS: list[ColumnTest] = (
 )
 
 
-def column_checks(df: DataFrame, tests: list[ColumnTest], model: str = "") -> DataFrame:
-    """(model, test, column_name, violations) of a model's column tests, from
-    one scan and one aggregation for all of them: null rows, values outside
-    their domain (distinct ones), keys that occur more than once (nulls are no
-    keys). Each row gives what it has to say as (test, column, value): a null, a
-    bad value, a key; they are counted by value, then by test. A test without
-    anything to count is reported as 0."""
+def _findings(df: DataFrame, tests: dict[int, ColumnTest]) -> DataFrame:
+    """What the rows of one model have to say on its tests, as (i, value): a
+    null, a value outside its domain, a key. One scan for all tests."""
     said = []
-    for i, t in enumerate(tests):
+    for i, t in tests.items():
         c = F.col(t.column)
-        value = c.cast("string")
+        value = F.lit(None).cast("string") if t.test == "not_null" else c.cast("string")
         if t.test == "not_null":
-            condition, value = c.isNull(), F.lit(None).cast("string")
+            condition = c.isNull()
         elif t.test == "unique":
             condition = c.isNotNull()
         else:
             condition = c.isNotNull() & ~c.isin(list(t.values))
         said.append(F.when(condition, F.struct(F.lit(i).alias("i"), value.alias("value"))))
-    rows = df.select(F.explode(F.filter(F.array(*said), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    return df.select(F.explode(F.array(*said)).alias("x")).where("x is not null").select("x.*")
+
+
+def schema_test_report(models, kinds=("not_null", "unique", "accepted_values"), names=None) -> DataFrame:
+    """(model, test, column_name, violations) of all declared column tests over
+    ``models`` (anything with ``get(name)``), optionally only some kinds, or
+    only the models in ``names``: null rows, keys that occur more than once
+    (nulls are no keys), distinct values outside their domain. Each model is
+    read once, and what its rows say is counted by (test, value), then by test,
+    for all models together; a test with nothing to count is reported as 0."""
+    tests = dict(enumerate(t for t in SCHEMA_TESTS if t.test in kinds and (names is None or t.model in names)))
+    by_model: dict[str, dict[int, ColumnTest]] = {}
+    for i, t in tests.items():
+        by_model.setdefault(t.model, {})[i] = t
+    rows = union_all(*[_findings(models.get(model), mine) for model, mine in by_model.items()])
     by_value = rows.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
     by_test = by_value.groupBy("i").agg(
         F.sum("n").alias("not_null"), F.count(F.lit(1)).alias("accepted_values"), F.count_if(F.col("n") > 1).alias("unique")
     )
-    declared = df.sparkSession.createDataFrame([(i, t.test, t.column) for i, t in enumerate(tests)], "i int, test string, column_name string")
+    declared = rows.sparkSession.createDataFrame(
+        [(i, t.model, t.test, t.column) for i, t in tests.items()], "i int, model string, test string, column_name string"
+    )
     counted = F.coalesce(*[F.when(F.col("test") == k, F.col(k)) for k in ("not_null", "accepted_values", "unique")], F.lit(0))
-    return declared.join(by_test, "i", "left").select(F.lit(model).alias("model"), "test", "column_name", counted.cast("long").alias("violations"))
-
-
-def schema_test_report(models, kinds=("not_null", "unique", "accepted_values"), names=None) -> DataFrame:
-    """All declared column tests over ``models`` (anything with ``get(name)``),
-    optionally only some kinds, or only the models in ``names``: each model is
-    read once."""
-    by_model: dict[str, list[ColumnTest]] = {}
-    for t in SCHEMA_TESTS:
-        if t.test in kinds and (names is None or t.model in names):
-            by_model.setdefault(t.model, []).append(t)
-    return union_all(*[column_checks(models.get(model), tests, model) for model, tests in by_model.items()])
+    return declared.join(by_test, "i", "left").select("model", "test", "column_name", counted.cast("long").alias("violations"))
 
 
 # ---------------------------------------------------------------- rule sets

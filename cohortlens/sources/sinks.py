@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +36,13 @@ def checkpoint_base(spark: SparkSession) -> str:
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint dir and cut its lineage (a lost executor
     re-reads the files instead of recomputing the upstream plan). For inputs
-    that several jobs or solver passes read."""
-    checkpoint_base(df.sparkSession)
-    return df.checkpoint(eager=True)
+    that several jobs or solver passes read. A Parquet table, not
+    ``DataFrame.checkpoint``: that runs its last stage twice, and its result has
+    no size for the planner to go by."""
+    spark = df.sparkSession
+    path = f"{checkpoint_base(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame, name: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:

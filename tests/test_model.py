@@ -201,14 +201,14 @@ def test_logistic_regression_matches_reference_objective(spark):
     # counted into cells, the same examples give the same fit
     counted = model.cells(df, ("y",), by=())
     assert counted.count() < len(rows)
-    encoded = counted.join(enc.encode(model.combinations(counted), "combo").drop("combo"), list(cats))
+    encoded = enc.encode(counted)
     by_cells = model.fit_target(encoded, "y", len(rows), n="n")
     assert by_cells.intercept == pytest.approx(w[0], abs=1e-6)
     assert by_cells.coefficients.toArray() == pytest.approx(w[1:], abs=1e-6)
     assert by_cells.coefficients.toArray() == pytest.approx(fitted.coefficients.toArray(), abs=1e-6)
     # the certificate: no gradient at the optimum; a coefficient moved by 1e-4 shows in the fourth place
     spoilt = model.score(by_cells, encoded).select(*cats, F.lit("y").alias("target"), "score")
-    coefs = model.coefficient_table(by_cells, enc, "y")
+    coefs = model.coefficient_table({"y": by_cells}, enc)
     found = model.certificate(df, spoilt, coefs, ("y",))
     assert found.count() == len(names) + 1 and max(abs(r.gradient) for r in found.collect()) < 2e-5
     for p, c in list(names.values())[:3]:
