@@ -30,11 +30,12 @@ import oracle_queries  # noqa: E402
 from cohortlens.operators.aggregates import pivot_rank  # noqa: E402
 from cohortlens.operators.windows import rank_events  # noqa: E402
 from cohortlens.plans import campaign, model, profile, quality, report  # noqa: E402
-from cohortlens.plans.build import Models, build_all  # noqa: E402
+from cohortlens.plans.build import MODEL_ORDER, Models, build_all  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
 from cohortlens.sources import fixtures  # noqa: E402
+from cohortlens.sources.readers import load, read_raw_sources  # noqa: E402
 from cohortlens.sources.schemas import TARGETS  # noqa: E402
-from cohortlens.sources.sinks import checkpoint_base, materialize, reliable_checkpoint  # noqa: E402
+from cohortlens.sources.sinks import checkpoint_base, materialize, register_views, reliable_checkpoint  # noqa: E402
 
 try:  # the pipeline operators are an optional part
     import corpus_pipeline
@@ -120,6 +121,48 @@ def broken_features(spark: SparkSession, sf_dir: str) -> Models:
     return Models({}, {"user_features": f, "fct_user_journey": built.fct_user_journey})
 
 
+def csv_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw sources as CSV exports read by header: columns in reverse order
+    with one more between them; events in two files that order them
+    differently."""
+    base = _folder(spark, sf_dir, "csv")
+    for name, df in raw_sources(spark, sf_dir).items():
+        df = df.select([F.col(c).cast("string").alias(c) for c in df.columns])  # the writer's own time format has no microseconds
+        backwards = df.select(F.lit("x, y").alias("note"), *reversed(df.columns))
+        parts = [backwards]
+        if name == "user_activity":
+            odd = F.crc32("user_id") % 2 == 1
+            parts = [backwards.where(odd), df.where(~odd)]
+        for i, part in enumerate(parts):
+            writer = part.write.mode("append" if i else "overwrite").option("header", True)
+            writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{name}.csv")
+    return read_raw_sources(spark, base, "csv")
+
+
+_CSV: dict[tuple[str, str], Models] = {}
+
+
+def _csv_models(spark: SparkSession, sf_dir: str) -> Models:
+    key = _key(spark, sf_dir)
+    if key not in _CSV:
+        _CSV[key] = Models(csv_sources(spark, sf_dir))
+    return _CSV[key]
+
+
+def published_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every published model, found by its name in the store."""
+    build(spark, sf_dir)
+    base = _folder(spark, sf_dir, "models")
+    return profile.profile_rows({name: load(spark, name, base) for name in MODEL_ORDER})
+
+
+def model_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain SQL over the models, registered as views under their names."""
+    built = build(spark, sf_dir)
+    register_views({name: built.get(name) for name in MODEL_ORDER})
+    return spark.sql(oracle_queries.VIEWS_SQL)
+
+
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
     if not cols:
         return df
@@ -153,6 +196,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ):
         out[name] = _model_query(name)
 
+    # the same models from CSV exports, by header; the published tables; views
+    out["activity_from_csv"] = lambda s, d: _csv_models(s, d).stg_user_activity
+    out["mart_from_csv"] = lambda s, d: _rounded(
+        _csv_models(s, d).mart_campaign_performance, oracle_queries.MODEL_ROUNDING["mart_campaign_performance"]
+    )
+    out["published_models"] = published_models
+    out["model_views"] = model_views
+
     # data quality: one report row per declared test / rule set
     for qname, kind in (("check_not_null", "not_null"), ("check_unique", "unique"), ("check_accepted", "accepted_values")):
         out[qname] = (lambda k: lambda s, d: _column_checks(s, d).where(F.col("test") == k))(kind)
@@ -248,13 +299,14 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         split, _ = _reference_eval(s, d)
         return model.reference_categories(model.Encoder.fit(split.frame.where(F.col("split") == "training")))
 
-    def factors(s, d):
+    def coefficients(s, d):
         split, _ = _reference_eval(s, d)
-        refs = references(s, d)
-        coefs = quality.union_all(*[model.category_rate_coefficients(split.frame, t, refs) for t in TARGETS])
+        coefs = quality.union_all(*[model.category_rate_coefficients(split.frame, t, references(s, d)) for t in TARGETS])
         # rounded, so that equal rates are ties in both engines
-        coefs = coefs.withColumns({c: F.round(F.col(c), 6) for c in ("coefficient", "absolute_importance")})
-        return report.factor_table(coefs, refs)
+        return coefs.withColumns({c: F.round(F.col(c), 6) for c in ("coefficient", "absolute_importance")})
+
+    def factors(s, d):
+        return report.factor_table(coefficients(s, d), references(s, d))
 
     def fit_flag(s, d):
         found = model.fit_flag(_reference_eval(s, d)[0].frame, F.col("onboarding_name") == "sleep")
@@ -273,6 +325,7 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "scorer_confusion_long": lambda s, d: report.confusion_long(metrics(s, d)),
         "scorer_summary": lambda s, d: report.model_summary(metrics(s, d)),
         "scorer_factors": factors,
+        "scorer_importance": lambda s, d: model.by_importance(coefficients(s, d)).select("target", "importance_rank", "feature", "coefficient"),
         "scorer_leading_predictor": lambda s, d: report.leading_predictor(factors(s, d)),
         "reference_categories": references,
         "fit_flag": fit_flag,

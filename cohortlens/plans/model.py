@@ -462,6 +462,14 @@ def coefficient_table(models: dict, encoder: Encoder) -> DataFrame:
     )
 
 
+def by_importance(coefs: DataFrame) -> DataFrame:
+    """Coefficients with ``importance_rank`` within their target, the largest
+    first, sorted so."""
+    order = [F.col("absolute_importance").desc(), F.col("feature")]
+    ranked = coefs.withColumn("importance_rank", F.row_number().over(Window.partitionBy("target").orderBy(*order)))
+    return ranked.orderBy("target", "importance_rank")
+
+
 def reference_categories(encoder: Encoder, targets=TARGETS) -> DataFrame:
     """(target, predictor, reference_category), read off the dictionary."""
     each = F.explode(F.array(*[F.lit(t) for t in targets])).alias("target")
@@ -546,7 +554,7 @@ def train_models(features: DataFrame, targets=TARGETS, predictors=PREDICTORS) ->
     metrics, sweep = _small(found.metrics.select(*METRIC_COLUMNS)), _small(found.sweep)
     # a combination has one score, whatever the splits it is in
     scores = scored.groupBy(*predictors, "target").agg(F.min("score").alias("score"))
-    coefs = coefficient_table(fitted, encoder).orderBy("target", F.col("absolute_importance").desc(), "feature")
+    coefs = by_importance(coefficient_table(fitted, encoder)).drop("importance_rank")
     training = split.frame.where(F.col("split") == "training")
     return ModelOutputs(metrics, coefs, reference_categories(encoder, targets), sweep, scores, training)
 
