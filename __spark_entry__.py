@@ -28,7 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
 from cohortlens.operators.aggregates import pivot_rank  # noqa: E402
-from cohortlens.operators.windows import rank_events  # noqa: E402
+from cohortlens.operators.windows import group_size, rank_events  # noqa: E402
 from cohortlens.plans import campaign, model, profile, quality, report  # noqa: E402
 from cohortlens.plans.build import MODEL_ORDER, Models, build_all  # noqa: E402
 from cohortlens.session import tune  # noqa: E402
@@ -437,6 +437,9 @@ def _profile_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_spend_distribution": lambda s, d: profile.profile_spend_distribution(raw(s, d)["marketing_spend"]),
         "profile_date_matches": lambda s, d: profile.profile_date_matches(tidy(s, d)),
         "ranked_sales": ranked_sales,
+        "sale_group_sizes": lambda s, d: group_size(
+            tidy(s, d).where(F.col("event_type") == "sale").select("user_id", "event_date", "revenue_amount"), "user_id", "sale_event_count"
+        ),
         "first_two_sales": lambda s, d: pivot_rank(
             ranked_sales(s, d), "user_id", "sale_number", 2, ["event_date", "revenue_amount"]
         ),

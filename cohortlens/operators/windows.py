@@ -1,4 +1,5 @@
-"""Window helpers (always partitioned: no window here spans a whole table)."""
+"""Window helpers. No window here spans rows of a whole table: they are
+partitioned by a bounded group, or run over a row per partition of a sort."""
 
 from __future__ import annotations
 
