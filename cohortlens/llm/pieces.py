@@ -5,14 +5,18 @@ the model's pieces, by forward filtering and backward sampling: the forward
 pass sums the weights of all segmentations of every prefix, the backward pass
 draws the last piece by its share, then the one before, and so on. A
 segmentation's probability is proportional to the product of its pieces'
-weights to the power ``alpha``. A model without probabilities of its own (BPE:
-its scores are ranks) gets Zipf weights 1 / (rank + 10).
+weights to the power ``alpha``: the model's own, or, where its scores are ranks
+(BPE), Zipf weights 1 / (rank + 10).
 
 The draw at a position is a hash of the seed, the row's key and the position,
 so a row's segmentation doesn't depend on partitions, batches, retries or other
-rows. No piece has a space after another character, so the lattice falls apart
-before each run of spaces; the forward pass runs once for each distinct segment
-of a slab of texts, over all segments side by side.
+rows. A lattice falls apart wherever no piece spans two neighbours: before runs
+of spaces, as no piece has a space after another character (checked for each
+model; segments between them are taken once per slab of texts), and at every
+other place that the pieces found leave uncovered, as around line ends, in noise
+and in scripts of few pieces. The forward pass runs over all parts side by side,
+and by itself over the rest of those that outlast the others, so texts without
+spaces cost about what others do.
 
 Decoding is lossless for every text: spaces are the piece character U+2581, a
 leading one is added as the model's own encoder does, characters without a
@@ -20,8 +24,10 @@ piece (and U+2581 itself) become byte pieces.
 
 Nulls and odd rows: a null or empty text gives an empty list, and decodes to an
 empty text. Rows without key share the key "". Repeated rows get equal
-segmentations. A text is one row's work, in slabs of bounded size. An empty
-table gives an empty result.
+segmentations. A text is one row's work, in blocks of bounded size, but for a
+run of millions of characters that pieces cover without a gap (one letter again
+and again): that is one block. Columns beside the carried ones are ignored,
+whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +54,9 @@ DECODED = 1 << 18
 _SPACE = "▁"
 #: Stands for a U+2581 of the text itself: no text holds a lone surrogate.
 _OWN = "\ud800"
+#: So few parts left, the forward pass goes on with one at a time.
+FEW = 6
+_ROWS = 4096
 _UNIT = np.float32(2.0**-24)
 _SLOTS = 1 << 19
 
@@ -80,10 +90,17 @@ class Pieces:
         self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.all_bytes = np.frombuffer(b"".join(self.bytes), np.uint8)
-        order = sorted(usable, key=lambda p: -model.get_score(usable[p]))
-        weight = {p: -alpha * np.log(rank + 10) for rank, p in enumerate(order)}
-        self.unknown = -alpha * np.log(10.0 * (n + 10))
+        scores = {p: model.get_score(i) for p, i in usable.items()}
+        if all(float(x).is_integer() for x in scores.values()):  # ranks
+            order = sorted(usable, key=lambda p: -scores[p])
+            weight = {p: -alpha * np.log(rank + 10) for rank, p in enumerate(order)}
+            self.unknown = -alpha * np.log(10.0 * (n + 10))
+        else:  # log probabilities
+            weight = {p: alpha * x for p, x in scores.items()}
+            self.unknown = alpha * (min(scores.values()) - 10)
         self.longest = max(map(len, usable))
+        #: Whether every piece begins a run of spaces or has none: texts can be cut there unseen.
+        self.spaces_lead = not any(_SPACE in p.lstrip(_SPACE) for p in usable)
         # trie: a state per prefix; steps in a table by a hash of (state, character)
         states = {p: s for s, p in enumerate(sorted({p[:k] for p in usable for k in range(1, len(p) + 1)}), 1)}
         self.piece = np.full(len(states) + 1, -1, np.int32)
@@ -122,67 +139,84 @@ class Pieces:
         return out
 
 
+def arcs(chars: np.ndarray, lengths: np.ndarray, model: Pieces) -> list[tuple[np.ndarray, int, np.ndarray]]:
+    """All pieces of two characters or more within segments that lie one after
+    another: per length their first characters and their states."""
+    ends = np.repeat(np.cumsum(lengths), lengths)
+    state = model.first[chars]
+    at = np.flatnonzero(state > 0)
+    state, found = state[at], []
+    for length in range(2, model.longest + 1):
+        going = at + (length - 1) < ends[at]
+        at, state = at[going], state[going]
+        state = model.step(state, chars[at + (length - 1)])
+        going = state > 0
+        at, state = at[going], state[going]
+        if not len(at):
+            break
+        known = model.piece[state] >= 0
+        found.append((at[known], length, state[known]))
+    return found
+
+
+def uncovered(n: int, found: list[tuple[np.ndarray, int, np.ndarray]]) -> np.ndarray:
+    """Places between ``n`` characters (place i is before character i) that no
+    piece spans: every segmentation has a cut there, so that the lattice falls
+    apart and both sides are drawn independently."""
+    over = np.zeros(n + 1, np.int64)
+    for at, length, _ in found:
+        over += np.bincount(at + 1, minlength=n + 1)
+        over -= np.bincount(at + length, minlength=n + 1)[: n + 1]
+    return np.flatnonzero(np.cumsum(over)[:n] == 0)
+
+
 class Lattices:
-    """The lattices of some segments, side by side: characters lie by position,
-    at each position by segment, the longer ones first, so that all segments
-    take a step of the forward pass as one slice."""
-
-    def __init__(self, segments: list[str], model: Pieces, width: int):
-        lengths = np.fromiter((len(s) + 1 for s in segments), np.int64, len(segments))
-        order = np.argsort(-lengths, kind="stable")
-        self.rank = np.empty(len(order), np.int64)
-        self.rank[order] = np.arange(len(order))
+    """The lattices of some parts of a flat text, side by side: characters lie
+    by position, at each position by part, the longer ones first, so that all
+    parts take a step of the forward pass as one slice."""
+
+    def __init__(self, chars: np.ndarray, begins: np.ndarray, lengths: np.ndarray, chosen: np.ndarray, found: list, model: Pieces, width: int):
+        """``begins`` and ``lengths`` of all parts, ``chosen`` marks the ones
+        laid out here; ``found``: ``arcs``."""
+        mine = np.flatnonzero(chosen)
         self.lengths = lengths
-        flat = "".join([_SPACE + s.replace(" ", _SPACE) for s in segments]).encode("utf-32-le", "surrogatepass")
-        flat = np.frombuffer(flat, np.uint32)
-        #: segments that have each position, and where its slice begins
-        self.here = np.searchsorted(-lengths[order], -np.arange(1, lengths[order[0]] + 1), side="right")
+        order = mine[np.argsort(-lengths[mine], kind="stable")]
+        self.rank = np.full(len(lengths), -1, np.int64)
+        self.rank[order] = np.arange(len(order))
+        #: parts that have each position, and where its slice begins
+        longest = lengths[order[0]] if len(order) else 0
+        self.here = np.searchsorted(-lengths[order], -np.arange(1, longest + 1), side="right")
         self.begin = np.concatenate([[0], np.cumsum(self.here)])
-        begins = np.cumsum(lengths) - lengths
-        position = np.arange(len(flat)) - np.repeat(begins, lengths)
-        place = self.begin[position] + np.repeat(self.rank, lengths)
-        self.chars = np.empty(len(flat), np.int64)
-        self.chars[place] = flat
-        self._pieces(model, width)
-
-    def _pieces(self, model: Pieces, width: int) -> None:
-        """Of all pieces that end at each character, by length: weights and
-        ids. An id under 0 is a character written in bytes: -1 - character.
-        ``wide``: ranks of segments that a piece longer than ``width`` fits."""
-        n = len(self.chars)
+        part = np.repeat(mine, lengths[mine])
+        position = np.arange(len(part)) - np.repeat(np.cumsum(lengths[mine]) - lengths[mine], lengths[mine])
+        source = begins[part] + position
+        place = np.full(len(chars), -1, np.int64)
+        place[source] = self.begin[position] + self.rank[part]
+        #: Of all pieces that end at each character, by length: weights and ids.
+        #: An id under 0 is a character written in bytes: -1 - character.
+        n = len(part)
         self.weights = np.full((n, width), -np.inf, np.float32)
         self.ids = np.zeros((n, width), np.int32)
-        state = model.first[self.chars]
+        state = model.first[chars[source]]
         alone = model.piece[state] < 0
-        self.weights[:, 0] = np.where(alone, model.unknown, model.weight[state])
-        self.ids[:, 0] = np.where(alone, -1 - self.chars, model.piece[state])
-        position = np.repeat(np.arange(len(self.here)), self.here)
-        rank = np.arange(n) - self.begin[position]
-        here = np.concatenate([self.here, np.zeros(model.longest + 1, np.int64)])
-        wide = []
-        for length in range(2, model.longest + 1):
-            end = position + length - 1
-            going = (state > 0) & (rank < here[end])
-            position, rank, state, end = position[going], rank[going], state[going], end[going]
-            if not len(rank):
-                break
-            at = self.begin[end] + rank
-            state = model.step(state, self.chars[at])
-            known = model.piece[state] >= 0
-            if length > width:
-                wide.append(rank[known])
-            else:
-                at, known = at[known], state[known]
-                self.weights[at, length - 1] = model.weight[known]
-                self.ids[at, length - 1] = model.piece[known]
-        self.wide = np.unique(np.concatenate(wide)) if wide else np.empty(0, np.int64)
+        self.weights[place[source], 0] = np.where(alone, model.unknown, model.weight[state])
+        self.ids[place[source], 0] = np.where(alone, -1 - chars[source], model.piece[state])
+        for at, length, states in found:
+            to = place[at + (length - 1)]
+            here = to >= 0
+            self.weights[to[here], length - 1] = model.weight[states[here]]
+            self.ids[to[here], length - 1] = model.piece[states[here]]
 
     def forward(self) -> None:
         """Forward filtering: per character the cumulative shares of the
         lengths of the piece that ends there, in place of the weights."""
         width = self.weights.shape[1]
-        sums = [np.zeros(self.here[0])]
+        sums = [np.zeros(self.here[0])] if len(self.here) else []
         for p, n in enumerate(self.here):
+            if n <= FEW and p >= width:
+                for rank in range(n):
+                    self._forward_one(rank, p, [float(x[rank]) for x in sums])
+                return
             x = np.full((n, width), -np.inf)
             part = self.weights[self.begin[p] : self.begin[p + 1]]
             for back in range(min(width, p + 1)):
@@ -196,24 +230,67 @@ class Lattices:
             if len(sums) > width:
                 sums.pop(0)
 
-    def backward(self, kind: np.ndarray, keys: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """Backward sampling of occurrences of the segments ``kind``, a piece a
-        round: how many pieces each has, and per round (occurrences, ids). The
-        draw at a character is a hash of the text's key and its place."""
+    def _forward_one(self, rank: int, p: int, sums: list[float]) -> None:
+        """The rest of one long part, character by character: where few parts
+        are left, slices cost more than their numbers."""
+        end = int(np.searchsorted(-self.here, -rank, side="left"))  # positions that this part has
+        for a in range(p, end, _ROWS):
+            rows = self.begin[a : min(a + _ROWS, end)] + rank
+            out = []
+            for weights in self.weights[rows].tolist():
+                x = [s + w for s, w in zip(reversed(sums), weights, strict=True)]
+                top = max(x)
+                total, shares = 0.0, []
+                for v in x:
+                    if v > top - 100:
+                        total += exp(v - top)
+                    shares.append(total)
+                out.append([v / total for v in shares])
+                sums.append(top + log(total))
+                del sums[0]
+            self.weights[rows] = out
+
+    def backward(self, kind: np.ndarray, keys: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, int]]]:
+        """Backward sampling of occurrences of the parts ``kind``, a piece a
+        round: how many pieces each has, and what was drawn, as (occurrences,
+        ids, pieces after it). What outlasts many rounds is one occurrence with
+        all its ids, the last one first. The draw at a character is a hash of
+        the text's key and its place."""
         rank, left = self.rank[kind], self.lengths[kind]
         who, rounds, count = np.arange(len(kind)), [], np.zeros(len(kind), np.int64)
         while len(who):
+            if len(rounds) > _ROWS and len(who) <= FEW:
+                for i in range(len(who)):
+                    ids = self._backward_one(int(rank[i]), int(left[i]), keys[i], int(offset[i]))
+                    rounds.append((who[i], ids, int(count[who[i]])))
+                    count[who[i]] += len(ids)
+                break
             end = self.begin[left - 1] + rank
             draw = _mix(keys + (offset + left).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             u = (draw >> np.uint64(40)).astype(np.float32) * _UNIT
             length = (self.weights[end] <= u[:, None]).sum(axis=1)
-            rounds.append((who, self.ids[end, length]))
+            rounds.append((who, self.ids[end, length], len(rounds)))
             count[who] += 1
             left = left - length - 1
             going = left > 0
             who, left, rank, keys, offset = who[going], left[going], rank[going], keys[going], offset[going]
         return count, rounds
 
+    def _backward_one(self, rank: int, left: int, key: np.uint64, offset: int) -> np.ndarray:
+        """Ids of the first ``left`` characters of one part, the last one first:
+        drawn at every character, then walked through."""
+        ends = self.begin[:left] + rank
+        length = np.empty(left, np.int64)
+        for a in range(0, left, 1 << 16):
+            places = np.arange(offset + a + 1, offset + min(a + (1 << 16), left) + 1).astype(np.uint64)
+            u = (_mix(key + places * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.float32) * _UNIT
+            length[a : a + (1 << 16)] = (self.weights[ends[a : a + (1 << 16)]] <= u[:, None]).sum(axis=1)
+        steps, at = length.tolist(), []
+        while left:
+            at.append(left - 1)
+            left -= steps[left - 1] + 1
+        return self.ids[ends[at], length[at]]
+
 
 @lru_cache(maxsize=4)
 def load(path: str, alpha: float = 1.0) -> Pieces:
@@ -228,47 +305,91 @@ def segments(text: str) -> list[str]:
     return [s[1:] for s in re.findall(" +[^ ]*", " " + text)]
 
 
-def sample(texts: list[str], keys: np.ndarray, model: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, and how many each text has."""
+def sample(texts: list[str], keys: np.ndarray, model: Pieces, start: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and how many each text has. ``start``: characters that
+    went before (a block of a longer text, which then has no space before it)."""
     kinds: dict[str, int] = {}
     flat: list[int] = []
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         if text:
-            own = segments(text.replace(_SPACE, _OWN))
+            text = text.replace(_SPACE, _OWN)
+            if start:
+                own = [text.replace(" ", _SPACE)]
+            elif model.spaces_lead:
+                own = [_SPACE + s.replace(" ", _SPACE) if " " in s else _SPACE + s for s in segments(text)]
+            else:
+                own = [_SPACE + text.replace(" ", _SPACE)]
             counts[i] = len(own)
             flat += [kinds.setdefault(s, len(kinds)) for s in own]
     if not flat:
         return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
     kind, names = np.array(flat, np.int64), list(kinds)
     del flat, kinds
-    narrow = Lattices(names, model, min(NARROW, model.longest))
-    is_wide = np.isin(narrow.rank, narrow.wide)
-    size = narrow.lengths[kind]
+    lengths = np.fromiter(map(len, names), np.int64, len(names))
+    chars = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    del names
+    found = arcs(chars, lengths, model)
+    # parts: what lies between the places that no piece spans
+    begins = uncovered(len(chars), found)
+    sizes = np.diff(np.append(begins, len(chars)))
+    wide = np.zeros(len(begins), bool)
+    for at, length, _ in found:
+        if length > NARROW:
+            wide[np.searchsorted(begins, at, side="right") - 1] = True
+    first_part = np.searchsorted(begins, np.cumsum(lengths) - lengths)
+    n_parts = np.diff(np.append(first_part, len(begins)))
+
+    # occurrences of parts, in the order of the texts
     text_of = np.repeat(np.arange(len(texts)), counts)
-    before = np.cumsum(size) - size
-    first = np.cumsum(counts) - counts
-    offset = before - before[np.minimum(first, len(before) - 1)][text_of]
-
-    n_pieces, rounds = np.zeros(len(kind), np.int64), []
-    wide = np.flatnonzero(is_wide)
-    number = np.cumsum(is_wide) - 1
-    for lattices, chosen in ((narrow, ~is_wide), (Lattices([names[i] for i in wide], model, model.longest) if len(wide) else None, is_wide)):
-        if lattices is None:
+    many = n_parts[kind]
+    part = np.repeat(first_part[kind] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    text_of = np.repeat(text_of, many)
+    before = np.cumsum(sizes[part]) - sizes[part]
+    opening = np.searchsorted(text_of, np.arange(len(texts)))
+    offset = start + before - before[np.minimum(opening, len(before) - 1)][text_of]
+
+    n_pieces, rounds = np.zeros(len(part), np.int64), []
+    for chosen, width in ((~wide, min(NARROW, model.longest)), (wide, model.longest)):
+        if not chosen.any():
             continue
+        lattices = Lattices(chars, begins, sizes, chosen, [f for f in found if f[1] <= width], model, width)
         lattices.forward()
-        who = np.flatnonzero(chosen[kind])
-        mine = kind[who] if lattices is narrow else number[kind[who]]
-        n_pieces[who], found = lattices.backward(mine, keys[text_of[who]], offset[who])
-        rounds += [(who[x], ids, k) for k, (x, ids) in enumerate(found)]
+        who = np.flatnonzero(chosen[part])
+        n_pieces[who], drawn = lattices.backward(part[who], keys[text_of[who]], offset[who])
+        rounds += [(who[x], ids, k) for x, ids, k in drawn]
     last = np.cumsum(n_pieces) - 1
     out = np.empty(int(last[-1]) + 1, np.int32)
     for who, piece, k in rounds:
-        out[last[who] - k] = piece
+        if np.ndim(who):
+            out[last[who] - k] = piece
+        else:
+            out[last[who] - k - np.arange(len(piece))] = piece
     per_text = np.bincount(text_of, n_pieces, len(texts)).astype(np.int64)
     return _with_bytes(out, per_text, model)
 
 
+def sample_long(text: str, key: np.ndarray, model: Pieces) -> np.ndarray:
+    """Ids of one text over ``SLAB``, in blocks cut where no piece spans, so
+    that memory doesn't grow with the text (but for a run that no place cuts)."""
+    out, begin, size = [], 0, SLAB
+    while begin < len(text):
+        block = text[begin : begin + size]
+        if begin + size < len(text):
+            seen = (block if begin else " " + block).replace(_SPACE, _OWN).replace(" ", _SPACE)
+            chars = np.frombuffer(seen.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            cuts = uncovered(len(chars), arcs(chars, np.array([len(chars)]), model)) - (begin == 0)
+            cuts = cuts[(cuts > 0) & (cuts <= size - model.longest)]  # further on, pieces may go on beyond the block
+            if not len(cuts):
+                size *= 2
+                continue
+            block = block[: int(cuts[-1])]
+        # places count from the space before the text
+        out.append(sample([block], key, model, begin + 1 if begin else 0)[0])
+        begin, size = begin + len(block), SLAB
+    return np.concatenate(out)
+
+
 def _with_bytes(ids: np.ndarray, per_text: np.ndarray, model: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Characters without piece (ids under 0) as the pieces of their bytes."""
     where = np.flatnonzero(ids < 0)
@@ -281,8 +402,10 @@ def _with_bytes(ids: np.ndarray, per_text: np.ndarray, model: Pieces) -> tuple[n
     times[where] += extra
     begin = np.cumsum(times) - times
     out = np.repeat(ids, times)
+    order = np.argsort(which, kind="stable")
+    bounds = np.searchsorted(which[order], np.arange(len(spelled) + 1))
     for c, b in enumerate(spelled):
-        at = begin[where[which == c]]
+        at = begin[where[order[bounds[c] : bounds[c + 1]]]]
         for k, byte in enumerate(b):
             out[at + k] = model.byte_id[byte]
     text_of = np.repeat(np.arange(len(per_text)), per_text)
@@ -297,13 +420,13 @@ def _offsets(column: pa.Array) -> np.ndarray:
 
 
 def _slabs(sizes: np.ndarray) -> Iterator[slice]:
-    """Runs of texts with about ``SLAB`` bytes."""
+    """Runs of texts with about ``SLAB`` bytes; a longer text is one by itself."""
     begin = size = 0
     for i, n in enumerate(sizes.tolist()):
+        if size and size + n > SLAB:
+            yield slice(begin, i)
+            begin, size = i, 0
         size += n
-        if size >= SLAB:
-            yield slice(begin, i + 1)
-            begin, size = i + 1, 0
     if begin < len(sizes):
         yield slice(begin, len(sizes))
 
@@ -324,7 +447,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carr
             column = batch.column("text")
             keys = np.array([xxhash.xxh3_64_intdigest(f"{seed}:{k}") for k in batch.column("key").to_pylist()], np.uint64)
             for part in _slabs(np.diff(_offsets(column))):
-                ids, counts = sample(column[part].to_pylist(), keys[part], pieces)
+                texts = column[part].to_pylist()
+                if len(texts) == 1 and len(texts[0]) > SLAB:
+                    ids = sample_long(texts[0], keys[part], pieces)
+                    counts = np.array([len(ids)])
+                else:
+                    ids, counts = sample(texts, keys[part], pieces)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(part.start, len(counts)), lists], names=["row", "ids"])
