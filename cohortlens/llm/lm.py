@@ -55,7 +55,7 @@ from cohortlens.llm.common import written
 DEPTH = 4
 CHUNK = 32 << 20
 #: Bytes of text that become strings at a time.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Strings that a task of ``subtrees`` works on at a time (whole subtrees).
 BLOCK = 200_000
 _END = b"\xff"
