@@ -270,6 +270,7 @@ def _reference_eval(spark: SparkSession, sf_dir: str):
 
 
 _EVALUATED: dict[tuple[str, str], model.Evaluation] = {}
+_REFERENCES: dict[tuple[str, str], DataFrame] = {}
 
 
 def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -296,8 +297,11 @@ def _model_eval_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         return evaluated(s, d).metrics
 
     def references(s, d):
-        split, _ = _reference_eval(s, d)
-        return model.reference_categories(model.Encoder.fit(split.frame.where(F.col("split") == "training")))
+        key = _key(s, d)
+        if key not in _REFERENCES:  # the category table is written once
+            training = _reference_eval(s, d)[0].frame.where(F.col("split") == "training")
+            _REFERENCES[key] = model.reference_categories(model.Encoder.fit(training))
+        return _REFERENCES[key]
 
     def coefficients(s, d):
         split, _ = _reference_eval(s, d)
