@@ -17,13 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared checkpoint folder."""
+    return f"{checkpoint_base(spark)}/llm/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read back.
     A lost executor then re-reads files instead of running the plan above
     again, and a join of the result gets its own exchange, so that adaptive
     execution can split a skewed side."""
     spark = df.sparkSession
-    path = f"{checkpoint_base(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,25 +1,34 @@
 """Secret scan with an incremental blob ledger, in Spark expressions only.
 
 Every version of every document is content-addressed: its blob id is the
-SHA-256 of its text. The ledger is a table of (blob, rule, version) that have
-been scanned; a run scans a blob only for those rules whose current version
-the ledger lacks for it, one scan however many paths hold the blob. Findings
-are kept per blob and joined back to all paths.
+SHA-256 of its text. The ledger says which (blob, rule, version) have been
+scanned; a run scans a blob only for those rules whose current version the
+ledger lacks for it, one scan however many paths hold the blob. Findings are
+kept per blob and joined back to all paths.
+
+Ledger and findings are one log, a table that runs append to: a row without
+span is the ledger's entry for its (blob, rule, version), the rows with spans
+are its findings. Entry and findings come from the same window partition, thus
+stand in the same file. A run that dies while it publishes leaves whole files
+or none, and the next run scans what is still without entry. Runs at the same
+time may log a pair twice; readers take distinct rows.
 
 Positions come from splitting: the text between matches and the matches
 themselves alternate, so running sums of their lengths give each span, in code
 points, end exclusive.
 
 Nulls and odd rows: a null text is an empty one and has no findings. Paths may
-be null or repeated; every input row gets its blob's findings. An empty table
-gives an empty result.
+be null or repeated; every input row gets its blob's findings. Very long texts
+are cut into matches and gaps, so that no expression is quadratic in them. The
+input's columns travel in the struct ``row`` and can't clash with the names
+used here. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -60,10 +69,24 @@ LEDGER = "blob string, rule string, version int"
 FINDINGS = "blob string, rule string, version int, start int, `end` int"
 
 
+def entries(log: DataFrame) -> DataFrame:
+    """The ledger in a log: what has been scanned."""
+    return log.where("start is null").select("blob", "rule", "version").distinct()
+
+
+def findings(log: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The findings in a log, of the rules' current versions."""
+    return log.where("start is not null").where(_current(rules)).distinct()
+
+
 def _key(rule: Rule) -> str:
     return f"{rule.kind}:{rule.version}"
 
 
+def _current(rules: tuple[Rule, ...]) -> str:
+    return " or ".join(f"(rule = '{r.kind}' and version = {r.version})" for r in rules)
+
+
 def addressed(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(row, blob, text): every path with the id of its content."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -74,39 +97,41 @@ def unseen(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...
     """(blob, text, todo): each blob once, with the rules to run on it; blobs
     that the ledger has for all current rules are left out."""
     every = F.array(*[F.lit(_key(r)) for r in rules])
+    blobs = versions.groupBy("blob").agg(F.first("text").alias("text"))  # copies end here, before they meet the ledger
     if ledger is None:
-        return versions.groupBy("blob").agg(F.first("text").alias("text")).withColumn("todo", every)
-    current = ledger.select("blob", F.concat_ws(":", "rule", "version").alias("key"))
-    seen = written(current.groupBy("blob").agg(F.collect_set("key").alias("seen")), "ledger-seen")
+        return blobs.withColumn("todo", every)
+    current = ledger.where(_current(rules)).select("blob", F.concat_ws(":", "rule", "version").alias("key"))
+    seen = current.groupBy("blob").agg(F.collect_set("key").alias("seen"))
     todo = F.array_except(every, F.coalesce("seen", F.array().cast("array<string>")))
-    fresh = versions.select("blob", "text").join(seen, "blob", "left").withColumn("todo", todo).where(F.size("todo") > 0)
-    return fresh.groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
+    return blobs.join(seen, "blob", "left").withColumn("todo", todo).where(F.size("todo") > 0).select("blob", "text", "todo")
 
 
 def _matches(rule: Rule) -> str:
-    """SQL for an array of (gap, all, counted): code points before a match
-    since the last one, in it, and in its counted group."""
+    """SQL for an array of (gap, whole, counted): code points before a match
+    since the last one, in it, and in its counted group. The last entry is the
+    text after the last match, without match; null if the rule isn't to run."""
     p = rule.pattern.replace("\\", "\\\\").replace("'", "\\'")
     counted = f"regexp_extract_all(text, '{p}', {rule.group})"
     whole = f"regexp_extract_all(text, '{p}', 0)"
     lengths = f"zip_with({whole}, {counted}, (w, c) -> struct(char_length(w) as whole, char_length(c) as counted))"
-    return (
-        f"if(array_contains(todo, '{_key(rule)}') and text rlike '{p}', "
-        f"zip_with(split(text, '{p}'), {lengths}, (g, m) -> struct(char_length(g) as gap, m.whole as whole, m.counted as counted)), null)"
-    )
+    found = f"zip_with(split(text, '{p}'), {lengths}, (g, m) -> struct(char_length(g) as gap, m.whole as whole, m.counted as counted))"
+    none = "array(struct(cast(null as int) as gap, cast(null as int) as whole, cast(null as int) as counted))"
+    return f"if(array_contains(todo, '{_key(rule)}'), if(text rlike '{p}', {found}, {none}), null)"
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Findings (blob, rule, version, start, end) of (blob, text, todo)."""
+    """The log (blob, rule, version, start, end) of scanning (blob, text,
+    todo): an entry per pair scanned, without span, and its findings."""
     kinds = F.array(
         *[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), F.lit(r.least).alias("least"), F.expr(_matches(r)).alias("found")) for r in rules]
     )
     found = blobs.select("blob", F.inline(kinds)).where("found is not null")
-    parts = found.select("blob", "rule", "version", "least", F.posexplode("found").alias("i", "m")).where("m.whole is not null")
+    parts = found.select("blob", "rule", "version", "least", F.posexplode("found").alias("i", "m"))
     before = Window.partitionBy("blob", "rule").orderBy("i")
+    end = F.sum(F.col("m.gap") + F.col("m.whole")).over(before).cast("int")
     return (
-        parts.withColumn("end", F.sum(F.col("m.gap") + F.col("m.whole")).over(before).cast("int"))
-        .where("m.counted >= least")
+        parts.withColumn("end", F.when(F.col("m.whole").isNotNull(), end))
+        .where("m.whole is null or m.counted >= least")
         .select("blob", "rule", "version", (F.col("end") - F.col("m.whole")).alias("start"), "end")
     )
 
@@ -118,16 +143,26 @@ def scan_versions(
     blob), all current findings, and the ledger entries that the run adds.
     ``ledger`` and ``earlier`` are what former runs returned, added up."""
     versions = addressed(docs, text_col)
-    fresh = unseen(versions, ledger, rules)
-    found = written(scan(fresh, rules), "findings")
-    if earlier is not None:
-        found = found.unionByName(earlier)
-    now = {r.kind: r.version for r in rules}
-    found = found.where(F.expr(" or ".join(f"(rule = '{k}' and version = {v})" for k, v in now.items())))
-    added = fresh.select("blob", F.explode("todo").alias("key")).select(
-        "blob", F.split("key", ":")[0].alias("rule"), F.split("key", ":")[1].cast("int").alias("version")
-    )
-    return versions.select("row", "blob"), found, added
+    log = written(scan(unseen(versions, ledger, rules), rules), "secret-log")
+    found = findings(log if earlier is None else log.unionByName(earlier), rules)
+    return versions.select("row", "blob"), found, entries(log)
+
+
+def read_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log kept in ``folder``, an empty one at first."""
+    spark.createDataFrame([], FINDINGS).write.mode("ignore").parquet(folder)
+    return spark.read.schema(FINDINGS).parquet(folder)
+
+
+def scan_into(folder: str, docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """One incremental run with the log kept in ``folder``: scans the pairs
+    that it lacks and appends them. Gives the paths (row, blob) and all
+    current findings of the log, former runs' included."""
+    spark = docs.sparkSession
+    versions = addressed(docs, text_col)
+    fresh = unseen(versions, entries(read_log(spark, folder)), rules)
+    scan(fresh, rules).write.mode("append").option("compression", "zstd").parquet(folder)
+    return versions.select("row", "blob"), findings(read_log(spark, folder), rules)
 
 
 def by_path(paths: DataFrame, found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

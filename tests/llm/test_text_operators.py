@@ -260,6 +260,58 @@ def test_ledger_scans_only_what_is_new(spark):
     assert sorted(set(map(str, (b.todo for b in todo)))) == ["['hex:2']"] and len(todo) == 2
 
 
+def logged(spark, folder):
+    return sorted(map(str, secrets.read_log(spark, folder).collect()))
+
+
+def spans_of(paths, found, rules=secrets.RULES):
+    out = secrets.by_path(paths, found, rules).select("row.doc_id", "spans").collect()
+    return {r.doc_id: [f"{s.rule}:{s.start}:{s.end}" for s in r.spans or [] if s.rule in KINDS] for r in out}
+
+
+def test_kept_log_over_versions(spark, scratch):
+    folder = f"{scratch}/log"
+    first, second = list(enumerate(SECRETS[:5])), list(enumerate(SECRETS)) + [(100, None), (101, SECRETS[2])]
+    assert spans_of(*secrets.scan_into(folder, frame(spark, first))) == {d: plain_spans(t) for d, t in first}
+    before = logged(spark, folder)
+    paths, found = secrets.scan_into(folder, frame(spark, second))
+    assert spans_of(paths, found) == {d: plain_spans(t or "") for d, t in second}
+    # one entry per distinct text and rule over both runs: nothing was scanned twice
+    log = secrets.read_log(spark, folder)
+    assert log.where("start is null").count() == secrets.entries(log).count() == len({t or "" for _, t in second}) * len(secrets.RULES)
+    assert set(before) < set(logged(spark, folder))
+    # a third run has nothing to scan and adds no row
+    after = logged(spark, folder)
+    assert spans_of(*secrets.scan_into(folder, frame(spark, second))) == spans_of(paths, found) and logged(spark, folder) == after
+    # a new version of a rule scans every text by that rule only, and the old version's findings go
+    newer = tuple(secrets.Rule(r.kind, 2, "[0-9a-f]{30,}") if r.kind == "hex" else r for r in secrets.RULES)
+    paths, found = secrets.scan_into(folder, frame(spark, second), rules=newer)
+    new = [r for r in secrets.entries(secrets.read_log(spark, folder)).collect() if r.version == 2]
+    assert {r.rule for r in new} == {"hex"} and len(new) == len({t or "" for _, t in second})
+    assert found.where("rule = 'hex' and version = 1").isEmpty()
+
+
+def test_log_of_lost_and_doubled_runs(spark, scratch):
+    """Some of a dead run's files, or two runs at once: whole findings, once."""
+    rows = list(enumerate(SECRETS))
+    whole = secrets.scan(secrets.unseen(secrets.addressed(frame(spark, rows)), None))
+    half, twice = f"{scratch}/half", f"{scratch}/twice"
+    whole.where("rule in ('assign', 'pem')").write.parquet(half)
+    whole.union(whole).write.parquet(twice)
+    for folder in (half, twice):
+        paths, found = secrets.scan_into(folder, frame(spark, rows))
+        assert spans_of(paths, found) == {d: plain_spans(t) for d, t in rows}
+
+
+def test_secrets_in_very_long_texts_and_clashing_columns(spark, scratch):
+    long = "password = hunter2hunter " * 20_000 + "é" * 400_000 + "a1" * 20
+    names = ("row", "blob", "spans", "start", "end", "todo", "text")
+    docs = spark.createDataFrame([(7, *["x"] * (len(names) - 1), long)], "doc_id long, " + ", ".join(f"`{n}` string" for n in names))
+    paths, found = secrets.scan_into(f"{scratch}/log", docs)
+    assert spans_of(paths, found) == {7: plain_spans(long)}
+    assert paths.select("row.*").columns == docs.columns
+
+
 def test_secrets_empty_and_null_paths(spark):
     assert spans_by_path(spark, [])[0] == {}
     got, raw, _, _ = spans_by_path(spark, [(None, SECRETS[2]), (None, SECRETS[2])])
