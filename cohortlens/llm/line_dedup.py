@@ -3,15 +3,16 @@
 Lines become 128-bit key hashes with their document and position. Hashes are
 range-partitioned and sorted by document and position; a window streams each
 key's run and marks the lines that go. What is returned is a keep bitmap per
-document, not text. A bitmap is an array of 64-bit words, bit ``i % 64`` of
-word ``i / 64`` set if line ``i`` stays; words after the last dropped line are
-left out, and a document that keeps all its lines has no bitmap.
+document, not text. A bitmap is compressed: it lists only the 64-bit words that
+lose a line, as (word, kept), bit ``i % 64`` of word ``i / 64`` set if line
+``i`` stays. A document that keeps all its lines has no bitmap.
 
-A key with more than 0.1 % of all lines never enters the range sort: an
-``approx_top_k`` sketch (at most ``HOT_KEYS`` entries, so it can be broadcast)
-names such keys, their documents are counted by a pre-aggregation, and their
-lines are marked where they lie. Whether a key is named changes the route of
-its lines only, never the result.
+A key with more than ``HOT_LINES`` lines never enters the range sort: lines are
+counted per key by partial aggregation, the documents of the hot keys are
+counted by another one, and their lines are marked where they lie. The table of
+hot keys has at most a row per ``HOT_LINES`` lines and no broadcast hint:
+beyond Spark's size limit for broadcasts the join shuffles, and adaptive
+execution splits the hot key's lines. A key's route never changes the result.
 
 Nulls and odd rows: a null or empty text is one empty line. A row without
 document id keeps all its lines and counts for no key. Rows that repeat a
@@ -27,8 +28,8 @@ from pyspark.sql.window import Window
 
 from cohortlens.llm.common import WHITE, ascii_lower, packed, written
 
-#: Proven bound of the broadcast list of hot keys.
-HOT_KEYS = 1000
+#: Most lines of a key that meet in one window partition.
+HOT_LINES = 10_000
 
 
 def _lines(text: Column) -> Column:
@@ -51,9 +52,8 @@ def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
 
 def _hot_keys(keys: DataFrame) -> DataFrame:
-    """First halves of the hashes with more than 0.1 % of all lines."""
-    top = keys.agg(F.expr(f"approx_top_k(h1, {HOT_KEYS}, {10 * HOT_KEYS})").alias("top"), F.count("*").alias("n"))
-    return top.select("n", F.explode("top").alias("t")).where(F.col("t.count") * HOT_KEYS > F.col("n")).select(F.col("t.item").alias("h1"))
+    """(h1, h2) of the keys with more than ``HOT_LINES`` lines."""
+    return keys.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") > HOT_LINES).select("h1", "h2")
 
 
 def keep_bitmaps(
@@ -63,13 +63,13 @@ def keep_bitmaps(
     in ``min_docs`` documents or more stays in the largest id holding it.
     ``version`` is the text's xxhash64."""
     keys = written(line_keys(docs, id_col, text_col, min_chars), "line-keys")
-    hot = F.broadcast(written(_hot_keys(keys), "hot-keys"))
+    hot = written(_hot_keys(keys), "hot-keys")
 
     # the usual keys: one range shuffle, then a streamed run per key
     run = Window.partitionBy("h1", "h2").orderBy(F.desc("doc"), "pos")
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     usual = (
-        keys.join(hot, "h1", "left_anti")
+        keys.join(hot, ["h1", "h2"], "left_anti")
         .repartitionByRange("h1", "h2")
         .sortWithinPartitions("h1", "h2", F.desc("doc"), "pos")
         .withColumn("nth_doc", F.dense_rank().over(Window.partitionBy("h1", "h2").orderBy(F.desc("doc"))))
@@ -79,13 +79,13 @@ def keep_bitmaps(
     )
 
     # the hot ones: documents counted before any shuffle of lines
-    hot_lines = keys.join(hot, "h1", "left_semi")
+    hot_lines = keys.join(hot, ["h1", "h2"], "left_semi")
     stats = (
         hot_lines.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc").alias("last_doc"))
         .where(F.col("n_docs") >= min_docs)
     )
-    hot_drops = hot_lines.join(F.broadcast(stats), ["h1", "h2"]).where("doc < last_doc").select("doc", "version", "pos")
+    hot_drops = hot_lines.join(written(stats, "hot-documents"), ["h1", "h2"]).where("doc < last_doc").select("doc", "version", "pos")
 
     words = (
         usual.union(hot_drops)
@@ -93,12 +93,7 @@ def keep_bitmaps(
         .repartition("doc")
         .groupBy("doc", "version", "word").agg(F.expr("~bit_or(bit)").alias("kept"))
     )
-    entries = words.groupBy("doc", "version").agg(F.array_sort(F.collect_list(F.struct("word", "kept"))).alias("e"))
-    before = F.expr("transform(e, (x, i) -> if(i = 0, -1, e[i - 1].word))")
-    return entries.withColumn("before", before).select(
-        "doc", "version",
-        F.expr("flatten(transform(e, (x, i) -> concat(array_repeat(-1L, x.word - before[i] - 1), array(x.kept))))").alias("bitmap"),
-    )
+    return words.groupBy("doc", "version").agg(F.array_sort(F.collect_list(F.struct("word", "kept"))).alias("bitmap"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,9 +101,13 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     ``n_dropped`` and ``kept_text``."""
     rows = packed(docs, doc=F.col(id_col), version=F.xxhash64(F.col(text_col)), text=F.coalesce(F.col(text_col), F.lit("")))
     joined = rows.join(bitmaps, ["doc", "version"], "left")
-    kept = F.expr(
-        "filter(split(text, '\\n'), (l, i) -> (shiftright(coalesce(get(bitmap, cast(floor(i / 64) as int)), -1L), i % 64) & 1L) = 1L)"
+    # unfolded once per document (``w``), up to its last word that loses a line
+    words = (
+        "flatten(transform(bitmap, (x, i) -> "
+        "concat(array_repeat(-1L, x.word - if(i = 0, -1, bitmap[i - 1].word) - 1), array(x.kept))))"
     )
+    stays = "(shiftright(coalesce(get(w, cast(floor(i / 64) as int)), -1L), i % 64) & 1L) = 1L"
+    kept = F.expr(f"transform(array({words}), w -> filter(split(text, '\\n'), (l, i) -> {stays}))[0]")
     out = joined.select(
         "row", "doc", "text", "bitmap",
         (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),

@@ -54,7 +54,9 @@ def test_line_dedup_small_cases(spark):
     assert line_dedup_of(frame(spark, rows)) == plain_line_dedup(rows)
 
 
-def test_line_dedup_long_texts_and_hot_lines(spark):
+@pytest.mark.parametrize("hot_lines", [10, 150, 10_000])
+def test_line_dedup_long_texts_and_hot_lines(spark, monkeypatch, hot_lines):
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot_lines)
     rng = np.random.RandomState(3)
     pool = [f"{COMMON} number {i} of the pool" for i in range(60)]
     rows = [(d, "\n".join(pool[i] for i in rng.randint(0, 60, rng.randint(1, 300)))) for d in range(40)]
@@ -75,6 +77,27 @@ def test_line_dedup_empty_and_extra_columns(spark):
     assert out.where("n_dropped = 1 and row.bitmap = 'x'").count() == 3
 
 
+def test_line_dedup_hot_by_lines_whatever_the_table(spark, monkeypatch):
+    """A key with 0.09 % of the lines takes the hot way: its window run is empty."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 17)
+    others = [(d, "\n".join(f"a line of its own, {d} and {i}" for i in range(1000))) for d in range(20)]
+    rows = others + [(100 + d, f"{COMMON}\nx") for d in range(18)]
+    docs = frame(spark, rows)
+    keys = line_dedup.line_keys(docs)
+    assert 0.0008 < 18 / keys.count() < 0.0009
+    assert [r.h1 for r in line_dedup._hot_keys(keys).collect()] == [keys.where("doc = 100").first().h1]
+    assert line_dedup_of(docs) == plain_line_dedup(rows)
+
+
+def test_line_dedup_bitmaps_list_losing_words_only(spark):
+    lines = [f"a line of its own number {i}" for i in range(100_000)]
+    rows = [(1, "\n".join([*lines, COMMON])), (2, f"{COMMON}\n{COMMON}\nx"), (3, COMMON)]
+    bitmaps = line_dedup.keep_bitmaps(frame(spark, rows)).collect()
+    got = {r.doc: [(w.word, w.kept) for w in r.bitmap] for r in bitmaps}
+    assert got == {1: [(100_000 // 64, ~(1 << 100_000 % 64))], 2: [(0, ~3)]}
+    assert line_dedup_of(frame(spark, rows)) == plain_line_dedup(rows)
+
+
 def test_line_dedup_names_hot_keys_once(spark):
     plan = line_dedup.keep_bitmaps(frame(spark, [(d, COMMON) for d in range(4)]))._jdf.queryExecution().toString()
     assert "approx_top_k" not in plan and "hot-keys" in plan
