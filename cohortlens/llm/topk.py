@@ -1,9 +1,16 @@
 """Exact top-k by inner product: term-at-a-time accumulation.
 
 Vectors are quantised to integers and cut into blocks of ``BLOCK`` rows, sorted
-by id; each row of the block table holds a block's matrix. Query blocks are
-dealt to ``spans`` groups of candidate blocks, so a task joins one query block
-with the candidate blocks of its group. There the sparse query rows are taken
+by id; each row of the block table holds a block's matrix, in the narrowest
+integer type that holds its values. Query blocks and candidate blocks meet on a
+grid: query blocks are dealt to its rows and candidate blocks to its columns,
+and a cell joins the blocks of its row with those of its column. The grid has a
+cell per ``CELL_SCORES`` scores, but one per ``SPAN_ROWS`` candidates up to
+``CELLS`` for small tables, and as many rows and columns as make the copies of
+either side equal. What is shuffled thus grows with queries times rows over the
+root of ``CELL_SCORES``, not over a fixed group of candidates.
+
+There the sparse query rows are taken
 term by term: for each dimension the candidates' posting list (rows with a
 non-zero weight) is scaled by the queries' weights and scattered into a dense
 score array. A partition selection takes each block's k best, and a window
@@ -14,11 +21,13 @@ Nulls and odd rows: a vector that is null, or holds a null or a non-finite
 component, takes no part. Rows without id can't be named and take no part.
 Rows that repeat an id and a vector count once; a query's own are all rows with
 its id. Shorter vectors count as padded with zeros. Ties go to the smaller id.
-An empty table, or one without queries, gives an empty result.
+Other columns of the input, whatever their names, are left behind. An empty
+table, or one without queries, gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +39,11 @@ from pyspark.sql.window import Window
 from cohortlens.llm.common import written
 
 BLOCK = 1024
-#: Vectors that a group of candidate blocks aims at.
+#: Scores that a cell of the grid aims at.
+CELL_SCORES = 2**30
+#: Small tables: candidates that a cell aims at, until there are ``CELLS`` cells.
 SPAN_ROWS = 4096
+CELLS = 64
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -44,7 +56,8 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of up to ``BLOCK`` rows: ids and a matrix of longs, as bytes."""
+    """Blocks of up to ``BLOCK`` rows: ids and a matrix of integers, as bytes;
+    ``width`` is the bytes of one."""
     for batch in batches:
         for at in range(0, batch.num_rows, BLOCK):
             part = batch.slice(at, BLOCK)
@@ -55,12 +68,27 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside = np.arange(matrix.shape[1]) < lengths[:, None]
             matrix[inside] = lists.flatten().to_numpy(zero_copy_only=False)
             order = np.argsort(ids, kind="stable")
+            least = min(int(matrix.min()), -int(matrix.max()) - 1)  # under zero, so that the type has a sign
+            matrix = matrix[order].astype(np.min_scalar_type(least))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[order].tobytes()]), pa.array([matrix[order].tobytes()]), pa.array([len(ids)], pa.int32())],
-                names=["ids", "matrix", "n"],
+                [pa.array([ids[order].tobytes()]), pa.array([matrix.tobytes()]), pa.array([len(ids)], pa.int32()), pa.array([matrix.itemsize], pa.int32())],
+                names=["ids", "matrix", "n", "width"],
             )
 
 
+def _matrix(block: pa.Scalar, n: pa.Scalar, width: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(block.as_buffer(), f"i{width.as_py()}").reshape(n.as_py(), -1).astype(np.int64)
+
+
+def grid(n_queries: int, n_candidates: int) -> tuple[int, int]:
+    """Rows (groups of query blocks) and columns (groups of candidate blocks)."""
+    if not n_queries:
+        return 1, 1
+    cells = max(math.ceil(n_queries * n_candidates / CELL_SCORES), min(CELLS, math.ceil(n_candidates / SPAN_ROWS)))
+    columns = min(cells, math.ceil(math.sqrt(cells * n_candidates / n_queries)))
+    return math.ceil(cells / columns), columns
+
+
 def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Scores (queries x candidates), accumulated one term at a time."""
     scores = np.zeros((len(queries), len(candidates)), np.int64)
@@ -101,22 +129,28 @@ def top_k(
     rows. ``is_query`` is a condition on the id column."""
     data = written(quantised(vectors, id_col, vector_col, scale).repartition("vec"), "vectors")
     asked = data.withColumnRenamed("vec", id_col).where(is_query).withColumnRenamed(id_col, "vec")
-    spans = max(1, -(-data.count() // SPAN_ROWS))
-    schema = "ids binary, matrix binary, n int"
-    candidates = data.mapInArrow(_blocks, schema).withColumn("span", F.pmod(F.xxhash64("ids"), F.lit(spans)))
-    candidates = written(candidates, "candidate-blocks")
-    queries = written(asked.coalesce(max(1, spans // 8)).mapInArrow(_blocks, schema), "query-blocks")
-    dealt = queries.select(F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), "n", F.explode(F.sequence(F.lit(0), F.lit(spans - 1))).alias("span"))
-    pairs = dealt.withColumnRenamed("n", "q_n").join(candidates, "span").select("q_ids", "q_matrix", "q_n", "ids", "matrix", "n")
+    rows, columns = grid(asked.count(), data.count())
+    schema = "ids binary, matrix binary, n int, width int"
+
+    def blocks(part: DataFrame, groups: int, name: str) -> DataFrame:
+        return written(part.mapInArrow(_blocks, schema).withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int")), name)
+
+    def copied(part: DataFrame, copies: int, prefix: str) -> DataFrame:
+        named = part.select(*[F.col(c).alias(f"{prefix}_{c}") for c in ("ids", "matrix", "n", "width", "group")])
+        return named.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+
+    asking = copied(blocks(asked.coalesce(max(1, rows, columns // 8)), rows, "query-blocks"), columns, "q")
+    holding = copied(blocks(data, columns, "candidate-blocks"), rows, "c")
+    met = (F.col("q_group") == F.col("c_copy")) & (F.col("q_copy") == F.col("c_group"))
+    pairs = asking.withColumnRenamed("copy", "q_copy").join(holding.withColumnRenamed("copy", "c_copy"), met)
+    pairs = pairs.select("q_ids", "q_matrix", "q_n", "q_width", "c_ids", "c_matrix", "c_n", "c_width")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                q_ids, q, q_n, c_ids, c, n = (batch.column(i)[row] for i in range(6))
+                q_ids, q, q_n, q_width, c_ids, c, c_n, c_width = (batch.column(i)[row] for i in range(8))
                 q_ids, c_ids = (np.frombuffer(x.as_buffer(), np.int64) for x in (q_ids, c_ids))
-                q = np.frombuffer(q.as_buffer(), np.int64).reshape(q_n.as_py(), -1)
-                c = np.frombuffer(c.as_buffer(), np.int64).reshape(n.as_py(), -1)
-                scores = accumulate(q, c)
+                scores = accumulate(_matrix(q, q_n, q_width), _matrix(c, c_n, c_width))
                 best = select(scores, q_ids[:, None] == c_ids[None, :], k)
                 rows = np.repeat(np.arange(len(best)), [len(b) for b in best])
                 columns = np.concatenate(best)

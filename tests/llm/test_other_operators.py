@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,9 +280,31 @@ def test_packing_is_lossless(spark):
 # --------------------------------------------------------------------- top-k
 
 
-def test_top_k_against_brute_force(spark, monkeypatch):
+def test_grid_copies_both_sides_alike():
+    for n in (10**7, 10**8):
+        asked = n // 50
+        rows, columns = topk.grid(asked, n)
+        cells = asked * n / topk.CELL_SCORES
+        assert cells <= rows * columns <= cells + 2 * columns
+        assert 0.5 < (asked * columns) / (n * rows) < 2
+        # copied vectors, against a copy of all queries for each SPAN_ROWS candidates
+        assert asked * columns + n * rows < 0.3 * asked * (n / topk.SPAN_ROWS)
+    assert topk.grid(10, 500) == (1, 1) and topk.grid(0, 0) == (1, 1)
+
+
+def test_blocks_are_as_narrow_as_their_values():
+    for least, most, width in ((-128, 127, 1), (-128, 128, 2), (0, 255, 2), (-32769, 0, 4), (0, 2**31, 8), (-(2**62), 5, 8)):
+        batch = pa.RecordBatch.from_arrays([pa.array([4, 2]), pa.array([[least, most], [most]])], names=["vec", "v"])
+        (block,) = topk._blocks(iter([batch]))
+        got = topk._matrix(*(block.column(n)[0] for n in ("matrix", "n", "width")))
+        assert got.tolist() == [[most, 0], [least, most]] and block.column("width")[0].as_py() == width
+
+
+@pytest.mark.parametrize("cell", [60, 400, 2**30])
+def test_top_k_against_brute_force(spark, monkeypatch, cell):
     monkeypatch.setattr(topk, "BLOCK", 7)
     monkeypatch.setattr(topk, "SPAN_ROWS", 40)
+    monkeypatch.setattr(topk, "CELL_SCORES", cell)
     rng = np.random.RandomState(12)
     rows = [(i, [float(x) if rng.rand() > 0.3 else 0.001 for x in rng.randn(6)]) for i in range(150)]
     rows[20:40] = [(i, rows[20][1]) for i in range(20, 40)]  # ties
