@@ -11,8 +11,10 @@
 3. A page's text is read without its host's template subtrees and without what
    the markup itself names as no part of the article: scripts, menus, headers,
    footers, sidebars, forms, adverts, notices, comments. A class or id names
-   only if all its words do, and not what holds most of the text or of the
-   articles' text (comment sections apart). Inside an ``article``
+   by its last word, words for a part of a page ("-list", "-box") left off:
+   "article-comments" does, "share-price" doesn't; words of everyday language
+   ("menu", "share") only beside such words. It doesn't name what holds most of
+   the text or of the articles' text (comment sections apart). Inside an ``article``
    or ``main`` element a template subtree goes only if most of its text is
    links, so that a passage which several articles share stays.
 
@@ -23,7 +25,9 @@ markup doesn't already exclude are joined with their hits.
 Nulls and odd rows: null or empty html gives an empty text. A page without url,
 or with one that can't be read, belongs to the host "". Repeated rows each get
 their text. Broken markup is read as browsers do: unknown end tags are left
-out, open elements end with their parent. An empty table gives an empty result.
+out, open elements end with their parent. Very long and very deep pages are read
+without recursion. Input columns to carry travel in the struct ``row`` and can't
+clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -59,11 +63,10 @@ _NO_TEXT = frozenset(
 )
 _NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Words of class or id attributes; the second list counts outside articles only.
-#: A class or id counts if it holds one and else only words of ``_PLAIN_WORDS``
-#: or numbers: "site-footer" does, "has-sidebar" and "share-price" don't.
+#: They tell if all the other words are of ``_PLAIN_WORDS`` or numbers.
 _NO_TEXT_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal "
-    "overlay sidebar nav navbar navigation menu breadcrumb breadcrumbs footer comment comments disqus reply replies respond share sharing social "
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal "
+    "overlay sidebar nav navbar sitenav mainnav topnav subnav navigation menu breadcrumb breadcrumbs footer comment comments disqus reply replies respond share sharing social "
     "newsletter subscribe signup login widget masthead pagination pager skip".split()
 )
 _OUTER_WORDS = frozenset("header topbar bottom top related recommended copyright toolbar search form alert message rail".split())
@@ -73,6 +76,21 @@ _PLAIN_WORDS = frozenset(
     "bar slot unit item items button buttons icon icons title text body group row col column media bookmarks trail thread posts post stories "
     "this widgets desktop mobile sticky fixed js".split()
 )
+#: Words that tell as last word whatever stands before, but for ``_DENIES``.
+_LAST_WORDS = frozenset(
+    "ad ads adverts advertisement advertisements advertising adsense adsbygoogle sponsored comments disqus sidebar nav navbar sitenav mainnav topnav subnav "
+    "navigation breadcrumb breadcrumbs footer newsletter cookie cookies gdpr consent popup pagination masthead".split()
+)
+#: Pairs that tell by both words.
+_LAST_PAIRS = frozenset([("author", "bio"), ("about", "author"), ("cookie", "notice"), ("privacy", "notice"), ("comment", "thread")])
+#: These tell anywhere before a word for articles.
+_TEASER_WORDS, _TEASERS = frozenset(["related", "recommended"]), frozenset("articles posts stories links reading news content".split())
+#: Words left off at the end of a class or id.
+_PARTS = frozenset(
+    "list box section area block wrapper wrap container inner outer content label policy panel slot unit item items row col column group holder "
+    "bar body title text link links left right top bottom desktop mobile sticky fixed module region".split()
+)
+_DENIES = frozenset("has no non not without with hide hides show shows open close closed free allow disable disabled enable enabled is after before".split())
 _OUTSIDE_WORDS = _NO_TEXT_WORDS | _OUTER_WORDS
 _KNOWN_WORDS = _OUTSIDE_WORDS | _PLAIN_WORDS
 #: An open element of these ends where one of the listed begins.
@@ -89,11 +107,31 @@ _SCOPES = frozenset("ul ol dl table article section div body html main aside blo
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[a-z0-9]+")
+#: Where a class or id has an inner word's or number's start.
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[a-z])(?=[0-9])|(?<=[A-Z])(?=[A-Z][a-z])")
+
+
+def _words(name: str) -> tuple[str, ...]:
+    return tuple(_WORD.findall(_CAMEL.sub("-", name).lower()))
 
 
 def _telling(words: tuple[str, ...], named: frozenset[str]) -> bool:
-    """The words of one class or id say one of ``named``, and nothing else."""
-    return not named.isdisjoint(words) and all(w in _KNOWN_WORDS or w[0].isdigit() for w in words)
+    """The words of one class or id say one of ``named``: nothing else stands
+    beside it, or it is the last word that isn't for a part of a page."""
+    if not named.isdisjoint(words) and all(w in _KNOWN_WORDS or w[0].isdigit() for w in words):
+        return True
+    if not _DENIES.isdisjoint(words):
+        return False
+    end = len(words)
+    while end and (words[end - 1] in _PARTS or words[end - 1][0].isdigit()):
+        end -= 1
+    return bool(end) and words[end - 1] in _LAST_WORDS and words[end - 1] in named
+
+
+def _telling_pair(words: tuple[str, ...]) -> bool:
+    if len(words) < 2 or not _DENIES.isdisjoint(words):
+        return False
+    return words[-2:] in _LAST_PAIRS or words[-2] in _TEASER_WORDS and words[-1] in _TEASERS
 
 
 class Element:
@@ -106,9 +144,9 @@ class Element:
         self.size = self.total = self.linked = 0
         if attributes and not attributes.isspace():
             found = {name.lower(): html.unescape(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(attributes)}
-            classes = f"{found.get('class', '')} {found.get('id', '')}".lower()
-            self.words = tuple(_WORD.findall(classes))
-            self.names = tuple(tuple(_WORD.findall(c)) for c in classes.split()) if self.words else ()
+            classes = f"{found.get('class', '')} {found.get('id', '')}"
+            self.words = tuple(_WORD.findall(classes.lower()))
+            self.names = tuple(_words(c) for c in classes.split()) if self.words else ()
             self.role = found.get("role", "").strip().lower()
             style = found.get("style", "").replace(" ", "").lower()
             self.hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
@@ -194,7 +232,7 @@ def _word_out(node: Element, inside: bool) -> bool:
     if not node.names or node.tag in ("html", "body", "main", "article"):
         return bool(node.names) and _comment(node)
     named = _NO_TEXT_WORDS if inside else _OUTSIDE_WORDS
-    return any(_telling(n, named) for n in node.names)
+    return any(_telling(n, named) or _telling_pair(n) for n in node.names)
 
 
 def _named_out(node: Element, inside: bool, whole: int) -> bool:

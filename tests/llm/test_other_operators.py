@@ -401,6 +401,34 @@ def test_telling_classes_still_go():
     assert read(f"<body><article>{text}</article>{teaser}</body>") == ("The story goes on. " * 20).strip()
 
 
+NAMED_OUT = (
+    "article-comments user-comments reader-comments fb-comments CommentsSection google-ad adsbygoogle sponsored-content leaderboard-ad "
+    "advertisement-label cookie-policy blog-sidebar sitenav mainNav article-footer related-articles author-bio rightSidebar post__footer "
+    "top-nav-bar AdSlot sidebar2 newsletter-box related-posts"
+).split()
+NOT_NAMED = (
+    "has-sidebar no-comments share-price promo-code-guide ad-free with-footer hasComments show-comments comments-off sidebar-toggle-story "
+    "cookie-recipe footer-of-the-bill navigator adventure broadband loaded headline article-body menu-planning advice unrelated biology dinner-menu"
+).split()
+
+
+@pytest.mark.parametrize("where", ["beside", "inside"])
+def test_classes_tell_by_their_last_word(where):
+    text = "<p>" + "The story goes on. " * 20 + "</p>"
+    story = ("The story goes on. " * 20).strip()
+    page = {"beside": "<body><div>{0}</div>{1}</body>", "inside": "<body><article>{0}{1}</article></body>"}[where]
+    for names, want in ((NAMED_OUT, story), (NOT_NAMED, f"{story}\nA box.")):
+        for name in names:
+            for attribute in ("class", "id"):
+                assert read(page.format(text, f"<div {attribute}='{name}'><p>A box.</p></div>")) == want, (name, attribute)
+
+
+def test_last_words_dont_name_what_holds_the_text():
+    text = "<p>" + "The story goes on. " * 20 + "</p>"
+    for name in ("page-with-blog-sidebar", "blog-sidebar", "google-ad", "site-footer", "mainNav"):
+        assert read(f"<body><div class='{name}'>{text}</div><p>Short.</p></body>").startswith("The story"), name
+
+
 @needs_tables
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").withColumn("row", F.lit(1)).withColumn("text", F.lit("mine"))
