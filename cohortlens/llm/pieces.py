@@ -44,8 +44,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of text that share a forward pass.
-SLAB = 3_000_000
+#: Characters of text that share a forward pass: what a Python worker needs
+#: grows with them, by about 130 bytes for each where most words are new.
+SLAB = 1_000_000
 #: Pieces up to this length get a column each; segments that a longer piece
 #: fits into are done apart, with columns for all lengths.
 NARROW = 8
@@ -144,7 +145,7 @@ def arcs(chars: np.ndarray, lengths: np.ndarray, model: Pieces) -> list[tuple[np
     another: per length their first characters and their states."""
     ends = np.repeat(np.cumsum(lengths), lengths)
     state = model.first[chars]
-    at = np.flatnonzero(state > 0)
+    at = np.flatnonzero(state > 0).astype(np.int32 if len(chars) + model.longest < 1 << 31 else np.int64)
     state, found = state[at], []
     for length in range(2, model.longest + 1):
         going = at + (length - 1) < ends[at]
@@ -357,7 +358,9 @@ def sample(texts: list[str], keys: np.ndarray, model: Pieces, start: int = 0) ->
         lattices.forward()
         who = np.flatnonzero(chosen[part])
         n_pieces[who], drawn = lattices.backward(part[who], keys[text_of[who]], offset[who])
+        del lattices
         rounds += [(who[x], ids, k) for x, ids, k in drawn]
+        del drawn
     last = np.cumsum(n_pieces) - 1
     out = np.empty(int(last[-1]) + 1, np.int32)
     for who, piece, k in rounds:

@@ -4,6 +4,7 @@ import base64
 import os
 import random
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -139,3 +140,23 @@ def test_long_rows_and_clashing_columns(spark):
     out = pieces.decode(pieces.encode(df, carry=["doc_id", "row", "ids"])).collect()
     assert {r["row"]["doc_id"]: r["text"] for r in out} == {i: t or "" for i, t in rows}
     assert all(r["row"]["row"] == r["row"]["ids"] == "?" for r in out)
+
+
+def test_a_worker_s_memory_and_ids_by_slabs():
+    """Texts of mostly new words, as much as one slab once held: two tasks' workers and the heap share an executor."""
+    rng, model = random.Random(3), pieces.load(pieces.MODEL)
+    texts = [" ".join("".join(rng.choices("etaoinshr", k=rng.randint(2, 9))) for _ in range(300)) for _ in range(1500)]
+    keys = np.arange(1, len(texts) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    whole, sizes = pieces.sample(texts, keys, model)
+    got, counts = [], []
+    tracemalloc.start()
+    try:
+        for part in pieces._slabs(np.array([len(t) for t in texts])):
+            ids, n = pieces.sample(texts[part], keys[part], model)
+            got.append(ids)
+            counts.append(n)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(np.concatenate(got), whole) and np.array_equal(np.concatenate(counts), sizes)
+    assert peak < 160 << 20
