@@ -37,6 +37,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,24 +50,16 @@ SHARES = 4096
 #: Bits of the bitmap of frequent pairs (2 MiB).
 BITS = 1 << 24
 #: Bytes of one language's text that a task turns into stripes at a time, and
-#: that it holds of all languages together.
-ROUND, HELD = 16 << 20, 32 << 20
+#: that it holds of all languages together. A round takes some 18 times its text.
+ROUND, HELD = 8 << 20, 16 << 20
 CUT = 4 << 20
 #: Rows of stripes that a record batch holds.
-ROWS = 1 << 14
+ROWS = 1 << 12
 _BREAK = b"\xff"
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _BREAK * 10 + b" ")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Ids(dict):
-    """Words by order of arrival; 0 is the break between pieces."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 def _parts(text: bytes, context: int, cut: int) -> Iterator[bytes]:
     """A text in parts of about ``cut`` bytes; none cuts a run of ``context`` + 1 words."""
     text = text.translate(_TABLE)
@@ -83,15 +76,33 @@ def _parts(text: bytes, context: int, cut: int) -> Iterator[bytes]:
             before = (before + part)[-context:] if context else []
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The number of each word and of the piece it is in, and the words by
+    number. Words are told from gaps on the bytes as they are: an object for
+    each word would take many times the text's memory."""
+    letters = np.frombuffer(text, np.uint8)
+    broken = letters == _BREAK[0]
+    gap = broken | (letters == 0x20)
+    edges = np.flatnonzero(np.diff(gap, prepend=True, append=True))
+    starts = edges[::2]
+    pieces = np.searchsorted(np.flatnonzero(broken), starts).astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum(edges[1::2] - starts)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters[~gap])])
+    del letters, broken, gap, edges, starts
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(), pieces, coded.dictionary.cast(pa.binary())
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    each = chain.from_iterable(words.slice(a, ROWS).to_pylist() for a in range(0, len(words), ROWS))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, each), np.uint64, len(words))
 
 
 def _pair_bits(first: np.ndarray, second: np.ndarray, lang: str, n_bits: int) -> np.ndarray:
     """Places in a bitmap of ``n_bits`` of pairs of word hashes."""
     x = (first * _GOLDEN + second) ^ np.uint64(xxhash.xxh3_64_intdigest(lang))
     x = (x ^ (x >> np.uint64(31))) * _GOLDEN
-    return (x >> np.uint64(40)) % np.uint64(n_bits)
+    return ((x >> np.uint64(40)) % np.uint64(n_bits)).astype(np.int64)
 
 
 def _runs(ordered: np.ndarray) -> np.ndarray:
@@ -106,46 +117,55 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def stripes_of(parts: list[bytes], lang: str, level: int, shares: int, hot: dict[bytes, int], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """The stripes of some texts' prefixes of ``level`` words."""
-    ids = _Ids({_BREAK: 0})
-    tokens = _BREAK.join(parts).replace(_BREAK, b" " + _BREAK + b" ").split()
-    seq = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-    del tokens
-    words, n = list(ids), len(ids)
-    hashed = _hashes(words)
+    """The stripes of some texts' prefixes of ``level`` words; ``parts`` is
+    emptied."""
+    text = _BREAK.join(parts)
+    parts.clear()
+    seq, pieces, words = _words(text)
+    del text
+    n = len(words)
     if level == 0:
-        counts = np.bincount(seq, minlength=n)[1:]
-        group, nexts = np.zeros(n - 1, np.int64), np.arange(1, n)
-        prefixes, shards = [b""], np.array([shares])
+        counts = np.bincount(seq, minlength=n)
+        group, nexts = np.zeros(n, np.int64), np.arange(n)
+        prefixes, shards = pa.array([b""], pa.binary()), np.array([shares])
     else:
-        whole = np.ones(max(0, len(seq) - level), bool)
-        for k in range(level + 1):
-            whole &= seq[k : len(whole) + k] > 0
-        at = np.flatnonzero(whole)
+        at = np.flatnonzero(pieces[:-level] == pieces[level:])
         if level == 2 and bits is not None:
-            marked = [bits[_pair_bits(hashed[seq[at + k]], hashed[seq[at + k + 1]], lang, len(bits))] for k in (0, 1)]
-            at = at[marked[0] & marked[1]]
-        keys = seq[at]
+            hashed = _hashes(words)[seq]
+            place = _pair_bits(hashed[:-1], hashed[1:], lang, 64 * len(bits))
+            marked = (bits[place >> 6] >> (place & 63) & 1).astype(bool)
+            del hashed, place
+            at = at[marked[at] & marked[at + 1]]
+        keys = seq[at].astype(np.int64)
+        prefixes = words
         if level == 2:  # pairs by number, so that a key fits 64 bits
-            pairs = keys * n + seq[at + 1]
-            known, keys = np.unique(pairs, return_inverse=True)
-        else:
-            known = np.arange(n)
-        keys, counts = _counted(keys * n + seq[at + level])
+            keys *= n
+            keys += seq[at + 1]
+            known, keys = np.unique(keys, return_inverse=True)
+            prefixes = pc.binary_join_element_wise(words.take(pa.array(known // n)), words.take(pa.array(known % n)), b" ")
+            del known
+        keys *= n
+        keys += seq[at + level]
+        del at
+        keys, counts = _counted(keys)
         group, nexts = keys // n, keys % n
-        prefixes = words if level == 1 else [words[a] + b" " + words[b] for a, b in zip((known // n).tolist(), (known % n).tolist(), strict=True)]
-        shards = np.ones(len(prefixes), np.int64)
+        del keys
+        shards = None
         if hot:
-            number = {p: i for i, p in enumerate(prefixes) if p in hot}
-            for p, i in number.items():
-                shards[i] = hot[p]
+            found = pc.index_in(prefixes, value_set=pa.array(list(hot), pa.binary())).fill_null(len(hot))
+            shards = np.append(list(hot.values()), 1)[found.to_numpy()]
+    del seq, pieces
     if not len(nexts):
         return
-    shard = (hashed[nexts] % shards[group].astype(np.uint64)).astype(np.int64)
-    order = np.argsort(group * (2 * shares) + shard, kind="stable")
-    group, shard, nexts, counts = group[order], shard[order], nexts[order], counts[order]
-    begins = _runs(group * (2 * shares) + shard)
-    column = pa.array(words, pa.binary())
+    if shards is None:
+        shard = np.zeros(len(group), np.int32)
+        begins = _runs(group)
+    else:
+        shard = (_hashes(words)[nexts] % shards[group].astype(np.uint64)).astype(np.int32)
+        order = np.argsort(group * (2 * shares) + shard, kind="stable")
+        group, shard, nexts, counts = group[order], shard[order], nexts[order], counts[order]
+        del order
+        begins = _runs(group * (2 * shares) + shard)
     for a in range(0, len(begins), ROWS):
         rows = begins[a : a + ROWS]
         end = begins[a + ROWS] if a + ROWS < len(begins) else len(nexts)
@@ -153,9 +173,9 @@ def stripes_of(parts: list[bytes], lang: str, level: int, shares: int, hot: dict
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([lang] * len(rows)),
-                pa.array([prefixes[g] for g in group[rows].tolist()], pa.binary()),
+                prefixes.take(pa.array(group[rows])),
                 pa.array(shard[rows], pa.int32()),
-                pa.ListArray.from_arrays(offsets, column.take(pa.array(nexts[rows[0] : end]))),
+                pa.ListArray.from_arrays(offsets, words.take(pa.array(nexts[rows[0] : end]))),
                 pa.ListArray.from_arrays(offsets, pa.array(counts[rows[0] : end], pa.int64())),
             ],
             names=["lang", "prefix", "shard", "nexts", "counts"],
@@ -171,14 +191,13 @@ def stripes(texts: DataFrame, level: int, hot: dict[tuple[str, str], int] | None
     shared = texts.sparkSession.sparkContext.broadcast((by_lang, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_of, packed = shared.value
-        marked = None if packed is None else np.unpackbits(packed.view(np.uint8), bitorder="little").astype(bool)
+        hot_of, bits = shared.value
         held: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
 
         def emit(lang: str) -> Iterator[pa.RecordBatch]:
             size.pop(lang)
-            yield from stripes_of(held.pop(lang), lang, level, shares, hot_of.get(lang, {}), marked)
+            yield from stripes_of(held.pop(lang), lang, level, shares, hot_of.get(lang, {}), bits)
 
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -226,10 +245,10 @@ def frequent_bits(pairs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
-            first, second = (_hashes(batch.column(k).cast(pa.binary()).to_pylist()) for k in (1, 2))
+            first, second = (_hashes(batch.column(k).cast(pa.binary())) for k in (1, 2))
             for lang in dict.fromkeys(langs):
                 mine = langs == lang
-                place = np.unique(_pair_bits(first[mine], second[mine], lang, n_bits)).astype(np.int64)
+                place = np.unique(_pair_bits(first[mine], second[mine], lang, n_bits))
                 yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array(np.left_shift(np.int64(1), place & 63))], names=["at", "bit"])
 
     words = pairs.select("lang", "prefix", "next").mapInArrow(run, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("word"))

@@ -1,7 +1,11 @@
 """Collocations against plain counting."""
 
+import os
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -104,3 +108,26 @@ def test_odd_tables(spark):
     assert told(spark.createDataFrame([("en", None), (None, ""), ("de", "...")], SCHEMA)) == []
     rows = [(None, "same words here")] * 12 + [("en", "x" * 3_000_000 + " y")] * 2
     assert told(spark.createDataFrame(rows, SCHEMA)) == plain(rows)
+
+
+def test_a_round_takes_little_memory():
+    """A process of its own turns a full round of text into the stripes of each
+    level: what that takes beside the text, in MB."""
+    code = r"""
+import re, numpy as np
+from cohortlens.llm import collocation as c
+peak = lambda: int(re.search(r"VmHWM:\s+(\d+)", open("/proc/self/status").read())[1]) // 1024
+rng = np.random.RandomState(0)
+words = [b"%x" % (i * 2654435761 % 2**25) for i in range(100_000)]
+parts = []
+while sum(map(len, parts)) < c.ROUND:
+    parts.append(b" ".join(words[i] for i in np.minimum(rng.zipf(1.3, 20_000), len(words)) - 1))
+before = peak()
+found = [sum(b.column("counts").flatten().to_numpy().sum() for b in c.stripes_of(list(parts), "en", k, c.SHARES, {}, None)) for k in (0, 1, 2)]
+print(peak() - before, *found, len(parts))
+"""
+    env = os.environ | {"PYTHONPATH": str(Path(collocation.__file__).parents[2])}
+    said = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True).stdout.split()
+    grown, *found, parts = map(int, said)
+    assert found == [parts * (20_000 - k) for k in (0, 1, 2)]
+    assert grown < 200
